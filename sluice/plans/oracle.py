@@ -45,7 +45,8 @@ FROM events""",
 SELECT event_id AS run_id, event_type AS model_name,
        CASE user_id % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'staging' ELSE 'prod' END AS env,
        ts AS start_time, value AS mae, CAST(100.0 AS DOUBLE) AS max_acceptable_mae,
-       CAST(50 + 25 * (event_id % 3) AS INT) AS n_estimators, CAST(4 + event_id % 5 AS INT) AS max_depth
+       CAST(50 + 25 * (event_id % 3) AS INT) AS n_estimators, CAST(4 + event_id % 5 AS INT) AS max_depth,
+       CAST(json_extract_string(props, '$.k') AS INT) AS min_samples_leaf
 FROM events""",
     "change_files": """
 SELECT doc_id, CAST(floor(doc_id / 5) AS BIGINT) AS change_id,

@@ -118,6 +118,7 @@ def training_runs(events: DataFrame) -> DataFrame:
         F.lit(100.0).cast("double").alias("max_acceptable_mae"),
         (F.lit(50) + F.lit(25) * (F.col("event_id") % 3)).cast("int").alias("n_estimators"),
         (F.lit(4) + F.col("event_id") % 5).cast("int").alias("max_depth"),
+        F.get_json_object("props", "$.k").cast("int").alias("min_samples_leaf"),
     )
 
 
