@@ -1 +1,262 @@
-"""Queries registered by this module."""
+"""Diff and review queries (S-21, W-05, A-15, P-03..P-06, J-03, J-04, A-06, T-05, T-07, S-14, S-15, S-24)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sluice.operators import diffs as D
+from sluice.operators import review as V
+from sluice.plans.oracle import with_ctes
+from sluice.plans.registry import register
+from sluice.sources.tables import Tables
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _lang_sql(path: str) -> str:
+    whens = " ".join(f"WHEN ends_with({path}, {q(sfx)}) THEN {q(lang)}" for sfx, lang in D.LANGUAGE_BY_SUFFIX)
+    return f"CASE {whens} ELSE {q(D.DEFAULT_LANGUAGE)} END"
+
+
+_FILES = f"""files AS (
+  SELECT change_id, doc_id, CAST(row_number() OVER (PARTITION BY change_id ORDER BY doc_id) AS INT) AS file_no,
+         CAST(count(*) OVER (PARTITION BY change_id) AS INT) AS n_files, path, {_lang_sql('path')} AS language,
+         text, split_part(hunk, chr(10), 1) AS hunks
+  FROM change_files)"""
+_LINES = """lines AS (
+  SELECT change_id, file_no, path, language, CAST(1 AS INT) AS hunk_no, CAST(line AS INT) AS line, text
+  FROM (SELECT f.change_id, f.file_no, f.path, f.language, unnest(p) AS text, generate_subscripts(p, 1) AS line
+        FROM (SELECT *, string_split(text, chr(10)) AS p FROM files) f))"""
+
+
+def _scan_sql() -> str:
+    parts = []
+    for i, r in enumerate(V.policy_rules()):
+        subject = "lower(text)" if r.lowercase else "text"
+        lang = "" if r.languages is None else f"language IN ({', '.join(q(x) for x in r.languages)}) AND "
+        parts.append(f"SELECT change_id, file_no, path AS file, line, {i} AS rule_rank, {q(r.rule_id)} AS rule_id, "
+                     f"{q(r.severity)} AS severity, {q(r.citation)} AS citation, {q(r.message)} AS message "
+                     f"FROM lines WHERE {lang}regexp_matches({subject}, {q(r.pattern)})")
+    return "findings AS (\n" + "\nUNION ALL\n".join(parts) + ")"
+
+
+def _sql(body: str, *ctes: str) -> str:
+    return with_ctes(["change_files"], "WITH " + ",\n".join(ctes) + "\n" + body)
+
+
+def _files(t: Tables):
+    return D.diff_files(t.changes)
+
+
+def _lines(t: Tables):
+    return D.diff_added_lines(_files(t))
+
+
+def _findings(t: Tables):
+    return V.policy_scan(_lines(t))
+
+
+@register("as_added_diff", with_ctes(["change_files"], """
+SELECT doc_id, 'diff --git a/' || path || ' b/' || path || chr(10) || '+++ b/' || path || chr(10) || '@@ -0,0 +1,'
+       || CAST(CASE WHEN text = '' THEN 0 ELSE len(string_split(body, chr(10))) END AS VARCHAR) || ' @@' || chr(10)
+       || CASE WHEN text = '' THEN '' ELSE '+' || replace(body, chr(10), chr(10) || '+') || chr(10) END AS diff
+FROM (SELECT doc_id, path, text,
+             CASE WHEN ends_with(text, chr(10)) THEN substr(text, 1, length(text) - 1) ELSE text END AS body
+      FROM change_files)"""), ids=("S-21",))
+def q_as_added_diff(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    files = t.documents.select("doc_id", "text").join(t.change_files.select("doc_id", "path"), "doc_id")
+    return files.select("doc_id", D.as_added_diff(F.col("path"), F.col("text")).alias("diff"))
+
+
+@register("diff_files", _sql("""
+SELECT change_id, file_no, n_files, path, language, false AS is_binary, false AS is_rename, hunks FROM files""",
+                             _FILES), ids=("A-15", "S-02"))
+def q_diff_files(spark, sf_dir):
+    return _files(Tables(spark, sf_dir)).select("change_id", "file_no", "n_files", "path", "language", "is_binary",
+                                                "is_rename", "hunks")
+
+
+@register("diff_added_lines", _sql("SELECT change_id, file_no, path, hunk_no, line, text FROM lines",
+                                   _FILES, _LINES), ids=("W-05",))
+def q_diff_added_lines(spark, sf_dir):
+    return _lines(Tables(spark, sf_dir)).select("change_id", "file_no", "path", "hunk_no", "line", "text")
+
+
+@register("file_checks", with_ctes(["change_files"], f"""
+SELECT doc_id, path, {_lang_sql('path')} AS language,
+       CASE WHEN ends_with(path, '.py') THEN 'ruff' WHEN ends_with(path, '.sql') THEN 'sqlfluff' END AS linter,
+       (text IS NOT NULL AND trim(text) <> '') AS content_ok,
+       CASE WHEN text IS NOT NULL AND trim(text) <> '' THEN '' ELSE 'empty content' END AS content_reason
+FROM change_files"""), ids=("P-04", "P-05", "P-06"))
+def q_file_checks(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    files = t.documents.select("doc_id", "text").join(t.change_files.select("doc_id", "path"), "doc_id")
+    return D.file_checks(files).select("doc_id", "path", "language", "linter", "content_ok", "content_reason")
+
+
+@register("policy_scan", _sql("""
+SELECT change_id, file_no, file, line, rule_id, severity, citation, message FROM findings""",
+                              _FILES, _LINES, _scan_sql()), ids=("J-04",))
+def q_policy_scan(spark, sf_dir):
+    return _findings(Tables(spark, sf_dir)).select("change_id", "file_no", "file", "line", "rule_id", "severity",
+                                                   "citation", "message")
+
+
+_GATE = """gate AS (
+  SELECT c.change_id,
+         CASE WHEN coalesce(n, 0) = 0 THEN 'success' WHEN coalesce(b, 0) > 0 THEN 'failure' ELSE 'neutral' END
+           AS conclusion,
+         CAST(coalesce(b, 0) AS BIGINT) AS blocker_count, CAST(coalesce(n, 0) AS BIGINT) AS n_findings,
+         CASE WHEN coalesce(n, 0) = 0 THEN '""" + V.NO_FINDINGS + """'
+              WHEN coalesce(b, 0) > 0 THEN '🔴 ' || CAST(b AS VARCHAR) || ' of ' || CAST(n AS VARCHAR)
+                   || ' finding(s) are BLOCKER - merge blocked until resolved.'
+              ELSE '🟡 ' || CAST(n AS VARCHAR) || ' advisory finding(s) - do not block merge.' END AS summary
+  FROM (SELECT DISTINCT change_id FROM change_files) c
+  LEFT JOIN (SELECT change_id, count(*) AS n, count(*) FILTER (WHERE severity = 'BLOCKER') AS b
+             FROM findings GROUP BY change_id) x ON c.change_id = x.change_id)"""
+
+
+@register("decide_gate", _sql("SELECT * FROM gate", _FILES, _LINES, _scan_sql(), _GATE), ids=("A-06",))
+def q_decide_gate(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return V.decide_gate(t.changes, _findings(t))
+
+
+@register("check_annotations", _sql(f"""
+SELECT change_id, CAST(annotation_no AS INT) AS annotation_no, file AS path, line AS start_line, line AS end_line,
+       CASE severity WHEN 'BLOCKER' THEN 'failure' WHEN 'SUGGESTION' THEN 'warning' ELSE 'notice' END
+         AS annotation_level,
+       substring(regexp_replace(severity || ' · ' || rule_id, '^[ ·]+|[ ·]+$', '', 'g'), 1, {V.MAX_TITLE}) AS title,
+       substring(trim(message) || chr(10) || chr(10) || '📖 ' || citation, 1, {V.MAX_MESSAGE}) AS message
+FROM (SELECT *, row_number() OVER (PARTITION BY change_id ORDER BY file_no, line, rule_rank) AS annotation_no
+      FROM findings)
+WHERE annotation_no <= {V.MAX_ANNOTATIONS}""", _FILES, _LINES, _scan_sql()), ids=("T-05", "W-06"))
+def q_check_annotations(spark, sf_dir):
+    return V.check_annotations(_findings(Tables(spark, sf_dir)))
+
+
+@register("check_runs", _sql(f"""
+SELECT g.change_id, g.conclusion,
+       CASE g.conclusion WHEN 'failure' THEN '{V.CHECK_TITLES['failure']}' WHEN 'neutral'
+            THEN '{V.CHECK_TITLES['neutral']}' ELSE '{V.CHECK_TITLES['success']}' END AS title,
+       g.summary || CASE WHEN coalesce(a.n, 0) > {V.MAX_ANNOTATIONS}
+            THEN chr(10) || chr(10) || '_(+' || CAST(a.n - {V.MAX_ANNOTATIONS} AS VARCHAR)
+                 || ' additional finding(s) not annotated; the limit is {V.MAX_ANNOTATIONS}.)_' ELSE '' END AS summary,
+       CAST(least(coalesce(a.n, 0), {V.MAX_ANNOTATIONS}) AS BIGINT) AS n_annotations,
+       CAST(greatest(coalesce(a.n, 0) - {V.MAX_ANNOTATIONS}, 0) AS BIGINT) AS n_overflow
+FROM gate g LEFT JOIN (SELECT change_id, count(*) AS n FROM findings GROUP BY change_id) a
+  ON g.change_id = a.change_id""", _FILES, _LINES, _scan_sql(), _GATE), ids=("T-05",))
+def q_check_runs(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    findings = _findings(t)
+    return V.check_runs(V.decide_gate(t.changes, findings), findings)
+
+
+@register("render_comment", _sql("""
+SELECT c.change_id,
+       CASE WHEN x.n IS NULL THEN '## 🤖 Reviewer' || chr(10) || chr(10) || '""" + V.NO_FINDINGS + """'
+            ELSE '## 🤖 Reviewer' || chr(10) || chr(10) || x.body || chr(10) || '---' || chr(10) || '_'
+                 || CAST(x.n AS VARCHAR) || ' finding(s), ' || CAST(x.nb AS VARCHAR)
+                 || ' BLOCKER. BLOCKERs fail the reviewer check; suggestions are advisory and do not block._' END
+         AS comment
+FROM (SELECT DISTINCT change_id FROM change_files) c
+LEFT JOIN (
+  SELECT change_id, count(*) AS n, count(*) FILTER (WHERE severity = 'BLOCKER') AS nb,
+         string_agg(concat_ws(chr(10),
+             '### ' || CASE severity WHEN 'BLOCKER' THEN '🔴' WHEN 'SUGGESTION' THEN '🟡' ELSE '⚪' END || ' '
+               || severity || ' - `' || file || CASE WHEN line IS NOT NULL AND line <> 0 THEN ':' || CAST(line AS VARCHAR)
+               ELSE '' END || '` · ' || rule_id,
+             message, '<sub>📖 ' || citation || '</sub>', ''), chr(10)
+           ORDER BY CASE severity WHEN 'BLOCKER' THEN 0 WHEN 'SUGGESTION' THEN 1 ELSE 2 END, file_no, line, rule_rank)
+           AS body
+  FROM findings GROUP BY change_id) x ON c.change_id = x.change_id""", _FILES, _LINES, _scan_sql()), ids=("T-07",))
+def q_render_comment(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return V.render_comment(t.changes, _findings(t))
+
+
+@register("select_fixable", _sql("""
+SELECT change_id, file, CAST(count(*) AS BIGINT) AS n_findings FROM findings f
+WHERE file IS NOT NULL AND file <> '' AND NOT starts_with(file, '/') AND NOT contains(file, '..')
+  AND EXISTS (SELECT 1 FROM files c WHERE c.change_id = f.change_id AND c.path = f.file)
+GROUP BY change_id, file""", _FILES, _LINES, _scan_sql()), ids=("J-03", "S-02"))
+def q_select_fixable(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    fixable = V.select_fixable(_findings(t), _files(t))
+    return fixable.groupBy("change_id", "file").agg(F.count(F.lit(1)).cast("bigint").alias("n_findings"))
+
+
+@register("fix_prompts", _sql("""
+SELECT x.change_id, x.file AS path, CAST(x.n AS BIGINT) AS n_findings,
+       'FILE: ' || x.file || chr(10) || chr(10) || 'FINDINGS TO FIX:' || chr(10) || x.issues || chr(10) || chr(10)
+       || 'CURRENT CONTENT:' || chr(10) || '```' || chr(10) || coalesce(c.text, '') || chr(10) || '```' || chr(10)
+       || chr(10) || 'Return the COMPLETE corrected file in a single code block.' AS prompt
+FROM (SELECT change_id, file, count(*) AS n,
+             string_agg('- L' || coalesce(CAST(line AS VARCHAR), 'None') || ': [' || severity || '] ' || rule_id
+                        || ' - ' || message, chr(10) ORDER BY line, rule_rank) AS issues
+      FROM findings f WHERE NOT starts_with(file, '/') AND NOT contains(file, '..')
+        AND EXISTS (SELECT 1 FROM files c WHERE c.change_id = f.change_id AND c.path = f.file)
+      GROUP BY change_id, file) x
+LEFT JOIN files c ON c.change_id = x.change_id AND c.path = x.file""", _FILES, _LINES, _scan_sql()), ids=("S-15",))
+def q_fix_prompts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    fixable = V.select_fixable(_findings(t), _files(t))
+    contents = t.documents.select("doc_id", "text").join(t.change_files.select("doc_id", "change_id", "path"), "doc_id")
+    return V.fix_prompts(fixable, contents)
+
+
+def _rules_block_sql() -> str:
+    return "\n".join(f"- {r.rule_id} [{r.severity}] (citation: {r.citation}): {r.message[:V.RULE_TEXT_LIMIT]}"
+                     for r in V.policy_rules())
+
+
+@register("review_prompts", _sql(f"""
+SELECT change_id,
+       'HANDBOOK RULES (cite ONLY these rule_id values):' || chr(10) || {q(_rules_block_sql())} || chr(10) || chr(10)
+       || 'LINES ADDED IN THE CHANGE (use the Lxx number as `line`):' || chr(10)
+       || CASE WHEN body = '' THEN '(empty diff)' ELSE body END || chr(10) || chr(10) || 'Return the findings JSON.'
+         AS prompt
+FROM (SELECT f.change_id, string_agg('### ' || f.path || ' (' || f.language || ')' || chr(10) || coalesce(l.added, ''),
+                                     chr(10) || chr(10) ORDER BY f.file_no) AS body
+      FROM files f LEFT JOIN (
+        SELECT change_id, file_no, string_agg('  L' || CAST(line AS VARCHAR) || ': ' || text, chr(10) ORDER BY line)
+                 AS added
+        FROM lines WHERE line <= {V.MAX_LINES_PER_FILE} GROUP BY change_id, file_no) l
+        ON f.change_id = l.change_id AND f.file_no = l.file_no
+      GROUP BY f.change_id)""", _FILES, _LINES), ids=("S-14", "W-08"))
+def q_review_prompts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    files = _files(t)
+    return V.review_prompts(files, D.diff_added_lines(files))
+
+
+@register("change_query_text", _sql("""
+SELECT c.change_id, coalesce(nullif(q.q, ''), 'coding standards') AS query_text
+FROM (SELECT DISTINCT change_id FROM files) c
+LEFT JOIN (SELECT change_id, string_agg(text, chr(10) ORDER BY file_no, line) AS q FROM lines GROUP BY change_id) q
+  ON c.change_id = q.change_id""", _FILES, _LINES), ids=("S-24",))
+def q_change_query_text(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return V.change_query_text(t.changes, _lines(t))
+
+
+_PERMS = ["read", "triage", "write", "maintain", "admin"]
+
+
+@register("fix_authorization", f"""
+SELECT conv_id, turn, permission, branch_is_protected,
+       CASE WHEN branch_is_protected THEN false ELSE permission IN ('write', 'maintain', 'admin') END AS authorized,
+       CASE WHEN branch_is_protected THEN 'The target branch is protected; the bot does not write to protected branches.'
+            WHEN permission IN ('write', 'maintain', 'admin') THEN ''
+            ELSE 'Insufficient permission (''' || permission || '''); write/maintain/admin is required.' END AS reason
+FROM (SELECT conv_id, turn, {str(_PERMS).replace('"', "'")}[CAST(conv_id % 5 + 1 AS INT)] AS permission,
+             turn % 4 = 0 AS branch_is_protected FROM conversations)""", ids=("P-03",))
+def q_fix_authorization(spark, sf_dir):
+    conv = Tables(spark, sf_dir).conversations
+    perms = F.array(*[F.lit(p) for p in _PERMS])
+    req = conv.select("conv_id", "turn", F.element_at(perms, (F.col("conv_id") % 5 + 1).cast("int")).alias("permission"),
+                      (F.col("turn") % 4 == 0).alias("branch_is_protected"))
+    return V.fix_authorization(req)
