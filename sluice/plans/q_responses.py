@@ -1 +1,181 @@
-"""Queries registered by this module."""
+"""Stored model responses (S-16..S-20)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sluice.operators import responses as RS
+from sluice.plans.oracle import with_ctes
+from sluice.plans.registry import register
+from sluice.sources.tables import Tables
+
+# DuckDB twin of the decode chain for the stored-response shapes: fence strip, direct,
+# first {...} span, then closing a string cut off inside the last value.
+_DECODE = r"""dec0 AS (
+  SELECT *, trim(regexp_replace(regexp_replace(trim(raw), '^```[a-zA-Z0-9_+.-]*\n?', ''), '\n?```$', '')) AS cleaned,
+         regexp_extract(raw, '(?s)\{.*\}', 0) AS span
+  FROM responses),
+dec AS (
+  SELECT *, CASE WHEN json_valid(cleaned) THEN cleaned
+                 WHEN span <> '' AND json_valid(span) THEN span
+                 WHEN json_valid(cleaned || '"}') AND json_extract(cleaned || '"}', '$.decision') IS NOT NULL
+                   THEN cleaned || '"}' END AS j,
+         CASE WHEN json_valid(cleaned) THEN 'direct'
+              WHEN (span <> '' AND json_valid(span)) OR json_valid(cleaned || '"}') THEN 'recovered' END AS decoded_by
+  FROM dec0)"""
+
+
+@register("tolerant_json", with_ctes(["responses"], "WITH " + _DECODE + """
+SELECT response_id, decoded_by, json_extract_string(j, '$.decision') AS decision_raw FROM dec"""), ids=("S-16",))
+def q_tolerant_json(spark, sf_dir):
+    df = RS.tolerant_json(Tables(spark, sf_dir).responses)
+    return df.select("response_id", "decoded_by", F.try_variant_get("json", "$.decision", "string").alias("decision_raw"))
+
+
+@register("parse_decisions", with_ctes(["responses"], "WITH " + _DECODE + """
+SELECT response_id, truth, j IS NOT NULL AND json_type(j) = 'OBJECT' AS parsed,
+       CASE WHEN upper(trim(coalesce(json_extract_string(j, '$.decision'), ''))) IN ('APPROVE', 'BLOCK')
+            THEN upper(trim(json_extract_string(j, '$.decision'))) ELSE 'BLOCK' END AS decision,
+       CAST(coalesce(json_array_length(j, '$.findings'), 0) AS BIGINT) AS n_findings,
+       CASE WHEN j IS NULL THEN 'Gate failed to parse a valid decision from the model response. Raw output: '
+                               || substring(coalesce(raw, 'None'), 1, 500)
+            WHEN trim(coalesce(json_extract_string(j, '$.justification'), '')) = ''
+              THEN 'Decision: ' || CASE WHEN upper(trim(coalesce(json_extract_string(j, '$.decision'), '')))
+                                          IN ('APPROVE', 'BLOCK')
+                                        THEN upper(trim(json_extract_string(j, '$.decision'))) ELSE 'BLOCK' END
+                   || ' (no justification provided).'
+            ELSE trim(json_extract_string(j, '$.justification')) END AS justification
+FROM dec"""), ids=("S-17",))
+def q_parse_decisions(spark, sf_dir):
+    df = RS.parse_decisions(Tables(spark, sf_dir).responses)
+    return df.select("response_id", "truth", "parsed", "decision",
+                     F.size("findings").cast("bigint").alias("n_findings"), "justification")
+
+
+@register("decision_findings", with_ctes(["responses"], "WITH " + _DECODE + """
+SELECT response_id, CAST(n - 1 AS INT) AS finding_no,
+       coalesce(json_extract_string(f, '$.rule_id'), 'UNKNOWN') AS rule_id,
+       upper(coalesce(json_extract_string(f, '$.severity'), 'SUGGESTION')) AS severity,
+       coalesce(json_extract_string(f, '$.message'), '') AS message
+FROM (SELECT response_id, unnest(json_extract(j, '$.findings[*]')) AS f,
+             generate_subscripts(json_extract(j, '$.findings[*]'), 1) AS n
+      FROM dec WHERE j IS NOT NULL AND json_type(j) = 'OBJECT')
+WHERE json_type(f) = 'OBJECT'"""), ids=("S-17", "Q12", "Q13"))
+def q_decision_findings(spark, sf_dir):
+    df = RS.parse_decisions(Tables(spark, sf_dir).responses)
+    return df.select("response_id", F.posexplode("findings").alias("finding_no", "f")).select(
+        "response_id", "finding_no", "f.rule_id", "f.severity", "f.message")
+
+
+def review_responses(labels):
+    """Stored reviewer responses in four wrappers with valid and invalid findings."""
+    d = F.col("doc_id")
+    line = (F.when(d % 3 == 0, (d % 50).cast("string")).when(d % 3 == 1, F.concat(F.lit('"'), (d % 50).cast("string"),
+                                                                                   F.lit('"')))
+            .otherwise(F.lit('"n/a"')))
+    sev = F.when(d % 5 == 0, "bad").when(d % 2 == 0, "blocker").otherwise("SUGGESTION")
+    finding = F.concat(F.lit('{"file": "src/d'), d.cast("string"), F.lit('.py", "line": '), line,
+                       F.lit(', "severity": "'), sev, F.lit('", "rule_id": "TP-0'), (d % 4 + 1).cast("string"),
+                       F.lit('", "citation": "Handbook", "message": '),
+                       F.when(d % 7 == 0, F.lit('""')).otherwise(F.lit('"found"')),
+                       F.when(F.col("toxic") == 1, F.lit(', "suggestion": "fix it"')).otherwise(F.lit("")), F.lit("}"))
+    arr = F.concat(F.lit("["), finding, F.lit(", 42]"))
+    k = d % 4
+    raw = (F.when(k == 0, F.concat(F.lit('{"summary": "doc '), d.cast("string"), F.lit('", "findings": '), arr,
+                                   F.lit("}")))
+           .when(k == 1, arr)
+           .when(k == 2, F.concat(F.lit("Here you go:\n```json\n{\"summary\": \"s\", \"findings\": "), arr,
+                                  F.lit("}\n```\ntrailing } junk")))
+           .otherwise(F.lit("not json at all")))
+    return labels.select(d.alias("response_id"), raw.alias("raw"))
+
+
+_REVIEW_SQL = r"""rr AS (
+  SELECT doc_id AS response_id, CASE doc_id % 4
+      WHEN 0 THEN '{"summary": "doc ' || CAST(doc_id AS VARCHAR) || '", "findings": ' || arr || '}'
+      WHEN 1 THEN arr
+      WHEN 2 THEN 'Here you go:' || chr(10) || '```json' || chr(10) || '{"summary": "s", "findings": ' || arr || '}'
+                  || chr(10) || '```' || chr(10) || 'trailing } junk'
+      ELSE 'not json at all' END AS raw
+  FROM (SELECT doc_id, '[' || '{"file": "src/d' || CAST(doc_id AS VARCHAR) || '.py", "line": '
+               || CASE WHEN doc_id % 3 = 0 THEN CAST(doc_id % 50 AS VARCHAR)
+                       WHEN doc_id % 3 = 1 THEN '"' || CAST(doc_id % 50 AS VARCHAR) || '"' ELSE '"n/a"' END
+               || ', "severity": "' || CASE WHEN doc_id % 5 = 0 THEN 'bad' WHEN doc_id % 2 = 0 THEN 'blocker'
+                                            ELSE 'SUGGESTION' END
+               || '", "rule_id": "TP-0' || CAST(doc_id % 4 + 1 AS VARCHAR)
+               || '", "citation": "Handbook", "message": ' || CASE WHEN doc_id % 7 = 0 THEN '""' ELSE '"found"' END
+               || CASE WHEN toxic = 1 THEN ', "suggestion": "fix it"' ELSE '' END || '}' || ', 42]' AS arr
+        FROM labels)),
+rj AS (
+  SELECT response_id, CASE WHEN json_valid(raw) THEN raw
+                           WHEN json_valid(regexp_extract(raw, '\{[^{}]*\[\{[^{}]*\}, 42\]\}', 0))
+                             THEN regexp_extract(raw, '\{[^{}]*\[\{[^{}]*\}, 42\]\}', 0) END AS j
+  FROM rr)"""
+
+
+@register("parse_findings", "WITH " + _REVIEW_SQL + """
+SELECT response_id, CAST(n - 1 AS INT) AS finding_no, json_extract_string(f, '$.file') AS file,
+       CASE WHEN json_type(f, '$.line') IN ('BIGINT', 'UBIGINT') THEN CAST(json_extract(f, '$.line') AS BIGINT)
+            WHEN json_type(f, '$.line') = 'VARCHAR' AND regexp_matches(json_extract_string(f, '$.line'), '^[0-9]+$')
+              THEN CAST(json_extract_string(f, '$.line') AS BIGINT) END AS line,
+       upper(json_extract_string(f, '$.severity')) AS severity, json_extract_string(f, '$.rule_id') AS rule_id,
+       json_extract_string(f, '$.citation') AS citation, json_extract_string(f, '$.message') AS message,
+       nullif(json_extract_string(f, '$.suggestion'), '') AS suggestion, nullif(json_extract_string(f, '$.patch'), '')
+         AS patch
+FROM (SELECT response_id, unnest(items) AS f, generate_subscripts(items, 1) AS n
+      FROM (SELECT response_id, CASE WHEN json_type(j) = 'OBJECT' THEN json_extract(j, '$.findings[*]')
+                                     WHEN json_type(j) = 'ARRAY' THEN json_extract(j, '$[*]') END AS items
+            FROM rj WHERE j IS NOT NULL))
+WHERE json_type(f) = 'OBJECT'
+  AND coalesce(json_extract_string(f, '$.file'), '') <> '' AND coalesce(json_extract_string(f, '$.severity'), '') <> ''
+  AND coalesce(json_extract_string(f, '$.rule_id'), '') <> '' AND coalesce(json_extract_string(f, '$.citation'), '') <> ''
+  AND coalesce(json_extract_string(f, '$.message'), '') <> ''
+  AND upper(json_extract_string(f, '$.severity')) IN ('BLOCKER', 'SUGGESTION', 'STYLE')""", ids=("S-18",))
+def q_parse_findings(spark, sf_dir):
+    return RS.parse_findings(review_responses(Tables(spark, sf_dir).labels))
+
+
+@register("review_summary", "WITH " + _REVIEW_SQL + """
+SELECT response_id, CASE WHEN json_type(j) = 'OBJECT' THEN coalesce(json_extract_string(j, '$.summary'), '') ELSE '' END
+         AS summary
+FROM rj""", ids=("S-18",))
+def q_review_summary(spark, sf_dir):
+    return RS.review_summary(review_responses(Tables(spark, sf_dir).labels))
+
+
+def payloads(conversations):
+    """Serving payloads per conversation turn: Responses-API shape, chat shape every third turn."""
+    resp = F.to_json(F.struct(F.array(F.struct(F.array(
+        F.struct(F.lit("output_text").alias("type"), F.col("text").alias("text"))).alias("content"))).alias("output")))
+    chat = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("text").alias("content")).alias("message")))
+                              .alias("choices")))
+    return conversations.select("conv_id", "turn", F.when(F.col("turn") % 3 == 0, chat).otherwise(resp).alias("payload"))
+
+
+@register("response_text", """
+SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN coalesce(text, '')
+                           ELSE coalesce(nullif(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), ''), '') END AS text
+FROM conversations""", ids=("S-19",))
+def q_response_text(spark, sf_dir):
+    return RS.response_text(payloads(Tables(spark, sf_dir).conversations)).select("conv_id", "turn", "text")
+
+
+def model_outputs(documents):
+    d = F.col("doc_id")
+    out = (F.when(d % 3 == 0, F.concat(F.lit("Here is the fix:\n```python\n"), F.col("text"), F.lit("\n\n```\nDone.")))
+           .when(d % 3 == 1, F.lit("```\n   \n```")).otherwise(F.col("text")))
+    return documents.select("doc_id", out.alias("output"))
+
+
+@register("extract_code", r"""
+SELECT doc_id, CASE WHEN regexp_matches(o, '(?s)```[a-zA-Z0-9_+.-]*\n(.*?)```')
+                     AND regexp_matches(regexp_replace(regexp_extract(o, '(?s)```[a-zA-Z0-9_+.-]*\n(.*?)```', 1),
+                                                       '\n+\z', ''), '\S')
+                    THEN regexp_replace(regexp_extract(o, '(?s)```[a-zA-Z0-9_+.-]*\n(.*?)```', 1), '\n+\z', '')
+                         || chr(10) END AS code
+FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Here is the fix:' || chr(10) || '```python' || chr(10) || text
+                                                    || chr(10) || chr(10) || '```' || chr(10) || 'Done.'
+                          WHEN doc_id % 3 = 1 THEN '```' || chr(10) || '   ' || chr(10) || '```' ELSE text END AS o
+      FROM documents)""", ids=("S-20",))
+def q_extract_code(spark, sf_dir):
+    return RS.extract_code(model_outputs(Tables(spark, sf_dir).documents)).select("doc_id", "code")
