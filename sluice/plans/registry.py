@@ -37,6 +37,7 @@ def load_all() -> dict[str, QuerySpec]:
     """Import every query module so its registrations run."""
     from sluice.plans import (  # noqa: F401
         q_diffs,
+        q_evals,
         q_registry,
         q_responses,
         q_retail,
