@@ -38,6 +38,7 @@ def load_all() -> dict[str, QuerySpec]:
     from sluice.plans import (  # noqa: F401
         q_diffs,
         q_evals,
+        q_forecast,
         q_registry,
         q_responses,
         q_retail,
