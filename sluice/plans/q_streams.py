@@ -1 +1,74 @@
-"""Queries registered by this module."""
+"""Streaming queries (ST-01..ST-04) and their batch twins; streams drain with availableNow."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sluice.functions.numeric import round_ratio_sql
+from sluice.operators import usage as U
+from sluice.plans.oracle import with_ctes
+from sluice.plans.q_rules import _LINES as _RULE_LINES
+from sluice.plans.q_rules import _parse_sql
+from sluice.plans.q_usage import CHECK_ENDPOINT_LIMIT, CHECK_USER_LIMIT
+from sluice.plans.registry import register
+from sluice.sources import tables as T
+from sluice.streaming import streams as S
+
+_USAGE_CLOSED = with_ctes(["payload"], f"""
+SELECT CAST(date_trunc('day', request_time) AS DATE) AS day, CAST(count(*) AS BIGINT) AS pr_reviews,
+       CASE WHEN count(execution_duration_ms) > 0
+            THEN {round_ratio_sql('sum(execution_duration_ms)', 'count(execution_duration_ms) * 1000', 1)} END
+         AS avg_secs,
+       CAST(round({round_ratio_sql('sum(length(request) + length(response))', '4', 0)}) AS BIGINT) AS est_tokens
+FROM payload
+GROUP BY date_trunc('day', request_time)
+HAVING date_trunc('day', request_time) + INTERVAL 1 DAY
+       <= (SELECT max(request_time) FROM payload) - INTERVAL {S.USAGE_WATERMARK}""")
+
+
+@register("stream_usage_daily", _USAGE_CLOSED, ids=("ST-01", "IO-13"))
+def q_stream_usage_daily(spark, sf_dir):
+    payload = T.payload_log(S.stream_table(spark, sf_dir, "events"))
+    return S.run_available(S.usage_daily_stream(payload), "usage_daily")
+
+
+@register("usage_daily_closed", _USAGE_CLOSED, ids=("ST-01",))
+def q_usage_daily_closed(spark, sf_dir):
+    return S.usage_daily_closed(T.Tables(spark, sf_dir).payload)
+
+
+_RATE_CLOSED = with_ctes(["payload"], f"""
+SELECT key_type, key, minute, CAST(count(*) AS BIGINT) AS calls,
+       CAST(CASE WHEN key_type = 'endpoint' THEN {CHECK_ENDPOINT_LIMIT} ELSE {CHECK_USER_LIMIT} END AS INT)
+         AS limit_per_minute
+FROM (SELECT 'endpoint' AS key_type, endpoint AS key, date_trunc('minute', request_time) AS minute FROM payload
+      UNION ALL SELECT 'user', requester, date_trunc('minute', request_time) FROM payload)
+GROUP BY key_type, key, minute
+HAVING count(*) > CASE WHEN key_type = 'endpoint' THEN {CHECK_ENDPOINT_LIMIT} ELSE {CHECK_USER_LIMIT} END
+   AND minute + INTERVAL 1 MINUTE <= (SELECT max(request_time) FROM payload) - INTERVAL {S.RATE_WATERMARK}""")
+
+
+@register("stream_rate_limit_breaches", _RATE_CLOSED, ids=("ST-02",))
+def q_stream_rate_limit_breaches(spark, sf_dir):
+    payload = T.payload_log(S.stream_table(spark, sf_dir, "events"))
+    return S.run_available(S.rate_limit_stream(payload, CHECK_ENDPOINT_LIMIT, CHECK_USER_LIMIT), "rate_limits")
+
+
+@register("rate_limit_closed", _RATE_CLOSED, ids=("ST-02",))
+def q_rate_limit_closed(spark, sf_dir):
+    return S.rate_limit_closed(T.Tables(spark, sf_dir).payload, CHECK_ENDPOINT_LIMIT, CHECK_USER_LIMIT)
+
+
+@register("stream_index_sync", with_ctes(["rule_docs"], "WITH " + _RULE_LINES + ",\n" + _parse_sql() + """
+SELECT rule_id, 'insert' AS op FROM parsed"""), ids=("ST-03", "IO-08", "IO-09"))
+def q_stream_index_sync(spark, sf_dir):
+    docs = T.rule_docs(S.stream_table(spark, sf_dir, "documents"))
+    return S.run_index_sync(docs).select("rule_id", "op")
+
+
+@register("stream_pii_screen", f"""
+SELECT doc_id, flags, CASE WHEN flags = '' THEN 'ALLOW' ELSE 'BLOCK' END AS action
+FROM (SELECT doc_id, {U.pii_flags_sql('text')} AS flags FROM documents)""", ids=("ST-04",))
+def q_stream_pii_screen(spark, sf_dir):
+    docs = S.stream_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return S.run_available(S.pii_screen_stream(docs), "pii_screen").select("doc_id", "flags", "action")
