@@ -37,10 +37,13 @@ def stream_root(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def run_available(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Drain a streaming DataFrame (availableNow) into parquet and return the written rows."""
+def run_available(df: DataFrame, name: str, output_mode: str = "append", root: str | None = None) -> DataFrame:
+    """Drain a streaming DataFrame (availableNow) into parquet and return the written rows.
+
+    Passing the same ``root`` again resumes from its checkpoint (offsets, state, watermark).
+    """
     spark = df.sparkSession
-    root = stream_root(spark, name)
+    root = root or stream_root(spark, name)
     q = (df.writeStream.format("parquet").outputMode(output_mode)
          .option("checkpointLocation", f"{root}/_checkpoint").option("path", f"{root}/out")
          .trigger(availableNow=True).start())
