@@ -14,6 +14,7 @@ from sluice.plans.q_diffs import _LINES as _CHANGE_LINES  # noqa: F401  (same li
 from sluice.plans.q_diffs import _lang_sql, q
 from sluice.plans.q_registry import _REPLAY, _VERSIONS
 from sluice.plans.registry import register
+from sluice.session import materialize
 from sluice.sources.tables import Tables
 
 
@@ -88,7 +89,7 @@ def _metric_map(prefix: str = ""):
 
 
 def _gate_cases(t: Tables):
-    versions = G.register_versions(t.runs)
+    versions = materialize(G.register_versions(t.runs))
     replay = G.promotion_replay(versions)
     champ = versions.select("model_name", "env", F.col("version").alias("champion_version"),
                             F.col("run_id").alias("champion_run_id"), F.col("mae").alias("c_mae"),

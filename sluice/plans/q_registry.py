@@ -9,6 +9,7 @@ from sluice.functions.text import fixed_text_sql
 from sluice.operators import registry as G
 from sluice.plans.oracle import with_ctes
 from sluice.plans.registry import register
+from sluice.session import materialize
 from sluice.sources.tables import Tables
 
 WIPE_ENVS = ("staging", "prod")
@@ -43,7 +44,8 @@ def _sql(body: str, *parts: str) -> str:
 
 
 def _versions(spark, sf_dir):
-    return G.register_versions(Tables(spark, sf_dir).runs)
+    # versions feed further bucketed scans and joins: cut lineage so numbering runs once
+    return materialize(G.register_versions(Tables(spark, sf_dir).runs))
 
 
 @register("register_versions", _sql("SELECT run_id, model_name, env, version FROM versions", _VERSIONS),
@@ -203,7 +205,7 @@ LEFT JOIN (SELECT * FROM state WHERE alias = 'champion') s ON q.model_name = s.m
                                   _VERSIONS, _REPLAY, _EVENTS), ids=("P-09",))
 def q_resolve_version(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    state = G.alias_state(G.alias_events(G.promotion_replay(G.register_versions(t.runs))))
+    state = G.alias_state(G.alias_events(G.promotion_replay(_versions(spark, sf_dir))))
     return G.resolve_version(_requests(t.events), state)
 
 

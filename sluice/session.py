@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode runs every task in the driver JVM; a cluster sizes executors itself
+            builder = builder.config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "16g"))
     for k, v in _ENGINE_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -68,14 +72,29 @@ def estimated_size(df: DataFrame) -> int | None:
         return None
 
 
-def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, basis: DataFrame | None = None) -> DataFrame:
     """Broadcast-hint ``df`` only when its estimated size is within ``limit``.
 
     Beyond the limit the plain DataFrame is returned, so the planner falls back to a
     shuffle join (sort-merge, with AQE skew splitting) instead of shipping an unbounded
-    relation to every executor.
+    relation to every executor. ``basis`` bounds ``df`` when ``df`` is ``basis`` joined
+    many-to-one to fixed lookup tables: the optimizer multiplies join sizes, so the
+    basis scan is the tighter proven bound.
     """
-    size = estimated_size(df)
+    size = estimated_size(basis if basis is not None else df)
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder, read it back.
+
+    Used between chained stages that each reference their input several times, so the
+    upstream plan runs once. Unlike ``checkpoint()`` (which recomputes its input to
+    write it) this is one job; unlike a local checkpoint it survives executor loss.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -30,14 +30,17 @@ def _padded(prefix: str, col, width: int):
 def dim_store(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """store = supplier; route = region of the supplier's nation."""
     geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    return supplier.join(
-        F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")  # 25 rows: fixed bound
+    supp = supplier.select("s_suppkey", "s_name", "s_nationkey")
+    dim = supp.join(
+        F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")  # 25 nations: fixed bound
     ).select(
         _padded("S", F.col("s_suppkey"), 5).alias("store_id"),
         _padded("R", F.col("r_regionkey") + 1, 2).alias("route_id"),
         F.col("r_name").alias("route_name"),
         F.col("s_name").alias("store_name"),
     )
+    # one row per supplier (nation and region joins are many-to-one): the supplier scan bounds it
+    return sized_broadcast(dim, basis=supp)
 
 
 def fact_sales(lineitem: DataFrame, part: DataFrame) -> DataFrame:
@@ -61,14 +64,15 @@ def fact_sales(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 def gold_pricing(lineitem: DataFrame, part: DataFrame, supplier: DataFrame,
                  nation: DataFrame, region: DataFrame) -> DataFrame:
     geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
-    supp = supplier.join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    supp_scan = supplier.select("s_suppkey", "s_nationkey")
+    supp = supp_scan.join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", "n_nationkey", "n_name", "r_name")
     parts = sized_broadcast(part.select("p_partkey", "p_retailprice"))
     base = F.col("p_retailprice").cast("decimal(18,2)")
     return (
         lineitem.select("l_partkey", "l_suppkey")
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(sized_broadcast(supp), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(sized_broadcast(supp, basis=supp_scan), F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             _padded("N", F.col("n_nationkey"), 2).alias("route_id"),
             F.col("n_name").alias("route_name"),
@@ -195,6 +199,9 @@ def rule_docs(documents: DataFrame) -> DataFrame:
 
 
 # --- loader --------------------------------------------------------------------------
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
+
 class Tables:
     """Lazy access to the driver's parquet tables and the mapped lakehouse tables."""
 
@@ -203,7 +210,14 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The table's scan; reused within a session so its files are listed and its
+        footer schema is read once rather than per query."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        df = _SCANS.get(key)
+        if df is None:
+            df = _SCANS[key] = self.spark.read.parquet(path)
+        return df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
