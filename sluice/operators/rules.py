@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.session import DEFAULT_BROADCAST_LIMIT, estimated_size
+from sluice.session import DEFAULT_BROADCAST_LIMIT, estimated_size, fits_broadcast, materialize, sized_broadcast
 
 NL = "\n"
 # Defaults of the rule format and of the compact prompt lines.
@@ -125,23 +125,38 @@ def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: st
                query_key: str = "query_id", text_col: str = "text", salt_buckets: int = 16) -> DataFrame:
     """Top-``k`` corpus rows per query by TF-IDF: score = sum over query terms of tf * ln(N / df).
 
-    The postings join is an equi-join on the term, salted by ``doc % salt_buckets`` so a
-    term present in most documents is spread over many tasks; (query, doc) partial scores
-    are combined map-side, and ``row_number() <= k`` is a WindowGroupLimit. idf is fixed
+    Only query terms' postings are kept (semi-join on the query vocabulary). When the
+    query set fits the broadcast limit its terms are broadcast to the postings; beyond
+    it the postings join is a shuffle equi-join on the term, salted by a hash of the doc
+    into ``salt_buckets`` so a term present in most documents is spread over many tasks.
+    (query, doc) partial scores are combined map-side, and ``row_number() <= k`` is a
+    WindowGroupLimit. idf is fixed
     in integer nano-units and sums are integral, so equal documents tie exactly.
     """
+    q_vocab = queries.select(F.explode(tokens(F.col(text_col))).alias("term")).distinct()
+    # only query terms are ever scored: keep just their postings before the shuffle
+    # (a semi-join against the query vocabulary, broadcast when its size is bounded)
     postings = (corpus.select(corpus_key, F.explode(tokens(F.col(text_col))).alias("term"))
+                .join(sized_broadcast(q_vocab), "term", "left_semi")
                 .groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    # both document frequencies and scores read the postings: write them once (shared folder)
+    postings = materialize(postings, "postings")
     n_docs = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
-    df_t = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # count(tf) keeps the (doc, term) aggregation identical to the scoring branch, so the
+    # planner reuses one exchange and the corpus is tokenized once
+    df_t = postings.groupBy("term").agg(F.count("tf").alias("df"))
     # idf in integer nano-units: floor(x * 1e9 + 0.5) is the same in every IEEE engine
     idf = df_t.select("term", F.floor(F.log(n_docs.cast("double") / F.col("df")) * F.lit(1e9) + F.lit(0.5))
                       .cast("bigint").alias("idf")).where(F.col("idf") > 0)
     q_terms = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
     q_terms = q_terms.join(idf, "term")  # zero-idf terms add nothing to any score: dropped exactly
-    salted_q = q_terms.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_s"))
-    salted_p = postings.select("*", F.pmod(F.xxhash64(corpus_key), F.lit(salt_buckets)).alias("_s"))
-    pairs = salted_q.join(salted_p, ["term", "_s"])
+    if fits_broadcast(queries, lookup=True):
+        # the query terms are bounded by the query texts: broadcast them, postings stay put
+        pairs = postings.join(F.broadcast(q_terms), "term")
+    else:
+        salted_q = q_terms.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_s"))
+        salted_p = postings.select("*", F.pmod(F.xxhash64(corpus_key), F.lit(salt_buckets)).cast("int").alias("_s"))
+        pairs = salted_q.join(salted_p, ["term", "_s"])
     scores = pairs.groupBy(query_key, corpus_key).agg(F.sum(F.col("tf") * F.col("idf")).alias("_score_e9"))
     scores = scores.withColumn("_score", F.col("_score_e9").cast("double") / F.lit(1e9))
     w = Window.partitionBy(query_key).orderBy(F.desc("_score_e9"), corpus_key)
@@ -174,7 +189,8 @@ def vector_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "
     c = corpus.select(F.col(key).alias("match_id"), F.col(vec).alias("_v"))
     if size is not None and size <= query_limit:
         qs = q.agg(F.collect_list(F.struct("query_id", "_qv")).alias("qs")).scalar()
-        scored = c.select("match_id", F.explode(F.transform(qs, lambda s: F.struct(
+        # the query array is projected first: subqueries may not sit inside lambdas
+        scored = c.withColumn("_qs", qs).select("match_id", F.explode(F.transform("_qs", lambda s: F.struct(
             s["query_id"].alias("query_id"), cosine(s["_qv"], F.col("_v")).alias("_cos")))).alias("_r")) \
             .select("match_id", "_r.query_id", "_r._cos")
     else:

@@ -31,6 +31,8 @@ PII_PATTERNS = [
     ("secret", r"(api[_-]?key|secret|password|passwd|token)[ \t]*[:=]"),
 ]
 LOWERCASE_PATTERNS = {"secret"}
+# A literal every match of the pattern contains: a cheap substring test skips the regex.
+REQUIRED_LITERALS = {"email": ["@"], "ssn": ["-"], "phone": ["+"], "secret": [":", "="]}
 
 
 def as_timestamp_ntz(value: dt.datetime | str) -> Column:
@@ -116,8 +118,16 @@ def rate_limit_breaches(payload: DataFrame, endpoint_limit: int = ENDPOINT_CALLS
 def pii_flags(text: Column) -> Column:
     """Comma-separated names of the screen patterns found in ``text`` ('' when clean)."""
     lowered = F.lower(text)
-    parts = [F.when((lowered if name in LOWERCASE_PATTERNS else text).rlike(p), F.lit(name))
-             for name, p in PII_PATTERNS]
+    parts = []
+    for name, p in PII_PATTERNS:
+        hit = (lowered if name in LOWERCASE_PATTERNS else text).rlike(p)
+        lits = REQUIRED_LITERALS.get(name)
+        if lits:
+            pre = text.contains(lits[0])
+            for lit in lits[1:]:
+                pre = pre | text.contains(lit)
+            hit = pre & hit  # And short-circuits: the regex only runs when the literal is present
+        parts.append(F.when(hit, F.lit(name)))
     return F.concat_ws(",", *parts)
 
 

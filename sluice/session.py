@@ -67,11 +67,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def estimated_size(df: DataFrame) -> int | None:
     """Optimizer's size estimate of a plan in bytes (no job is run)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return _as_int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:  # noqa: BLE001 - estimate unavailable, e.g. remote session
         return None
 
 
+def _as_int(v) -> int:
+    """py4j returns BigInteger-backed sizes as Python ints; other JVM numbers via text."""
+    return v if isinstance(v, int) else int(v.toString())
+
+
+def lookup_bound_size(df: DataFrame) -> int | None:
+    """Size bound for a dimension built from one base scan joined many-to-one to lookups:
+    the largest leaf of its plan (the optimizer's join estimate multiplies the sides)."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [_as_int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+        return max(sizes) if sizes else estimated_size(df)
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def fits_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, lookup: bool = False) -> bool:
+    size = lookup_bound_size(df) if lookup else estimated_size(df)
+    return size is not None and size <= limit
+
+
 def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, basis: DataFrame | None = None) -> DataFrame:
     """Broadcast-hint ``df`` only when its estimated size is within ``limit``.
 
