@@ -49,7 +49,7 @@ def _versions(spark, sf_dir):
 
 
 @register("register_versions", _sql("SELECT run_id, model_name, env, version FROM versions", _VERSIONS),
-          ids=("W-03", "IO-11"))
+          ids=("W-03",))
 def q_register_versions(spark, sf_dir):
     return _versions(spark, sf_dir).select("run_id", "model_name", "env", "version")
 

@@ -53,7 +53,7 @@ def _sql(body: str, *ctes: str) -> str:
     return with_ctes(["rule_docs"], "WITH " + ",\n".join(ctes) + "\n" + body)
 
 
-@register("parse_rules", _sql("SELECT * FROM parsed", _LINES, _parse_sql()), ids=("S-11", "IO-10"))
+@register("parse_rules", _sql("SELECT * FROM parsed", _LINES, _parse_sql()), ids=("S-11",))
 def q_parse_rules(spark, sf_dir):
     return RL.parse_rules(Tables(spark, sf_dir).rule_docs)
 

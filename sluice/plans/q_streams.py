@@ -60,7 +60,7 @@ def q_rate_limit_closed(spark, sf_dir):
 
 
 @register("stream_index_sync", with_ctes(["rule_docs"], "WITH " + _RULE_LINES + ",\n" + _parse_sql() + """
-SELECT rule_id, 'insert' AS op FROM parsed"""), ids=("ST-03", "IO-08", "IO-09"))
+SELECT rule_id, 'insert' AS op FROM parsed"""), ids=("ST-03",))
 def q_stream_index_sync(spark, sf_dir):
     docs = T.rule_docs(S.stream_table(spark, sf_dir, "documents"))
     return S.run_index_sync(docs).select("rule_id", "op")

@@ -43,6 +43,7 @@ def load_all() -> dict[str, QuerySpec]:
         q_responses,
         q_retail,
         q_rules,
+        q_sinks,
         q_streams,
         q_usage,
     )

@@ -52,6 +52,13 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
     return int(obs.get["rows"])
 
 
+def write_path(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> int:
+    """IO-03 + IO-04 for path-based tables: write and return the row count observed while writing."""
+    obs = Observation("write_path")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).save(path)
+    return int(obs.get["rows"])
+
+
 def seed_if_absent(spark: SparkSession, name: str, df: DataFrame) -> bool:
     """IO-05: write ``df`` only when the table does not exist yet; True when written."""
     if spark.catalog.tableExists(name):
