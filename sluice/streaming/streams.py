@@ -126,23 +126,27 @@ def rate_limit_closed(payload: DataFrame, endpoint_limit: int = ENDPOINT_CALLS_P
 
 # --- ST-03 ----------------------------------------------------------------------------
 def index_sync_batch(index_path: str, changes_path: str):
-    """``foreachBatch`` body: parse the batch's rule documents, diff against the current
-    index snapshot by content hash, append the change set and write the new snapshot."""
+    """``foreachBatch`` body: parse the batch's rule documents, diff against the previous
+    index snapshot by content hash, and write this epoch's change set and snapshot.
+
+    Both outputs live in per-epoch folders written in overwrite mode, so a retried epoch
+    (after a lost executor or driver restart) rewrites the same data instead of
+    duplicating it, and the previous snapshot is never modified in place.
+    """
 
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         new = RL.parse_rules(batch).drop("doc_id", "rule_no")
         try:
-            old = spark.read.parquet(f"{index_path}/current")
-        except Exception:  # noqa: BLE001 - first batch: empty index
-            old = spark.createDataFrame([], new.schema)
-        change = RL.index_change_set(old, new).withColumn("epoch_id", F.lit(epoch_id).cast("bigint"))
-        change.write.mode("append").parquet(changes_path)
-        # new snapshot = old rows not replaced + this batch's rows (a table write cuts lineage)
+            snaps = spark.read.parquet(index_path).where(F.col("epoch") < epoch_id)
+            last = snaps.agg(F.max("epoch")).first()[0]  # one value: the latest complete snapshot
+        except Exception:  # noqa: BLE001 - no snapshot yet
+            last = None
+        old = (snaps.where(F.col("epoch") == last).drop("epoch") if last is not None
+               else spark.createDataFrame([], new.schema))
+        RL.index_change_set(old, new).write.mode("overwrite").parquet(f"{changes_path}/epoch_id={epoch_id}")
         kept = old.join(new.select("rule_id"), "rule_id", "left_anti")
-        kept.unionByName(new).write.mode("overwrite").parquet(f"{index_path}/next-{epoch_id}")
-        nxt = spark.read.parquet(f"{index_path}/next-{epoch_id}")
-        nxt.write.mode("overwrite").parquet(f"{index_path}/current")
+        kept.unionByName(new).write.mode("overwrite").parquet(f"{index_path}/epoch={epoch_id}")
 
     return _apply
 
