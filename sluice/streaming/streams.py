@@ -144,17 +144,22 @@ def index_sync_batch(index_path: str, changes_path: str):
             last = None
         old = (snaps.where(F.col("epoch") == last).drop("epoch") if last is not None
                else spark.createDataFrame([], new.schema))
-        RL.index_change_set(old, new).write.mode("overwrite").parquet(f"{changes_path}/epoch_id={epoch_id}")
+        # a micro-batch carries upserts: compare only the rules it contains (no deletes)
+        touched = old.join(new.select("rule_id"), "rule_id", "left_semi")
+        RL.index_change_set(touched, new).write.mode("overwrite").parquet(f"{changes_path}/epoch_id={epoch_id}")
         kept = old.join(new.select("rule_id"), "rule_id", "left_anti")
         kept.unionByName(new).write.mode("overwrite").parquet(f"{index_path}/epoch={epoch_id}")
 
     return _apply
 
 
-def run_index_sync(rule_docs_stream: DataFrame, name: str = "index_sync") -> DataFrame:
-    """ST-03: drain the rule-document stream through ``foreachBatch``; return the change set."""
+def run_index_sync(rule_docs_stream: DataFrame, name: str = "index_sync", root: str | None = None) -> DataFrame:
+    """ST-03: drain the rule-document stream through ``foreachBatch``; return the change set.
+
+    Passing the same ``root`` again resumes the stream (and its index) from the checkpoint.
+    """
     spark = rule_docs_stream.sparkSession
-    root = stream_root(spark, name)
+    root = root or stream_root(spark, name)
     q = (rule_docs_stream.writeStream.foreachBatch(index_sync_batch(f"{root}/index", f"{root}/changes"))
          .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()

@@ -124,3 +124,25 @@ def test_entry_and_registry_contract(spark):
         order = [cols.index(c) for c in df.columns]
         duck_rows = sorted(tuple(r[i] for i in order) for r in cur.fetchall())
         assert spark_rows == duck_rows, name
+
+
+def test_index_sync_two_epochs(spark, tmp_path):
+    schema = "doc_id long, category string, block string"
+    folder = str(tmp_path / "docs")
+    root = str(tmp_path / "sync")
+    first = [(1, "env", "### [ENV-01] Cross env\nbody one"), (2, "tp", "### [TP-02] Driver actions\nbody two")]
+    second = [(3, "env", "### [ENV-01] Cross env\nbody one, revised"), (4, "nm", "### [NM-01] Snake case\nbody")]
+    sch = spark.createDataFrame([], schema).schema
+
+    def run():
+        src = spark.readStream.schema(sch).option("recursiveFileLookup", "true").parquet(folder)
+        return S.run_index_sync(src, root=root)
+
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{folder}/a")
+    run()
+    spark.createDataFrame(second, schema).coalesce(1).write.parquet(f"{folder}/b")
+    changes = run()
+    assert rows(changes, "epoch_id", "rule_id", "op") == [(0, "ENV-01", "insert"), (0, "TP-02", "insert"),
+                                                          (1, "ENV-01", "update"), (1, "NM-01", "insert")]
+    index = spark.read.parquet(f"{root}/index").where("epoch = 1")
+    assert rows(index, "rule_id") == [("ENV-01",), ("NM-01",), ("TP-02",)]
