@@ -77,23 +77,26 @@ def diff_files(changes: DataFrame, diff_col: str = "diff", key_cols=("change_id"
     """A-15: one row per file of each diff with path, language, flags and hunk headers.
 
     Also carries ``n_files`` of the diff and the raw ``hunk_texts`` for line numbering.
+    Intermediate arrays are projected in stages, so each is computed once per row (the
+    optimizer does not inline an expensive expression that is used more than once).
     """
     files = F.split(F.concat(F.lit(NL), F.coalesce(F.col(diff_col), F.lit(""))), NL + "diff --git ")
     staged = changes.select(*key_cols, F.slice(files, 2, 1 << 30).alias("_files")).select(
         *key_cols, F.size("_files").alias("n_files"),
         F.posexplode("_files").alias("_pos", "_ftext"))
-    parts = F.split(F.col("_ftext"), NL + "@@ ")
-    pre_lines = F.split(F.try_element_at(parts, F.lit(1)), NL)
-    first = F.try_element_at(pre_lines, F.lit(1))
-    plus = F.try_element_at(F.filter(pre_lines, lambda x: x.startswith("+++ b/")), F.lit(-1))
+    parts = staged.select(*key_cols, "n_files", "_pos", F.split(F.col("_ftext"), NL + "@@ ").alias("_parts"))
+    pre = parts.select(*key_cols, "n_files", "_pos", "_parts",
+                       F.split(F.try_element_at("_parts", F.lit(1)), NL).alias("_pre"))
+    first = F.try_element_at("_pre", F.lit(1))
+    plus = F.try_element_at(F.filter("_pre", lambda x: x.startswith("+++ b/")), F.lit(-1))
     path = F.coalesce(F.regexp_replace(F.substring(plus, 7, 1 << 30), r"\s+$", ""),
                       F.regexp_extract(first, _HEADER_RE, 2))
-    hunk_texts = F.transform(F.slice(parts, 2, 1 << 30), lambda h: F.concat(F.lit("@@ "), h))
-    return staged.select(
+    hunk_texts = F.transform(F.slice("_parts", 2, 1 << 30), lambda h: F.concat(F.lit("@@ "), h))
+    return pre.select(
         *key_cols, "n_files", (F.col("_pos") + 1).alias("file_no"),
         path.alias("path"),
-        F.exists(pre_lines, lambda x: x.startswith("Binary files")).alias("is_binary"),
-        F.exists(pre_lines, lambda x: x.startswith("rename from") | x.startswith("rename to")).alias("is_rename"),
+        F.exists("_pre", lambda x: x.startswith("Binary files")).alias("is_binary"),
+        F.exists("_pre", lambda x: x.startswith("rename from") | x.startswith("rename to")).alias("is_rename"),
         hunk_texts.alias("hunk_texts"),
     ).select(
         "*", detect_language(F.col("path")).alias("language"),
@@ -101,31 +104,30 @@ def diff_files(changes: DataFrame, diff_col: str = "diff", key_cols=("change_id"
     )
 
 
-def _added_in_hunk(hunk: Column) -> Column:
-    """Array of (line, text) for the added lines of one hunk text (header first)."""
-    lines = F.split(hunk, NL)
-    start = F.regexp_extract(F.try_element_at(lines, F.lit(1)), _HUNK_RE, 2).try_cast("int")
-    body = F.slice(lines, 2, 1 << 30)
-    adv = F.filter(body, lambda x: ~x.startswith("-") & ~x.startswith("\\"))
+def diff_added_lines(files: DataFrame, key_cols=("change_id",)) -> DataFrame:
+    """W-05: one row per added line with its new-file line number.
+
+    Within a hunk, the lines that advance the new file (context and added) are kept in
+    order; an added line's number is the hunk start plus its index in that array. Each
+    intermediate array is its own projection, so it is computed once per hunk.
+    """
+    keep = [*key_cols, "file_no", "path", "language", "is_binary"]
+    h = files.select(*keep, F.posexplode("hunk_texts").alias("hunk_no", "_h")) \
+        .select(*keep, (F.col("hunk_no") + 1).alias("hunk_no"), F.split("_h", NL).alias("_lines"))
+    h = h.select(*keep, "hunk_no",
+                 F.regexp_extract(F.try_element_at("_lines", F.lit(1)), _HUNK_RE, 2).try_cast("int").alias("_start"),
+                 F.filter(F.slice("_lines", 2, 1 << 30), lambda x: ~x.startswith("-") & ~x.startswith("\\"))
+                 .alias("_adv"))
     # a hunk that starts at line 0 only advances once its first added line is seen
-    first_add = F.array_position(F.transform(adv, lambda x: x.startswith("+")), True)
-    adv = F.when((start == 0) & (first_add > 0), F.slice(adv, first_add.cast("int"), 1 << 30)).otherwise(adv)
-    numbered = F.transform(adv, lambda x, i: F.struct((start + i).alias("line"), x.alias("raw")))
+    h = h.select(*keep, "hunk_no", "_start", "_adv",
+                 F.array_position(F.transform("_adv", lambda x: x.startswith("+")), True).cast("int").alias("_fa"))
+    adv = F.when((F.col("_start") == 0) & (F.col("_fa") > 0), F.slice("_adv", F.col("_fa"), F.lit(1 << 30))) \
+        .otherwise(F.col("_adv"))
+    h = h.where(F.col("_start").isNotNull()).select(*keep, "hunk_no", "_start", adv.alias("_adv"))
+    numbered = F.transform("_adv", lambda x, i: F.struct((F.col("_start") + i).alias("line"), x.alias("raw")))
     added = F.filter(numbered, lambda s: s["raw"].startswith("+"))
-    return F.when(start.isNull(), F.array().cast("array<struct<line:int,text:string>>")).otherwise(
-        F.transform(added, lambda s: F.struct(s["line"].alias("line"),
-                                              F.substring(s["raw"], 2, 1 << 30).alias("text"))))
-
-
-def diff_added_lines(files: DataFrame, key_cols=("change_id",)) -> DataFrame:
-    """W-05: one row per added line with its new-file line number."""
-    per_hunk = files.select(*key_cols, "file_no", "path", "language", "is_binary",
-                            F.posexplode("hunk_texts").alias("hunk_no", "_h"))
-    return per_hunk.select(
-        *key_cols, "file_no", "path", "language", "is_binary", (F.col("hunk_no") + 1).alias("hunk_no"),
-        F.explode(_added_in_hunk(F.col("_h"))).alias("_a"),
-    ).select(*key_cols, "file_no", "path", "language", "is_binary", "hunk_no",
-             F.col("_a.line").alias("line"), F.col("_a.text").alias("text"))
+    return h.select(*keep, "hunk_no", F.explode(added).alias("_a")).select(
+        *keep, "hunk_no", F.col("_a.line").alias("line"), F.substring(F.col("_a.raw"), 2, 1 << 30).alias("text"))
 
 
 def file_checks(files: DataFrame, path_col: str = "path", content_col: str = "text") -> DataFrame:
