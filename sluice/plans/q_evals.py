@@ -89,9 +89,8 @@ def _metric_map(prefix: str = ""):
 
 
 def _gate_cases(t: Tables):
-    versions = materialize(G.register_versions(t.runs))
-    replay = G.promotion_replay(versions)
-    champ = versions.select("model_name", "env", F.col("version").alias("champion_version"),
+    replay = materialize(G.promotion_replay(materialize(G.register_versions(t.runs), "versions")), "replay")
+    champ = replay.select("model_name", "env", F.col("version").alias("champion_version"),
                             F.col("run_id").alias("champion_run_id"), F.col("mae").alias("c_mae"),
                             F.col("max_acceptable_mae").alias("c_max_acceptable_mae"))
     pairs = replay.join(champ, ["model_name", "env", "champion_version"], "left")

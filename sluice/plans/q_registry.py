@@ -45,7 +45,12 @@ def _sql(body: str, *parts: str) -> str:
 
 def _versions(spark, sf_dir):
     # versions feed further bucketed scans and joins: cut lineage so numbering runs once
-    return materialize(G.register_versions(Tables(spark, sf_dir).runs))
+    return materialize(G.register_versions(Tables(spark, sf_dir).runs), "versions")
+
+
+def _replay(spark, sf_dir):
+    # the replay is read by alias events, champion lookups and change sets: write it once
+    return materialize(G.promotion_replay(_versions(spark, sf_dir)), "replay")
 
 
 @register("register_versions", _sql("SELECT run_id, model_name, env, version FROM versions", _VERSIONS),
@@ -58,14 +63,14 @@ def q_register_versions(spark, sf_dir):
 SELECT run_id, model_name, env, version, mae, champion_mae, champion_version, decision, reason FROM replay""",
                                    _VERSIONS, _REPLAY), ids=("W-04", "S-10"))
 def q_promotion_replay(spark, sf_dir):
-    return G.promotion_replay(_versions(spark, sf_dir)).select(
+    return _replay(spark, sf_dir).select(
         "run_id", "model_name", "env", "version", "mae", "champion_mae", "champion_version", "decision", "reason")
 
 
 @register("alias_state", _sql("SELECT model_name, env, alias, version, event_ts FROM state",
                               _VERSIONS, _REPLAY, _EVENTS), ids=("W-02",))
 def q_alias_state(spark, sf_dir):
-    return G.alias_state(G.alias_events(G.promotion_replay(_versions(spark, sf_dir))))
+    return G.alias_state(G.alias_events(_replay(spark, sf_dir)))
 
 
 @register("alias_metrics", _sql("""
@@ -76,9 +81,9 @@ LEFT JOIN state s ON k.model_name = s.model_name AND k.env = s.env AND k.alias =
 LEFT JOIN versions v ON k.model_name = v.model_name AND k.env = v.env AND s.version = v.version""",
                                 _VERSIONS, _REPLAY, _EVENTS), ids=("J-01",))
 def q_alias_metrics(spark, sf_dir):
-    versions = _versions(spark, sf_dir)
-    state = G.alias_state(G.alias_events(G.promotion_replay(versions)))
-    return G.alias_metrics(state, versions)
+    replay = _replay(spark, sf_dir)
+    state = G.alias_state(G.alias_events(replay))
+    return G.alias_metrics(state, replay)
 
 
 @register("latest_run", with_ctes(["runs"], """
@@ -110,8 +115,7 @@ FROM replay WHERE champion_mae IS NOT NULL AND mae IS NOT NULL"""
 
 @register("compare_metrics", _sql(_cmp_sql(), _VERSIONS, _REPLAY), ids=("S-09",))
 def q_compare_metrics(spark, sf_dir):
-    replay = G.promotion_replay(_versions(spark, sf_dir)).where(
-        F.col("champion_mae").isNotNull() & F.col("mae").isNotNull())
+    replay = _replay(spark, sf_dir).where(F.col("champion_mae").isNotNull() & F.col("mae").isNotNull())
     return G.compare_metrics(replay).select("model_name", "env", "version", "delta", "pct_change", "better",
                                             "summary")
 
@@ -138,8 +142,8 @@ diff AS (
 
 
 def _pairs(spark, sf_dir):
-    versions = _versions(spark, sf_dir)
-    return G.champion_runs(G.promotion_replay(versions), versions)
+    replay = _replay(spark, sf_dir)
+    return G.champion_runs(replay, replay)
 
 
 @register("config_diff", _sql("""
@@ -205,7 +209,7 @@ LEFT JOIN (SELECT * FROM state WHERE alias = 'champion') s ON q.model_name = s.m
                                   _VERSIONS, _REPLAY, _EVENTS), ids=("P-09",))
 def q_resolve_version(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    state = G.alias_state(G.alias_events(G.promotion_replay(_versions(spark, sf_dir))))
+    state = G.alias_state(G.alias_events(_replay(spark, sf_dir)))
     return G.resolve_version(_requests(t.events), state)
 
 

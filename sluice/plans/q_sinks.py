@@ -10,11 +10,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from sluice.operators import registry as G
 from sluice.operators import retail as R
 from sluice.operators import rules as RL
 from sluice.plans.oracle import with_ctes
-from sluice.plans.q_registry import _REPLAY, _VERSIONS, _versions
+from sluice.plans.q_registry import _REPLAY, _VERSIONS, _replay
 from sluice.plans.q_retail import _ROUTE_REVENUE_SQL
 from sluice.plans.q_rules import _LINES as _RULE_LINES
 from sluice.plans.q_rules import _parse_sql
@@ -68,7 +67,7 @@ SELECT model_name, env, version, decision,
        CAST(CASE WHEN reason = 'regression' THEN 1 ELSE 0 END AS INT) AS n_findings, reason AS justification
 FROM replay"""), ids=("IO-12",))
 def q_gate_audit(spark, sf_dir):
-    replay = G.promotion_replay(_versions(spark, sf_dir))
+    replay = _replay(spark, sf_dir)
     rows = replay.select("model_name", "env", "version", "decision",
                          F.when(F.col("reason") == "regression", 1).otherwise(0).cast("int").alias("n_findings"),
                          F.col("reason").alias("justification"), F.lit(None).cast("string").alias("raw_response"),
