@@ -41,10 +41,12 @@ def prefix_aggregate(
     row, otherwise only earlier rows count (NULL / 0 for the first row). ``order_key``
     must be a numeric column; rows with equal keys always share a bucket.
     """
+    # each agg: (kind, value) or (kind, value, inclusive) to override the default frame
+    aggs = {n: (a[0], a[1], a[2] if len(a) > 2 else inclusive) for n, a in aggs.items()}
     fracs = [i / buckets for i in range(1, buckets)]
     key = F.col(order_key)
     staged = df
-    for name, (_, value) in aggs.items():
+    for name, (_, value, _) in aggs.items():
         staged = staged.withColumn(f"_v_{name}", value)
     bounds = staged.groupBy(*group_cols).agg(
         F.percentile_approx(key, fracs, 10000).alias("_bounds"))
@@ -52,23 +54,22 @@ def prefix_aggregate(
         "_bucket", F.size(F.filter("_bounds", lambda x: x < key))
     ).drop("_bounds")
 
-    end = Window.currentRow if inclusive else -1
-    w = (Window.partitionBy(*group_cols, "_bucket").orderBy(key, *tiebreak_cols)
-         .rowsBetween(Window.unboundedPreceding, end))
+    base_w = Window.partitionBy(*group_cols, "_bucket").orderBy(key, *tiebreak_cols)
     local = b
-    for name, (kind, _) in aggs.items():
+    for name, (kind, _, incl) in aggs.items():
+        w = base_w.rowsBetween(Window.unboundedPreceding, Window.currentRow if incl else -1)
         local = local.withColumn(f"_l_{name}", _LOCAL[kind](f"_v_{name}").over(w))
 
     totals = b.groupBy(*group_cols, "_bucket").agg(
-        *[_LOCAL[kind](f"_v_{name}").alias(f"_t_{name}") for name, (kind, _) in aggs.items()])
+        *[_LOCAL[kind](f"_v_{name}").alias(f"_t_{name}") for name, (kind, _, _) in aggs.items()])
     wp = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     prev = totals.select(
         *group_cols, "_bucket",
         *[(_LOCAL[kind](f"_t_{name}") if kind != "count" else F.sum(f"_t_{name}")).over(wp).alias(f"_p_{name}")
-          for name, (kind, _) in aggs.items()])
+          for name, (kind, _, _) in aggs.items()])
 
     out = local.join(sized_broadcast(prev), [*group_cols, "_bucket"], "left")
-    for name, (kind, _) in aggs.items():
+    for name, (kind, _, _) in aggs.items():
         out = out.withColumn(name, _combine(kind, F.col(f"_p_{name}"), F.col(f"_l_{name}")))
     drop = ["_bucket"] + [f"_{p}_{n}" for n in aggs for p in ("v", "l", "p")]
     return out.drop(*drop)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.scan import grouped_row_number, prefix_aggregate
 from sluice.functions.text import fixed_text
-from sluice.session import sized_broadcast
+from sluice.session import materialize, sized_broadcast
 
 MODEL_KEY = ["model_name", "env"]
 HYPERPARAMETERS = ("n_estimators", "max_depth", "min_samples_leaf")
@@ -36,16 +36,20 @@ def register_versions(runs: DataFrame) -> DataFrame:
     return grouped_row_number(staged, MODEL_KEY, "_t", ["run_id"], name="version").drop("_t")
 
 
-def promotion_replay(versions: DataFrame) -> DataFrame:
-    """W-04 + S-10: replay the gate over every version of every (model, env).
+def promotion_replay(runs: DataFrame) -> DataFrame:
+    """W-03 + W-04 + S-10 in one bucketed scan: number the versions and replay the gate.
 
-    Under the strict rule the champion before version n is the latest earlier version
-    holding the running minimum MAE, so one exclusive running ``min(struct(mae,
-    -version))`` yields both the champion MAE and the champion version.
+    Under the strict rule the champion before a version is the latest earlier run holding
+    the running minimum MAE, so one exclusive running ``min(struct(mae, -time, -run))``
+    identifies the champion run while an inclusive running count numbers the versions in
+    the same pass. The champion's version is then a lookup on its (unique) run id.
+    Accepts runs with or without a ``version`` column (an existing one is recomputed).
     """
-    staged = versions.withColumn("_t", _start_us())
-    best = F.when(F.col("mae").isNotNull(), F.struct(F.col("mae").alias("m"), (-F.col("version")).alias("nv")))
-    out = prefix_aggregate(staged, MODEL_KEY, "_t", ["run_id"], {"_best": ("min", best)}, inclusive=False)
+    staged = runs.drop("version").withColumn("_t", _start_us())
+    best = F.when(F.col("mae").isNotNull(), F.struct(F.col("mae").alias("m"), (-F.col("_t")).alias("nt"),
+                                                     (-F.col("run_id")).alias("nr")))
+    out = prefix_aggregate(staged, MODEL_KEY, "_t", ["run_id"],
+                           {"version": ("count", F.lit(1), True), "_best": ("min", best, False)})
     champ_mae = F.col("_best.m")
     decision = (
         F.when(F.col("_best").isNull(), "APPROVE")
@@ -59,20 +63,21 @@ def promotion_replay(versions: DataFrame) -> DataFrame:
         .when(F.col("mae") <= champ_mae, "no_regression")
         .otherwise("regression")
     )
-    return out.select(
-        *[c for c in versions.columns],
-        champ_mae.alias("champion_mae"),
-        (-F.col("_best.nv")).cast("int").alias("champion_version"),
-        decision.alias("decision"),
-        reason.alias("reason"),
+    scanned = out.select(
+        *[c for c in runs.columns if c != "version"], F.col("version").cast("int").alias("version"),
+        champ_mae.alias("champion_mae"), (-F.col("_best.nr")).alias("champion_run_id"),
+        decision.alias("decision"), reason.alias("reason"),
     )
+    # both sides read the scan: cut lineage once so the bucketed scan runs once
+    scanned = materialize(scanned, "replay")
+    lookup = scanned.select(*MODEL_KEY, F.col("run_id").alias("champion_run_id"),
+                            F.col("version").alias("champion_version"))
+    return scanned.join(lookup, [*MODEL_KEY, "champion_run_id"], "left")
 
 
-def champion_runs(replay: DataFrame, versions: DataFrame) -> DataFrame:
-    """Attach the champion's run id to each replayed version (equi-join on the version key)."""
-    champ = versions.select(*MODEL_KEY, F.col("version").alias("champion_version"),
-                            F.col("run_id").alias("champion_run_id"))
-    return replay.join(champ, [*MODEL_KEY, "champion_version"], "left")
+def champion_runs(replay: DataFrame, versions: DataFrame | None = None) -> DataFrame:
+    """Replayed versions with their champion's run id (carried by the replay itself)."""
+    return replay
 
 
 def alias_events(replay: DataFrame) -> DataFrame:

@@ -14,7 +14,6 @@ from sluice.plans.q_diffs import _LINES as _CHANGE_LINES  # noqa: F401  (same li
 from sluice.plans.q_diffs import _lang_sql, q
 from sluice.plans.q_registry import _REPLAY, _VERSIONS
 from sluice.plans.registry import register
-from sluice.session import materialize
 from sluice.sources.tables import Tables
 
 
@@ -89,11 +88,10 @@ def _metric_map(prefix: str = ""):
 
 
 def _gate_cases(t: Tables):
-    replay = materialize(G.promotion_replay(materialize(G.register_versions(t.runs), "versions")), "replay")
-    champ = replay.select("model_name", "env", F.col("version").alias("champion_version"),
-                            F.col("run_id").alias("champion_run_id"), F.col("mae").alias("c_mae"),
-                            F.col("max_acceptable_mae").alias("c_max_acceptable_mae"))
-    pairs = replay.join(champ, ["model_name", "env", "champion_version"], "left")
+    replay = G.promotion_replay(t.runs)
+    champ = replay.select("model_name", "env", F.col("run_id").alias("champion_run_id"), F.col("mae").alias("c_mae"),
+                          F.col("max_acceptable_mae").alias("c_max_acceptable_mae"))
+    pairs = replay.join(champ, ["model_name", "env", "champion_run_id"], "left")
     diff = G.config_diff(pairs.select("model_name", "env", "version", "run_id", "champion_run_id"), t.runs)
     diff_text = diff.groupBy("model_name", "env", "version").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("key", "old_value", "new_value"))),

@@ -49,8 +49,8 @@ def _versions(spark, sf_dir):
 
 
 def _replay(spark, sf_dir):
-    # the replay is read by alias events, champion lookups and change sets: write it once
-    return materialize(G.promotion_replay(_versions(spark, sf_dir)), "replay")
+    # numbering and replay in one bucketed scan (written once inside promotion_replay)
+    return G.promotion_replay(Tables(spark, sf_dir).runs)
 
 
 @register("register_versions", _sql("SELECT run_id, model_name, env, version FROM versions", _VERSIONS),
