@@ -54,14 +54,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared checkpoint folder the cluster names; set one only when unset (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext, the conf is the source
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="sluice-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir()
+    if sc is None:
+        return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
+
+
+def session_key(spark: SparkSession) -> str:
+    """A stable identifier of the session's application (for per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return spark.conf.get("spark.app.id", str(id(spark)))
 
 
 def estimated_size(df: DataFrame) -> int | None:

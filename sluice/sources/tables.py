@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import sized_broadcast
+from sluice.session import session_key, sized_broadcast
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -213,7 +213,7 @@ class Tables:
         """The table's scan; reused within a session so its files are listed and its
         footer schema is read once rather than per query."""
         path = f"{self.sf_dir}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
+        key = (session_key(self.spark), path)
         df = _SCANS.get(key)
         if df is None:
             df = _SCANS[key] = self.spark.read.parquet(path)
