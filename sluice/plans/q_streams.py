@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from sluice.functions.numeric import round_ratio_sql
 from sluice.operators import usage as U

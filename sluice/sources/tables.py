@@ -143,8 +143,8 @@ def change_files(documents: DataFrame) -> DataFrame:
 def changes(documents: DataFrame) -> DataFrame:
     """One unified diff per change: its files' headers and hunks in ``doc_id`` order.
 
-    A change holds five documents by construction (``doc_id / 5``), so the group is
-    bounded; the concatenation runs after a partial sort-free collect per key.
+    A change holds five documents by construction (``doc_id / 5``), so each group is
+    bounded by five rows; the files are ordered inside the group by ``array_sort``.
     """
     files = change_files(documents).select(
         "change_id", "doc_id",
