@@ -205,6 +205,19 @@ def vector_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "
             .select("query_id", "rank", "match_id", "score"))
 
 
+def label_centroids(vectors: DataFrame, label: str = "label", vec: str = "embedding", scale: float = 1e6) -> DataFrame:
+    """One query vector per label: the sum of its members' vectors (cosine ignores scale).
+
+    Components are quantized to integers (``floor(x * scale + 0.5)``) before summing, so
+    the centroid is exact and independent of summation order. The sum runs as a
+    (label, dimension) aggregation with a map-side combine, so a dominant label is fine.
+    """
+    parts = vectors.select(label, F.posexplode(vec).alias("_i", "_x")).groupBy(label, "_i").agg(
+        F.sum(F.floor(F.col("_x").cast("double") * F.lit(scale) + F.lit(0.5)).cast("bigint")).alias("_s"))
+    return parts.groupBy(label).agg(F.array_sort(F.collect_list(F.struct("_i", "_s"))).alias("_c")).select(
+        F.col(label).alias("query_id"), F.transform("_c", lambda e: e["_s"]).alias(vec))
+
+
 def retrieval_checks(top: DataFrame, expected: DataFrame) -> DataFrame:
     """A-14: per query, top-1 equals ``expect_exact`` or any of the top ranks has ``expect_prefix``."""
     j = top.join(expected, "query_id")

@@ -70,7 +70,7 @@ SELECT lang AS category, doc_id, concat('### [', upper(lang), '-', CAST(doc_id A
        CAST(doc_id AS VARCHAR), chr(10), '- **Severity:** ',
        CASE doc_id % 3 WHEN 0 THEN 'BLOCKER' WHEN 1 THEN 'SUGGESTION' ELSE 'STYLE' END,
        chr(10), '- **Citation:** Rules > ', lang, chr(10), chr(10), text) AS block
-FROM documents WHERE doc_id % 10 = 0""",
+FROM documents""",
 }
 
 

@@ -159,21 +159,28 @@ def q_text_top_k(spark, sf_dir):
     return _text_top(Tables(spark, sf_dir))
 
 
-_VEC = """vq AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 5),
+_VEC = """vq AS (
+  SELECT label AS query_id, CAST(list(s ORDER BY i) AS DOUBLE[]) AS qv
+  FROM (SELECT label, i, sum(CAST(floor(CAST(x AS DOUBLE) * 1000000.0 + 0.5) AS BIGINT)) AS s
+        FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings)
+        GROUP BY label, i)
+  GROUP BY label),
 vs AS (SELECT vq.query_id, e.vec_id AS match_id,
               CAST(CAST(list_dot_product(vq.qv, CAST(e.embedding AS DOUBLE[]))
                    / (sqrt(list_dot_product(vq.qv, vq.qv))
                       * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))))
                    AS DECIMAL(20,6)) AS DOUBLE) AS score
-       FROM vq JOIN embeddings e ON e.vec_id <> vq.query_id),
+       FROM vq CROSS JOIN embeddings e),
 vtop AS (SELECT query_id, CAST(rank AS INT) AS rank, match_id, score
          FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, match_id) AS rank FROM vs)
          WHERE rank <= 3)"""
 
 
 def _vec_top(t: Tables):
+    """Nearest vectors to each label's centroid (queries derived from the whole table)."""
     emb = t.embeddings
-    return RL.vector_top_k(emb.select("vec_id", "embedding"), emb.where(F.col("vec_id") < 5).select("vec_id", "embedding"))
+    cent = RL.label_centroids(emb).select(F.col("query_id").alias("vec_id"), "embedding")
+    return RL.vector_top_k(emb.select("vec_id", "embedding"), cent, exclude_self=False)
 
 
 @register("vector_top_k", "WITH " + _VEC + "\nSELECT * FROM vtop", ids=("T-02",))
@@ -182,9 +189,9 @@ def q_vector_top_k(spark, sf_dir):
 
 
 @register("retrieval_checks", "WITH " + _VEC + ",\n" + _TEXT_TOPK + """
-SELECT 'vector_label_in_top3' AS check_name, v.query_id, bool_or(CAST(m.label AS VARCHAR) = CAST(q.label AS VARCHAR))
-         AS passed
-FROM vtop v JOIN embeddings m ON m.vec_id = v.match_id JOIN embeddings q ON q.vec_id = v.query_id
+SELECT 'vector_label_in_top3' AS check_name, CAST(v.query_id AS BIGINT) AS query_id,
+       bool_or(CAST(m.label AS VARCHAR) = CAST(v.query_id AS VARCHAR)) AS passed
+FROM vtop v JOIN embeddings m ON m.vec_id = v.match_id
 GROUP BY v.query_id
 UNION ALL
 SELECT 'text_top1_contains_passage', b.item_id, coalesce(contains(d.text, b.text), false)
@@ -195,11 +202,11 @@ def q_retrieval_checks(spark, sf_dir):
     emb = t.embeddings.select("vec_id", F.col("label").cast("string").alias("label"))
     vtop = _vec_top(t).join(emb.withColumnRenamed("vec_id", "match_id").withColumnRenamed("label", "match"),
                             "match_id")
-    expected = emb.where(F.col("vec_id") < 5).select(F.col("vec_id").alias("query_id"),
-                                                     F.lit(None).cast("string").alias("expect_exact"),
-                                                     F.col("label").alias("expect_prefix"))
+    expected = emb.select(F.col("label").alias("query_id")).distinct().select(
+        "query_id", F.lit(None).cast("string").alias("expect_exact"),
+        F.col("query_id").cast("string").alias("expect_prefix"))
     vec = RL.retrieval_checks(vtop, expected).select(F.lit("vector_label_in_top3").alias("check_name"),
-                                                     "query_id", "passed")
+                                                     F.col("query_id").cast("bigint").alias("query_id"), "passed")
     queries = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
     txt = RL.text_retrieval_checks(_text_top(t), t.documents.select("doc_id", "text"), queries).select(
         F.lit("text_top1_contains_passage").alias("check_name"), "query_id", "passed")
