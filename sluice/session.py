@@ -132,3 +132,17 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the (shared) file system, without a failing read."""
+    try:
+        jvm = spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect): probe with a read
+        try:
+            spark.read.parquet(path).schema  # noqa: B018
+            return True
+        except Exception:  # noqa: BLE001
+            return False

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from sluice.functions.numeric import round_ratio, round_ratio_units
 from sluice.operators import rules as RL
 from sluice.operators.usage import CHARS_PER_TOKEN, ENDPOINT_CALLS_PER_MINUTE, USER_CALLS_PER_MINUTE, pii_screen
-from sluice.session import ensure_checkpoint_dir
+from sluice.session import ensure_checkpoint_dir, path_exists
 
 USAGE_WATERMARK = "1 hour"
 RATE_WATERMARK = "1 minute"
@@ -137,11 +137,10 @@ def index_sync_batch(index_path: str, changes_path: str):
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         new = RL.parse_rules(batch).drop("doc_id", "rule_no")
-        try:
+        last = None
+        if path_exists(spark, index_path):
             snaps = spark.read.parquet(index_path).where(F.col("epoch") < epoch_id)
             last = snaps.agg(F.max("epoch")).first()[0]  # one value: the latest complete snapshot
-        except Exception:  # noqa: BLE001 - no snapshot yet
-            last = None
         old = (snaps.where(F.col("epoch") == last).drop("epoch") if last is not None
                else spark.createDataFrame([], new.schema))
         # a micro-batch carries upserts: compare only the rules it contains (no deletes)
