@@ -19,11 +19,6 @@ from sluice.session import materialize, sized_broadcast
 MODEL_KEY = ["model_name", "env"]
 HYPERPARAMETERS = ("n_estimators", "max_depth", "min_samples_leaf")
 THRESHOLD_KEY = "max_acceptable_mae"
-REQUIRED_CONFIG_KEYS = ("model_name", "hyperparameters", "features", THRESHOLD_KEY)
-
-BOOTSTRAP_JUSTIFICATION = (
-    "Bootstrap: no current champion exists; the first version is approved to establish it."
-)
 
 
 def _start_us(col: str = "start_time") -> Column:
