@@ -47,8 +47,9 @@ def parse_rules(docs: DataFrame, text_col: str = "block", key_cols=("doc_id",))
     block = F.array_join("body_lines", NL)
     sev = _strip(F.regexp_extract(block, FIELD.format(name="Severity"), 1))
     cit = _strip(F.regexp_extract(block, FIELD.format(name="Citation"), 1))
-    body = _strip(F.array_join(F.filter("body_lines", lambda ln: ~_strip(ln).startswith("- **Severity:**")
-                                        & ~_strip(ln).startswith("- **Citation:**")), NL))
+    # "starts with the field marker after leading whitespace", as one anchored regex per line
+    body = _strip(F.array_join(F.filter("body_lines", lambda ln: ~ln.rlike(r"^\s*- \*\*(Severity|Citation):\*\*")),
+                               NL))
     return b.select(
         *key_cols, "rule_no", rule_id.alias("rule_id"), title.alias("title"),
         F.concat(title, F.lit(NL + NL), body).alias("content"),
