@@ -137,7 +137,9 @@ def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: st
     q_vocab = queries.select(F.explode(tokens(F.col(text_col))).alias("term")).distinct()
     # only query terms are ever scored: keep just their postings before the shuffle
     # (a semi-join against the query vocabulary, broadcast when its size is bounded)
-    postings = (corpus.select(corpus_key, F.explode(tokens(F.col(text_col))).alias("term"))
+    # explode the raw split and drop empty tokens as rows (no per-document array copy)
+    postings = (corpus.select(corpus_key, F.explode(F.split(F.lower(text_col), TOKEN_SPLIT)).alias("term"))
+                .where(F.col("term") != "")
                 .join(sized_broadcast(q_vocab), "term", "left_semi")
                 .groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf")))
     # both document frequencies and scores read the postings: write them once (shared folder)
@@ -152,8 +154,10 @@ def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: st
     q_terms = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
     q_terms = q_terms.join(idf, "term")  # zero-idf terms add nothing to any score: dropped exactly
     if fits_broadcast(queries, lookup=True):
-        # the query terms are bounded by the query texts: broadcast them, postings stay put
-        pairs = postings.join(F.broadcast(q_terms), "term")
+        # the query terms are bounded by the query texts: broadcast them. Postings are
+        # hash-partitioned by document first, so every (query, doc) sum is complete within
+        # its partition: the aggregation needs no shuffle of the (query, doc, term) pairs.
+        pairs = postings.repartition(corpus_key).join(F.broadcast(q_terms), "term")
     else:
         salted_q = q_terms.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_s"))
         salted_p = postings.select("*", F.pmod(F.xxhash64(corpus_key), F.lit(salt_buckets)).cast("int").alias("_s"))

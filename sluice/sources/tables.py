@@ -199,7 +199,7 @@ def rule_docs(documents: DataFrame) -> DataFrame:
 
 
 # --- loader --------------------------------------------------------------------------
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
 
 
 class Tables:
@@ -213,7 +213,7 @@ class Tables:
         """The table's scan; reused within a session so its files are listed and its
         footer schema is read once rather than per query."""
         path = f"{self.sf_dir}/{name}.parquet"
-        key = (session_key(self.spark), path)
+        key = (session_key(self.spark), id(self.spark), path)
         df = _SCANS.get(key)
         if df is None:
             df = _SCANS[key] = self.spark.read.parquet(path)
