@@ -216,6 +216,8 @@ def label_centroids(vectors: DataFrame, label: str = "label", vec: str = "embedd
     Components are quantized to integers (``floor(x * scale + 0.5)``) before summing, so
     the centroid is exact and independent of summation order. The sum runs as a
     (label, dimension) aggregation with a map-side combine, so a dominant label is fine.
+    (``pyspark.ml.stat.Summarizer`` avoids the per-dimension rows but derives its sum from
+    a running mean, which is not exact.)
     """
     parts = vectors.select(label, F.posexplode(vec).alias("_i", "_x")).groupBy(label, "_i").agg(
         F.sum(F.floor(F.col("_x").cast("double") * F.lit(scale) + F.lit(0.5)).cast("bigint")).alias("_s"))
