@@ -123,7 +123,8 @@ def tokens(text: Column) -> Column:
 
 
 def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: str = "doc_id",
-               query_key: str = "query_id", text_col: str = "text", salt_buckets: int = 16) -> DataFrame:
+               query_key: str = "query_id", text_col: str = "text", salt_buckets: int = 16,
+               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Top-``k`` corpus rows per query by TF-IDF: score = sum over query terms of tf * ln(N / df).
 
     Only query terms' postings are kept (semi-join on the query vocabulary). When the
@@ -153,7 +154,7 @@ def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: st
                       .cast("bigint").alias("idf")).where(F.col("idf") > 0)
     q_terms = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
     q_terms = q_terms.join(idf, "term")  # zero-idf terms add nothing to any score: dropped exactly
-    if fits_broadcast(queries, lookup=True):
+    if fits_broadcast(queries, broadcast_limit, lookup=True):
         # the query terms are bounded by the query texts: broadcast them. Postings are
         # hash-partitioned by document first, so every (query, doc) sum is complete within
         # its partition: the aggregation needs no shuffle of the (query, doc, term) pairs.

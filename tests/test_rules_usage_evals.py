@@ -117,3 +117,14 @@ def test_eval_scores_and_gate(spark):
                     "zero_false_positives_on_clean_code": False}
     no_cases = E.eval_gate(E.eval_scores(cases.where(F.lit(False)), bad))
     assert not any(r.passed for r in no_cases.collect())
+
+
+def test_text_top_k_salted_path_matches(spark):
+    words = ["cross", "env", "prod", "collect", "driver", "select", "table", "the", "a", "of"]
+    corpus = spark.createDataFrame([(i, " ".join(words[(i * j) % 10] for j in range(1, 12))) for i in range(60)],
+                                   "doc_id int, text string")
+    q = spark.createDataFrame([(1, "prod env the"), (2, "collect driver"), (3, "select table of a")],
+                              "query_id int, text string")
+    broadcast = rows(RL.text_top_k(corpus, q, k=3))
+    salted = rows(RL.text_top_k(corpus, q, k=3, broadcast_limit=0, salt_buckets=4))
+    assert broadcast == salted and len(broadcast) == 9
