@@ -137,12 +137,12 @@ def index_sync_batch(index_path: str, changes_path: str):
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         new = RL.parse_rules(batch).drop("doc_id", "rule_no")
-        last = None
         if path_exists(spark, index_path):
             snaps = spark.read.parquet(index_path).where(F.col("epoch") < epoch_id)
-            last = snaps.agg(F.max("epoch")).first()[0]  # one value: the latest complete snapshot
-        old = (snaps.where(F.col("epoch") == last).drop("epoch") if last is not None
-               else spark.createDataFrame([], new.schema))
+            # the latest earlier snapshot, selected by a scalar subquery (no driver round trip)
+            old = snaps.where(F.col("epoch") == snaps.agg(F.max("epoch")).scalar()).drop("epoch")
+        else:
+            old = spark.createDataFrame([], new.schema)
         # a micro-batch carries upserts: compare only the rules it contains (no deletes)
         touched = old.join(new.select("rule_id"), "rule_id", "left_semi")
         RL.index_change_set(touched, new).write.mode("overwrite").parquet(f"{changes_path}/epoch_id={epoch_id}")
