@@ -6,11 +6,13 @@ written, read back from storage (the write happens when the query is built).
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import functions as F
 
 from sluice.operators import retail as R
+from sluice.operators import seed
 from sluice.operators import rules as RL
 from sluice.plans.oracle import with_ctes
 from sluice.plans.q_registry import _REPLAY, _VERSIONS, _replay
@@ -37,6 +39,22 @@ def q_route_profitability_table(spark, sf_dir):
     return spark.read.parquet(path).withColumn("rows_written", F.lit(n).cast("bigint"))
 
 
+@register("seed_dim_store_if_absent", """
+SELECT printf('S%03d', CAST(s_suppkey + 1 AS INT)) AS store_id,
+       'R0' || CAST(s_suppkey % 5 + 1 AS VARCHAR) AS route_id,
+       ['Region North', 'Region South', 'Region East', 'Region West', 'Region Central'][CAST(s_suppkey % 5 + 1 AS INT)]
+         AS route_name,
+       printf('Store %03d', CAST(s_suppkey + 1 AS INT)) AS store_name
+FROM supplier""", ids=("IO-05",))
+def q_seed_dim_store_if_absent(spark, sf_dir):
+    # a fixed location per input folder: the first call seeds it, later calls find it and skip
+    key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/seeded/dim_store-{key}"
+    ids = Tables(spark, sf_dir).supplier.select(F.col("s_suppkey").alias("id"))
+    sinks.seed_path_if_absent(spark, path, seed.seed_dim_store(ids))
+    return spark.read.parquet(path)
+
+
 @register("rules_table_from_jsonl", with_ctes(["rule_docs"], "WITH " + _RULE_LINES + ",\n" + _parse_sql() + """
 SELECT rule_id, title, content, citation, category, severity_hint FROM parsed"""), ids=("IO-08", "IO-09"))
 def q_rules_table_from_jsonl(spark, sf_dir):

@@ -59,6 +59,16 @@ def write_path(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "pa
     return int(obs.get["rows"])
 
 
+def seed_path_if_absent(spark: SparkSession, path: str, df: DataFrame) -> bool:
+    """IO-05 for path-based tables: write ``df`` only when nothing exists at ``path`` yet."""
+    from sluice.session import path_exists
+
+    if path_exists(spark, path):
+        return False
+    write_path(df, path)
+    return True
+
+
 def seed_if_absent(spark: SparkSession, name: str, df: DataFrame) -> bool:
     """IO-05: write ``df`` only when the table does not exist yet; True when written."""
     if spark.catalog.tableExists(name):
