@@ -43,9 +43,10 @@ def _sql(body: str, *parts: str) -> str:
     return with_ctes(["runs"], "WITH " + ",\n".join(parts) + "\n" + body)
 
 
-def _versions(spark, sf_dir):
-    # versions feed further bucketed scans and joins: cut lineage so numbering runs once
-    return materialize(G.register_versions(Tables(spark, sf_dir).runs), "versions")
+def _versions(spark, sf_dir, cut: bool = False):
+    """Numbered versions; ``cut`` writes them once when a plan reads them more than once."""
+    versions = G.register_versions(Tables(spark, sf_dir).runs)
+    return materialize(versions, "versions") if cut else versions
 
 
 def _replay(spark, sf_dir):
@@ -223,7 +224,7 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT model_name, env, min(version) AS version
                   WHERE k.model_name = v.model_name AND k.env = v.env AND k.version = v.version)""",
                                      _VERSIONS), ids=("A-10",))
 def q_registry_retention(spark, sf_dir):
-    return G.registry_retention(_versions(spark, sf_dir), WIPE_ENVS)
+    return G.registry_retention(_versions(spark, sf_dir, cut=True), WIPE_ENVS)  # keep + drop read it
 
 
 @register("mae_by_run", f"""
