@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.llm.common import BASE, U64, Stored, WordHash, chunks, gram_hashes, mix, public_id, texts
 from sluice.llm.fm_index import FMIndex
@@ -211,6 +212,12 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["did", "tv", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
+@F.pandas_udf(T.StringType())
+def cut_spans(text: pd.Series, spans: pd.Series) -> pd.Series:
+    """The words of a text that no span covers, joined by one space."""
+    return pd.Series([b" ".join(_kept(words_of(t or ""), s)[0]).decode("utf-8", "surrogatepass") for t, s in zip(text, spans)])
+
+
 def dedup_substrings(documents: DataFrame, window: int = WINDOW, seed: int = SEED, **limits) -> DataFrame:
     """Per document: (did, tv, n_words, n_removed, kept_sha256, kept_text).
 
