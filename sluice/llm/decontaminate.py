@@ -18,6 +18,7 @@ hashes.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,15 +67,19 @@ def greedy_tiles(item: np.ndarray, doc: np.ndarray, least: int) -> list[tuple[in
         if longest > 2 * length:  # long matches first
             length = longest
             continue
-        for p, t, n in sorted(matches, key=lambda m: (-m[2], m[0], m[1])):
-            # what an earlier tile left over of this match
-            free = ~(marked_item[p:p + n] | marked_doc[t:t + n])
-            if free.all():
-                tiles.append((p, t, n))
-                marked_item[p:p + n] = marked_doc[t:t + n] = True
-        again = longest >= length and _matches(item, doc, marked_item, marked_doc, length)
-        if again:
-            continue
+        heap = [(-n, p, t) for p, t, n in matches]
+        heapq.heapify(heap)
+        while heap:
+            n, p, t = heapq.heappop(heap)
+            used = marked_item[p:p - n] | marked_doc[t:t - n]
+            if not used.any():
+                tiles.append((p, t, -n))
+                marked_item[p:p - n] = marked_doc[t:t - n] = True
+                continue
+            edges = np.flatnonzero(np.diff(np.concatenate([[1], used, [1]])))  # what earlier tiles left over of it
+            for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                if hi - lo >= length:
+                    heapq.heappush(heap, (lo - hi, p + lo, t + lo))
         if length <= least:
             return tiles
         length = max(least, length // 2)
