@@ -1,11 +1,12 @@
 """Running (prefix) aggregates per group that do not put a whole group in one task.
 
 ``Window.partitionBy(g).orderBy(t)`` sends every row of group ``g`` to one task; with a
-hot group holding a third of the data that task is the whole job. Here each group is
-cut into ordered buckets at approximate quantiles of the order key, the running
-aggregate is computed inside each (group, bucket) window, and the totals of the earlier
-buckets (a table of at most ``groups x buckets`` rows) are added back on. Only
-associative aggregates are supported: min, max, sum, count.
+hot group holding a third of the data that task is the whole job. Here all rows are cut
+into ordered buckets at approximate quantiles of the order key over the whole table, so
+no (group, bucket) holds more than about ``rows / buckets`` rows. The running aggregate
+is computed inside each (group, bucket) window, and the totals of the earlier buckets (a
+table of at most ``groups x buckets`` rows) are added back on. Only associative
+aggregates are supported: min, max, sum, count.
 """
 
 from __future__ import annotations
@@ -26,6 +27,20 @@ def _combine(kind: str, prev: Column, local: Column) -> Column:
     return F.coalesce(prev, F.lit(0)) + F.coalesce(local, F.lit(0))
 
 
+def order_buckets(df: DataFrame, order_key: str, buckets: int | None = None) -> DataFrame:
+    """Add ``_bucket``: the place of ``order_key`` among quantiles of the whole table.
+
+    The quantiles are one scalar (no join). Without a count there are as many buckets as
+    shuffle partitions, so that buckets keep their size as a cluster's setting grows with
+    its data. Rows with equal keys share a bucket.
+    """
+    n = buckets or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    key = F.col(order_key)
+    bounds = df.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 10000)).scalar()
+    return df.withColumn("_bounds", bounds).withColumn(
+        "_bucket", F.coalesce(F.size(F.filter("_bounds", lambda x: x < key)), F.lit(0))).drop("_bounds")
+
+
 def prefix_aggregate(
     df: DataFrame,
     group_cols: list[str],
@@ -33,50 +48,45 @@ def prefix_aggregate(
     tiebreak_cols: list[str],
     aggs: dict[str, tuple[str, Column]],
     inclusive: bool = False,
-    buckets: int = 64,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add running aggregates over rows of the same group ordered by (order_key, tiebreak).
 
     ``aggs`` maps an output name to ``(kind, value)``; ``inclusive`` includes the current
     row, otherwise only earlier rows count (NULL / 0 for the first row). ``order_key``
-    must be a numeric column; rows with equal keys always share a bucket.
+    must be a numeric column. Totals are summed on the map side, so the rows themselves
+    are shuffled once.
     """
-    # each agg: (kind, value) or (kind, value, inclusive) to override the default frame
-    aggs = {n: (a[0], a[1], a[2] if len(a) > 2 else inclusive) for n, a in aggs.items()}
-    fracs = [i / buckets for i in range(1, buckets)]
     key = F.col(order_key)
     staged = df
-    for name, (_, value, _) in aggs.items():
+    for name, (_, value) in aggs.items():
         staged = staged.withColumn(f"_v_{name}", value)
-    bounds = staged.groupBy(*group_cols).agg(
-        F.percentile_approx(key, fracs, 10000).alias("_bounds"))
-    b = staged.join(sized_broadcast(bounds), group_cols).withColumn(
-        "_bucket", F.size(F.filter("_bounds", lambda x: x < key))
-    ).drop("_bounds")
+    b = order_buckets(staged, order_key, buckets)
 
-    base_w = Window.partitionBy(*group_cols, "_bucket").orderBy(key, *tiebreak_cols)
+    w = Window.partitionBy(*group_cols, "_bucket").orderBy(key, *tiebreak_cols).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     local = b
-    for name, (kind, _, incl) in aggs.items():
-        w = base_w.rowsBetween(Window.unboundedPreceding, Window.currentRow if incl else -1)
+    for name, (kind, _) in aggs.items():
         local = local.withColumn(f"_l_{name}", _LOCAL[kind](f"_v_{name}").over(w))
 
     totals = b.groupBy(*group_cols, "_bucket").agg(
-        *[_LOCAL[kind](f"_v_{name}").alias(f"_t_{name}") for name, (kind, _, _) in aggs.items()])
+        *[_LOCAL[kind](f"_v_{name}").alias(f"_t_{name}") for name, (kind, _) in aggs.items()])
     wp = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     prev = totals.select(
         *group_cols, "_bucket",
         *[(_LOCAL[kind](f"_t_{name}") if kind != "count" else F.sum(f"_t_{name}")).over(wp).alias(f"_p_{name}")
-          for name, (kind, _, _) in aggs.items()])
+          for name, (kind, _) in aggs.items()])
 
+    # the rows are partitioned by these keys already: without a broadcast only the totals move
     out = local.join(sized_broadcast(prev), [*group_cols, "_bucket"], "left")
-    for name, (kind, _, _) in aggs.items():
+    for name, (kind, _) in aggs.items():
         out = out.withColumn(name, _combine(kind, F.col(f"_p_{name}"), F.col(f"_l_{name}")))
     drop = ["_bucket"] + [f"_{p}_{n}" for n in aggs for p in ("v", "l", "p")]
     return out.drop(*drop)
 
 
 def grouped_row_number(df: DataFrame, group_cols: list[str], order_key: str, tiebreak_cols: list[str],
-                       name: str = "row_number", buckets: int = 64) -> DataFrame:
+                       name: str = "row_number", buckets: int | None = None) -> DataFrame:
     """``row_number()`` per group by (order_key, tiebreak), computed bucket-wise."""
     out = prefix_aggregate(df, group_cols, order_key, tiebreak_cols,
                            {name: ("count", F.lit(1))}, inclusive=True, buckets=buckets)

@@ -3,22 +3,24 @@
 Runs become numbered versions, aliases are an append-only event table whose current
 state is the latest event per (model, env, alias), and the promotion gate is replayed
 over the whole history with the rule "challenger MAE <= champion MAE" (bootstrap
-approves the first version). Running aggregates use ``prefix_aggregate`` so a model
-with most of the history is still split across tasks.
+approves the first version). Running aggregates are computed per bucket of the start
+time, so a model with most of the history is still split across tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.scan import grouped_row_number, prefix_aggregate
+from sluice.functions.scan import grouped_row_number, order_buckets
 from sluice.functions.text import fixed_text
-from sluice.session import materialize, sized_broadcast
+from sluice.session import sized_broadcast
 
 MODEL_KEY = ["model_name", "env"]
 HYPERPARAMETERS = ("n_estimators", "max_depth", "min_samples_leaf")
 THRESHOLD_KEY = "max_acceptable_mae"
+FEATURES_KEY = "features"
+CONFIG_KEYS = (*HYPERPARAMETERS, FEATURES_KEY, THRESHOLD_KEY)
 
 
 def _start_us(col: str = "start_time") -> Column:
@@ -31,77 +33,80 @@ def register_versions(runs: DataFrame) -> DataFrame:
     return grouped_row_number(staged, MODEL_KEY, "_t", ["run_id"], name="version").drop("_t")
 
 
-def promotion_replay(runs: DataFrame) -> DataFrame:
-    """W-03 + W-04 + S-10 in one bucketed scan: number the versions and replay the gate.
+def params_map(value=F.col) -> Column:
+    """A run's configuration as a MAP<STRING,STRING>; keys without a value are absent."""
+    keys = CONFIG_KEYS
+    full = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[value(k).cast("string") for k in keys]))
+    return F.map_filter(full, lambda k, v: v.isNotNull())
+
+
+def promotion_replay(runs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """W-03 + W-04 + S-10: number the versions and replay the gate, one shuffle of the runs.
 
     Under the strict rule the champion before a version is the latest earlier run holding
-    the running minimum MAE, so one exclusive running ``min(struct(mae, -time, -run))``
-    identifies the champion run while an inclusive running count numbers the versions in
-    the same pass. The champion's version is then a lookup on its (unique) run id.
+    the running minimum MAE. That minimum runs over structs that carry the champion's id,
+    its number within its bucket and its configuration, so nothing is looked up
+    afterwards. Buckets of the start time (``order_buckets``) split a hot model; their
+    minima and counts, a small table, are run over in turn. Both branches need the same
+    columns of the runs, so they read one exchange.
     Accepts runs with or without a ``version`` column (an existing one is recomputed).
     """
-    staged = runs.drop("version").withColumn("_t", _start_us())
-    best = F.when(F.col("mae").isNotNull(), F.struct(F.col("mae").alias("m"), (-F.col("_t")).alias("nt"),
-                                                     (-F.col("run_id")).alias("nr")))
-    out = prefix_aggregate(staged, MODEL_KEY, "_t", ["run_id"],
-                           {"version": ("count", F.lit(1), True), "_best": ("min", best, False)})
-    champ_mae = F.col("_best.m")
-    decision = (
-        F.when(F.col("_best").isNull(), "APPROVE")
-        .when(F.col("mae").isNull(), "BLOCK")
-        .when(F.col("mae") <= champ_mae, "APPROVE")
-        .otherwise("BLOCK")
-    )
-    reason = (
-        F.when(F.col("_best").isNull(), "bootstrap")
-        .when(F.col("mae").isNull(), "missing_metric")
-        .when(F.col("mae") <= champ_mae, "no_regression")
-        .otherwise("regression")
-    )
-    scanned = out.select(
-        *[c for c in runs.columns if c != "version"], F.col("version").cast("int").alias("version"),
-        champ_mae.alias("champion_mae"), (-F.col("_best.nr")).alias("champion_run_id"),
-        decision.alias("decision"), reason.alias("reason"),
-    )
-    # both sides read the scan: cut lineage once so the bucketed scan runs once
-    scanned = materialize(scanned, "replay")
-    lookup = scanned.select(*MODEL_KEY, F.col("run_id").alias("champion_run_id"),
-                            F.col("version").alias("champion_version"))
-    return scanned.join(lookup, [*MODEL_KEY, "champion_run_id"], "left")
-
-
-def champion_runs(replay: DataFrame, versions: DataFrame | None = None) -> DataFrame:
-    """Replayed versions with their champion's run id (carried by the replay itself)."""
-    return replay
+    keep = [c for c in runs.columns if c != "version"]
+    # one key without nulls: a join on it adds no filter, so both branches keep the same input
+    model = F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("\u0000")) for c in MODEL_KEY])
+    staged = order_buckets(runs.select(*keep, model.alias("_model"), _start_us().alias("_t")), "_t", buckets)
+    w = Window.partitionBy("_model", "_bucket").orderBy("_t", "run_id")
+    numbered = staged.withColumn("_n", F.row_number().over(w))
+    # ordered by MAE, then latest first; ids are unique, so what follows them never decides
+    candidate = F.when(F.col("mae").isNotNull(), F.struct(
+        F.col("mae").alias("m"), (-F.col("_t")).alias("nt"), (-F.col("run_id")).alias("nr"), F.col("_n").cast("bigint").alias("v"),
+        F.struct("start_time", *MODEL_KEY, *CONFIG_KEYS).alias("p")))
+    earlier = Window.partitionBy("_model").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = (numbered.groupBy("_model", "_bucket").agg(F.min(candidate).alias("_b"), F.max("_n").alias("_c"))
+                  .withColumn("_before", F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
+                  .withColumn("_b", _shifted("_b"))
+                  .select("_model", "_bucket", "_before", F.min("_b").over(earlier).alias("_prev")))
+    out = (numbered.withColumn("_here", F.min(candidate).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+           .join(sized_broadcast(per_bucket), ["_model", "_bucket"], "left")
+           .withColumn("_best", F.least(_shifted("_here"), "_prev")))  # least skips nulls
+    champion, mae = F.col("_best.m"), F.col("mae")
+    reason = (F.when(F.col("_best").isNull(), "bootstrap").when(mae.isNull(), "missing_metric")
+              .when(mae <= champion, "no_regression").otherwise("regression"))
+    return out.select(
+        *keep, (F.col("_n") + F.col("_before")).cast("int").alias("version"), champion.alias("champion_mae"),
+        (-F.col("_best.nr")).alias("champion_run_id"), F.col("_best.v").cast("int").alias("champion_version"),
+        F.col(f"_best.p.{THRESHOLD_KEY}").alias(f"champion_{THRESHOLD_KEY}"),
+        F.when(F.col("_best").isNotNull(), params_map(lambda k: F.col(f"_best.p.{k}"))).alias("champion_params"),
+        params_map().alias("params"), reason.alias("reason"),
+        F.when(reason.isin("bootstrap", "no_regression"), "APPROVE").otherwise("BLOCK").alias("decision"))
+
+
+def _shifted(candidate: str) -> Column:
+    """A candidate with its number within the bucket made a version: after those of earlier buckets."""
+    c = F.col(candidate)
+    return F.when(c.isNotNull(), c.withField("v", c["v"] + F.col("_before")))
 
 
 def alias_events(replay: DataFrame) -> DataFrame:
     """Append-only alias moves: every version becomes challenger; approved ones champion."""
-    base = replay.select(*MODEL_KEY, "version", F.col("start_time").alias("event_ts"), "decision")
-    chal = base.select(*MODEL_KEY, F.lit("challenger").alias("alias"), "version", "event_ts")
-    champ = base.where(F.col("decision") == "APPROVE").select(
-        *MODEL_KEY, F.lit("champion").alias("alias"), "version", "event_ts")
-    return chal.unionByName(champ)
+    aliases = F.when(F.col("decision") == "APPROVE", F.array(F.lit("challenger"), F.lit("champion"))).otherwise(F.array(F.lit("challenger")))
+    return replay.select(*MODEL_KEY, F.explode(aliases).alias("alias"), "version", F.col("start_time").alias("event_ts"), "run_id", "mae")
 
 
 def alias_state(events: DataFrame) -> DataFrame:
-    """W-02: current version per alias = latest event (ties: higher version)."""
-    latest = F.max_by(F.struct("version", "event_ts"), F.struct("event_ts", "version"))
-    return events.groupBy(*MODEL_KEY, "alias").agg(latest.alias("_s")).select(
-        *MODEL_KEY, "alias", F.col("_s.version").alias("version"), F.col("_s.event_ts").alias("event_ts"))
-
-
-def alias_metrics(state: DataFrame, versions: DataFrame, aliases=("challenger", "champion")) -> DataFrame:
-    """J-01: per (model, env, alias) the version, run and MAE; a missing alias says "none"."""
-    keys = versions.select(*MODEL_KEY).distinct().select(
-        *MODEL_KEY, F.explode(F.array(*[F.lit(a) for a in aliases])).alias("alias"))
-    v = versions.select(*MODEL_KEY, "version", "run_id", "mae")
-    return (
-        keys.join(state.select(*MODEL_KEY, "alias", "version"), [*MODEL_KEY, "alias"], "left")
-        .join(v, [*MODEL_KEY, "version"], "left")
-        .select(*MODEL_KEY, "alias", "version", "run_id", "mae",
-                F.when(F.col("version").isNull(), "none").otherwise("found").alias("status"))
-    )
+    """W-02: current version per alias = latest event (ties: higher version), with its run and MAE."""
+    latest = F.max_by(F.struct("version", "event_ts", "run_id", "mae"), F.struct("event_ts", "version"))
+    return events.groupBy(*MODEL_KEY, "alias").agg(latest.alias("_s")).select(*MODEL_KEY, "alias", "_s.*")
+
+
+def alias_metrics(state: DataFrame, aliases=("challenger", "champion")) -> DataFrame:
+    """J-01: per (model, env) of the state and alias its version, run and MAE; a missing alias says "none"."""
+    per_model = state.groupBy(*MODEL_KEY).agg(F.map_from_entries(F.collect_list(F.struct(
+        "alias", F.struct("version", "run_id", "mae")))).alias("_m"))  # one entry an alias name
+    one = per_model.select(*MODEL_KEY, F.explode(F.array(*[F.struct(F.lit(a).alias("alias"), F.try_element_at("_m", F.lit(a)).alias("s"))
+                                                           for a in aliases])).alias("_a"))
+    return one.select(*MODEL_KEY, "_a.alias", "_a.s.version", "_a.s.run_id", "_a.s.mae",
+                      F.when(F.col("_a.s").isNull(), "none").otherwise("found").alias("status"))
 
 
 def latest_run(runs: DataFrame) -> DataFrame:
@@ -111,9 +116,9 @@ def latest_run(runs: DataFrame) -> DataFrame:
         F.max("start_time").alias("start_time"))
 
 
-def latest_version(versions: DataFrame) -> DataFrame:
-    """A-11: highest version number per registered model."""
-    return versions.groupBy(*MODEL_KEY).agg(F.max(F.col("version").cast("int")).alias("latest_version"))
+def latest_version(runs: DataFrame) -> DataFrame:
+    """A-11: highest version number per registered model: versions count its runs."""
+    return runs.groupBy(*MODEL_KEY).agg(F.count(F.lit(1)).cast("int").alias("latest_version"))
 
 
 def compare_metrics(df: DataFrame, challenger: str = "mae", champion: str = "champion_mae") -> DataFrame:
@@ -134,41 +139,25 @@ def compare_metrics(df: DataFrame, challenger: str = "mae", champion: str = "cha
         .withColumn("summary", summary)
 
 
-def run_params(runs: DataFrame) -> DataFrame:
-    """Each run's configuration as a MAP<STRING,STRING> of hyperparameters and threshold."""
-    entries = []
-    for k in (*HYPERPARAMETERS, THRESHOLD_KEY):
-        entries += [F.lit(k), F.col(k).cast("string")]
-    return runs.select("run_id", F.map_from_arrays(
-        F.array(*entries[0::2]), F.array(*entries[1::2])).alias("params"))
-
-
-def config_diff(pairs: DataFrame, runs: DataFrame) -> DataFrame:
-    """J-02: key-level change set between each challenger run and its champion run.
+def config_diff(replay: DataFrame) -> DataFrame:
+    """J-02: key-level change set between each version's configuration and its champion's.
 
-    Both sides are exploded to (pair, key, value) rows and full-outer-joined on the pair
-    and key, so a key only on one side is "added"/"removed" and differing values "changed".
+    ``replay`` carries both maps, so a key on one side only is "added" or "removed" and
+    differing values are "changed" within the row: no join. Versions without a champion
+    have no changes.
     """
-    params = run_params(runs)
-    pair_cols = [*MODEL_KEY, "version"]
-    chal = (pairs.select(*pair_cols, "run_id").join(params, "run_id")
-            .select(*pair_cols, F.explode("params").alias("key", "new_value")))
-    champ = (pairs.where(F.col("champion_run_id").isNotNull())
-             .select(*pair_cols, F.col("champion_run_id").alias("run_id")).join(params, "run_id")
-             .select(*pair_cols, F.explode("params").alias("key", "old_value")))
-    joined = chal.join(champ, [*pair_cols, "key"], "full_outer")
-    change = (F.when(F.col("old_value").isNull() & F.col("new_value").isNotNull(), "added")
-              .when(F.col("new_value").isNull() & F.col("old_value").isNotNull(), "removed")
-              .when(~F.col("old_value").eqNullSafe(F.col("new_value")), "changed"))
-    has_champion = pairs.where(F.col("champion_run_id").isNotNull()).select(*pair_cols)
-    return (joined.join(has_champion, pair_cols, "left_semi")
-            .withColumn("change", change).where(F.col("change").isNotNull())
-            .select(*pair_cols, "key", "old_value", "new_value", "change"))
+    keys = F.array_union(F.map_keys("champion_params"), F.map_keys("params"))
+    rows = replay.where(F.col("champion_params").isNotNull()).select(
+        *MODEL_KEY, "version", "params", "champion_params", F.explode(keys).alias("key"))
+    old, new = F.try_element_at("champion_params", F.col("key")), F.try_element_at("params", F.col("key"))
+    change = F.when(old.isNull(), "added").when(new.isNull(), "removed").when(old != new, "changed")
+    return rows.select(*MODEL_KEY, "version", "key", old.alias("old_value"), new.alias("new_value"),
+                       change.alias("change")).where(F.col("change").isNotNull())
 
 
 def config_sync_check(diff: DataFrame) -> DataFrame:
-    """J-05: a hyperparameter changed while the MAE threshold did not -> ML-01 finding."""
-    hp = F.col("key").isin(*HYPERPARAMETERS)
+    """J-05: a hyperparameter or the feature list changed while the MAE threshold did not -> ML-01 finding."""
+    hp = F.col("key").isin(*HYPERPARAMETERS, FEATURES_KEY)
     agg = diff.groupBy(*MODEL_KEY, "version").agg(
         F.bool_or(hp).alias("hp_changed"),
         F.bool_or(F.col("key") == THRESHOLD_KEY).alias("threshold_changed"))
@@ -192,7 +181,7 @@ def config_table(runs: DataFrame) -> DataFrame:
     return runs.select(
         F.col("run_id").alias("config_id"), "model_name",
         F.create_map(*hp).alias("hyperparameters"),
-        F.array(F.lit("day_of_week"), F.lit("store_id")).alias("features"),
+        F.split(FEATURES_KEY, ",").alias("features"),
         F.col(THRESHOLD_KEY).alias(THRESHOLD_KEY),
     )
 
@@ -200,7 +189,7 @@ def config_table(runs: DataFrame) -> DataFrame:
 def config_validity(configs: DataFrame) -> DataFrame:
     """P-08: one row per failed check (missing key, empty features, non-positive values)."""
     checks = [
-        F.when(F.col("model_name").isNull() | (F.trim("model_name") == ""), F.lit("missing:model_name")),
+        F.when(F.col("model_name").isNull() | ~F.col("model_name").rlike(r"\S"), F.lit("missing:model_name")),
         F.when(F.col("hyperparameters").isNull(), F.lit("missing:hyperparameters")),
         F.when(F.col("features").isNull() | (F.size("features") == 0), F.lit("empty:features")),
         F.when(F.col(THRESHOLD_KEY).isNull(), F.lit(f"missing:{THRESHOLD_KEY}"))
@@ -218,6 +207,7 @@ def config_validity(configs: DataFrame) -> DataFrame:
 
 def resolve_version(requests: DataFrame, state: DataFrame, alias: str = "champion") -> DataFrame:
     """P-09: a numeric request pins that version; anything else resolves the alias."""
+    # the state has a row per alias: adaptive execution broadcasts it, or splits hot models
     cur = state.where(F.col("alias") == alias).select(*MODEL_KEY, F.col("version").alias("alias_version"))
     pinned = F.col("requested").rlike("^[0-9]+$")
     return requests.join(cur, MODEL_KEY, "left").select(
@@ -242,7 +232,8 @@ def mae_by_run(predictions: DataFrame) -> DataFrame:
     """A-12: mean absolute error per run, exact from cent-valued targets and predictions."""
     from sluice.functions.numeric import round_ratio
 
-    err_cents = F.abs((F.col("y") - F.col("yhat")) * 100).cast("bigint")
-    agg = predictions.groupBy("run_id").agg(F.sum(err_cents).alias("_e"), F.count(F.lit(1)).alias("n"))
+    # 38 digits: the sum of a run's errors, scaled for rounding, outgrows a BIGINT
+    err_cents = F.abs((F.col("y") - F.col("yhat")) * 100).cast("decimal(20,0)")
+    agg = predictions.groupBy("run_id").agg(F.sum(err_cents).cast("decimal(28,0)").alias("_e"), F.count(F.lit(1)).alias("n"))
     return agg.select("run_id", F.col("n").cast("bigint").alias("n"),
                       round_ratio("_e", F.col("n") * 100, 6).alias("mae"))

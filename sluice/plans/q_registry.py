@@ -9,7 +9,6 @@ from sluice.functions.text import fixed_text_sql
 from sluice.operators import registry as G
 from sluice.plans.oracle import with_ctes
 from sluice.plans.registry import register
-from sluice.session import materialize
 from sluice.sources.tables import Tables
 
 WIPE_ENVS = ("staging", "prod")
@@ -23,7 +22,7 @@ _REPLAY = """replay0 AS (
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best
   FROM versions v),
 replay AS (
-  SELECT run_id, model_name, env, start_time, mae, max_acceptable_mae, n_estimators, max_depth, min_samples_leaf,
+  SELECT run_id, model_name, env, start_time, mae, max_acceptable_mae, n_estimators, max_depth, min_samples_leaf, features,
          version, best.m AS champion_mae, CAST(-best.nv AS INT) AS champion_version,
          CASE WHEN best IS NULL THEN 'APPROVE' WHEN mae IS NULL THEN 'BLOCK'
               WHEN mae <= best.m THEN 'APPROVE' ELSE 'BLOCK' END AS decision,
@@ -43,21 +42,14 @@ def _sql(body: str, *parts: str) -> str:
     return with_ctes(["runs"], "WITH " + ",\n".join(parts) + "\n" + body)
 
 
-def _versions(spark, sf_dir, cut: bool = False):
-    """Numbered versions; ``cut`` writes them once when a plan reads them more than once."""
-    versions = G.register_versions(Tables(spark, sf_dir).runs)
-    return materialize(versions, "versions") if cut else versions
-
-
 def _replay(spark, sf_dir):
-    # numbering and replay in one bucketed scan (written once inside promotion_replay)
     return G.promotion_replay(Tables(spark, sf_dir).runs)
 
 
 @register("register_versions", _sql("SELECT run_id, model_name, env, version FROM versions", _VERSIONS),
           ids=("W-03",))
 def q_register_versions(spark, sf_dir):
-    return _versions(spark, sf_dir).select("run_id", "model_name", "env", "version")
+    return G.register_versions(Tables(spark, sf_dir).runs).select("run_id", "model_name", "env", "version")
 
 
 @register("promotion_replay", _sql("""
@@ -71,7 +63,7 @@ def q_promotion_replay(spark, sf_dir):
 @register("alias_state", _sql("SELECT model_name, env, alias, version, event_ts FROM state",
                               _VERSIONS, _REPLAY, _EVENTS), ids=("W-02",))
 def q_alias_state(spark, sf_dir):
-    return G.alias_state(G.alias_events(_replay(spark, sf_dir)))
+    return G.alias_state(G.alias_events(_replay(spark, sf_dir))).select("model_name", "env", "alias", "version", "event_ts")
 
 
 @register("alias_metrics", _sql("""
@@ -82,9 +74,7 @@ LEFT JOIN state s ON k.model_name = s.model_name AND k.env = s.env AND k.alias =
 LEFT JOIN versions v ON k.model_name = v.model_name AND k.env = v.env AND s.version = v.version""",
                                 _VERSIONS, _REPLAY, _EVENTS), ids=("J-01",))
 def q_alias_metrics(spark, sf_dir):
-    replay = _replay(spark, sf_dir)
-    state = G.alias_state(G.alias_events(replay))
-    return G.alias_metrics(state, replay)
+    return G.alias_metrics(G.alias_state(G.alias_events(_replay(spark, sf_dir))))
 
 
 @register("latest_run", with_ctes(["runs"], """
@@ -98,7 +88,7 @@ def q_latest_run(spark, sf_dir):
 SELECT model_name, env, max(version) AS latest_version FROM versions GROUP BY model_name, env""", _VERSIONS),
           ids=("A-11",))
 def q_latest_version(spark, sf_dir):
-    return G.latest_version(_versions(spark, sf_dir))
+    return G.latest_version(Tables(spark, sf_dir).runs)
 
 
 def _cmp_sql() -> str:
@@ -122,8 +112,8 @@ def q_compare_metrics(spark, sf_dir):
 
 
 _PARAMS = """params AS (
-  SELECT run_id, unnest(['n_estimators', 'max_depth', 'min_samples_leaf', 'max_acceptable_mae']) AS key,
-         unnest([CAST(n_estimators AS VARCHAR), CAST(max_depth AS VARCHAR), CAST(min_samples_leaf AS VARCHAR),
+  SELECT run_id, unnest(['n_estimators', 'max_depth', 'min_samples_leaf', 'features', 'max_acceptable_mae']) AS key,
+         unnest([CAST(n_estimators AS VARCHAR), CAST(max_depth AS VARCHAR), CAST(min_samples_leaf AS VARCHAR), features,
                  CAST(max_acceptable_mae AS VARCHAR)]) AS value
   FROM runs),
 pairs AS (
@@ -142,28 +132,23 @@ diff AS (
     ON a.model_name = b.model_name AND a.env = b.env AND a.version = b.version AND a.key = b.key)"""
 
 
-def _pairs(spark, sf_dir):
-    replay = _replay(spark, sf_dir)
-    return G.champion_runs(replay, replay)
-
-
 @register("config_diff", _sql("""
 SELECT model_name, env, version, key, old_value, new_value, change FROM diff WHERE change IS NOT NULL""",
                               _VERSIONS, _REPLAY, _PARAMS), ids=("J-02",))
 def q_config_diff(spark, sf_dir):
-    return G.config_diff(_pairs(spark, sf_dir), Tables(spark, sf_dir).runs)
+    return G.config_diff(_replay(spark, sf_dir))
 
 
 @register("config_sync_check", _sql("""
 SELECT model_name, env, version, hp_changed, threshold_changed, 'ML-01' AS rule_id, 'BLOCKER' AS severity,
        'Hyperparameters changed without an updated max_acceptable_mae' AS message
 FROM (SELECT model_name, env, version,
-             bool_or(key IN ('n_estimators', 'max_depth', 'min_samples_leaf')) AS hp_changed,
+             bool_or(key IN ('n_estimators', 'max_depth', 'min_samples_leaf', 'features')) AS hp_changed,
              bool_or(key = 'max_acceptable_mae') AS threshold_changed
       FROM diff WHERE change IS NOT NULL GROUP BY model_name, env, version)
 WHERE hp_changed AND NOT threshold_changed""", _VERSIONS, _REPLAY, _PARAMS), ids=("J-05",))
 def q_config_sync_check(spark, sf_dir):
-    return G.config_sync_check(G.config_diff(_pairs(spark, sf_dir), Tables(spark, sf_dir).runs))
+    return G.config_sync_check(G.config_diff(_replay(spark, sf_dir)))
 
 
 @register("mae_within_threshold", with_ctes(["runs"], """
@@ -180,6 +165,7 @@ FROM (SELECT run_id AS config_id, unnest([
         CASE WHEN max_depth IS NULL THEN 'missing:max_depth' WHEN max_depth <= 0 THEN 'non_positive:max_depth' END,
         CASE WHEN min_samples_leaf IS NULL THEN 'missing:min_samples_leaf'
              WHEN min_samples_leaf <= 0 THEN 'non_positive:min_samples_leaf' END,
+        CASE WHEN features IS NULL THEN 'empty:features' END,
         CASE WHEN max_acceptable_mae IS NULL THEN 'missing:max_acceptable_mae'
              WHEN max_acceptable_mae <= 0 THEN 'non_positive:max_acceptable_mae' END]) AS f
       FROM runs)
@@ -224,12 +210,12 @@ WHERE NOT EXISTS (SELECT 1 FROM (SELECT model_name, env, min(version) AS version
                   WHERE k.model_name = v.model_name AND k.env = v.env AND k.version = v.version)""",
                                      _VERSIONS), ids=("A-10",))
 def q_registry_retention(spark, sf_dir):
-    return G.registry_retention(_versions(spark, sf_dir, cut=True), WIPE_ENVS)  # keep + drop read it
+    return G.registry_retention(G.register_versions(Tables(spark, sf_dir).runs), WIPE_ENVS)
 
 
 @register("mae_by_run", f"""
 SELECT run_id, CAST(n AS BIGINT) AS n, {round_ratio_sql('e', 'n * 100', 6)} AS mae
-FROM (SELECT run_id, sum(CAST(abs((y - yhat) * 100) AS BIGINT)) AS e, count(*) AS n
+FROM (SELECT run_id, sum(CAST(abs((y - yhat) * 100) AS HUGEINT)) AS e, count(*) AS n
       FROM (SELECT user_id % 7 AS run_id, CAST(value AS DECIMAL(18,2)) AS y,
                    CAST(json_extract_string(props, '$.k') AS DECIMAL(18,2)) AS yhat FROM events)
       GROUP BY run_id)""", ids=("A-12",))

@@ -6,9 +6,10 @@ Jobs never build their own session inside a transform (TP-01); entry points call
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared checkpoint folder the cluster names; set one only when unset (tests)."""
+    """The shared checkpoint folder that the cluster names; a temporary one only in local mode (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -61,7 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="sluice-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # one machine runs everything: a temporary folder, removed when the process ends
+        configured = tempfile.mkdtemp(prefix="sluice-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:
         return configured
@@ -121,17 +126,10 @@ def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, basis:
     return df
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut lineage: write ``df`` as parquet under the shared checkpoint folder, read it back.
-
-    Used between chained stages that each reference their input several times, so the
-    upstream plan runs once. Unlike ``checkpoint()`` (which recomputes its input to
-    write it) this is one job; unlike a local checkpoint it survives executor loss.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a folder of the (shared) file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

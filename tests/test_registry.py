@@ -10,12 +10,12 @@ from sluice.operators import promotion as P
 from sluice.operators import registry as G
 
 RUN_SCHEMA = ("run_id long, model_name string, env string, start_time timestamp_ntz, mae double, "
-              "max_acceptable_mae double, n_estimators int, max_depth int, min_samples_leaf int")
+              "max_acceptable_mae double, n_estimators int, max_depth int, min_samples_leaf int, features string")
 
 
 def _runs(spark, maes, model="m", env="dev"):
     t0 = dt.datetime(2024, 1, 1)
-    data = [(i + 1, model, env, t0 + dt.timedelta(hours=i), m, 12.0, 100, 8, 5) for i, m in enumerate(maes)]
+    data = [(i + 1, model, env, t0 + dt.timedelta(hours=i), m, 12.0, 100, 8, 5, "a,b") for i, m in enumerate(maes)]
     return spark.createDataFrame(data, RUN_SCHEMA)
 
 
@@ -31,7 +31,7 @@ def test_alias_state_and_metrics(spark):
     assert rows(state, "alias", "version") == [("challenger", 3), ("champion", 3)]
     v2 = G.register_versions(_runs(spark, [9.0], model="solo"))
     state2 = G.alias_state(G.alias_events(G.promotion_replay(v2).withColumn("decision", F.lit("BLOCK"))))
-    m = G.alias_metrics(state2, v2)
+    m = G.alias_metrics(state2)
     assert rows(m, "alias", "status") == [("challenger", "found"), ("champion", "none")]
 
 
@@ -56,8 +56,7 @@ def test_config_diff_and_sync_check(spark):
     runs = _runs(spark, [9.0, 8.0]).withColumn(
         "n_estimators", F.when(F.col("run_id") == 2, F.lit(5)).otherwise(F.col("n_estimators")))
     v = G.register_versions(runs)
-    pairs = G.champion_runs(G.promotion_replay(v), v)
-    diff = G.config_diff(pairs, runs)
+    diff = G.config_diff(G.promotion_replay(v))
     assert rows(diff, "version", "key", "old_value", "new_value", "change") == [(2, "n_estimators", "100", "5", "changed")]
     sync = G.config_sync_check(diff).collect()
     assert [(r.version, r.rule_id) for r in sync] == [(2, "ML-01")]
@@ -105,6 +104,42 @@ def test_prefix_scan_equals_window_with_hot_group(spark):
     assert rows(rn, "g", "id", "row_number") == rows(df.select("g", "id", F.row_number().over(wr).alias("rn")))
 
 
+def test_replay_over_buckets_equals_a_scan(spark):
+    """Ties, missing metrics and a hot model, with more buckets than some groups have rows."""
+    rng = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(i, "hot" if rng.random() < 0.7 else f"m{i % 3}", "dev", t0 + dt.timedelta(hours=rng.randrange(60)),
+             None if rng.random() < 0.1 else float(rng.randrange(40)), float(rng.randrange(10, 13)), rng.choice([None, 5]), 8, 5, rng.choice([None, "a"]))
+            for i in range(400)]
+    out = {r.run_id: r for r in G.promotion_replay(spark.createDataFrame(data, RUN_SCHEMA), buckets=16).collect()}
+    groups = {}
+    for d in sorted(data, key=lambda d: (d[3], d[0])):
+        seen, r = groups.setdefault(d[1], []), out[d[0]]
+        rated = [(x[4], -x[3].timestamp(), -x[0], n + 1, x) for n, x in enumerate(seen) if x[4] is not None]
+        champion = min(rated) if rated else None
+        assert r.version == len(seen) + 1
+        assert (r.champion_run_id, r.champion_version) == ((champion[4][0], champion[3]) if champion else (None, None))
+        if champion:
+            assert r.champion_params == {k: v for k, v in (("n_estimators", "5" if champion[4][6] else None), ("max_depth", "8"), ("min_samples_leaf", "5"),
+                                                           ("features", champion[4][9]), ("max_acceptable_mae", str(champion[4][5]))) if v is not None}
+        seen.append(d)
+
+
+def test_config_diff_kinds(spark):
+    runs = _runs(spark, [9.0, 8.0, 7.0]).withColumns({
+        "n_estimators": F.when(F.col("run_id") != 2, F.col("n_estimators")), "features": F.when(F.col("run_id") == 3, "a").otherwise("a,b")})
+    diff = G.config_diff(G.promotion_replay(runs))
+    assert rows(diff, "version", "key", "old_value", "new_value", "change") == [
+        (2, "n_estimators", "100", None, "removed"), (3, "features", "a,b", "a", "changed"), (3, "n_estimators", None, "100", "added")]
+    assert sorted((r.version, r.rule_id) for r in G.config_sync_check(diff).collect()) == [(2, "ML-01"), (3, "ML-01")]
+
+
+def test_mae_of_large_sums_does_not_overflow(spark):
+    from decimal import Decimal as D
+    p = spark.createDataFrame([(1, D("50000000000000.00"), D("0.00"))] * 3, "run_id int, y decimal(18,2), yhat decimal(18,2)")
+    assert rows(G.mae_by_run(p), "run_id", "mae") == [(1, 5e13)]
+
+
 def test_mae_by_run(spark):
     from decimal import Decimal as D
     p = spark.createDataFrame([(1, D("3.00"), D("1.00")), (1, D("1.00"), D("2.50")), (2, D("5.00"), D("5.00"))],
