@@ -1,9 +1,9 @@
 """Tolerant reading of stored model responses: decisions, findings, payload text, code blocks.
 
 Decoding runs natively first: fences are stripped with ``regexp_replace`` and the text
-goes through ``try_parse_json`` (VARIANT). Only rows that still fail are routed, as a
-separate branch, through one Arrow-batched ``pandas_udf`` that extracts the first
-balanced object or repairs a truncated one; the two branches are unioned back.
+goes through ``try_parse_json`` (VARIANT). Rows that fail go, in the same pass, through
+one Arrow-batched ``pandas_udf`` that finds an object in prose, closes a truncated one
+and keeps the last of repeated keys; it gets NULL for all other rows.
 """
 
 from __future__ import annotations
@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from sluice.functions.json_repair import recover
+from sluice.functions.json_repair import FENCE_CLOSE, FENCE_OPEN, recover
 
 NL = "\n"
 # Decision enum, defaults and finding contract.
 DECISIONS = ("APPROVE", "BLOCK")
 SEVERITIES = ("BLOCKER", "SUGGESTION", "STYLE")
 REQUIRED_FINDING_FIELDS = ("file", "severity", "rule_id", "citation", "message")
-RAW_EXCERPT = 500
 FENCE_CODE = r"(?s)```[a-zA-Z0-9_+.-]*\n(.*?)```"
+UNREADABLE = "No decision could be read from the stored response, so the gate blocks. Response: "
+NO_REASON = " was decided without a stated reason."
 
 
 @pandas_udf(StringType())
@@ -35,23 +36,24 @@ def _recover_object(raw: pd.Series) -> pd.Series:
     return raw.map(lambda s: recover(s, repair=False))
 
 
+def strip(c: Column) -> Column:
+    """White space off both ends (``trim`` takes spaces only)."""
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def strip_fences(raw: Column) -> Column:
-    t = F.regexp_replace(raw, r"^\s+|\s+$", "")
-    t = F.regexp_replace(t, r"^```[a-zA-Z0-9_+.-]*\n?", "")
-    t = F.regexp_replace(t, r"\n?```$", "")
-    return F.regexp_replace(t, r"^\s+|\s+$", "")
+    return strip(F.regexp_replace(F.regexp_replace(strip(raw), FENCE_OPEN, ""), FENCE_CLOSE, ""))
 
 
 def tolerant_json(df: DataFrame, raw_col: str = "raw", fences: bool = True, repair: bool = True) -> DataFrame:
     """S-16: add ``json`` (VARIANT) and ``decoded_by`` (direct / recovered / NULL)."""
-    first = strip_fences(F.col(raw_col)) if fences else F.col(raw_col)
-    staged = df.withColumn("json", F.try_parse_json(first))
-    ok = staged.where(F.col("json").isNotNull()).withColumn("decoded_by", F.lit("direct"))
-    bad = staged.where(F.col("json").isNull())
+    direct = F.try_parse_json(strip_fences(F.col(raw_col)) if fences else F.col(raw_col))
     udf = _recover_decision if repair else _recover_object
-    fixed = bad.withColumn("_rec", udf(F.col(raw_col))).withColumn("json", F.try_parse_json("_rec")) \
-        .withColumn("decoded_by", F.when(F.col("json").isNotNull(), F.lit("recovered"))).drop("_rec")
-    return ok.unionByName(fixed)
+    return (df.withColumn("_direct", direct)
+            .withColumn("_rec", udf(F.when(F.col("_direct").isNull(), F.col(raw_col))))
+            .withColumn("json", F.coalesce("_direct", F.try_parse_json("_rec")))
+            .withColumn("decoded_by", F.when(F.col("_direct").isNotNull(), "direct").when(F.col("json").isNotNull(), "recovered"))
+            .drop("_direct", "_rec"))
 
 
 def _is_object(v: Column) -> Column:
@@ -67,7 +69,7 @@ def parse_decisions(df: DataFrame, raw_col: str = "raw") -> DataFrame:
     j = tolerant_json(df, raw_col, fences=True, repair=True)
     v = F.col("json")
     is_obj = _is_object(v)
-    dec_raw = F.upper(F.trim(F.coalesce(_get(v, "$.decision"), F.lit(""))))
+    dec_raw = F.upper(strip(F.coalesce(_get(v, "$.decision"), F.lit(""))))
     decision = F.when(is_obj & dec_raw.isin(*DECISIONS), dec_raw).otherwise(F.lit("BLOCK"))
     items = F.when(is_obj, F.coalesce(_get(v, "$.findings", "array<variant>"), F.array().cast("array<variant>")))
     items = F.coalesce(items, F.array().cast("array<variant>"))
@@ -75,11 +77,9 @@ def parse_decisions(df: DataFrame, raw_col: str = "raw") -> DataFrame:
         F.coalesce(_get(e, "$.rule_id"), F.lit("UNKNOWN")).alias("rule_id"),
         F.upper(F.coalesce(_get(e, "$.severity"), F.lit("SUGGESTION"))).alias("severity"),
         F.coalesce(_get(e, "$.message"), F.lit("")).alias("message")))
-    just = F.regexp_replace(F.coalesce(_get(v, "$.justification"), F.lit("")), r"^\s+|\s+$", "")
-    justification = F.when(~is_obj, F.concat(
-        F.lit("Gate failed to parse a valid decision from the model response. Raw output: "),
-        F.substring(F.coalesce(F.col(raw_col), F.lit("None")), 1, RAW_EXCERPT))).when(
-        just == "", F.concat(F.lit("Decision: "), decision, F.lit(" (no justification provided)."))).otherwise(just)
+    just = strip(F.coalesce(_get(v, "$.justification"), F.lit("")))
+    justification = (F.when(~is_obj, F.concat(F.lit(UNREADABLE), F.coalesce(F.col(raw_col), F.lit(""))))
+                     .when(just == "", F.concat(decision, F.lit(NO_REASON))).otherwise(just))
     return j.select("*", is_obj.alias("parsed"), decision.alias("decision"), findings.alias("findings"),
                     justification.alias("justification")).drop("json")
 
@@ -119,19 +119,26 @@ def review_summary(df: DataFrame, raw_col: str = "raw", key_cols=("response_id",
                     .alias("summary"))
 
 
-_PAYLOAD_SCHEMA = ("struct<output:array<struct<content:array<struct<text:string>>>>,"
-                   "choices:array<struct<message:struct<content:string>>>>")
+def _content_parts(content: Column) -> Column:
+    """Texts of a message's content: the string itself, or its string elements and ``text`` fields."""
+    whole = F.when(F.schema_of_variant(content) == "STRING", F.array(content.try_cast("string")))
+    elements = F.transform(F.try_variant_get(content, "$", "array<variant>"), lambda e: F.coalesce(
+        F.when(F.schema_of_variant(e) == "STRING", e.try_cast("string")), F.try_variant_get(e, "$.text", "string")))
+    return F.coalesce(whole, elements, F.array().cast("array<string>"))
+
+
+def _texts(v: Column, items: str, content: str) -> Column:
+    found = F.coalesce(F.try_variant_get(v, items, "array<variant>"), F.array().cast("array<variant>"))
+    parts = F.flatten(F.transform(found, lambda o: _content_parts(F.try_variant_get(o, content, "variant"))))
+    return strip(F.array_join(F.filter(parts, lambda t: t != ""), NL))
 
 
 def response_text(df: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """S-19: text of a Responses-API payload (output[].content[].text joined), else the
-    first chat-completions choice's message content."""
-    p = F.from_json(F.col(payload_col), _PAYLOAD_SCHEMA)
-    parts = F.filter(F.flatten(F.transform(F.coalesce(p["output"], F.array()), lambda o: F.transform(
-        F.coalesce(o["content"], F.array()), lambda c: c["text"]))), lambda t: t.isNotNull() & (t != ""))
-    text = F.regexp_replace(F.array_join(parts, NL), r"^\s+|\s+$", "")
-    chat = F.try_element_at(p["choices"], F.lit(1))["message"]["content"]
-    return df.select("*", F.when(text != "", text).otherwise(F.coalesce(chat, F.lit(""))).alias("text"))
+    """S-19: text of a Responses-API payload (``output[].content[]``), else of all chat choices, joined by lines."""
+    staged = df.withColumn("_v", F.try_parse_json(payload_col))
+    staged = staged.withColumn("_t", _texts(F.col("_v"), "$.output", "$.content"))
+    text = F.when(F.col("_t") != "", F.col("_t")).otherwise(_texts(F.col("_v"), "$.choices", "$.message.content"))
+    return staged.withColumn("text", F.coalesce(text, F.lit(""))).drop("_v", "_t")
 
 
 def extract_code(df: DataFrame, col: str = "output") -> DataFrame:

@@ -9,20 +9,15 @@ from sluice.plans.oracle import with_ctes
 from sluice.plans.registry import register
 from sluice.sources.tables import Tables
 
-# DuckDB twin of the decode chain for the stored-response shapes: fence strip, direct,
-# first {...} span, then closing a string cut off inside the last value.
-_DECODE = r"""dec0 AS (
-  SELECT *, trim(regexp_replace(regexp_replace(trim(raw), '^```[a-zA-Z0-9_+.-]*\n?', ''), '\n?```$', '')) AS cleaned,
-         regexp_extract(raw, '(?s)\{.*\}', 0) AS span
+# What each stored shape must decode to, stated from how it was made: a key that stands twice keeps its last
+# value, a cut text is closed, a bad enum or a line end stays in the string.
+_DECODE = r"""dec AS (
+  SELECT response_id, truth, raw,
+         CASE shape WHEN 3 THEN raw || '"}' WHEN 4 THEN NULL WHEN 5 THEN raw WHEN 7 THEN raw ELSE j END AS j,
+         CASE WHEN shape IN (0, 1, 5, 7) THEN 'direct' WHEN shape <> 4 THEN 'recovered' END AS decoded_by
   FROM responses),
-dec AS (
-  SELECT *, CASE WHEN json_valid(cleaned) THEN cleaned
-                 WHEN span <> '' AND json_valid(span) THEN span
-                 WHEN json_valid(cleaned || '"}') AND json_extract(cleaned || '"}', '$.decision') IS NOT NULL
-                   THEN cleaned || '"}' END AS j,
-         CASE WHEN json_valid(cleaned) THEN 'direct'
-              WHEN (span <> '' AND json_valid(span)) OR json_valid(cleaned || '"}') THEN 'recovered' END AS decoded_by
-  FROM dec0)"""
+dd AS (
+  SELECT *, upper(regexp_replace(json_extract_string(j, '$.decision'), '^\s+|\s+$', '', 'g')) AS said FROM dec)"""
 
 
 @register("tolerant_json", with_ctes(["responses"], "WITH " + _DECODE + """
@@ -32,20 +27,11 @@ def q_tolerant_json(spark, sf_dir):
     return df.select("response_id", "decoded_by", F.try_variant_get("json", "$.decision", "string").alias("decision_raw"))
 
 
-@register("parse_decisions", with_ctes(["responses"], "WITH " + _DECODE + """
-SELECT response_id, truth, j IS NOT NULL AND json_type(j) = 'OBJECT' AS parsed,
-       CASE WHEN upper(trim(coalesce(json_extract_string(j, '$.decision'), ''))) IN ('APPROVE', 'BLOCK')
-            THEN upper(trim(json_extract_string(j, '$.decision'))) ELSE 'BLOCK' END AS decision,
+@register("parse_decisions", with_ctes(["responses"], "WITH " + _DECODE + f"""
+SELECT response_id, truth, j IS NOT NULL AS parsed, CASE WHEN said IN ('APPROVE', 'BLOCK') THEN said ELSE 'BLOCK' END AS decision,
        CAST(coalesce(json_array_length(j, '$.findings'), 0) AS BIGINT) AS n_findings,
-       CASE WHEN j IS NULL THEN 'Gate failed to parse a valid decision from the model response. Raw output: '
-                               || substring(coalesce(raw, 'None'), 1, 500)
-            WHEN trim(coalesce(json_extract_string(j, '$.justification'), '')) = ''
-              THEN 'Decision: ' || CASE WHEN upper(trim(coalesce(json_extract_string(j, '$.decision'), '')))
-                                          IN ('APPROVE', 'BLOCK')
-                                        THEN upper(trim(json_extract_string(j, '$.decision'))) ELSE 'BLOCK' END
-                   || ' (no justification provided).'
-            ELSE trim(json_extract_string(j, '$.justification')) END AS justification
-FROM dec"""), ids=("S-17",))
+       CASE WHEN j IS NULL THEN '{RS.UNREADABLE}' || coalesce(raw, '') ELSE json_extract_string(j, '$.justification') END AS justification
+FROM dd"""), ids=("S-17",))
 def q_parse_decisions(spark, sf_dir):
     df = RS.parse_decisions(Tables(spark, sf_dir).responses)
     return df.select("response_id", "truth", "parsed", "decision",
@@ -144,18 +130,28 @@ def q_review_summary(spark, sf_dir):
 
 
 def payloads(conversations):
-    """Serving payloads per conversation turn: Responses-API shape, chat shape every third turn."""
-    resp = F.to_json(F.struct(F.array(F.struct(F.array(
-        F.struct(F.lit("output_text").alias("type"), F.col("text").alias("text"))).alias("content"))).alias("output")))
-    chat = F.to_json(F.struct(F.array(F.struct(F.struct(F.col("text").alias("content")).alias("message")))
-                              .alias("choices")))
-    return conversations.select("conv_id", "turn", F.when(F.col("turn") % 3 == 0, chat).otherwise(resp).alias("payload"))
-
-
-@register("response_text", """
-SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN coalesce(text, '')
-                           ELSE coalesce(nullif(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), ''), '') END AS text
-FROM conversations""", ids=("S-19",))
+    """Serving payloads per conversation turn, by ``turn % 5``: typed and plain content elements, a plain string
+    content, several chat choices, and neither."""
+    text = F.col("text")
+    typed = F.struct(F.lit("output_text").alias("type"), text.alias("text"))
+    choice = F.struct(F.struct(text.alias("content")).alias("message"))
+    second = F.struct(F.struct(F.lit("second").alias("content")).alias("message"))
+    shapes = [
+        F.to_json(F.struct(F.array(F.struct(F.array(typed).alias("content"))).alias("output"))),
+        F.to_json(F.struct(F.array(F.struct(F.array(F.lit("plain"), text).alias("content"))).alias("output"))),
+        F.to_json(F.struct(F.array(F.struct(text.alias("content"))).alias("output"))),
+        F.to_json(F.struct(F.array(choice, second).alias("choices"))),
+    ]
+    out = F.lit("{}")
+    for k, shape in enumerate(shapes):
+        out = F.when(F.col("turn") % 5 == k, shape).otherwise(out)
+    return conversations.select("conv_id", "turn", out.alias("payload"))
+
+
+@register("response_text", r"""
+SELECT conv_id, turn, regexp_replace(CASE turn % 5 WHEN 0 THEN t WHEN 1 THEN 'plain' || chr(10) || t WHEN 2 THEN t
+                                     WHEN 3 THEN t || chr(10) || 'second' ELSE '' END, '^\s+|\s+$', '', 'g') AS text
+FROM (SELECT conv_id, turn, coalesce(text, '') AS t FROM conversations)""", ids=("S-19",))
 def q_response_text(spark, sf_dir):
     return RS.response_text(payloads(Tables(spark, sf_dir).conversations)).select("conv_id", "turn", "text")
 
@@ -163,7 +159,7 @@ def q_response_text(spark, sf_dir):
 def model_outputs(documents):
     d = F.col("doc_id")
     out = (F.when(d % 3 == 0, F.concat(F.lit("Here is the fix:\n```python\n"), F.col("text"), F.lit("\n\n```\nDone.")))
-           .when(d % 3 == 1, F.lit("```\n   \n```")).otherwise(F.col("text")))
+           .when(d % 3 == 1, F.concat(F.lit("```\n   \n```\n"), F.col("text"))).otherwise(F.col("text")))
     return documents.select("doc_id", out.alias("output"))
 
 
@@ -175,7 +171,7 @@ SELECT doc_id, CASE WHEN regexp_matches(o, '(?s)```[a-zA-Z0-9_+.-]*\n(.*?)```')
                          || chr(10) END AS code
 FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'Here is the fix:' || chr(10) || '```python' || chr(10) || text
                                                     || chr(10) || chr(10) || '```' || chr(10) || 'Done.'
-                          WHEN doc_id % 3 = 1 THEN '```' || chr(10) || '   ' || chr(10) || '```' ELSE text END AS o
+                          WHEN doc_id % 3 = 1 THEN '```' || chr(10) || '   ' || chr(10) || '```' || chr(10) || text ELSE text END AS o
       FROM documents)""", ids=("S-20",))
 def q_extract_code(spark, sf_dir):
     return RS.extract_code(model_outputs(Tables(spark, sf_dir).documents)).select("doc_id", "code")
