@@ -2,8 +2,8 @@
 
 Rule blocks start at ``### [ID] Title`` lines. A document row is split at those lines
 with one ``split`` (a lookahead keeps the heading), so every document is parsed whole
-inside its own row. Retrieval is brute force but distributed: lexical TF-IDF through an
-inverted-index equi-join (hot terms salted), cosine top-k against a bounded query set.
+inside its own row. Retrieval is brute force but distributed: every corpus row is scored
+where it is read, against a query set whose size is measured.
 """
 
 from __future__ import annotations
@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.session import DEFAULT_BROADCAST_LIMIT, estimated_size, fits_broadcast, materialize, sized_broadcast
+from sluice.session import DEFAULT_BROADCAST_LIMIT
 
 NL = "\n"
 # Defaults of the rule format and of the compact prompt lines.
 DEFAULT_SEVERITY = "SUGGESTION"
-BODY_LIMIT = 400
-HEADING_SPLIT = r"\n(?=###\s+\[[A-Z]+-[0-9]+\]\s+\S)"
-HEADING = r"^###\s+\[([A-Z]+-[0-9]+)\]\s+(.+?)\s*$"
+# A heading is one line: its parts are apart by blanks, so a heading without a title is none.
+HEADING_SPLIT = r"\n(?=###[ \t]+\[[A-Z]+-[0-9]+\][ \t]+\S)"
+HEADING = r"^###[ \t]+\[([A-Z]+-[0-9]+)\][ \t]+(.+?)\s*$"
 FIELD = r"-\s+\*\*{name}:\*\*\s+(.+)"
 SEVERITY_LINE = r"\*\*Severity:\*\*\s*(BLOCKER|SUGGESTION|STYLE)"
 CITATION_LINE = r"\*\*Citation:\*\*\s*(.+)"
@@ -31,8 +31,7 @@ def _strip(c: Column) -> Column:
 
 def rule_blocks(docs: DataFrame, text_col: str = "block", key_cols=("doc_id",)) -> DataFrame:
     """One row per rule block of each document: (rule_no, heading line, lines after it)."""
-    parts = F.split(F.concat(F.lit(NL), F.coalesce(F.col(text_col), F.lit(""))), HEADING_SPLIT)
-    staged = docs.select(*key_cols, "category", F.posexplode(F.slice(parts, 2, 1 << 30)).alias("rule_no", "_b"))
+    staged = docs.select(*key_cols, "category", F.posexplode(_block_array(F.col(text_col))).alias("rule_no", "_b"))
     lines = F.split(F.col("_b"), NL)
     return staged.select(*key_cols, "category", (F.col("rule_no") + 1).alias("rule_no"),
                          F.try_element_at(lines, F.lit(1)).alias("heading"),
@@ -60,49 +59,63 @@ def parse_rules(docs: DataFrame, text_col: str = "block", key_cols=("doc_id",))
     )
 
 
-def compact_rules(docs: DataFrame, text_col: str = "block", key_cols=("doc_id",),
-                  default_topic: str = "ML Model Lifecycle") -> DataFrame:
-    """S-12: one prompt line per rule: ``- ID [SEV] (Citation: ...): body[:400]``.
+def _block_array(text: Column) -> Column:
+    """The rule blocks of a document's text."""
+    return F.slice(F.split(F.concat(F.lit(NL), F.coalesce(text, F.lit(""))), HEADING_SPLIT), 2, 1 << 30)
 
-    Example lines (starting with the cross/check marks) and sub-bullets are dropped,
-    the body falls back to the title.
-    """
-    b = rule_blocks(docs, text_col, key_cols)
-    rule_id = F.regexp_extract("heading", r"^###\s+\[([A-Z]+-[0-9]+)\]\s+(.+)$", 1)
-    title = _strip(F.regexp_extract("heading", r"^###\s+\[([A-Z]+-[0-9]+)\]\s+(.+)$", 2))
-    sev_lines = F.filter("body_lines", lambda ln: ln.rlike(SEVERITY_LINE))
-    non_sev = F.filter("body_lines", lambda ln: ~ln.rlike(SEVERITY_LINE))
-    cit_lines = F.filter(non_sev, lambda ln: ln.rlike(CITATION_LINE))
-    # the last Severity / Citation line of a block wins, as in a line-by-line read
-    sev = F.regexp_extract(F.try_element_at(sev_lines, F.lit(-1)), SEVERITY_LINE, 1)
-    cit = _strip(F.regexp_extract(F.try_element_at(cit_lines, F.lit(-1)), CITATION_LINE, 1))
+
+def _compact(block: Column, default_topic: str, body_limit: int | None) -> Column:
+    """struct(rule_id, rule_line) of one block; the last Severity / Citation line wins."""
+    lines = F.split(block, NL)
+    heading, body_lines = F.try_element_at(lines, F.lit(1)), F.slice(lines, 2, 1 << 30)
+    rule_id, title = F.regexp_extract(heading, HEADING, 1), _strip(F.regexp_extract(heading, HEADING, 2))
+    non_sev = F.filter(body_lines, lambda ln: ~ln.rlike(SEVERITY_LINE))
+    sev = F.regexp_extract(F.try_element_at(F.filter(body_lines, lambda ln: ln.rlike(SEVERITY_LINE)), F.lit(-1)), SEVERITY_LINE, 1)
+    cit = _strip(F.regexp_extract(F.try_element_at(F.filter(non_sev, lambda ln: ln.rlike(CITATION_LINE)), F.lit(-1)), CITATION_LINE, 1))
     kept = F.filter(F.transform(F.filter(non_sev, lambda ln: ~ln.rlike(CITATION_LINE)), _strip),
-                    lambda s: (s != "") & ~s.startswith("❌") & ~s.startswith("✅") & ~s.startswith("-")
-                    & ~s.contains("**Severity:**") & ~s.contains("**Citation:**"))
+                    lambda x: (x != "") & ~x.startswith("❌") & ~x.startswith("✅") & ~x.startswith("-")
+                    & ~x.contains("**Severity:**") & ~x.contains("**Citation:**"))
     body = _strip(F.array_join(kept, " "))
     body = F.when(body == "", title).otherwise(body)
-    citation = F.when(F.coalesce(cit, F.lit("")) != "", cit).otherwise(
-        F.concat(F.lit(f"Handbook › {default_topic} › "), rule_id))
+    if body_limit is not None:
+        body = F.substring(body, 1, body_limit)
+    citation = F.when(F.coalesce(cit, F.lit("")) != "", cit).otherwise(F.concat(F.lit(f"Handbook › {default_topic} › "), rule_id))
     line = F.concat(F.lit("- "), rule_id, F.lit(" ["), F.when(sev != "", sev).otherwise(F.lit(DEFAULT_SEVERITY)),
-                    F.lit("] (Citation: "), citation, F.lit("): "), F.substring(body, 1, BODY_LIMIT))
-    return b.select(*key_cols, "rule_no", rule_id.alias("rule_id"), line.alias("rule_line"))
+                    F.lit("] (Citation: "), citation, F.lit("): "), body)
+    return F.struct(rule_id.alias("rule_id"), line.alias("rule_line"))
+
+
+def compact_rules(docs: DataFrame, text_col: str = "block", key_cols=("doc_id",),
+                  default_topic: str = "ML Model Lifecycle", body_limit: int | None = None) -> DataFrame:
+    """S-12: one prompt line per rule: ``- ID [SEV] (Citation: ...): body``.
 
+    Example lines (starting with the cross/check marks) and sub-bullets are dropped,
+    the body falls back to the title. ``body_limit`` cuts bodies to that many characters.
+    """
+    blocks = docs.select(*key_cols, F.posexplode(_block_array(F.col(text_col))).alias("_n", "_b"))
+    return blocks.select(*key_cols, (F.col("_n") + 1).alias("rule_no"), _compact(F.col("_b"), default_topic, body_limit).alias("_c")).select(
+        *key_cols, "rule_no", "_c.rule_id", "_c.rule_line")
 
-def rules_text(docs: DataFrame, compact: DataFrame, default_rules: str, key_cols=("doc_id",)) -> DataFrame:
-    """S-12: per document the compact lines joined, or the default rules when none parse."""
-    per = compact.groupBy(*key_cols).agg(
-        F.count(F.lit(1)).alias("n_rules"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rule_no", "rule_line"))),
-                                 lambda s: s["rule_line"]), NL).alias("_t"))
-    j = docs.select(*key_cols).join(per, list(key_cols), "left")
-    return j.select(*key_cols, F.coalesce(F.col("n_rules"), F.lit(0)).cast("bigint").alias("n_rules"),
-                    F.coalesce(F.col("_t"), F.lit(default_rules)).alias("rules_text"))
+
+def rules_text(docs: DataFrame, default_rules: str, text_col: str = "block", key_cols=("doc_id",),
+               default_topic: str = "ML Model Lifecycle", body_limit: int | None = None) -> DataFrame:
+    """S-12: per document the compact lines joined, or the default rules when none parse; computed in the row."""
+    lines = F.transform(_block_array(F.col(text_col)), lambda b: _compact(b, default_topic, body_limit)["rule_line"])
+    staged = docs.select(*key_cols, lines.alias("_l"))
+    n = F.size("_l")
+    return staged.select(*key_cols, n.cast("bigint").alias("n_rules"),
+                         F.when(n > 0, F.array_join("_l", NL)).otherwise(F.lit(default_rules)).alias("rules_text"))
 
 
 def content_hash(cols: list[str]) -> Column:
     return F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("")) for c in cols]), 256)
 
 
+def content_hash_of(struct: str, cols=("title", "content", "citation", "category", "severity_hint")) -> Column:
+    """``content_hash`` of a struct column's fields."""
+    return content_hash([f"{struct}.{c}" for c in cols])
+
+
 def index_change_set(old: DataFrame, new: DataFrame, key: str = "rule_id",
                      cols=("title", "content", "citation", "category", "severity_hint")) -> DataFrame:
     """ST-03: insert / update / delete rows between two snapshots by content hash.
@@ -123,48 +136,38 @@ def tokens(text: Column) -> Column:
 
 
 def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: str = "doc_id",
-               query_key: str = "query_id", text_col: str = "text", salt_buckets: int = 16,
-               broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+               query_key: str = "query_id", text_col: str = "text", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Top-``k`` corpus rows per query by TF-IDF: score = sum over query terms of tf * ln(N / df).
 
-    Only query terms' postings are kept (semi-join on the query vocabulary). When the
-    query set fits the broadcast limit its terms are broadcast to the postings; beyond
-    it the postings join is a shuffle equi-join on the term, salted by a hash of the doc
-    into ``salt_buckets`` so a term present in most documents is spread over many tasks.
-    (query, doc) partial scores are combined map-side, and ``row_number() <= k`` is a
-    WindowGroupLimit. idf is fixed
-    in integer nano-units and sums are integral, so equal documents tie exactly.
+    Nothing is written. A corpus whose text is measured to fit the broadcast limit (a
+    handbook) is broadcast as weighted postings and the queries are scored where they are
+    read. Else a query set that fits is broadcast and the corpus is read twice: once for
+    the document frequencies of the query terms, counted on the map side, once to score
+    every document where it is read. Beyond that the sides are joined on the term, which
+    adaptive execution splits where it is hot. ``row_number() <= k`` is a
+    WindowGroupLimit. idf is fixed in integer nano-units and sums are integral, so equal
+    documents tie exactly.
     """
-    q_vocab = queries.select(F.explode(tokens(F.col(text_col))).alias("term")).distinct()
-    # only query terms are ever scored: keep just their postings before the shuffle
-    # (a semi-join against the query vocabulary, broadcast when its size is bounded)
-    # explode the raw split and drop empty tokens as rows (no per-document array copy)
-    postings = (corpus.select(corpus_key, F.explode(F.split(F.lower(text_col), TOKEN_SPLIT)).alias("term"))
-                .where(F.col("term") != "")
-                .join(sized_broadcast(q_vocab), "term", "left_semi")
-                .groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf")))
-    # both document frequencies and scores read the postings: write them once (shared folder)
-    postings = materialize(postings, "postings")
+    fits = lambda df: (df.agg(F.sum(F.length(text_col))).first()[0] or 0) * 8 <= broadcast_limit  # noqa: E731  a term and its key, about
+    # raw splits are exploded and empty tokens dropped as rows (no array copy per document)
+    terms = corpus.select(corpus_key, F.explode(F.split(F.lower(text_col), TOKEN_SPLIT)).alias("term")).where("term <> ''")
+    q_terms = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
     n_docs = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
-    # count(tf) keeps the (doc, term) aggregation identical to the scoring branch, so the
-    # planner reuses one exchange and the corpus is tokenized once
-    df_t = postings.groupBy("term").agg(F.count("tf").alias("df"))
     # idf in integer nano-units: floor(x * 1e9 + 0.5) is the same in every IEEE engine
-    idf = df_t.select("term", F.floor(F.log(n_docs.cast("double") / F.col("df")) * F.lit(1e9) + F.lit(0.5))
-                      .cast("bigint").alias("idf")).where(F.col("idf") > 0)
-    q_terms = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
-    q_terms = q_terms.join(idf, "term")  # zero-idf terms add nothing to any score: dropped exactly
-    if fits_broadcast(queries, broadcast_limit, lookup=True):
-        # the query terms are bounded by the query texts: broadcast them. Postings are
-        # hash-partitioned by document first, so every (query, doc) sum is complete within
-        # its partition: the aggregation needs no shuffle of the (query, doc, term) pairs.
-        pairs = postings.repartition(corpus_key).join(F.broadcast(q_terms), "term")
+    idf = F.floor(F.log(n_docs.cast("double") / F.col("df")) * F.lit(1e9) + F.lit(0.5)).cast("bigint")
+    if fits(corpus):
+        postings = terms.groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf"))
+        weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf")).where("idf > 0")
+        weighted = postings.join(weights, "term").select(corpus_key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+        pairs = q_terms.join(F.broadcast(weighted), "term")
     else:
-        salted_q = q_terms.select("*", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("_s"))
-        salted_p = postings.select("*", F.pmod(F.xxhash64(corpus_key), F.lit(salt_buckets)).cast("int").alias("_s"))
-        pairs = salted_q.join(salted_p, ["term", "_s"])
-    scores = pairs.groupBy(query_key, corpus_key).agg(F.sum(F.col("tf") * F.col("idf")).alias("_score_e9"))
-    scores = scores.withColumn("_score", F.col("_score_e9").cast("double") / F.lit(1e9))
+        ship = F.broadcast if fits(queries) else (lambda df: df)
+        df_t = (corpus.select(F.explode(F.array_distinct(F.split(F.lower(text_col), TOKEN_SPLIT))).alias("term"))
+                .join(ship(q_terms.select("term").distinct()), "term", "left_semi")
+                .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+        weights = df_t.select("term", idf.alias("w")).where("w > 0")  # zero-idf terms add nothing to any score
+        pairs = terms.join(ship(q_terms.join(ship(weights), "term")), "term")
+    scores = pairs.groupBy(query_key, corpus_key).agg(F.sum("w").alias("_score_e9")).withColumn("_score", F.col("_score_e9").cast("double") / F.lit(1e9))
     w = Window.partitionBy(query_key).orderBy(F.desc("_score_e9"), corpus_key)
     return (scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(query_key, "rank", corpus_key, F.col("_score").alias("score")))
@@ -177,38 +180,38 @@ def _dot(a: Column, b: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return _dot(a, b) / (F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
+    """Cosine of two vectors; NULL where one has no length."""
+    return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
 
 def vector_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id",
-                 vec: str = "embedding", exclude_self: bool = True, query_limit: int = DEFAULT_BROADCAST_LIMIT,
-                 buckets: int = 64) -> DataFrame:
-    """Top-``k`` cosine neighbours of each query vector, scores rounded to 6 decimals.
-
-    When the optimizer bounds the query set below ``query_limit`` it is attached to every
-    corpus row as one array (a scalar subquery: no join, no shuffle of the corpus) and
-    each corpus row is scored map-side. Beyond the limit the queries are replicated over
-    ``buckets`` and equi-joined to corpus rows hashed into the same buckets.
+                 vec: str = "embedding", exclude_self: bool = True, query_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Top-``k`` cosine neighbours of each query vector, ranked by the exact cosine, ties to the smaller key.
+
+    The reported score is rounded to 6 decimals after ranking. Vectors without length have
+    no cosine and take no part. A query set that is measured to fit ``query_limit`` is
+    attached to every corpus row as one array (a scalar subquery: no join, no shuffle of
+    the corpus); each partition keeps its ``k`` best per query before anything moves.
+    Beyond the limit, query blocks of that size are scored one after the other.
     """
     q = queries.select(F.col(key).alias("query_id"), F.col(vec).alias("_qv"))
-    size = estimated_size(q)
     c = corpus.select(F.col(key).alias("match_id"), F.col(vec).alias("_v"))
-    if size is not None and size <= query_limit:
-        qs = q.agg(F.collect_list(F.struct("query_id", "_qv")).alias("qs")).scalar()
+    shipped = q.agg(F.sum(F.size("_qv") * 8 + 32)).first()[0] or 0
+    blocks = max(1, -(-int(shipped) // query_limit))
+    w = Window.partitionBy("query_id").orderBy(F.desc("_cos"), "match_id")
+    best = None
+    for block in range(blocks):
+        part = q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
+        qs = part.agg(F.collect_list(F.struct("query_id", "_qv")).alias("qs")).scalar()
         # the query array is projected first: subqueries may not sit inside lambdas
-        scored = c.withColumn("_qs", qs).select("match_id", F.explode(F.transform("_qs", lambda s: F.struct(
-            s["query_id"].alias("query_id"), cosine(s["_qv"], F.col("_v")).alias("_cos")))).alias("_r")) \
-            .select("match_id", "_r.query_id", "_r._cos")
-    else:
-        qb = q.select("*", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("_b"))
-        cb = c.select("*", F.pmod(F.xxhash64("match_id"), F.lit(buckets)).alias("_b"))
-        scored = qb.join(cb, "_b").select("match_id", "query_id", cosine(F.col("_qv"), F.col("_v")).alias("_cos"))
-    if exclude_self:
-        scored = scored.where(F.col("match_id") != F.col("query_id"))
-    scored = scored.withColumn("score", F.col("_cos").cast("decimal(20,6)").cast("double"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "match_id")
-    return (scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "match_id", "score"))
+        scored = c.withColumn("_qs", qs).select("match_id", F.explode(F.transform("_qs", lambda x: F.struct(
+            x["query_id"].alias("query_id"), cosine(x["_qv"], F.col("_v")).alias("_cos")))).alias("_r")) \
+            .select("match_id", "_r.query_id", "_r._cos").where(F.col("_cos").isNotNull())
+        if exclude_self:
+            scored = scored.where(F.col("match_id") != F.col("query_id"))
+        top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        best = top if best is None else best.unionByName(top)
+    return best.select("query_id", "rank", "match_id", F.col("_cos").cast("decimal(20,6)").cast("double").alias("score"))
 
 
 def label_centroids(vectors: DataFrame, label: str = "label", vec: str = "embedding", scale: float = 1e6) -> DataFrame:

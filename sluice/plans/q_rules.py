@@ -84,7 +84,7 @@ lines_c AS (
   SELECT doc_id, rule_no, rule_id,
          '- ' || rule_id || ' [' || coalesce(nullif(sev, ''), 'SUGGESTION') || '] (Citation: '
          || CASE WHEN coalesce(cit, '') <> '' THEN cit ELSE 'Handbook › ML Model Lifecycle › ' || rule_id END
-         || '): ' || substring(CASE WHEN coalesce(body, '') = '' THEN title ELSE body END, 1, 400) AS rule_line
+         || '): ' || CASE WHEN coalesce(body, '') = '' THEN title ELSE body END AS rule_line
   FROM compact)"""
 
 
@@ -101,7 +101,7 @@ FROM rule_docs d LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(rule_line,
           ids=("S-12",))
 def q_rules_text(spark, sf_dir):
     docs = Tables(spark, sf_dir).rule_docs
-    return RL.rules_text(docs, RL.compact_rules(docs), DEFAULT_ML_RULES)
+    return RL.rules_text(docs, DEFAULT_ML_RULES)
 
 
 def _snapshots(t: Tables):
@@ -166,13 +166,12 @@ _VEC = """vq AS (
         GROUP BY label, i)
   GROUP BY label),
 vs AS (SELECT vq.query_id, e.vec_id AS match_id,
-              CAST(CAST(list_dot_product(vq.qv, CAST(e.embedding AS DOUBLE[]))
-                   / (sqrt(list_dot_product(vq.qv, vq.qv))
-                      * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))))
-                   AS DECIMAL(20,6)) AS DOUBLE) AS score
-       FROM vq CROSS JOIN embeddings e),
-vtop AS (SELECT query_id, CAST(rank AS INT) AS rank, match_id, score
-         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, match_id) AS rank FROM vs)
+              list_dot_product(vq.qv, CAST(e.embedding AS DOUBLE[]))
+              / (sqrt(list_dot_product(vq.qv, vq.qv))
+                 * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS cosine
+       FROM vq CROSS JOIN embeddings e WHERE list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])) > 0),
+vtop AS (SELECT query_id, CAST(rank AS INT) AS rank, match_id, CAST(CAST(cosine AS DECIMAL(20,6)) AS DOUBLE) AS score
+         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, match_id) AS rank FROM vs)
          WHERE rank <= 3)"""
 
 

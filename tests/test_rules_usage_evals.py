@@ -45,10 +45,24 @@ def test_compact_rules_and_default_text(spark):
     assert lines["ML-01"] == ("- ML-01 [BLOCKER] (Citation: Handbook › ML › ML-01): "
                               "A hyperparameter change needs a new threshold.")
     assert lines["ML-02"].startswith("- ML-02 [SUGGESTION] (Citation: Handbook › ML Model Lifecycle › ML-02)")
-    text = {r.doc_id: (r.n_rules, r.rules_text) for r in RL.rules_text(docs, compact, DEFAULT_ML_RULES).collect()}
+    text = {r.doc_id: (r.n_rules, r.rules_text) for r in RL.rules_text(docs, DEFAULT_ML_RULES).collect()}
     assert text[0][0] == 2 and text[1] == (0, DEFAULT_ML_RULES) and text[2] == (0, DEFAULT_ML_RULES)
 
 
+def test_a_heading_without_title_is_no_rule_and_bodies_are_whole(spark):
+    docs = _docs(spark, ["### [AB-1]\nnot a rule\n### [AB-2]  Titled\n" + "word " * 200])
+    assert [r.rule_id for r in RL.parse_rules(docs).collect()] == ["AB-2"]
+    assert [r.rule_line for r in RL.compact_rules(docs).collect()] == ["- AB-2 [SUGGESTION] (Citation: Handbook › ML Model Lifecycle › AB-2): " + ("word " * 200).strip()]
+    assert RL.compact_rules(docs, body_limit=9).first().rule_line.endswith("word word")
+
+
+def test_top_k_ranks_exact_cosines_and_skips_zero_vectors(spark):
+    emb = spark.createDataFrame([(5, [1.0, 0.0001]), (9, [1.0, 0.0]), (3, [0.0, 0.0])], "vec_id int, embedding array<float>")
+    q = spark.createDataFrame([(0, [2.0, 0.0]), (1, [0.0, 0.0])], "vec_id int, embedding array<float>")
+    for limit in (1, 1 << 20):
+        assert rows(RL.vector_top_k(emb, q, k=1, exclude_self=False, query_limit=limit), "query_id", "match_id", "score") == [(0, 9, 1.0)]
+
+
 def test_index_change_set(spark):
     schema = "rule_id string, title string, content string, citation string, category string, severity_hint string"
     old = spark.createDataFrame([("A-1", "t", "c", "x", "k", "S"), ("B-1", "t", "c", "x", "k", "S"),
@@ -69,7 +83,7 @@ def test_text_and_vector_top_k(spark):
                                 "vec_id int, embedding array<float>")
     vt = RL.vector_top_k(emb, emb.where("vec_id = 0"), k=2)
     assert rows(vt, "query_id", "rank", "match_id") == [(0, 1, 1), (0, 2, 2)]
-    forced = RL.vector_top_k(emb, emb.where("vec_id = 0"), k=2, query_limit=0, buckets=3)
+    forced = RL.vector_top_k(emb, emb.where("vec_id = 0"), k=2, query_limit=1)
     assert rows(forced, "match_id", "score") == rows(vt, "match_id", "score")
 
 
@@ -119,12 +133,13 @@ def test_eval_scores_and_gate(spark):
     assert not any(r.passed for r in no_cases.collect())
 
 
-def test_text_top_k_salted_path_matches(spark):
+def test_text_top_k_is_the_same_whatever_is_shipped(spark):
     words = ["cross", "env", "prod", "collect", "driver", "select", "table", "the", "a", "of"]
     corpus = spark.createDataFrame([(i, " ".join(words[(i * j) % 10] for j in range(1, 12))) for i in range(60)],
                                    "doc_id int, text string")
     q = spark.createDataFrame([(1, "prod env the"), (2, "collect driver"), (3, "select table of a")],
                               "query_id int, text string")
     broadcast = rows(RL.text_top_k(corpus, q, k=3))
-    salted = rows(RL.text_top_k(corpus, q, k=3, broadcast_limit=0, salt_buckets=4))
-    assert broadcast == salted and len(broadcast) == 9
+    joined = rows(RL.text_top_k(corpus, q, k=3, broadcast_limit=0))
+    queries_only = rows(RL.text_top_k(corpus, q, k=3, broadcast_limit=500))
+    assert broadcast == joined == queries_only and len(broadcast) == 9
