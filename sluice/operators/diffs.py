@@ -53,7 +53,7 @@ def linter_for(path: Column) -> Column:
 
 def content_check(content: Column) -> tuple[Column, Column]:
     """P-06: (ok, reason) - content must be non-blank."""
-    ok = content.isNotNull() & (F.trim(content) != "")
+    ok = content.isNotNull() & content.rlike(r"\S")
     return ok, F.when(ok, F.lit("")).otherwise(F.lit("empty content"))
 
 

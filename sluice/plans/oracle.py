@@ -44,24 +44,36 @@ FROM events""",
     "runs": """
 SELECT event_id AS run_id, event_type AS model_name,
        CASE user_id % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'staging' ELSE 'prod' END AS env,
-       ts AS start_time, value AS mae, CAST(100.0 AS DOUBLE) AS max_acceptable_mae,
-       CAST(50 + 25 * (event_id % 3) AS INT) AS n_estimators, CAST(4 + event_id % 5 AS INT) AS max_depth,
+       ts AS start_time, CASE WHEN event_id % 17 <> 0 THEN value END AS mae,
+       CASE WHEN event_id % 5 = 0 THEN 105.0::DOUBLE ELSE 100.0::DOUBLE END AS max_acceptable_mae,
+       CASE WHEN event_id % 13 <> 0 THEN CAST(50 + 25 * (event_id % 3) AS INT) END AS n_estimators, CAST(4 + event_id % 5 AS INT) AS max_depth,
+       CASE WHEN event_id % 7 <> 0 THEN 'day_of_week,store_id' WHEN event_id % 2 = 0 THEN 'day_of_week' END AS features,
        CAST(json_extract_string(props, '$.k') AS INT) AS min_samples_leaf
 FROM events""",
     "change_files": """
-SELECT doc_id, CAST(floor(doc_id / 5) AS BIGINT) AS change_id,
-       concat('src/', source, '/d', CAST(doc_id AS VARCHAR),
-              CASE doc_id % 4 WHEN 0 THEN '.py' WHEN 1 THEN '.sql' WHEN 2 THEN '.yml' ELSE '.md' END) AS path,
-       concat('@@ -0,0 +1,', CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS VARCHAR), ' @@',
-              chr(10), '+', replace(text, chr(10), concat(chr(10), '+'))) AS hunk,
-       text
-FROM documents""",
-    "responses": """
-SELECT l.doc_id AS response_id, CASE WHEN quality = 1 THEN 'APPROVE' ELSE 'BLOCK' END AS truth,
-       CASE l.doc_id % 6
+SELECT doc_id, change_id, path, text, kind,
+       length(text) - length(replace(text, chr(10), '')) + 1 AS n_lines
+FROM (SELECT doc_id, CAST(floor(doc_id / 5) AS BIGINT) AS change_id,
+             concat('src/', source, '/d', CAST(doc_id AS VARCHAR),
+                    CASE doc_id % 4 WHEN 0 THEN '.py' WHEN 1 THEN '.sql' WHEN 2 THEN '.yml' ELSE '.md' END) AS path,
+             text || CASE doc_id % 13
+               WHEN 0 THEN chr(10) || 'rows = df.collect()' WHEN 1 THEN chr(10) || 'SELECT * FROM sales'
+               WHEN 2 THEN chr(10) || 'SELECT store FROM sales ORDER BY 2' WHEN 3 THEN chr(10) || 'source = mlops_prod.sales'
+               WHEN 4 THEN chr(10) || 'CREATE TABLE dailySales (id INT)' WHEN 5 THEN chr(10) || 'catalog: "main_prod"'
+               WHEN 6 THEN chr(10) || 'home = os.environ["HOME"]' WHEN 7 THEN repeat('SELECT * FROM sales' || chr(10), 60)
+               WHEN 8 THEN repeat('-- note' || chr(10), 230) WHEN 9 THEN chr(10) || 'password = "correct-horse-battery"'
+               ELSE '' END AS text,
+             CASE WHEN doc_id % 6 = 1 THEN 'two' WHEN doc_id % 6 = 2 THEN 'rename' WHEN doc_id % 12 = 3 THEN 'binary' ELSE 'new' END AS kind
+      FROM documents)""",
+    "responses": r"""
+SELECT l.doc_id AS response_id, CASE WHEN quality = 1 THEN 'APPROVE' ELSE 'BLOCK' END AS truth, l.doc_id % 9 AS shape, j,
+       CASE l.doc_id % 9
          WHEN 0 THEN j WHEN 1 THEN concat('```json', chr(10), j, chr(10), '```')
          WHEN 2 THEN concat('Decision follows: ', j, ' done {') WHEN 3 THEN substring(j, 1, length(j) - 12)
-         WHEN 4 THEN 'no json here' ELSE replace(j, '"decision": "', '"decision": "X') END AS raw
+         WHEN 4 THEN 'no json here' WHEN 5 THEN replace(j, '"decision": "', '"decision": "X')
+         WHEN 6 THEN '{"decision": "BLOCK", ' || substring(j, 2)
+         WHEN 7 THEN replace(j, '", "findings"', '\n", "findings"')
+         ELSE substring(j, 1, length(j) - 2) || '\' END AS raw
 FROM (SELECT doc_id, quality, concat('{"decision": "', CASE WHEN quality = 1 THEN 'approve' ELSE 'BLOCK' END,
         '", "findings": [{"rule_id": "ML-03", "severity": "blocker", "message": "doc ', CAST(doc_id AS VARCHAR),
         '"}], "justification": "generated text"}') AS j FROM labels) l""",
@@ -71,6 +83,12 @@ SELECT lang AS category, doc_id, concat('### [', upper(lang), '-', CAST(doc_id A
        CASE doc_id % 3 WHEN 0 THEN 'BLOCKER' WHEN 1 THEN 'SUGGESTION' ELSE 'STYLE' END,
        chr(10), '- **Citation:** Rules > ', lang, chr(10), chr(10), text) AS block
 FROM documents""",
+    "handbook": r"""
+SELECT 'Items' AS category, item_id AS doc_id, text, item_id % 7 <> 6 AS titled, 'IT-' || CAST(item_id AS VARCHAR) AS rule_id,
+       'Item ' || CAST(item_id AS VARCHAR) AS title,
+       CASE WHEN item_id % 5 = 4 THEN 'SUGGESTION' WHEN item_id % 3 = 0 THEN 'BLOCKER' WHEN item_id % 3 = 1 THEN 'SUGGESTION' ELSE 'STYLE' END AS severity_hint,
+       CASE WHEN item_id % 5 = 4 THEN 'Handbook › Items › IT-' || CAST(item_id AS VARCHAR) ELSE 'Items > ' || CAST(item_id AS VARCHAR) END AS citation
+FROM benchmark""",
 }
 
 

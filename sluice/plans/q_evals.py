@@ -9,22 +9,21 @@ from sluice.operators import evals as E
 from sluice.operators import promotion as P
 from sluice.operators import registry as G
 from sluice.operators import review as V
+from sluice.operators import rules as RL
 from sluice.plans.oracle import with_ctes
-from sluice.plans.q_diffs import _LINES as _CHANGE_LINES  # noqa: F401  (same line shape, keyed by change)
-from sluice.plans.q_diffs import _lang_sql, q
+from sluice.plans.q_diffs import _lang_sql, q, rule_hits_sql
 from sluice.plans.q_registry import _REPLAY, _VERSIONS
 from sluice.plans.registry import register
 from sluice.sources.tables import Tables
 
 
 def _cases(t: Tables):
-    """Eval cases: labelled documents presented as added-file diffs, expectations from the labels."""
-    files = t.labels.join(t.documents.select("doc_id", "text"), "doc_id").join(
-        t.change_files.select("doc_id", "path"), "doc_id")
+    """Eval cases: labelled documents as added-file diffs; expectations from the lines that were put into them."""
+    files = t.change_files.select("doc_id", "path", "text").join(t.labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    k, python = F.col("doc_id") % 13, F.col("doc_id") % 4 == 0
     return files.select(
-        F.col("doc_id").alias("case_id"), D.as_added_diff(F.col("path"), F.col("text")).alias("diff"),
-        (F.col("toxic") == 1).alias("has_cross_env"), (F.col("quality") == 0).alias("has_transform_issue"),
-        ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("is_clean"))
+        F.col("doc_id").alias("case_id"), D.as_added_diff(F.col("path"), F.col("text")).alias("diff"), (k == 3).alias("has_cross_env"),
+        (k.isin(0, 6) & python).alias("has_transform_issue"), k.isin(10, 11, 12).alias("is_clean"))
 
 
 def _case_findings(cases):
@@ -32,22 +31,12 @@ def _case_findings(cases):
     return V.policy_scan(D.diff_added_lines(files, key_cols=("case_id",)), key_cols=("case_id",))
 
 
-def _scan_cases_sql() -> str:
-    parts = []
-    for i, r in enumerate(V.policy_rules()):
-        subject = "lower(text)" if r.lowercase else "text"
-        lang = "" if r.languages is None else f"language IN ({', '.join(q(x) for x in r.languages)}) AND "
-        parts.append(f"SELECT case_id, {q(r.rule_id)} AS rule_id FROM clines WHERE {lang}"
-                     f"regexp_matches({subject}, {q(r.pattern)})")
-    return "cfind AS (\n" + "\nUNION ALL\n".join(parts) + ")"
-
-
 _CASES = f"""cases AS (
-  SELECT l.doc_id AS case_id, l.toxic = 1 AS has_cross_env, l.quality = 0 AS has_transform_issue,
-         l.quality = 1 AND l.toxic = 0 AS is_clean, c.path, {_lang_sql('c.path')} AS language, c.text
-  FROM labels l JOIN change_files c ON l.doc_id = c.doc_id),
+  SELECT c.doc_id AS case_id, c.doc_id % 13 = 3 AS has_cross_env, c.doc_id % 13 IN (0, 6) AND c.doc_id % 4 = 0 AS has_transform_issue,
+         c.doc_id % 13 IN (10, 11, 12) AS is_clean, c.path, {_lang_sql('c.path')} AS language, c.text
+  FROM change_files c WHERE c.doc_id IN (SELECT doc_id FROM labels)),
 clines AS (SELECT case_id, language, unnest(string_split(text, chr(10))) AS text FROM cases),
-{_scan_cases_sql()},
+cfind AS ({rule_hits_sql('clines', 'case_id')}),
 scores AS (
   SELECT c.case_id,
          coalesce(x.env01, false) = c.has_cross_env AS caught_cross_env_ref,
@@ -89,30 +78,28 @@ def _metric_map(prefix: str = ""):
 
 def _gate_cases(t: Tables):
     replay = G.promotion_replay(t.runs)
-    champ = replay.select("model_name", "env", F.col("run_id").alias("champion_run_id"), F.col("mae").alias("c_mae"),
-                          F.col("max_acceptable_mae").alias("c_max_acceptable_mae"))
-    pairs = replay.join(champ, ["model_name", "env", "champion_run_id"], "left")
-    diff = G.config_diff(pairs.select("model_name", "env", "version", "run_id", "champion_run_id"), t.runs)
-    diff_text = diff.groupBy("model_name", "env", "version").agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("key", "old_value", "new_value"))),
-        lambda s: F.concat(s["key"], F.lit(": "), F.coalesce(s["old_value"], F.lit("(none)")), F.lit(" -> "),
-                           F.coalesce(s["new_value"], F.lit("(none)")))), "\n").alias("config_diff"))
-    return pairs.join(diff_text, ["model_name", "env", "version"], "left").select(
+    keys, old, new = F.array_sort(F.array_union(F.map_keys("champion_params"), F.map_keys("params"))), "champion_params", "params"
+    changed = F.filter(keys, lambda k: ~F.try_element_at(old, k).eqNullSafe(F.try_element_at(new, k)))
+    none = F.lit("(none)")
+    diff = F.array_join(F.transform(changed, lambda k: F.concat(
+        k, F.lit(": "), F.coalesce(F.try_element_at(old, k), none), F.lit(" -> "), F.coalesce(F.try_element_at(new, k), none))), "\n")
+    staged = replay.withColumn("config_diff", diff)
+    return staged.select(
         "model_name", "env", "version", _metric_map().alias("challenger_metrics"),
-        F.when(F.col("champion_run_id").isNotNull(), _metric_map("c_")).alias("champion_metrics"),
+        F.when(F.col("champion_run_id").isNotNull(), _metric_map("champion_")).alias("champion_metrics"),
         "config_diff", F.col("mae").alias("challenger_mae"), F.col("champion_mae"),
         (F.col("max_depth") == 8).alias("justified"))
 
 
-_METRICS_SQL = """'  mae: ' || CAST({p}mae AS VARCHAR) || chr(10) || '  mae_within_threshold: '
+_METRICS_SQL = """coalesce('  mae: ' || CAST({p}mae AS VARCHAR) || chr(10), '') || '  mae_within_threshold: '
     || CASE WHEN {p}mae <= {p}max_acceptable_mae THEN '1.0' ELSE '0.0' END || chr(10)
     || '  max_acceptable_mae: ' || CAST({p}max_acceptable_mae AS VARCHAR)"""
 
 
-@register("promotion_prompts", with_ctes(["runs"], "WITH " + _VERSIONS + ",\n" + _REPLAY + r""",
+@register("promotion_prompts", with_ctes(["runs", "handbook"], "WITH " + _VERSIONS + ",\n" + _REPLAY + r""",
 params AS (
-  SELECT run_id, unnest(['n_estimators', 'max_depth', 'min_samples_leaf', 'max_acceptable_mae']) AS key,
-         unnest([CAST(n_estimators AS VARCHAR), CAST(max_depth AS VARCHAR), CAST(min_samples_leaf AS VARCHAR),
+  SELECT run_id, unnest(['n_estimators', 'max_depth', 'min_samples_leaf', 'features', 'max_acceptable_mae']) AS key,
+         unnest([CAST(n_estimators AS VARCHAR), CAST(max_depth AS VARCHAR), CAST(min_samples_leaf AS VARCHAR), features,
                  CAST(max_acceptable_mae AS VARCHAR)]) AS value FROM runs),
 pairs AS (
   SELECT r.*, c.run_id AS champion_run_id, c.mae AS c_mae, c.max_acceptable_mae AS c_max_acceptable_mae
@@ -123,20 +110,29 @@ dt AS (
                     ORDER BY a.key) FILTER (WHERE a.value IS DISTINCT FROM b.value) AS config_diff
   FROM pairs p JOIN params a ON a.run_id = p.run_id LEFT JOIN params b ON b.run_id = p.champion_run_id AND b.key = a.key
   WHERE p.champion_run_id IS NOT NULL GROUP BY p.model_name, p.env, p.version)
-SELECT p.model_name, p.env, p.version,
-       'ML HANDBOOK RULES (cite ONLY these rule IDs):' || chr(10) || """ + q(P.DEFAULT_ML_RULES) + r"""
-       || chr(10) || chr(10) || 'CHAMPION METRICS:' || chr(10)
+SELECT p.model_name, p.env, p.version, """ + q(P.GATE_SYSTEM) + r""" AS system,
+       'RULES' || chr(10) || (SELECT '- ' || rule_id || ' [' || severity_hint || '] (Citation: '
+            || CASE WHEN doc_id % 5 = 4 THEN 'Handbook › ML Model Lifecycle › ' || rule_id ELSE citation END || '): '
+            || regexp_replace(string_agg(x, ' ' ORDER BY n), '^\s+|\s+$', '', 'g')
+          FROM (SELECT *, generate_subscripts(string_split(text, chr(10)), 1) AS n,
+                       unnest(list_transform(string_split(text, chr(10)), lambda l: regexp_replace(l, '^\s+|\s+$', '', 'g'))) AS x
+                FROM handbook WHERE doc_id = (SELECT min(doc_id) FROM handbook))
+          WHERE x <> '' GROUP BY doc_id, rule_id, severity_hint, citation)
+       || chr(10) || chr(10) || 'CHAMPION' || chr(10)
        || CASE WHEN p.champion_run_id IS NULL THEN '""" + P.NO_CHAMPION_BLOCK + """' ELSE """
     + _METRICS_SQL.format(p="c_") + """ END
-       || chr(10) || chr(10) || 'CHALLENGER METRICS:' || chr(10) || """ + _METRICS_SQL.format(p="") + """
-       || chr(10) || chr(10) || 'CONFIG DIFF (challenger vs champion):' || chr(10)
+       || chr(10) || chr(10) || 'CHALLENGER' || chr(10) || """ + _METRICS_SQL.format(p="") + """
+       || chr(10) || chr(10) || 'CONFIG CHANGES' || chr(10)
        || coalesce(nullif(d.config_diff, ''), '""" + P.NO_CONFIG_DIFF + """') || chr(10) || chr(10)
-       || 'Based on the metrics and config diff, should the challenger replace the champion? Return the JSON decision.'
-         AS prompt
+       || 'Answer with the decision as JSON.' AS prompt
 FROM pairs p LEFT JOIN dt d ON p.model_name = d.model_name AND p.env = d.env AND p.version = d.version"""),
           ids=("S-13", "S-23"))
 def q_promotion_prompts(spark, sf_dir):
-    return P.promotion_prompts(_gate_cases(Tables(spark, sf_dir))).select("model_name", "env", "version", "prompt")
+    t = Tables(spark, sf_dir)
+    # the rules of the first handbook document: one text for all prompts
+    book = RL.rules_text(t.handbook, P.DEFAULT_ML_RULES)
+    rules = book.agg(F.min_by("rules_text", "doc_id")).scalar()
+    return P.promotion_prompts(_gate_cases(t), rules).select("model_name", "env", "version", "system", "prompt")
 
 
 @register("gate_decision", with_ctes(["runs"], "WITH " + _VERSIONS + ",\n" + _REPLAY + """

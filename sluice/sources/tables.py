@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import session_key, sized_broadcast
+from sluice.session import sized_broadcast
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -29,10 +29,10 @@ def _padded(prefix: str, col, width: int):
 # --- mappings --------------------------------------------------------------------
 def dim_store(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """store = supplier; route = region of the supplier's nation."""
-    geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = nation.join(sized_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     supp = supplier.select("s_suppkey", "s_name", "s_nationkey")
     dim = supp.join(
-        F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")  # 25 nations: fixed bound
+        sized_broadcast(geo, basis=nation), F.col("s_nationkey") == F.col("n_nationkey")
     ).select(
         _padded("S", F.col("s_suppkey"), 5).alias("store_id"),
         _padded("R", F.col("r_regionkey") + 1, 2).alias("route_id"),
@@ -63,9 +63,9 @@ def fact_sales(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 
 def gold_pricing(lineitem: DataFrame, part: DataFrame, supplier: DataFrame,
                  nation: DataFrame, region: DataFrame) -> DataFrame:
-    geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = nation.join(sized_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
     supp_scan = supplier.select("s_suppkey", "s_nationkey")
-    supp = supp_scan.join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey")).select(
+    supp = supp_scan.join(sized_broadcast(geo, basis=nation), F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", "n_nationkey", "n_name", "r_name")
     parts = sized_broadcast(part.select("p_partkey", "p_retailprice"))
     base = F.col("p_retailprice").cast("decimal(18,2)")
@@ -111,56 +111,74 @@ def payload_log(events: DataFrame) -> DataFrame:
 
 
 def training_runs(events: DataFrame) -> DataFrame:
-    """Training runs: one run per event, env from the user, MAE from the value."""
+    """Training runs: one run per event, env from the user, MAE from the value; some lack the metric or a
+    configuration key, some raise the threshold or change the features."""
     env = F.when(F.col("user_id") % 3 == 0, "dev").when(F.col("user_id") % 3 == 1, "staging").otherwise("prod")
     return events.select(
         F.col("event_id").alias("run_id"),
         F.col("event_type").alias("model_name"),
         env.alias("env"),
         F.col("ts").alias("start_time"),
-        F.col("value").alias("mae"),
-        F.lit(100.0).cast("double").alias("max_acceptable_mae"),
-        (F.lit(50) + F.lit(25) * (F.col("event_id") % 3)).cast("int").alias("n_estimators"),
+        F.when(F.col("event_id") % 17 != 0, F.col("value")).alias("mae"),
+        (F.lit(100.0) + 5 * (F.col("event_id") % 5 == 0).cast("int")).alias("max_acceptable_mae"),
+        F.when(F.col("event_id") % 13 != 0, F.lit(50) + F.lit(25) * (F.col("event_id") % 3)).cast("int").alias("n_estimators"),
+        F.when(F.col("event_id") % 7 != 0, "day_of_week,store_id").when(F.col("event_id") % 2 == 0, "day_of_week").alias("features"),
         (F.lit(4) + F.col("event_id") % 5).cast("int").alias("max_depth"),
         F.get_json_object("props", "$.k").cast("int").alias("min_samples_leaf"),
     )
 
 
+# Lines that some changed files end with, by ``doc_id % 13``, so that every policy rule meets its case.
+ADDED = {
+    0: "rows = df.collect()", 1: "SELECT * FROM sales", 2: "SELECT store FROM sales ORDER BY 2", 3: "source = mlops_prod.sales",
+    4: "CREATE TABLE dailySales (id INT)", 5: 'catalog: "main_prod"', 6: 'home = os.environ["HOME"]', 7: "SELECT * FROM sales" + NL,
+    8: "-- note" + NL, 9: 'password = "correct-horse-battery"',
+}
+REPEATED = {7: 60, 8: 230}
+
+
 def change_files(documents: DataFrame) -> DataFrame:
-    """One changed file per document: an added-file hunk of the whole text."""
-    ext = (F.when(F.col("doc_id") % 4 == 0, ".py").when(F.col("doc_id") % 4 == 1, ".sql")
-           .when(F.col("doc_id") % 4 == 2, ".yml").otherwise(".md"))
+    """One changed file per document: its path, its text, and the diff of it.
+
+    Most are added whole; ``doc_id % 6`` makes some changes of two hunks with kept and
+    dropped lines and some renames, ``doc_id % 12`` makes some binary.
+    """
+    d = F.col("doc_id")
+    ext = F.when(d % 4 == 0, ".py").when(d % 4 == 1, ".sql").when(d % 4 == 2, ".yml").otherwise(".md")
+    tail = F.lit("")
+    for k, line in ADDED.items():
+        tail = F.when(d % 13 == k, F.repeat(F.lit(NL + line if k not in REPEATED else line), F.lit(REPEATED.get(k, 1)))).otherwise(tail)
+    staged = documents.select(
+        "doc_id", F.floor(d / 5).cast("bigint").alias("change_id"),
+        F.concat(F.lit("src/"), F.col("source"), F.lit("/d"), d.cast("string"), ext).alias("path"),
+        F.concat(F.col("text"), tail).alias("text"))
     n_lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit(NL), F.lit(""))) + 1
-    return documents.select(
-        "doc_id",
-        F.floor(F.col("doc_id") / 5).cast("bigint").alias("change_id"),
-        F.concat(F.lit("src/"), F.col("source"), F.lit("/d"), F.col("doc_id").cast("string"), ext).alias("path"),
-        F.concat(F.lit("@@ -0,0 +1,"), n_lines.cast("string"), F.lit(" @@"), F.lit(NL), F.lit("+"),
-                 F.replace(F.col("text"), F.lit(NL), F.lit(NL + "+"))).alias("hunk"),
-    )
+    added = F.concat(F.lit("+"), F.replace(F.col("text"), F.lit(NL), F.lit(NL + "+")))
+    whole = F.concat(F.lit("@@ -0,0 +1,"), n_lines.cast("string"), F.lit(" @@" + NL), added)
+    two = F.concat(F.lit("@@ -20,2 +20,"), (n_lines + 1).cast("string"), F.lit(" @@" + NL + " kept line" + NL + "-dropped line" + NL), added,
+                   F.lit(NL + "@@ -500 +900,3 @@" + NL + "+tail one" + NL + " kept" + NL + "+tail two"))
+    path, plus = F.col("path"), F.concat(F.lit(NL + "+++ b/"), F.col("path"), F.lit(NL))
+    body = (F.when(d % 6 == 1, F.concat(plus, two))
+            .when(d % 6 == 2, F.concat(F.lit(NL + "rename from old/"), path, F.lit(NL + "rename to "), path, plus, whole))
+            .when(d % 12 == 3, F.concat(F.lit(NL + "Binary files a/"), path, F.lit(" and b/"), path, F.lit(" differ")))
+            .otherwise(F.concat(plus, whole)))
+    return staged.select("doc_id", "change_id", "path", "text",
+                         F.concat(F.lit("diff --git a/"), path, F.lit(" b/"), path, body).alias("file_diff"))
 
 
 def changes(documents: DataFrame) -> DataFrame:
-    """One unified diff per change: its files' headers and hunks in ``doc_id`` order.
+    """One unified diff per change: its files in ``doc_id`` order.
 
     A change holds five documents by construction (``doc_id / 5``), so each group is
     bounded by five rows; the files are ordered inside the group by ``array_sort``.
     """
-    files = change_files(documents).select(
-        "change_id", "doc_id",
-        F.concat_ws(NL, F.concat(F.lit("diff --git a/"), F.col("path"), F.lit(" b/"), F.col("path")),
-                    F.concat(F.lit("+++ b/"), F.col("path")), F.col("hunk")).alias("file_diff"),
-    )
-    return files.groupBy("change_id").agg(
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "file_diff"))), lambda s: s["file_diff"]),
-            NL,
-        ).alias("diff")
-    )
+    return change_files(documents).groupBy("change_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "file_diff"))), lambda s: s["file_diff"]), NL).alias("diff"))
 
 
 def model_responses(labels: DataFrame) -> DataFrame:
-    """Stored promotion-gate responses in six shapes (clean, fenced, prose, cut, junk, bad enum)."""
+    """Stored promotion-gate responses in nine shapes: clean, fenced, in prose, cut, junk, bad enum, a key
+    twice, a decision with a line end, and cut behind a backslash."""
     j = F.concat(
         F.lit('{"decision": "'),
         F.when(F.col("quality") == 1, "approve").otherwise("BLOCK"),
@@ -168,14 +186,17 @@ def model_responses(labels: DataFrame) -> DataFrame:
         F.col("doc_id").cast("string"),
         F.lit('"}], "justification": "generated text"}'),
     )
-    k = F.col("doc_id") % 6
+    k = F.col("doc_id") % 9
     raw = (
         F.when(k == 0, j)
         .when(k == 1, F.concat(F.lit("```json" + NL), j, F.lit(NL + "```")))
         .when(k == 2, F.concat(F.lit("Decision follows: "), j, F.lit(" done {")))
         .when(k == 3, F.substring(j, F.lit(1), F.length(j) - 12))
         .when(k == 4, F.lit("no json here"))
-        .otherwise(F.replace(j, F.lit('"decision": "'), F.lit('"decision": "X')))
+        .when(k == 5, F.replace(j, F.lit('"decision": "'), F.lit('"decision": "X')))
+        .when(k == 6, F.concat(F.lit('{"decision": "BLOCK", '), F.substring(j, F.lit(2), F.length(j))))
+        .when(k == 7, F.replace(j, F.lit('", "findings"'), F.lit('\\n", "findings"')))
+        .otherwise(F.concat(F.substring(j, F.lit(1), F.length(j) - 2), F.lit("\\")))
     )
     return labels.select(
         F.col("doc_id").alias("response_id"),
@@ -198,26 +219,30 @@ def rule_docs(documents: DataFrame) -> DataFrame:
     )
 
 
-# --- loader --------------------------------------------------------------------------
-_SCANS: dict[tuple[str, int, str], DataFrame] = {}
+def handbook(benchmark: DataFrame) -> DataFrame:
+    """Handbook documents: one rule per benchmark item; every fifth has no fields, every seventh no title."""
+    i = F.col("item_id")
+    sev = F.when(i % 3 == 0, "BLOCKER").when(i % 3 == 1, "SUGGESTION").otherwise("STYLE")
+    title = F.when(i % 7 == 6, F.lit("")).otherwise(F.concat(F.lit(" Item "), i.cast("string")))
+    fields = F.when(i % 5 == 4, F.lit("")).otherwise(F.concat(F.lit("- **Severity:** "), sev, F.lit(NL + "- **Citation:** Items > "), i.cast("string"), F.lit(NL)))
+    return benchmark.select(F.lit("Items").alias("category"), i.alias("doc_id"), F.concat(
+        F.lit("### [IT-"), i.cast("string"), F.lit("]"), title, F.lit(NL), fields, F.lit(NL), F.col("text")).alias("block"))
 
 
+# --- loader --------------------------------------------------------------------------
 class Tables:
     """Lazy access to the driver's parquet tables and the mapped lakehouse tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        """The table's scan; reused within a session so its files are listed and its
-        footer schema is read once rather than per query."""
-        path = f"{self.sf_dir}/{name}.parquet"
-        key = (session_key(self.spark), id(self.spark), path)
-        df = _SCANS.get(key)
-        if df is None:
-            df = _SCANS[key] = self.spark.read.parquet(path)
-        return df
+        """The table's scan; listed anew by every loader, so files that landed since are seen."""
+        if name not in self._scans:
+            self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._scans[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
@@ -268,3 +293,7 @@ class Tables:
     @cached_property
     def rule_docs(self) -> DataFrame:
         return rule_docs(self.read("documents"))
+
+    @cached_property
+    def handbook(self) -> DataFrame:
+        return handbook(self.read("benchmark"))
