@@ -44,23 +44,23 @@ def within_last_days(ts_col: str, as_of, days: int = WINDOW_DAYS) -> Column:
     return F.col(ts_col) >= as_timestamp_ntz(as_of) - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
+def usage_measures() -> list[Column]:
+    """Aggregates of the usage report, for a batch or a stream."""
+    return [F.count(F.lit(1)).alias("pr_reviews"), F.sum("execution_duration_ms").alias("_ms"), F.count("execution_duration_ms").alias("_ms_n"),
+            F.sum(F.length("request") + F.length("response")).alias("_chars")]
+
+
+def usage_columns(day: Column) -> list[Column]:
+    """Requests, average seconds (1 dp) and estimated tokens (chars / 4) from the measures."""
+    return [day.alias("day"), F.col("pr_reviews").cast("bigint").alias("pr_reviews"),
+            F.when(F.col("_ms_n") > 0, round_ratio("_ms", F.col("_ms_n") * 1000, 1)).alias("avg_secs"),
+            round_ratio_units("_chars", F.lit(CHARS_PER_TOKEN)).alias("est_tokens")]
+
+
 def usage_daily(payload: DataFrame, as_of, days: int = WINDOW_DAYS) -> DataFrame:
-    """A-04: per day requests, average seconds (1 dp) and estimated tokens (chars / 4)."""
-    chars = F.length("request") + F.length("response")
-    agg = (
-        payload.where(within_last_days("request_time", as_of, days))
-        .groupBy(F.col("request_time").cast("date").alias("day"))
-        .agg(F.count(F.lit(1)).alias("pr_reviews"),
-             F.sum("execution_duration_ms").alias("_ms"),
-             F.count("execution_duration_ms").alias("_ms_n"),
-             F.sum(chars).alias("_chars"))
-    )
-    return agg.select(
-        "day",
-        F.col("pr_reviews").cast("bigint").alias("pr_reviews"),
-        F.when(F.col("_ms_n") > 0, round_ratio("_ms", F.col("_ms_n") * 1000, 1)).alias("avg_secs"),
-        round_ratio_units("_chars", F.lit(CHARS_PER_TOKEN)).alias("est_tokens"),
-    )
+    """A-04: the usage report per day of the last ``days`` days."""
+    recent = payload.where(within_last_days("request_time", as_of, days))
+    return recent.groupBy(F.col("request_time").cast("date").alias("day")).agg(*usage_measures()).select(*usage_columns(F.col("day")))
 
 
 def usage_cost(daily: DataFrame) -> DataFrame:

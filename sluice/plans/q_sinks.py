@@ -6,13 +6,11 @@ written, read back from storage (the write happens when the query is built).
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.sql import functions as F
 
 from sluice.operators import retail as R
-from sluice.operators import seed
 from sluice.operators import rules as RL
 from sluice.plans.oracle import with_ctes
 from sluice.plans.q_registry import _REPLAY, _VERSIONS, _replay
@@ -39,20 +37,25 @@ def q_route_profitability_table(spark, sf_dir):
     return spark.read.parquet(path).withColumn("rows_written", F.lit(n).cast("bigint"))
 
 
-@register("seed_dim_store_if_absent", """
-SELECT printf('S%03d', CAST(s_suppkey + 1 AS INT)) AS store_id,
-       'R0' || CAST(s_suppkey % 5 + 1 AS VARCHAR) AS route_id,
-       ['Region North', 'Region South', 'Region East', 'Region West', 'Region Central'][CAST(s_suppkey % 5 + 1 AS INT)]
-         AS route_name,
-       printf('Store %03d', CAST(s_suppkey + 1 AS INT)) AS store_name
-FROM supplier""", ids=("IO-05",))
+@register("seed_dim_store_if_absent", with_ctes(["dim_store"], "SELECT *, false AS seeded_again FROM dim_store"), ids=("IO-05", "S-04", "S-07"))
 def q_seed_dim_store_if_absent(spark, sf_dir):
-    # a fixed location per input folder: the first call seeds it, later calls find it and skip
-    key = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sinks/seeded/dim_store-{key}"
-    ids = Tables(spark, sf_dir).supplier.select(F.col("s_suppkey").alias("id"))
-    sinks.seed_path_if_absent(spark, path, seed.seed_dim_store(ids))
-    return spark.read.parquet(path)
+    # the first call writes the table, the second finds it and leaves it alone
+    path, stores = _scratch(spark, "dim_store"), Tables(spark, sf_dir).dim_store
+    sinks.seed_path_if_absent(spark, path, stores)
+    again = sinks.seed_path_if_absent(spark, path, stores.limit(0))
+    return spark.read.parquet(path).withColumn("seeded_again", F.lit(again))
+
+
+@register("rule_documents", with_ctes(["handbook"], """
+SELECT rule_id AS category, rule_id, title, title || chr(10) || chr(10) || regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS content, severity_hint
+FROM handbook WHERE titled"""), ids=("IO-10",))
+def q_rule_documents(spark, sf_dir):
+    # the handbook as a folder of text files, read whole and parsed
+    folder = _scratch(spark, "rule_documents")
+    docs = Tables(spark, sf_dir).handbook.withColumn("name", F.concat(F.lit("IT-"), F.col("doc_id").cast("string")))
+    docs.select("name", "block").write.partitionBy("name").text(folder)
+    read = sinks.read_rule_documents(spark, folder, files="*.txt", name="name=([^/]+)/")
+    return RL.parse_rules(read).select("category", "rule_id", "title", "content", "severity_hint")
 
 
 @register("rules_table_from_jsonl", with_ctes(["rule_docs"], "WITH " + _RULE_LINES + ",\n" + _parse_sql() + """
@@ -72,7 +75,8 @@ SELECT CAST(run_id AS VARCHAR) AS run_id, model_name, env, mae, CAST(n_estimator
 FROM runs"""), ids=("IO-11",))
 def q_run_records(spark, sf_dir):
     path = _scratch(spark, "runs")
-    sinks.write_path(sinks.runs_from_table(Tables(spark, sf_dir).runs), path, mode="append")
+    for half in (0, 1):  # two appends to one table
+        sinks.write_path(sinks.runs_from_table(Tables(spark, sf_dir).runs.where(F.col("run_id") % 2 == half)), path, mode="append")
     r = spark.read.parquet(path)
     return r.select("run_id", "model_name", "env", r.metrics["mae"].alias("mae"),
                     r.params["n_estimators"].alias("n_estimators"),
@@ -91,5 +95,7 @@ def q_gate_audit(spark, sf_dir):
                          F.col("reason").alias("justification"), F.lit(None).cast("string").alias("raw_response"),
                          F.col("start_time").cast("timestamp").alias("decided_at"))
     path = _scratch(spark, "gate_decisions")
-    sinks.write_path(rows.select(*sinks.GATE_DECISIONS_SCHEMA.fieldNames()), path, mode="append")
+    for odd in (False, True):
+        part = rows.where((F.col("version") % 2 == 1) == odd)
+        sinks.write_path(part.select(*sinks.GATE_DECISIONS_SCHEMA.fieldNames()), path, mode="append")
     return spark.read.parquet(path).select("model_name", "env", "version", "decision", "n_findings", "justification")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from sluice.functions.numeric import round_ratio_sql
 from sluice.operators import usage as U
@@ -13,22 +14,27 @@ from sluice.plans.registry import register
 from sluice.sources import tables as T
 from sluice.streaming import streams as S
 
-_USAGE_CLOSED = with_ctes(["payload"], f"""
+_USAGE_ALL = f"""
 SELECT CAST(date_trunc('day', request_time) AS DATE) AS day, CAST(count(*) AS BIGINT) AS pr_reviews,
        CASE WHEN count(execution_duration_ms) > 0
             THEN {round_ratio_sql('sum(execution_duration_ms)', 'count(execution_duration_ms) * 1000', 1)} END
          AS avg_secs,
        CAST(round({round_ratio_sql('sum(length(request) + length(response))', '4', 0)}) AS BIGINT) AS est_tokens
 FROM payload
-GROUP BY date_trunc('day', request_time)
+GROUP BY date_trunc('day', request_time)"""
+_USAGE_CLOSED = with_ctes(["payload"], _USAGE_ALL + """
 HAVING date_trunc('day', request_time) + INTERVAL 1 DAY
-       <= (SELECT max(request_time) FROM payload) - INTERVAL {S.USAGE_WATERMARK}""")
+       <= (SELECT max(request_time) FROM payload) - INTERVAL 1 hour""")
 
 
-@register("stream_usage_daily", _USAGE_CLOSED, ids=("ST-01", "IO-13"))
+@register("stream_usage_daily", with_ctes(["payload"], _USAGE_ALL), ids=("ST-01",))
 def q_stream_usage_daily(spark, sf_dir):
-    payload = T.payload_log(S.stream_table(spark, sf_dir, "events"))
-    return S.run_available(S.usage_daily_stream(payload), "usage_daily")
+    return S.drain(T.payload_log(S.stream_table(spark, sf_dir, "events")), S.usage_daily_stream, "usage_daily")
+
+
+@register("stream_payload_append", with_ctes(["payload"], "SELECT * FROM payload"), ids=("IO-13",))
+def q_stream_payload_append(spark, sf_dir):
+    return S.append_payload(T.payload_log(S.stream_table(spark, sf_dir, "events")))
 
 
 @register("usage_daily_closed", _USAGE_CLOSED, ids=("ST-01",))
@@ -36,21 +42,20 @@ def q_usage_daily_closed(spark, sf_dir):
     return S.usage_daily_closed(T.Tables(spark, sf_dir).payload)
 
 
-_RATE_CLOSED = with_ctes(["payload"], f"""
-SELECT key_type, key, minute, CAST(count(*) AS BIGINT) AS calls,
-       CAST(CASE WHEN key_type = 'endpoint' THEN {CHECK_ENDPOINT_LIMIT} ELSE {CHECK_USER_LIMIT} END AS INT)
-         AS limit_per_minute
+_RATE_ALL = """
+SELECT key_type, key, minute, CAST(count(*) AS BIGINT) AS calls, CAST(CASE WHEN key_type = 'endpoint' THEN 2 ELSE 1 END AS INT) AS limit_per_minute
 FROM (SELECT 'endpoint' AS key_type, endpoint AS key, date_trunc('minute', request_time) AS minute FROM payload
       UNION ALL SELECT 'user', requester, date_trunc('minute', request_time) FROM payload)
 GROUP BY key_type, key, minute
-HAVING count(*) > CASE WHEN key_type = 'endpoint' THEN {CHECK_ENDPOINT_LIMIT} ELSE {CHECK_USER_LIMIT} END
-   AND minute + INTERVAL 1 MINUTE <= (SELECT max(request_time) FROM payload) - INTERVAL {S.RATE_WATERMARK}""")
+HAVING count(*) > CASE WHEN key_type = 'endpoint' THEN 2 ELSE 1 END"""
+_RATE_CLOSED = with_ctes(["payload"], _RATE_ALL + """
+   AND minute + INTERVAL 1 MINUTE <= (SELECT max(request_time) FROM payload) - INTERVAL 1 minute""")
 
 
-@register("stream_rate_limit_breaches", _RATE_CLOSED, ids=("ST-02",))
+@register("stream_rate_limit_breaches", with_ctes(["payload"], _RATE_ALL), ids=("ST-02",))
 def q_stream_rate_limit_breaches(spark, sf_dir):
     payload = T.payload_log(S.stream_table(spark, sf_dir, "events"))
-    return S.run_available(S.rate_limit_stream(payload, CHECK_ENDPOINT_LIMIT, CHECK_USER_LIMIT), "rate_limits")
+    return S.drain(payload, lambda p: S.rate_limit_stream(p, CHECK_ENDPOINT_LIMIT, CHECK_USER_LIMIT), "rate_limits")
 
 
 @register("rate_limit_closed", _RATE_CLOSED, ids=("ST-02",))
@@ -59,10 +64,22 @@ def q_rate_limit_closed(spark, sf_dir):
 
 
 @register("stream_index_sync", with_ctes(["rule_docs"], "WITH " + _RULE_LINES + ",\n" + _parse_sql() + """
-SELECT rule_id, 'insert' AS op FROM parsed"""), ids=("ST-03",))
+SELECT doc_id, rule_id, CAST(0 AS BIGINT) AS epoch, 'insert' AS op, title FROM parsed WHERE doc_id % 40 <> 10
+UNION ALL
+SELECT doc_id, rule_id, CAST(1 AS BIGINT), CASE WHEN doc_id % 40 = 10 THEN 'insert' WHEN doc_id % 50 = 7 THEN 'delete' ELSE 'update' END,
+       CASE WHEN doc_id % 40 <> 10 AND doc_id % 50 = 7 THEN title ELSE title || ' (v2)' END
+FROM parsed WHERE doc_id % 40 = 10 OR doc_id % 50 = 7 OR doc_id % 30 = 0"""), ids=("ST-03",))
 def q_stream_index_sync(spark, sf_dir):
-    docs = T.rule_docs(S.stream_table(spark, sf_dir, "documents"))
-    return S.run_index_sync(docs).select("rule_id", "op")
+    # two arrivals of the rule documents: most of them first; then the rest, some with a new title, some without their rule
+    docs, root = T.Tables(spark, sf_dir).rule_docs, S.stream_root(spark, "index_sync")
+    d = F.col("doc_id")
+    later = F.when((d % 40 != 10) & (d % 50 == 7), F.lit("no rules here")).otherwise(F.regexp_replace("block", r"^(### [^\n]*)", "$1 (v2)"))
+    arrivals = [docs.where(d % 40 != 10), docs.where((d % 40 == 10) | (d % 50 == 7) | (d % 30 == 0)).withColumn("block", later)]
+    for rows in arrivals:
+        rows.write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        log = S.run_index_sync(stream, root=root)
+    return log.select("doc_id", "rule_id", F.col("epoch").cast("bigint").alias("epoch"), "op", "title")
 
 
 @register("stream_pii_screen", f"""

@@ -95,13 +95,13 @@ def read_rules_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RULES_SCHEMA).json(path)
 
 
-def read_rule_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """IO-10: markdown rule documents (``README.md`` skipped), category = file stem."""
-    docs = spark.read.text(folder, wholetext=True, pathGlobFilter="*.md")
+def read_rule_documents(spark: SparkSession, folder: str, files: str = "*.md", name: str = r"([^/]+)\.md$") -> DataFrame:
+    """IO-10: rule documents, one per file (``README.md`` skipped); ``name`` takes the category out of the path."""
+    docs = spark.read.text(folder, wholetext=True, pathGlobFilter=files)
     path = F.col("_metadata.file_path")
     return (docs.select(F.col("value").alias("block"), path.alias("path"))
             .where(~path.endswith("/README.md"))
-            .select("path", F.regexp_extract("path", r"([^/]+)\.md$", 1).alias("category"), "block",
+            .select("path", F.regexp_extract("path", name, 1).alias("category"), "block",
                     F.xxhash64("path").alias("doc_id")))
 
 

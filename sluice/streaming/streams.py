@@ -1,11 +1,12 @@
-"""Structured Streaming versions of the gateway reports and the rules-index sync.
+"""Structured Streaming versions of the gateway reports, the payload log and the rules-index sync.
 
 Sources are file streams over the table folders (new files are new micro-batches);
 event time is cast from TIMESTAMP_NTZ to TIMESTAMP before ``withWatermark``. Windowed
 aggregations run in append mode, so a window is emitted once the watermark passes its
-end; each stream has a batch twin that keeps exactly the windows closed by the final
-watermark. ``run_available`` drains a stream with ``trigger(availableNow=True)`` into a
-parquet sink under the session's shared checkpoint folder and reads the result back.
+end. ``drain`` empties a stream with ``trigger(availableNow=True)`` into a parquet sink
+under the session's shared checkpoint folder and reads the result back; with ``flush``
+it then closes the stream: one row far in the future passes the watermark over every
+open window, so the last windows are emitted too and later rows would count as late.
 """
 
 from __future__ import annotations
@@ -15,22 +16,25 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.numeric import round_ratio, round_ratio_units
 from sluice.operators import rules as RL
-from sluice.operators.usage import CHARS_PER_TOKEN, ENDPOINT_CALLS_PER_MINUTE, USER_CALLS_PER_MINUTE, pii_screen
-from sluice.session import ensure_checkpoint_dir, path_exists
+from sluice.operators import usage as U
+from sluice.operators.usage import ENDPOINT_CALLS_PER_MINUTE, USER_CALLS_PER_MINUTE, pii_screen
+from sluice.session import ensure_checkpoint_dir, is_folder, path_exists
 
 USAGE_WATERMARK = "1 hour"
 RATE_WATERMARK = "1 minute"
+FLUSH_TIME = "9999-01-01 00:00:00"
 
 
 def stream_table(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream over ``<sf_dir>/<table>.parquet`` (schema taken from the table)."""
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    """A file stream over ``<sf_dir>/<table>.parquet``, a folder of files or one file (schema taken from the table)."""
+    path = f"{sf_dir.rstrip('/')}/{table}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(sf_dir)
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
 def stream_root(spark: SparkSession, name: str) -> str:
@@ -38,7 +42,7 @@ def stream_root(spark: SparkSession, name: str) -> str:
 
 
 def run_available(df: DataFrame, name: str, output_mode: str = "append", root: str | None = None) -> DataFrame:
-    """Drain a streaming DataFrame (availableNow) into parquet and return the written rows.
+    """Drain a streaming DataFrame (availableNow) into parquet and return the written rows, none if nothing was.
 
     Passing the same ``root`` again resumes from its checkpoint (offsets, state, watermark).
     """
@@ -48,7 +52,31 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append", root: s
          .option("checkpointLocation", f"{root}/_checkpoint").option("path", f"{root}/out")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/out")
+    return spark.read.schema(df.schema).parquet(f"{root}/out")
+
+
+def drain(payload: DataFrame, report, name: str, flush: bool = True, root: str | None = None) -> DataFrame:
+    """Run ``report`` (stream of payload rows -> stream) to its end; ``flush`` also emits the windows still open."""
+    spark = payload.sparkSession
+    root = root or stream_root(spark, name)
+    if not flush:
+        return run_available(report(payload), name, root=root)
+    end = f"{root}/end"
+    # a second source, empty until the first has been read; it carries only the time that ends the stream
+    spark.createDataFrame([], payload.schema).write.mode("ignore").parquet(end)
+    closing = spark.readStream.schema(payload.schema).parquet(end)
+    df = report(payload.unionByName(closing))
+    run_available(df, name, root=root)
+    last = spark.range(1).select(*[
+        (F.lit(FLUSH_TIME).cast(f.dataType) if f.name == "request_time" else F.lit(None).cast(f.dataType)).alias(f.name) for f in payload.schema])
+    last.write.mode("append").parquet(end)
+    return run_available(df, name, root=root)
+
+
+# --- IO-13 ----------------------------------------------------------------------------
+def append_payload(payload: DataFrame, name: str = "payload", root: str | None = None) -> DataFrame:
+    """IO-13: payload rows appended to the log table as they arrive; each file is one micro-batch's rows."""
+    return run_available(payload, name, root=root)
 
 
 def _event_time(col: str) -> Column:
@@ -56,36 +84,23 @@ def _event_time(col: str) -> Column:
 
 
 # --- ST-01 ----------------------------------------------------------------------------
-def _usage_columns(day: Column) -> list[Column]:
-    return [
-        day.alias("day"),
-        F.col("pr_reviews").cast("bigint").alias("pr_reviews"),
-        F.when(F.col("_ms_n") > 0, round_ratio("_ms", F.col("_ms_n") * 1000, 1)).alias("avg_secs"),
-        round_ratio_units("_chars", F.lit(CHARS_PER_TOKEN)).alias("est_tokens"),
-    ]
-
-
-def _usage_aggs() -> list[Column]:
-    return [F.count(F.lit(1)).alias("pr_reviews"), F.sum("execution_duration_ms").alias("_ms"),
-            F.count("execution_duration_ms").alias("_ms_n"),
-            F.sum(F.length("request") + F.length("response")).alias("_chars")]
+def _usage(windowed: DataFrame) -> DataFrame:
+    """The batch report's measures per window of one day."""
+    agg = windowed.groupBy(F.window("event_ts", "1 day").alias("w")).agg(*U.usage_measures())
+    return agg.select(*U.usage_columns(F.col("w.start").cast("date")))
 
 
 def usage_daily_stream(payload: DataFrame, watermark: str = USAGE_WATERMARK) -> DataFrame:
     """ST-01: daily usage over a payload stream (1-day tumbling windows, append mode)."""
-    s = payload.withColumn("event_ts", _event_time("request_time")).withWatermark("event_ts", watermark)
-    agg = s.groupBy(F.window("event_ts", "1 day").alias("w")).agg(*_usage_aggs())
-    return agg.select(*_usage_columns(F.col("w.start").cast("date")))
+    return _usage(payload.withColumn("event_ts", _event_time("request_time")).withWatermark("event_ts", watermark))
 
 
 def usage_daily_closed(payload: DataFrame, watermark: str = USAGE_WATERMARK) -> DataFrame:
-    """Batch twin of ST-01: the days whose window closed under the final watermark."""
+    """The days that an unflushed ST-01 has emitted: their window closed under the final watermark."""
     ts = _event_time("request_time")
     limit = payload.agg(F.max(ts).alias("m")).select(F.col("m") - F.expr(f"INTERVAL {watermark}")).scalar()
-    agg = (payload.withColumn("event_ts", ts)
-           .groupBy(F.window("event_ts", "1 day").alias("w")).agg(*_usage_aggs())
-           .where(F.col("w.end") <= limit))
-    return agg.select(*_usage_columns(F.col("w.start").cast("date")))
+    days = payload.withColumn("event_ts", ts).withColumn("_end", F.window("event_ts", "1 day")["end"])
+    return _usage(days.where(F.col("_end") <= limit))
 
 
 # --- ST-02 ----------------------------------------------------------------------------
@@ -125,44 +140,71 @@ def rate_limit_closed(payload: DataFrame, endpoint_limit: int = ENDPOINT_CALLS_P
 
 
 # --- ST-03 ----------------------------------------------------------------------------
-def index_sync_batch(index_path: str, changes_path: str):
-    """``foreachBatch`` body: parse the batch's rule documents, diff against the previous
-    index snapshot by content hash, and write this epoch's change set and snapshot.
+INDEX_BUCKETS = 64
+
+
+def index_sync_batch(log_path: str, buckets: int = INDEX_BUCKETS):
+    """``foreachBatch`` body: the batch's rule documents against what the index holds of the same documents.
 
-    Both outputs live in per-epoch folders written in overwrite mode, so a retried epoch
-    (after a lost executor or driver restart) rewrites the same data instead of
-    duplicating it, and the previous snapshot is never modified in place.
+    The index is a log of changes, partitioned by epoch and a hash of the document. A
+    batch reads the buckets of its documents only and writes changed rows only: rules
+    that are new, differ in content, or are gone from a document that arrived again.
+    Its epoch's folders are overwritten, so a repeated epoch writes the same again.
     """
 
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        new = RL.parse_rules(batch).drop("doc_id", "rule_no")
-        if path_exists(spark, index_path):
-            snaps = spark.read.parquet(index_path).where(F.col("epoch") < epoch_id)
-            # the latest earlier snapshot, selected by a scalar subquery (no driver round trip)
-            old = snaps.where(F.col("epoch") == snaps.agg(F.max("epoch")).scalar()).drop("epoch")
-        else:
-            old = spark.createDataFrame([], new.schema)
-        # a micro-batch carries upserts: compare only the rules it contains (no deletes)
-        touched = old.join(new.select("rule_id"), "rule_id", "left_semi")
-        RL.index_change_set(touched, new).write.mode("overwrite").parquet(f"{changes_path}/epoch_id={epoch_id}")
-        kept = old.join(new.select("rule_id"), "rule_id", "left_anti")
-        kept.unionByName(new).write.mode("overwrite").parquet(f"{index_path}/epoch={epoch_id}")
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+        new = RL.parse_rules(batch).select("doc_id", *RULE_COLUMNS).withColumn("bucket", bucket)
+        docs = batch.select("doc_id").distinct().withColumn("bucket", bucket)
+        touched = [r["bucket"] for r in docs.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+        old = index_state(spark, log_path, touched, epoch_id, new).join(docs, ["bucket", "doc_id"], "left_semi")
+        key = ["bucket", "doc_id", "rule_id"]
+        sides = new.select(*key, F.struct(*RULE_COLUMNS).alias("n")).join(
+            old.select(*key, F.struct(*RULE_COLUMNS).alias("o")), key, "full_outer")
+        same = RL.content_hash_of("n") == RL.content_hash_of("o")
+        op = F.when(F.col("o").isNull(), "insert").when(F.col("n").isNull(), "delete").when(~same, "update")
+        changed = sides.withColumn("op", op).where(F.col("op").isNotNull()).withColumn("row", F.coalesce("n", "o"))
+        (changed.select("bucket", "doc_id", "op", "row.*").withColumn("epoch", F.lit(epoch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "bucket").parquet(log_path))
 
     return _apply
 
 
+RULE_COLUMNS = ("rule_id", "title", "content", "citation", "category", "severity_hint")
+
+
+def index_state(spark: SparkSession, log_path: str, buckets: list[int] | None = None, before: int | None = None,
+                like: DataFrame | None = None) -> DataFrame:
+    """Rules that the index holds: the latest change of each, deleted ones left out."""
+    if not path_exists(spark, log_path):
+        return spark.createDataFrame([], like.schema)
+    log = spark.read.parquet(log_path)
+    if buckets is not None:
+        log = log.where(F.col("bucket").isin(buckets))
+    if before is not None:
+        log = log.where(F.col("epoch") < before)
+    latest = log.groupBy("bucket", "doc_id", "rule_id").agg(F.max_by(F.struct("op", *RULE_COLUMNS[1:]), "epoch").alias("s"))
+    return latest.where("s.op <> 'delete'").select("doc_id", "rule_id", *[F.col(f"s.{c}").alias(c) for c in RULE_COLUMNS[1:]], "bucket")
+
+
+def compact_index(spark: SparkSession, log_path: str, target: str, epoch: int) -> None:
+    """Write the index's state as one epoch of a new log (to be done rarely, then switched to)."""
+    state = index_state(spark, log_path).withColumn("op", F.lit("insert")).withColumn("epoch", F.lit(epoch).cast("bigint"))
+    state.write.partitionBy("epoch", "bucket").parquet(target)
+
+
 def run_index_sync(rule_docs_stream: DataFrame, name: str = "index_sync", root: str | None = None) -> DataFrame:
-    """ST-03: drain the rule-document stream through ``foreachBatch``; return the change set.
+    """ST-03: drain the rule-document stream through ``foreachBatch``; return the change log.
 
     Passing the same ``root`` again resumes the stream (and its index) from the checkpoint.
     """
     spark = rule_docs_stream.sparkSession
     root = root or stream_root(spark, name)
-    q = (rule_docs_stream.writeStream.foreachBatch(index_sync_batch(f"{root}/index", f"{root}/changes"))
+    q = (rule_docs_stream.writeStream.foreachBatch(index_sync_batch(f"{root}/index"))
          .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/changes")
+    return spark.read.parquet(f"{root}/index")
 
 
 # --- ST-04 ----------------------------------------------------------------------------

@@ -42,13 +42,59 @@ def test_forest_on_generated_demand(spark):
     assert res.n_test > 0 and res.mae < 3.0 and res.mae_within_threshold
 
 
-def test_stream_matches_batch_twin(spark):
-    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    streamed = S.run_available(S.usage_daily_stream(payload_log(S.stream_table(spark, SF_SMALL, "events"))), "t_usage")
-    batch = S.usage_daily_closed(payload_log(events))
+def test_holdout_is_not_periodic(spark):
+    """Neither runs of test days nor a bond between days a fortnight apart, which the lag features use."""
+    df = FC.holdout_split(spark.range(4000).select(F.lit(1).alias("store_id"), F.lit(0).alias("product_category"), F.col("id").cast("int").alias("day_number")))
+    test = [r.split == "test" for r in df.orderBy("day_number").collect()]
+    pairs = [b for a, b in zip(test, test[14:]) if a]
+    assert 0.15 < sum(test) / len(test) < 0.25 and 0.12 < sum(pairs) / len(pairs) < 0.28
+
+
+def test_mean_predictor_is_exact(spark):
+    df = spark.createDataFrame([(1.0, "train"), (2.0, "train"), (6.0, "train"), (4.0, "test"), (0.0, "test")], "sales double, split string")
+    assert FC.mean_predictor(df).collect() == [(3, 2, 2.0)]
+
+
+def test_forecast_error_band_on_sales(spark):
+    features = FC.demand_features(spark.read.parquet(f"{SF_SMALL}/lineitem.parquet"), spark.read.parquet(f"{SF_SMALL}/part.parquet"))
+    r = FC.train_and_evaluate(features, FC.ForecastConfig(n_estimators=20)).first()
+    assert 5 < r.mae < 20 and r.n_train > 0 and r.mean_mae > 0
+
+
+def _as_folder(spark, tmp_path):
+    folder = str(tmp_path / "sf")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(5).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_flushed_streams_equal_the_full_batch_on_a_folder_table(spark, tmp_path):
+    folder = _as_folder(spark, tmp_path)
+    payload = payload_log(spark.read.parquet(f"{folder}/events.parquet"))
+    stream = lambda: payload_log(S.stream_table(spark, folder, "events"))
+    days = payload.groupBy(F.col("request_time").cast("date").alias("day")).count()
+    got = S.drain(stream(), S.usage_daily_stream, "t_usage")
+    assert rows(got, "day", "pr_reviews") == rows(days) and len(rows(days)) > 1
+    breaches = S.drain(stream(), lambda p: S.rate_limit_stream(p, 2, 1), "t_rates")
+    minute = F.date_trunc("minute", "request_time")
+    want = payload.groupBy("endpoint", minute).count().where("count > 2").count() + payload.groupBy("requester", minute).count().where("count > 1").count()
+    assert breaches.count() == want > 0
+    assert rows(S.append_payload(stream())) == rows(payload)
+
+
+def test_unflushed_stream_equals_its_closed_days(spark):
+    payload = payload_log(S.stream_table(spark, SF_SMALL, "events"))
+    streamed = S.drain(payload, S.usage_daily_stream, "t_usage", flush=False)
+    batch = S.usage_daily_closed(payload_log(spark.read.parquet(f"{SF_SMALL}/events.parquet")))
     assert rows(streamed) == rows(batch) and streamed.count() > 0
 
 
+def test_an_empty_stream_gives_an_empty_frame(spark, tmp_path):
+    folder = str(tmp_path / "sf")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).write.parquet(f"{folder}/events.parquet")
+    out = S.drain(payload_log(S.stream_table(spark, folder, "events")), S.usage_daily_stream, "t_none")
+    assert out.columns == ["day", "pr_reviews", "avg_secs", "est_tokens"] and out.count() == 0
+
+
 def test_watermark_drops_late_rows(spark, tmp_path):
     t = dt.datetime
     schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
@@ -128,10 +174,9 @@ def test_entry_and_registry_contract(spark):
 
 def test_index_sync_two_epochs(spark, tmp_path):
     schema = "doc_id long, category string, block string"
-    folder = str(tmp_path / "docs")
-    root = str(tmp_path / "sync")
-    first = [(1, "env", "### [ENV-01] Cross env\nbody one"), (2, "tp", "### [TP-02] Driver actions\nbody two")]
-    second = [(3, "env", "### [ENV-01] Cross env\nbody one, revised"), (4, "nm", "### [NM-01] Snake case\nbody")]
+    folder, root = str(tmp_path / "docs"), str(tmp_path / "sync")
+    first = [(1, "env", "### [ENV-01] Cross env\nbody one\n### [ENV-02] Second\nsame"), (2, "tp", "### [TP-02] Driver actions\nbody two")]
+    second = [(1, "env", "### [ENV-01] Cross env\nbody one, revised"), (4, "nm", "### [NM-01] Snake case\nbody"), (2, "tp", "### [TP-02] Driver actions\nbody two")]
     sch = spark.createDataFrame([], schema).schema
 
     def run():
@@ -141,8 +186,11 @@ def test_index_sync_two_epochs(spark, tmp_path):
     spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{folder}/a")
     run()
     spark.createDataFrame(second, schema).coalesce(1).write.parquet(f"{folder}/b")
-    changes = run()
-    assert rows(changes, "epoch_id", "rule_id", "op") == [(0, "ENV-01", "insert"), (0, "TP-02", "insert"),
-                                                          (1, "ENV-01", "update"), (1, "NM-01", "insert")]
-    index = spark.read.parquet(f"{root}/index").where("epoch = 1")
-    assert rows(index, "rule_id") == [("ENV-01",), ("NM-01",), ("TP-02",)]
+    log = run()
+    assert rows(log, "epoch", "rule_id", "op") == [(0, "ENV-01", "insert"), (0, "ENV-02", "insert"), (0, "TP-02", "insert"),
+                                                   (1, "ENV-01", "update"), (1, "ENV-02", "delete"), (1, "NM-01", "insert")]
+    state = S.index_state(spark, f"{root}/index")
+    assert rows(state, "rule_id") == [("ENV-01",), ("NM-01",), ("TP-02",)]
+    assert [r.content for r in state.where("rule_id = 'ENV-01'").collect()] == ["Cross env\n\nbody one, revised"]
+    S.compact_index(spark, f"{root}/index", f"{root}/compact", 2)
+    assert rows(S.index_state(spark, f"{root}/compact").drop("bucket")) == rows(state.drop("bucket"))

@@ -22,9 +22,20 @@ def test_no_cross_products(spark, name):
 
 
 def test_caps_plan_as_group_limits(spark):
-    assert "WindowGroupLimit" in _plan(spark, "check_annotations")
     assert "WindowGroupLimit" in _plan(spark, "text_top_k")
-    assert "TakeOrderedAndProject" in _plan(spark, "seasonal_prices")  # first-season anchor
+
+
+@pytest.mark.parametrize("name,table,scans", [("as_added_diff", "documents", 1), ("file_checks", "documents", 1), ("parse_decisions", "labels", 1),
+                                              ("decision_findings", "labels", 1), ("rules_text", "documents", 1), ("seasonal_prices", "p_type", 1)])
+def test_each_table_is_read_once(spark, name, table, scans):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    found = [x for x in re.findall(r"FileScan parquet [^\n]*", plan) if table in x]
+    assert len(set(found)) == scans, name  # a plan's text may show one scan twice, two scans differ in their ids
 
 
 def test_scans_are_pruned_and_filtered(spark):
@@ -32,3 +43,22 @@ def test_scans_are_pruned_and_filtered(spark):
     schema = re.search(r"FileScan parquet \[([^\]]*)\][^\n]*lineitem", plan).group(1)
     assert "l_shipdate" not in schema and "l_comment" not in schema  # only needed columns are read
     assert "EqualTo(l_linestatus,O)" in plan  # the active filter reaches the parquet scan
+
+
+def test_the_replay_shuffles_the_runs_once_and_joins_no_champion(spark):
+    """With broadcasts off: one exchange of runs, read twice; the only join is on the buckets."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        from sluice.operators import registry as G
+        from sluice.sources.tables import Tables
+        for df in (G.promotion_replay(Tables(spark, SF_SMALL).runs), G.config_diff(G.promotion_replay(Tables(spark, SF_SMALL).runs))):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert len(set(re.findall(r"Exchange hashpartitioning\(_model[^)]*_bucket[^)]*\)[^\n]*plan_id=([0-9]+)", plan))) == 1
+            assert "ReusedExchange" in plan
+            assert "champion_run_id" not in " ".join(re.findall(r"Join[^\n]*", plan))
+            assert len(re.findall(r"(?:SortMerge|Hash)Join", plan)) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
