@@ -140,10 +140,13 @@ class Model:
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, iterations: int = 12) -> Model:
     """``labelled`` has doc_id, text, lang."""
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text")
-    picked = usable.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_language)
-    sample = Stored(picked.select("lang", F.udf(vector, VectorUDT())("text").alias("features")), "language-sample").df
+    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id", "tv")
+    # only keys go through the window; the picked ones, a bounded number, fetch their texts where these are read
+    keyed = labelled.select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("tv"))
+    usable = keyed.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", "h", "tv")
+    picked = usable.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_language).select("lang", "doc_id", "tv").distinct()
+    rows = keyed.join(F.broadcast(picked), ["lang", "doc_id", "tv"])
+    sample = Stored(rows.select("lang", F.udf(vector, VectorUDT())("text").alias("features")), "language-sample").df
     model = Model([r["lang"] for r in sample.select("lang").distinct().collect()])
     svm = LinearSVC(maxIter=iterations, regParam=1e-4, standardization=False)
 
