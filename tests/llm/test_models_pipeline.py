@@ -63,7 +63,7 @@ def quality_rows(rng, n=200):
     rows, labels = [], []
     for i in range(n):
         good = rng.random() < 0.6
-        text = prose(rng, 60) + "." if good else rng.choice([" ".join(["spam"] * 60), prose(rng, 50).upper().replace(" ", "!! ")])
+        text = prose(rng, rng.randrange(20, 300)) + "." if good else rng.choice([" ".join(["spam"] * rng.randrange(20, 300)), prose(rng, rng.randrange(20, 300)).upper().replace(" ", "!! ")])
         rows.append((i, text))
         labels.append((i, int(good), 0))
     return rows, labels
@@ -113,10 +113,11 @@ def test_pipeline_equals_its_parts_by_brute_force(spark, make_docs, rng, tmp_pat
     import public_tokenizers
     from test_dedup import brute_dedup, brute_links
     from tokenizers import Tokenizer
-    rows, labels = quality_rows(rng, 120)
-    item, passage = prose(rng, 30, 5000), prose(rng, 30, 5000)
-    rows += [(200 + i, f"{prose(rng, 40)} {passage} {prose(rng, 40)}.") for i in range(4)]
-    rows += [(300, prose(rng, 30) + " " + item + "."), (301, rows[200 - 200 + 121][1]), (302, rows[121][1] + " more"), (302, rows[121][1] + " more")]
+    rows, labels = quality_rows(rng, 200)
+    labelled = len(rows)
+    item, passage = prose(rng, 30), prose(rng, 30)
+    rows += [(400 + i, f"{prose(rng, 40)} {passage} {prose(rng, 40)}.") for i in range(4)]
+    rows += [(500, prose(rng, 30) + " " + item + "."), (501, rows[labelled + 1][1]), (502, rows[labelled + 1][1] + " more"), (502, rows[labelled + 1][1] + " more")]
     for name, frame in (("documents", make_docs(rows)), ("labels", spark.createDataFrame(labels, LABELS)),
                         ("benchmark", spark.createDataFrame([(1, item)], "item_id long, text string"))):
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
@@ -134,7 +135,7 @@ def test_pipeline_equals_its_parts_by_brute_force(spark, make_docs, rng, tmp_pat
     want = {d: k for d, _, _, k in brute_dedup(single, 20)}
     import hashlib
     assert {d: hashlib.sha256(b" ".join(t.encode().split())).hexdigest() for d, t in cut} == want
-    assert {d for d, _ in cut} - {d for d, _ in clean} == {300}
+    assert {d for d, _ in cut} - {d for d, _ in clean} == {500}
     pieces = corpus_pipeline.run(spark, str(tmp_path)).collect()
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert sum(r["length"] for r in pieces) == sum(len(tokenizer.encode(t).ids) + 1 for _, t in clean)
