@@ -9,6 +9,8 @@ Conventions that every operator here follows:
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 
 import numpy as np
@@ -36,14 +38,29 @@ def public_id(col: str) -> Column:
     return F.when(F.col(col) != NULL_ID, F.col(col))
 
 
+#: Bytes of rows that one batch carries to a Python worker: long texts come in few rows at a time.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches bounded by bytes as well as by rows."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """(did, tv, text): id without nulls, a text version telling rows of one id apart, text without nulls."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(doc_id().alias("did"), F.hash(text).alias("tv"), text.alias("text"))
+    return bounded_batches(docs).select(doc_id().alias("did"), F.hash(text).alias("tv"), text.alias("text"))
 
 
 class Stored:
-    """A table written once to the shared folder: it cuts the lineage and survives lost executors."""
+    """A table written once to the shared folder: it cuts the lineage and survives lost executors.
+
+    Tables that a returned frame still reads are deleted when the driver ends, others by ``drop``.
+    """
+
+    left: dict[str, SparkSession] = {}
 
     def __init__(self, df: DataFrame, name: str):
         spark = df.sparkSession
@@ -55,19 +72,31 @@ class Stored:
             df.write.parquet(self.path)
         finally:
             spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+        Stored.left[self.path] = spark
         self.df = spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
         """Delete the files; only after every table that reads them has been stored itself."""
-        spark = self.df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(Stored.left.pop(self.path), self.path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@atexit.register
+def _delete_left() -> None:
+    while Stored.left:
+        name, spark = Stored.left.popitem()
+        with contextlib.suppress(Exception):  # the JVM may have ended before
+            _delete(spark, name)
 
 
 class WordHash(dict):
     """bytes word -> 64-bit hash, remembered for frequent words; ``trim`` bounds the memory."""
 
-    LIMIT = 400_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import U64, WordHash, chunks, doc_id, gram_hashes, public_id
+from sluice.llm.common import U64, WordHash, bounded_batches, chunks, doc_id, gram_hashes, public_id
 from sluice.llm.substring_dedup import words_of
 
 SEED = 5
@@ -187,7 +187,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, t
     items = benchmark.select(doc_id("item_id").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    docs = documents.select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = bounded_batches(documents).select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     out = spark.createDataFrame([], SCHEMA)
     for block in range(blocks):
         cache = FoldedHash()

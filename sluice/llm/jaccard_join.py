@@ -223,14 +223,17 @@ def similar_classes(docs: DataFrame, n: int = N, threshold: tuple[int, int] = TH
     stars = banded.join(buckets, "h").where("cid <> least").select(F.col("cid").alias("a"), F.col("least").alias("b"))
     candidates = Stored(components(stars, "candidates").select(F.col("node").alias("cid"), F.col("label").alias("comp")), "candidate-sets").df
     wanted = classes.select("cid", "did", "tv", "copies").join(candidates, "cid").dropDuplicates(["cid"])
-    sets = Stored(wanted.join(docs, ["did", "tv"]).dropDuplicates(["did", "tv"]).select("comp", "cid", "copies", "text")
-                  .mapInPandas(_set_rows(n), "comp long, cid long, copies long, grams binary"), "candidate-shingles").df
+    held = [Stored(wanted.join(docs, ["did", "tv"]).dropDuplicates(["did", "tv"]).select("comp", "cid", "copies", "text")
+                  .mapInPandas(_set_rows(n), "comp long, cid long, copies long, grams binary"), "candidate-shingles")]
+    sets = held[0].df
     pivots = sets.where("cid = comp").select("comp", F.col("grams").alias("pivot"))
-    dist = Stored(sets.join(pivots, "comp").select("comp", "cid", "copies", "grams", "pivot")
-                  .mapInPandas(_to_pivot, "comp long, cid long, copies long, up int, down int"), "pivot-distances").df
+    held.append(Stored(sets.join(pivots, "comp").select("comp", "cid", "copies", "grams", "pivot")
+                  .mapInPandas(_to_pivot, "comp long, cid long, copies long, up int, down int"), "pivot-distances"))
+    dist = held[-1].df
     limit = LEVELS * (den - num) // den
     level = dist.groupBy("comp", "up", "down").agg(F.count(F.lit(1)).alias("members"), F.sum("copies").alias("weight"))
-    level = Stored(level, "distance-levels").df
+    held.append(Stored(level, "distance-levels"))
+    level = held[-1].df
     other = level.select("comp", *[F.col(c).alias(f"{c}2") for c in ("up", "down", "members", "weight")])
     pairs = level.join(other, "comp").where((F.col("down") - F.col("up2") <= limit) & (F.col("down2") - F.col("up") <= limit))
     sure = F.col("up") + F.col("up2") <= limit
@@ -242,7 +245,8 @@ def similar_classes(docs: DataFrame, n: int = N, threshold: tuple[int, int] = TH
     open_pairs = pairs.where(~sure & (F.struct("up", "down") <= F.struct("up2", "down2"))
                              & ((F.col("up") != F.col("up2")) | (F.col("down") != F.col("down2")) | (F.col("members") > 1)))
     parts = lambda c: F.ceil(F.col(c) / F.lit(float(block))).cast("int")
-    todo = Stored(open_pairs.select("comp", "up", "down", "members", "up2", "down2", "members2"), "open-levels").df
+    held.append(Stored(open_pairs.select("comp", "up", "down", "members", "up2", "down2", "members2"), "open-levels"))
+    todo = held[-1].df
     block_pairs = (todo.withColumn("part", F.explode(F.sequence(F.lit(0), parts("members") - 1)))
                    .withColumn("part2", F.explode(F.sequence(F.lit(0), parts("members2") - 1)))
                    .where((F.col("up") != F.col("up2")) | (F.col("down") != F.col("down2")) | (F.col("part") <= F.col("part2")))
@@ -251,13 +255,16 @@ def similar_classes(docs: DataFrame, n: int = N, threshold: tuple[int, int] = TH
         todo.select("comp", F.col("up2").alias("up"), F.col("down2").alias("down"), F.col("members2").alias("members"))).distinct())
     members = (dist.join(needed, ["comp", "up", "down"]).withColumn("part", F.pmod(F.xxhash64("cid"), parts("members")).cast("int"))
                .join(sets.select("cid", "grams"), "cid").select("comp", "up", "down", "part", "cid", "copies", "grams"))
-    blocks = Stored(members.groupBy("comp", "up", "down", "part").applyInPandas(
-        _block, "comp long, up int, down int, part int, cids binary, copies binary, sizes binary, grams binary"), "member-blocks").df
+    held.append(Stored(members.groupBy("comp", "up", "down", "part").applyInPandas(
+        _block, "comp long, up int, down int, part int, cids binary, copies binary, sizes binary, grams binary"), "member-blocks"))
+    blocks = held[-1].df
     key = ["comp", "up", "down", "part"]
     second = blocks.select(*[F.col(c) if c == "comp" else F.col(c).alias(f"{c}2") for c in blocks.columns])
     verified = (block_pairs.join(blocks, key).join(second, ["comp", "up2", "down2", "part2"])
                 .mapInPandas(_verify(num, den), "cid long, other long, weight long"))
     found = Stored(by_pivot.unionByName(near_pivot).unionByName(verified), "links").df
+    for used in held:
+        used.drop()
     groups = components(found.where("other IS NOT NULL").select(F.col("cid").alias("a"), F.col("other").alias("b")), "groups")
     links = found.groupBy("cid").agg(F.sum("weight").alias("w"))
     result = classes.select("cid", F.col("did").alias("cdid"), F.col("tv").alias("ctv"), "copies").join(links, "cid", "left").join(

@@ -26,7 +26,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import Stored, doc_id, public_id
+from sluice.llm.common import Stored, bounded_batches, doc_id, public_id
 
 UNDETERMINED = "und"
 #: Documents of a language that are learned from, at most.
@@ -181,7 +181,7 @@ def _predict(model: Model):
 
 def identify(documents: DataFrame, held_out, per_language: int = PER_LANGUAGE) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row; learns from rows where ``held_out`` is false."""
-    docs = documents.select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    docs = bounded_batches(documents).select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                             F.col("lang").cast("string").alias("lang"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     model = fit(docs.where(~F.col("held_out")), per_language)
     found = docs.select("doc_id", "held_out", "text").mapInPandas(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import doc_id, public_id
+from sluice.llm.common import bounded_batches, doc_id, public_id
 
 CAPACITY = 2048
 END_ID = 1
@@ -208,7 +208,7 @@ def _pack(path: str, capacity: int, windows: int, piece: int, tail: int, end_id:
 def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY, windows: int = WINDOWS, piece: int = PIECE,
          tail: int = TAIL, end_id: int = END_ID) -> DataFrame:
     """A row per piece: (doc_id, start, length, ids, doc_tokens, sequence_id, offset); ``ids`` little-endian 32-bit."""
-    docs = documents.select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = bounded_batches(documents).select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     packed = docs.mapInPandas(_pack(tokenizer, capacity, windows, piece, tail, end_id),
                               "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
     return packed.withColumn("doc_id", public_id("doc_id"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import Stored, doc_id, public_id
+from sluice.llm.common import Stored, bounded_batches, doc_id, public_id
 
 THRESHOLD = 0.7
 #: Labelled documents that are learned from, at most.
@@ -98,7 +98,7 @@ def with_statistics(rows: DataFrame, keep: list[str], types: str) -> DataFrame:
         for f in frames:
             stats = pd.DataFrame(statistics(list(f["text"])), columns=names, index=f.index)
             yield pd.concat([f[keep], stats], axis=1)
-    return rows.select(*keep, "text").mapInPandas(run, types + "".join(f", {n} double" for n in names))
+    return bounded_batches(rows).select(*keep, "text").mapInPandas(run, types + "".join(f", {n} double" for n in names))
 
 
 class Rule(NamedTuple):
@@ -180,7 +180,7 @@ def scored(documents: DataFrame, ensemble: Ensemble, keep: list[str], types: str
 
 def keep_good(rows: DataFrame, ensemble: Ensemble, schema: T.StructType, threshold: float = THRESHOLD) -> DataFrame:
     """``rows`` (row, text) whose score reaches the threshold; the statistics are an array beside the untouched row."""
-    stats = rows.withColumn("stats", _statistics_udf("text"))
+    stats = bounded_batches(rows).withColumn("stats", _statistics_udf("text"))
     named = stats.select("row", *[F.col("stats")[i].alias(f"stat_{s}") for i, s in enumerate(STATISTICS)])
     return named.where(ensemble.score() >= threshold).select("row")
 

@@ -38,7 +38,7 @@ SEED = 8
 RUN = 64
 CHUNK_BYTES = 4 << 20
 #: Words that a shard indexes, about; and different segments of one key beyond which it is split.
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 750_000
 HOT_SEGMENTS = 20_000
 
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import doc_id, public_id
+from sluice.llm.common import bounded_batches, doc_id, public_id
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -115,7 +115,7 @@ def _count(path: str):
 
 def count_tokens(documents: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, n_tokens, score) for every row of ``documents`` (doc_id, text)."""
-    docs = documents.select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = bounded_batches(documents).select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     counted = docs.mapInPandas(_count(vocabulary), "doc_id long, n_tokens long, score double")
     return counted.withColumn("doc_id", public_id("doc_id"))
 
