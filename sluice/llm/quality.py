@@ -1,7 +1,7 @@
 """Operator 8, quality classifier: a sparse ensemble of rules over text statistics.
 
 Method. Statistics of every whole text (shares of letter cases, digits, punctuation and lines, repetition of
-words and lines, word lengths) are computed per batch. A random forest of shallow trees is fitted on at most
+words and lines) are computed per batch. A random forest of shallow trees is fitted on at most
 ``sample`` labelled documents, taken by the hash of their ids; every path from a root to any node below it
 is a rule, a conjunction of threshold conditions. An L1-penalised logistic regression weighs the rules; those
 with a weight are compiled into one Spark column expression over the statistics, which scores all documents
@@ -36,8 +36,9 @@ SAMPLE = 8000
 TREES = 24
 DEPTH = 3
 PENALTY = 1e-3
-STATISTICS = ("chars", "words", "upper", "lower", "digit", "space", "punct", "symbol", "letter_per_char", "mean_word", "longest_word",
-              "distinct_words", "top_word", "repeat_next", "distinct_lines", "words_per_line", "bare_punct", "sentence_end", "capital_words")
+#: Shares only: neither the length of a text nor that of its words says how good it is.
+STATISTICS = ("upper", "lower", "digit", "space", "punct", "symbol", "letters", "distinct_words", "top_word", "repeat_next",
+              "distinct_lines", "bare_punct", "sentence_end", "capital_words")
 _CLASSES = 7  # other, upper, lower, other letter, digit, space, punctuation; symbols are the rest of ASCII
 _CHUNK = 1 << 20
 
@@ -56,7 +57,7 @@ def _word_statistics(text: str) -> tuple[float, ...]:
     words = text.split()
     n = len(words)
     if not n:
-        return (0.0,) * 11
+        return (0.0,) * 7
     counts: dict[str, int] = {}
     for w in words:
         counts[w] = counts.get(w, 0) + 1
@@ -64,10 +65,8 @@ def _word_statistics(text: str) -> tuple[float, ...]:
     bare = sum(v for w, v in counts.items() if not any(map(str.isalnum, w[:3])))
     ends = sum(v for w, v in counts.items() if w[-1] in ".!?")
     capital = sum(v for w, v in counts.items() if w[0].isupper())
-    longest = max(map(len, counts))
     nexts = sum(map(str.__eq__, words, words[1:]))
-    return (float(n), sum(len(w) * v for w, v in counts.items()) / n, float(longest), len(counts) / n, max(counts.values()) / n,
-            nexts / n, len(set(lines)) / len(lines), n / len(lines), bare / n, ends / n, capital / n)
+    return (len(counts) / n, max(counts.values()) / n, nexts / n, len(set(lines)) / len(lines), bare / n, ends / n, capital / n)
 
 
 def statistics(texts: list[str]) -> np.ndarray:
@@ -82,12 +81,8 @@ def statistics(texts: list[str]) -> np.ndarray:
     chars = counts.sum(1)
     share = counts / np.maximum(chars, 1)[:, None]
     letters = share[:, 1] + share[:, 2] + share[:, 3]
-    w = np.array(list(map(_word_statistics, texts))).reshape(n, 11)
-    columns = {"chars": chars, "words": w[:, 0], "upper": share[:, 1], "lower": share[:, 2], "digit": share[:, 4], "space": share[:, 5],
-               "punct": share[:, 6], "symbol": share[:, 0], "letter_per_char": letters, "mean_word": w[:, 1], "longest_word": w[:, 2],
-               "distinct_words": w[:, 3], "top_word": w[:, 4], "repeat_next": w[:, 5], "distinct_lines": w[:, 6], "words_per_line": w[:, 7],
-               "bare_punct": w[:, 8], "sentence_end": w[:, 9], "capital_words": w[:, 10]}
-    return np.column_stack([columns[c] for c in STATISTICS])
+    by_word = np.array(list(map(_word_statistics, texts))).reshape(n, 7)
+    return np.column_stack([share[:, [1, 2, 4, 5, 6, 0]], letters, by_word])  # in the order of STATISTICS
 
 
 def with_statistics(rows: DataFrame, keep: list[str], types: str) -> DataFrame:
