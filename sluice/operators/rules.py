@@ -142,8 +142,8 @@ def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: st
     Nothing is written. A corpus whose text is measured to fit the broadcast limit (a
     handbook) is broadcast as weighted postings and the queries are scored where they are
     read. Else a query set that fits is broadcast and the corpus is read twice: once for
-    the document frequencies of the query terms, counted on the map side, once to score
-    every document where it is read. Beyond that the sides are joined on the term, which
+    the document frequencies of the query terms, counted on the map side, once to score,
+    with one shuffle that deals the query terms' tokens by document. Beyond that the sides are joined on the term, which
     adaptive execution splits where it is hot. ``row_number() <= k`` is a
     WindowGroupLimit. idf is fixed in integer nano-units and sums are integral, so equal
     documents tie exactly.
@@ -162,11 +162,15 @@ def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: st
         pairs = q_terms.join(F.broadcast(weighted), "term")
     else:
         ship = F.broadcast if fits(queries) else (lambda df: df)
+        vocabulary = ship(q_terms.select("term").distinct())
         df_t = (corpus.select(F.explode(F.array_distinct(F.split(F.lower(text_col), TOKEN_SPLIT))).alias("term"))
-                .join(ship(q_terms.select("term").distinct()), "term", "left_semi")
+                .join(vocabulary, "term", "left_semi")
                 .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-        weights = df_t.select("term", idf.alias("w")).where("w > 0")  # zero-idf terms add nothing to any score
-        pairs = terms.join(ship(q_terms.join(ship(weights), "term")), "term")
+        weights = df_t.select("term", idf.alias("idf")).where("idf > 0")  # other terms add nothing to any score
+        # the tokens that a query holds, dealt by document: term counts and scores then need no further shuffle
+        tf = (terms.join(vocabulary, "term", "left_semi").repartition(corpus_key)
+              .groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf")))
+        pairs = tf.join(ship(q_terms.join(ship(weights), "term")), "term").select(query_key, corpus_key, (F.col("tf") * F.col("idf")).alias("w"))
     scores = pairs.groupBy(query_key, corpus_key).agg(F.sum("w").alias("_score_e9")).withColumn("_score", F.col("_score_e9").cast("double") / F.lit(1e9))
     w = Window.partitionBy(query_key).orderBy(F.desc("_score_e9"), corpus_key)
     return (scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
