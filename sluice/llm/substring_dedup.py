@@ -9,22 +9,25 @@ match in full and, from the first row of their interval, the earliest occurrence
 than their earliest occurrence are reported as intervals, joined back to all copies, and cut out.
 
 Skew. Copies of a segment meet in a map-side aggregate; a key with more than ``hot_segments`` different
-segments is split into its windows, which are then keyed by their whole word sequence. Joins on keys are
-plain equi-joins that adaptive execution can split.
+segments goes to no shard but is split into its windows, which are keyed by their whole word sequence. Equal
+windows share their segments' key, so a window's earliest occurrence is the least place with its words: a
+map-side aggregate, joined back to the windows. Joins on keys are plain equi-joins that adaptive execution can split.
 
 Defined results. Null or empty text: no words, nothing removed, the hash of the empty string. Null doc_id:
 the smallest id. Repeated rows (same id and text) start at the same place, so neither is earlier; rows of
 one id with different texts are judged as separate documents of equal rank. An empty table gives no rows.
-Words are compared by 64-bit hashes, copies of segments by 128 bits.
+Words are compared by 64-bit hashes, copies of segments and windows of hot keys by 128 bits.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +43,7 @@ CHUNK_BYTES = 4 << 20
 #: Words that a shard indexes, about; and different segments of one key beyond which it is split.
 SHARD_WORDS = 750_000
 HOT_SEGMENTS = 20_000
+INTERVALS = "key long, seg long, lo int, n_hit int, first_did long, first_start int"
 
 
 def segments_of(words: np.ndarray, bounds: np.ndarray, window: int, seed: int, run: int = RUN):
@@ -119,23 +123,38 @@ def _extract(window: int):
             out = []
             for (did, tv, wanted, _), base, end in zip(rows, bounds, bounds[1:]):
                 doc = words[base:end]
+                for w in wanted:
+                    start = w["start"]
+                    out.append((w["key"], w["seg"], did, tv, start, doc[start:start + w["n"] + window - 1].tobytes()))
+            if out:
+                yield pd.DataFrame(out, columns=["key", "seg", "did", "tv", "start", "words"])
+    return run
+
+
+def _windows(window: int):
+    """The same of segments of hot keys -> a row for each of their windows, with two hashes of all its words."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache = WordHash()
+        for rows in chunks(frames, CHUNK_BYTES):
+            words, bounds = _hashed(rows, cache)
+            for (did, _, wanted, _), base, end in zip(rows, bounds, bounds[1:]):
+                doc, parts = words[base:end], []
                 for w in wanted:
                     start, n = w["start"], w["n"]
                     span = doc[start:start + n + window - 1]
-                    if not w["hot"]:
-                        out.append((w["key"], w["key"], w["seg"], 0, did, tv, start, span.tobytes()))
-                        continue
-                    for off, key in enumerate(gram_hashes(span, window).view(np.int64).tolist()):
-                        out.append((key, w["key"], w["seg"], off, did, tv, start + off, span[off:off + window].tobytes()))
-            if out:
-                yield pd.DataFrame(out, columns=["skey", "key", "seg", "off", "did", "tv", "start", "words"])
+                    check = np.array([xxhash.xxh3_64_intdigest(span[i:i + window].tobytes()) for i in range(n)], U64)
+                    off = np.arange(n, dtype=np.int32)
+                    parts.append(pd.DataFrame({"skey": gram_hashes(span, window).view(np.int64), "chk": check.view(np.int64), "key": w["key"],
+                                               "seg": w["seg"], "off": off, "did": did, "start": (start + off).astype(np.int32)}))
+                if parts:
+                    yield pd.concat(parts, ignore_index=True)
     return run
 
 
 def _search_shard(window: int):
     """One shard: index its segments, stream them through it, report intervals with their earliest occurrence."""
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.drop_duplicates(["skey", "key", "seg", "off"]).sort_values(["did", "start", "tv"], kind="stable")
+        shard = shard.sort_values(["did", "start", "tv"], kind="stable")
         sequences = [np.frombuffer(w, U64) for w in shard["words"]]
         index = FMIndex(sequences, window)
         lengths, rows, _ = index.matching_statistics(sequences)
@@ -151,9 +170,8 @@ def _search_shard(window: int):
         head = np.flatnonzero(new)
         n = np.diff(np.append(head, len(full)))
         q, s = query[head], source[head]
-        lo = shard["off"].to_numpy()[q] + offset[head]
         return pd.DataFrame({
-            "key": shard["key"].to_numpy()[q], "seg": shard["seg"].to_numpy()[q], "lo": lo.astype(np.int32),
+            "key": shard["key"].to_numpy()[q], "seg": shard["seg"].to_numpy()[q], "lo": offset[head].astype(np.int32),
             "n_hit": n.astype(np.int32), "first_did": shard["did"].to_numpy()[s],
             "first_start": (shard["start"].to_numpy()[s] + source_off[head]).astype(np.int32)})
     return run
@@ -172,20 +190,38 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED,
     found.drop()
     s = shared.df
     distinct = s.groupBy("key", "seg").agg(F.min(F.struct("did", "start", "tv")).alias("f"), F.first("n").alias("n"))
-    hot = distinct.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot_segments).select("key", F.lit(True).alias("hot"))
-    wanted = (distinct.join(hot, "key", "left")
-              .groupBy("f.did", "f.tv").agg(F.collect_list(F.struct(
-                  "key", "seg", F.col("f.start").alias("start"), "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("wanted")))
-    with_text = docs.join(wanted, ["did", "tv"]).select("did", "tv", "wanted", "text")
-    rows = with_text.mapInPandas(_extract(window),
-                                 "skey long, key long, seg long, off int, did long, tv int, start int, words binary")
-    shards = max(1, s.count() * (window + (window - seed) // 2) // shard_words)
-    searched = Stored(
-        rows.groupBy(F.pmod(F.xxhash64("skey"), F.lit(shards)).alias("shard"))
-        .applyInPandas(_search_shard(window), "key long, seg long, lo int, n_hit int, first_did long, first_start int"), "intervals")
+    # one count of the rows: how many shards, and whether any key can be hot
+    size = s.groupBy("key").agg(F.count(F.lit(1)).alias("c")).agg(F.sum("c").alias("all"), F.max("c").alias("most")).first()
+    any_hot = (size["most"] or 0) > hot_segments
+    if any_hot:  # most frequent keys have few different segments: their texts need no second pass
+        frequent = s.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > hot_segments).select("key")
+        different = s.join(frequent, "key", "left_semi").select("key", "seg").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+        hot = Stored(different.where(F.col("c") > hot_segments).select("key"), "hot-keys").df
+        any_hot = not hot.isEmpty()
+
+    def with_text(segments: DataFrame) -> DataFrame:
+        """A row per document that has some of the segments; repeated rows of a document would only repeat them."""
+        wanted = segments.groupBy("f.did", "f.tv").agg(F.collect_list(F.struct("key", "seg", F.col("f.start").alias("start"), "n")).alias("wanted"))
+        return docs.join(wanted, ["did", "tv"]).dropDuplicates(["did", "tv"]).select("did", "tv", "wanted", "text")
+
+    shards = max(1, (size["all"] or 0) * (window + (window - seed) // 2) // shard_words)
+    cold = distinct.join(hot, "key", "left_anti") if any_hot else distinct
+    found_in = [Stored(
+        with_text(cold).mapInPandas(_extract(window), "key long, seg long, did long, tv int, start int, words binary")
+        .groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
+        .applyInPandas(_search_shard(window), INTERVALS), "intervals").df]
+    if any_hot:
+        windows = Stored(with_text(distinct.join(hot, "key", "left_semi")).mapInPandas(
+            _windows(window), "skey long, chk long, key long, seg long, off int, did long, start int"), "hot-windows")
+        least = windows.df.groupBy("skey", "chk").agg(F.min(F.struct("did", "start")).alias("first"))
+        found_in.append(Stored(windows.df.join(least, ["skey", "chk"]).select(
+            "key", "seg", F.col("off").alias("lo"), F.lit(1).alias("n_hit"), F.col("first.did").alias("first_did"),
+            F.col("first.start").alias("first_start")), "hot-intervals").df)
+        windows.drop()
+    searched = reduce(DataFrame.unionByName, found_in)
     here = F.col("start") + F.col("lo")
     later = (F.col("first_did") < F.col("did")) | ((F.col("first_did") == F.col("did")) & (F.col("first_start") < here))
-    return (s.join(searched.df, ["key", "seg"]).where(later)
+    return (s.join(searched, ["key", "seg"]).where(later)
             .select("did", "tv", F.struct(here.alias("a"), (here + F.col("n_hit") + F.lit(window - 1)).alias("b")).alias("span"))
             .groupBy("did", "tv").agg(F.collect_list("span").alias("spans")))
 

@@ -84,6 +84,29 @@ def test_hot_segments_and_small_shards_change_nothing(make_docs, repeated_docs):
     assert run_dedup(clashing(make_docs(repeated_docs)), seed=20) == want
 
 
+def test_a_hot_passage_does_not_meet_in_one_group(make_docs, rng, tmp_path, monkeypatch):
+    passage = prose(rng, 60, 3000)
+    rows = [(i, f"{prose(rng, 40, 3000)} {passage} {prose(rng, 40, 3000)}") for i in range(80)] + [(7, prose(rng, 30)), (7, prose(rng, 30))]
+    rows += [(81, prose(rng, 25) + " end")] * 30
+    folder, search = str(tmp_path), substring_dedup._search_shard
+
+    def counting(window):
+        run = search(window)
+
+        def counted(shard):
+            import uuid
+            from pathlib import Path
+            Path(folder, uuid.uuid4().hex).write_text(str(shard.groupby("words").size().max()))
+            return run(shard)
+        return counted
+    monkeypatch.setattr(substring_dedup, "_search_shard", counting)
+    got = run_dedup(make_docs(rows), hot_segments=5, shard_words=2000)
+    want = brute_dedup(rows[:80], 20)
+    assert [r for r in got if r[0] < 80 and r[0] != 7] == [r for r in want if r[0] != 7]
+    assert {r[2] for r in got if r[0] == 81} == {0}
+    assert max([int(f.read_text()) for f in tmp_path.iterdir()], default=0) <= 5
+
+
 def test_other_windows(make_docs, repeated_docs):
     assert run_dedup(make_docs(repeated_docs), window=7, seed=3) == brute_dedup(repeated_docs, 7)
 
