@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import U64, WordHash, bounded_batches, chunks, doc_id, gram_hashes, public_id
+from sluice.llm.common import U64, WordHash, chunks, doc_id, gram_hashes, public_id, texts
 from sluice.llm.substring_dedup import words_of
 
 SEED = 5
@@ -156,14 +156,14 @@ def _tile(seeds: Seeds, seed: int, threshold: float):
         cache = FoldedHash()
         for rows in chunks(frames, CHUNK_BYTES):
             cache.trim()
-            docs = [cache.folded(text) for _, text in rows]
+            docs = [cache.folded(text) for *_, text in rows]
             bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
             joined = np.concatenate(docs)
             grams = {size: gram_hashes(joined, size) for size in seeds.lengths}
             # documents without any hash of the quick filter are passed over; grams across documents only add candidates
             hits = {size: np.concatenate([[0], np.cumsum(seeds.by_length[size][3][g >> U64(64 - _FILTER_BITS)])]) for size, g in grams.items()}
             out = []
-            for (did, _), doc, a, b in zip(rows, docs, bounds, bounds[1:]):
+            for (did, tv, _), doc, a, b in zip(rows, docs, bounds, bounds[1:]):
                 own = {s: g[a:b - s + 1] for s, g in grams.items() if b - a >= s and hits[s][b - s + 1] > hits[s][a]}
                 for i in seeds.candidates(own, threshold):
                     item_id, words = seeds.items[i]
@@ -171,23 +171,26 @@ def _tile(seeds: Seeds, seed: int, threshold: float):
                     covered = sum(n for _, _, n in tiles)
                     if covered >= threshold * len(words):
                         spans = [{"item_start": p, "doc_start": t, "n_words": n} for p, t, n in tiles]
-                        out.append((did, item_id, len(words), covered, covered / len(words), spans))
+                        out.append((did, tv, item_id, len(words), covered, covered / len(words), spans))
             if out:
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "item_words", "covered", "coverage", "tiles"])
+                yield pd.DataFrame(out, columns=["doc_id", "tv", "item_id", "item_words", "covered", "coverage", "tiles"])
     return run
 
 
-SCHEMA = "doc_id long, item_id long, item_words int, covered int, coverage double, tiles array<struct<item_start:int,doc_start:int,n_words:int>>"
+SCHEMA = "doc_id long, tv int, item_id long, item_words int, covered int, coverage double, tiles array<struct<item_start:int,doc_start:int,n_words:int>>"
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, threshold: float = THRESHOLD,
                  block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """A row per document and benchmark item that its tiles cover up to the threshold; tiles count folded words."""
+    """A row per document and benchmark item that its tiles cover up to the threshold; tiles count folded words.
+
+    ``tv`` is the text version of ``common.texts``: it tells documents of one id apart.
+    """
     spark = documents.sparkSession
     items = benchmark.select(doc_id("item_id").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-chars // block_chars))
-    docs = bounded_batches(documents).select(doc_id().alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = texts(documents).withColumnRenamed("did", "doc_id")
     out = spark.createDataFrame([], SCHEMA)
     for block in range(blocks):
         cache = FoldedHash()

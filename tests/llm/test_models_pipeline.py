@@ -141,6 +141,15 @@ def test_pipeline_equals_its_parts_by_brute_force(spark, make_docs, rng, tmp_pat
     assert sum(r["length"] for r in pieces) == sum(len(tokenizer.encode(t).ids) + 1 for _, t in clean)
 
 
+def test_clean_documents_of_a_contaminated_id_stay(spark, make_docs, rng, tmp_path):
+    import corpus_pipeline
+    item, clean = prose(rng, 30), [prose(rng, 40) for _ in range(4)]
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, clean[0]), (None, item + " end"), (None, None), (7, clean[1]), (7, "so " + item), (8, clean[2]), (9, item), (9, item)]
+    got = corpus_pipeline.benchmark_filter(spark, make_docs(rows), str(tmp_path)).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, clean[0]), (None, None), (7, clean[1]), (8, clean[2])], key=str)
+
+
 def test_every_operator_is_registered_once():
     import __spark_entry__ as entry
     names = set(entry.queries())
