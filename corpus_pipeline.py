@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import decontaminate, jaccard_join, packing, quality, substring_dedup
-from sluice.llm.common import Stored, doc_id, table, texts
+from sluice.llm.common import Stored, doc_id, table, text_version, texts
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """The documents as one struct, with the keys that the operators use: (did, tv, row)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(doc_id().alias("did"), F.hash(text).alias("tv"), F.struct(*docs.columns).alias("row"))
+    return docs.select(doc_id().alias("did"), text_version(text).alias("tv"), F.struct(*docs.columns).alias("row"))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -177,7 +177,7 @@ def _tile(seeds: Seeds, seed: int, threshold: float):
     return run
 
 
-SCHEMA = "doc_id long, tv int, item_id long, item_words int, covered int, coverage double, tiles array<struct<item_start:int,doc_start:int,n_words:int>>"
+SCHEMA = "doc_id long, tv long, item_id long, item_words int, covered int, coverage double, tiles array<struct<item_start:int,doc_start:int,n_words:int>>"
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, seed: int = SEED, threshold: float = THRESHOLD,

@@ -214,7 +214,7 @@ def similar_classes(docs: DataFrame, n: int = N, threshold: tuple[int, int] = TH
     """(signatures of all documents, results per class): (did, tv, cid, n) and (cid, cdid, copies, links, gdid, gtv)."""
     num, den = threshold
     bands, rows = band_plan(num / den, recall, max_hashes)
-    signed = Stored(docs.mapInPandas(_sign(n, bands, rows), "did long, tv int, cid long, chk long, n int, bands array<long>"), "signatures").df
+    signed = Stored(docs.mapInPandas(_sign(n, bands, rows), "did long, tv long, cid long, chk long, n int, bands array<long>"), "signatures").df
     classes = Stored(signed.where("n > 0").groupBy("cid", "chk", "n").agg(
         F.min(F.struct("did", "tv")).alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
         .select("cid", "rep.did", "rep.tv", "copies", "bands"), "classes").df

@@ -108,7 +108,7 @@ def _segment_rows(window: int, seed: int):
         for rows in chunks(frames, CHUNK_BYTES):
             doc, start, n, key, content, occurs = segments_of(*_hashed(rows, cache), window, seed)
             ids = np.array([r[0] for r in rows], np.int64)
-            versions = np.array([r[1] for r in rows], np.int32)
+            versions = np.array([r[1] for r in rows], np.int64)
             yield pd.DataFrame({"key": key.view(np.int64), "seg": content.view(np.int64), "did": ids[doc], "tv": versions[doc],
                                 "start": start.astype(np.int32), "n": n.astype(np.int16), "occurs": occurs.astype(np.int16)})
     return run
@@ -184,7 +184,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED,
     ``docs`` has (did, tv, text) as ``common.texts`` makes them. Documents without such words are absent.
     """
     found = Stored(docs.mapInPandas(_segment_rows(window, seed),
-                                    "key long, seg long, did long, tv int, start int, n short, occurs short"), "segments")
+                                    "key long, seg long, did long, tv long, start int, n short, occurs short"), "segments")
     repeated = found.df.groupBy("key").agg(F.sum("occurs").alias("c")).where("c > 1").select("key")
     shared = Stored(found.df.drop("occurs").join(repeated, "key", "left_semi"), "shared-segments")
     found.drop()
@@ -207,7 +207,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED,
     shards = max(1, (size["all"] or 0) * (window + (window - seed) // 2) // shard_words)
     cold = distinct.join(hot, "key", "left_anti") if any_hot else distinct
     found_in = [Stored(
-        with_text(cold).mapInPandas(_extract(window), "key long, seg long, did long, tv int, start int, words binary")
+        with_text(cold).mapInPandas(_extract(window), "key long, seg long, did long, tv long, start int, words binary")
         .groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
         .applyInPandas(_search_shard(window), INTERVALS), "intervals").df]
     if any_hot:
@@ -263,7 +263,7 @@ def dedup_substrings(documents: DataFrame, window: int = WINDOW, seed: int = SEE
     docs = texts(documents)
     spans = repeated_intervals(docs, window, seed, **limits)
     return (docs.join(spans, ["did", "tv"], "left").select("did", "tv", "spans", "text")
-            .mapInPandas(_cut, "did long, tv int, n_words long, n_removed long, kept_sha256 string, kept_text string"))
+            .mapInPandas(_cut, "did long, tv long, n_words long, n_removed long, kept_sha256 string, kept_text string"))
 
 
 def query(spark, sf_dir) -> DataFrame:

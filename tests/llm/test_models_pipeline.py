@@ -150,6 +150,24 @@ def test_clean_documents_of_a_contaminated_id_stay(spark, make_docs, rng, tmp_pa
     assert sorted(map(tuple, got), key=str) == sorted([(None, clean[0]), (None, None), (7, clean[1]), (8, clean[2])], key=str)
 
 
+def test_texts_of_one_id_with_one_32_bit_hash_stay_apart(spark, make_docs, tmp_path):
+    import hashlib
+
+    import corpus_pipeline
+
+    from sluice.llm import jaccard_join, substring_dedup
+    a, b = (" ".join(hashlib.md5(f"{i}-{j}".encode()).hexdigest() for j in range(25)) for i in (81084, 94972))
+    both = make_docs([(None, a), (None, b)])
+    assert both.select(F.hash("text")).distinct().count() == 1
+    assert corpus_pipeline.near_duplicate_filter(spark, both, "").count() == 2
+    spark.createDataFrame([(1, a)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r["text"] for r in corpus_pipeline.benchmark_filter(spark, both, str(tmp_path)).collect()] == [b]
+    docs = make_docs([(1, a), (5, a), (5, b)])
+    assert sorted(r["n_removed"] for r in substring_dedup.dedup_substrings(docs).collect()) == [0, 0, 25]
+    assert sorted(r["text"] for r in corpus_pipeline.repeat_filter(spark, docs, "").collect()) == sorted(["", a, b])
+    assert sorted(tuple(r) for r in jaccard_join.join_similar(docs).select("did", "n_links").collect()) == [(1, 1), (5, 0), (5, 1)]
+
+
 def test_every_operator_is_registered_once():
     import __spark_entry__ as entry
     names = set(entry.queries())
