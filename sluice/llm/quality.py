@@ -62,7 +62,7 @@ def _word_statistics(text: str) -> tuple[float, ...]:
     for w in words:
         counts[w] = counts.get(w, 0) + 1
     lines = [x for x in text.split("\n") if x.strip()]
-    bare = sum(v for w, v in counts.items() if not any(map(str.isalnum, w[:3])))
+    bare = sum(v for w, v in counts.items() if not any(map(str.isalnum, w)))
     ends = sum(v for w, v in counts.items() if w[-1] in ".!?")
     capital = sum(v for w, v in counts.items() if w[0].isupper())
     nexts = sum(map(str.__eq__, words, words[1:]))

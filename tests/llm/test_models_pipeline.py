@@ -102,6 +102,11 @@ def test_rules_are_the_paths_of_the_trees(spark):
     assert rules == {(a,), (a, (1, False, 2.0)), (a, (1, True, 2.0)), (b,), ((0, False, 0.75), b), ((0, True, 0.75),)}
 
 
+def test_words_behind_three_marks_are_not_bare(rng):
+    words = ['((("word', "***note", "--- ", "...", "a"]
+    assert quality._word_statistics(" ".join(words))[4] == 2 / 5
+
+
 def test_statistics_do_not_depend_on_the_batch(rng):
     texts = ["", "A b. C!\nd d", prose(rng, 30)]
     assert np.array_equal(quality.statistics(texts), np.vstack([quality.statistics([t]) for t in texts]))
