@@ -4,6 +4,8 @@ Method. The vocabulary (piece, score) comes from a SentencePiece file. An Aho-Co
 all pieces in a text; dynamic programming over end positions carries the best score and the number of pieces
 of the best path. Tie rule of the unigram tokenizers: paths to an end are tried by rising start of their last
 piece and only a strictly better one replaces the path found before, so the longest last piece wins a tie.
+``piece_bpe_32k.model`` is a BPE file whose scores are merge ranks: the counts are those of the best unigram
+segmentation over its pieces, not of the file's own BPE encoder (README has figures).
 A character without a piece of its own may also be an unknown piece that scores ``min score - 10``; it counts
 as one piece a byte if the vocabulary has byte pieces, else neighbouring unknown characters count as one.
 
