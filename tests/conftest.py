@@ -9,8 +9,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-SF_SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -29,10 +27,3 @@ def spark(tmp_path_factory):
     ensure_checkpoint_dir(session)
     yield session
     session.stop()
-
-
-def rows(df, *cols):
-    """Collected rows as tuples (optionally of selected columns), sorted."""
-    data = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in data.collect()),
-                  key=lambda t: [(v is None, v if isinstance(v, (int, float)) else str(v)) for v in t])

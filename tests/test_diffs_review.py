@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from sluice.operators import diffs as D

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import duckdb
-from conftest import SF_SMALL, rows
+from support import SF_SMALL, rows
 from pyspark.sql import functions as F
 
 from sluice.operators import forecast as FC

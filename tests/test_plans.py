@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF_SMALL
+from support import SF_SMALL
 
 from sluice.plans.registry import load_all
 

@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from conftest import rows
+from support import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
