@@ -13,6 +13,7 @@ from sluice.llm import (
     token_count,
     topk,
     url_filter,
+    whitening,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_token_count": token_count.query,
     "op10_chat": chat.query,
+    "op13_whitening": whitening.query,
 }
 ORACLES = {
     "op1_substring_dedup": substring_dedup.SQL,
