@@ -11,6 +11,7 @@ from sluice.llm import (
     quality,
     substring_dedup,
     token_count,
+    token_file,
     topk,
     url_filter,
     whitening,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_quality": quality.query,
     "op9_token_count": token_count.query,
     "op10_chat": chat.query,
+    "op11_token_file": token_file.query,
     "op13_whitening": whitening.query,
 }
 ORACLES = {
