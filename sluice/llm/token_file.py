@@ -18,8 +18,12 @@ of one id are spread by a hash of the text, equal rows by their place in the inp
 only table sent to the tasks has one row a shard.
 
 Ids are those of the ``tokenizers`` library. Where the file's normaliser and splitting drop white space and never
-look across it (checked in the file), the library encodes each distinct word once and texts are put together from
-words; other files go through the library text by text.
+look across it (checked in the file), each distinct word is encoded once and texts are put together from words;
+other files go through the library text by text. Words of common scripts go through ``tiktoken`` with the same
+merges, its end-of-word mark as one more byte. It merges two neighbours if their joined bytes are a token, the
+library if the pair itself is in the list: the same if every token, encoded by itself, gives itself, because tokens
+never shrink, so that within the bytes of a token nothing else can have happened than in the token alone. That is
+checked for the whole list before a job; other words, and other files, go through the library.
 
 Defined results. Null or empty text: the end id only. Null ids come first and stay null. Rows of one id come in the
 order of their texts' 64-bit hash; repeated rows are written one by one. An empty table gives no rows. Texts of any
@@ -32,6 +36,7 @@ import json
 import os
 import re
 import struct
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -50,7 +55,7 @@ SEGMENT_DOCS = 1 << 16
 SAMPLE = 256
 PIECE = 1 << 20
 #: Words that a worker remembers, and bytes of the longest of them.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 CACHE_LENGTH = 64
 FILE = ("shard int, segment int, doc_start long, start long, n_docs int, n_ids long, width int, ids binary, bounds binary, "
         "n_null int, first_id long, doc_ids binary")
@@ -126,10 +131,73 @@ class EliasFano:
         return value & np.uint64((1 << self.low_bits) - 1)
 
 
+def _classes() -> tuple[str, str, str]:
+    """Characters whose treatment no library's tables change: all of them, the letters and the numbers, as class bodies."""
+    stable = [chr(c) for c in (*range(0x21, 0x530), *range(0x2010, 0x205F))]
+    stable = [c for c in stable if unicodedata.category(c)[0] not in "CMZ" and unicodedata.normalize("NFC", c) == c]
+    stable = [c for c in stable if set(c.lower()) <= set(stable) and c != "\u03a3"]  # a final sigma depends on its place
+    of = lambda kind: "".join(re.escape(c) for c in stable if unicodedata.category(c)[0] in kind)
+    return of("LNPS"), of("L"), of("N")
+
+
+_STABLE, _LETTERS, _NUMBERS = _classes()
+_UNUSUAL = re.compile(f"[^{_STABLE}]")
+_PRETOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^ {_LETTERS}{_NUMBERS}]+")
+END = "</w>"
+#: Stands for the end-of-word mark: a byte that no word of common scripts holds.
+MARK = b"\0"
+
+
+def _steps(part, inner):
+    return part[inner] if part and part["type"] == "Sequence" else [part] if part else []
+
+
+def drops_space(spec: dict) -> bool:
+    """Whether a text's ids are those of its words (stretches without ASCII white space), one after the other."""
+    normal = all(s["type"] in ("NFC", "Lowercase") or (s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " ")
+                 for s in _steps(spec["normalizer"], "normalizers"))
+    split = _steps(spec["pre_tokenizer"], "pretokenizers")
+    words = (len(split) == 2 and split[0]["type"] == "Split" and split[0]["pattern"] == {"Regex": WORD_PATTERN}
+             and split[0]["behavior"] == "Removed" and split[0]["invert"]
+             and split[1]["type"] == "ByteLevel" and not split[1]["add_prefix_space"] and not split[1]["use_regex"])
+    return normal and words and spec["post_processor"] is None and all(t["special"] for t in spec["added_tokens"])
+
+
+def byte_ranks(spec: dict) -> dict[bytes, int] | None:
+    """Token bytes (the mark for a word's end) -> id, if ids follow the merges and every token encodes to itself."""
+    model = spec["model"]
+    normal = {s["type"] for s in _steps(spec["normalizer"], "normalizers")}
+    plain = (model["type"] == "BPE" and model.get("end_of_word_suffix") == END and not model.get("continuing_subword_prefix")
+             and not model.get("dropout") and not model.get("ignore_merges") and "Lowercase" in normal)
+    if not plain:
+        return None
+    vocab = model["vocab"]
+    merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+    rank = {pair: i for i, pair in enumerate(merges)}
+    if any(vocab.get(a + b) != 512 + i for i, (a, b) in enumerate(merges)):
+        return None
+    # the byte-level alphabet: printable Latin-1 characters stand for themselves, the others follow from U+0100 on
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+    if any(vocab.get(c, 512) >= 256 or not 256 <= vocab.get(c + END, 0) < 512 for c in byte_of):
+        return None
+    for a, b in merges:
+        token = a + b
+        body = token.removesuffix(END)
+        parts = [*body[:-1], body[-1] + token[len(body):]]
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), len(rank)))
+            if (parts[best], parts[best + 1]) not in rank:
+                return None
+            parts[best:best + 2] = [parts[best] + parts[best + 1]]
+    ids = {t: i for t, i in vocab.items() if i < 512 + len(merges)}
+    return {bytes(byte_of[c] for c in t.removesuffix(END)) + (MARK if t.endswith(END) else b""): i for t, i in ids.items()}
+
+
 class WordEncoder:
     """Texts -> ids as little-endian unsigned integers of ``width`` bytes, the end id behind each text."""
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, ranks: dict[bytes, int] | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -137,36 +205,44 @@ class WordEncoder:
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         self.type = f"<u{self.width}"
         self.end = np.array([end_id], self.type).tobytes()
-        with open(path, encoding="utf-8") as f:
-            self.by_word = self._drops_space(json.load(f))
+        self.by_word, self.merger = ranks is not None, None
+        if ranks:
+            import tiktoken
+            self.merger = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00|\x00", mergeable_ranks=ranks, special_tokens={})
+            self.gap = ranks[MARK]
         self.known: dict[bytes, bytes] = {}
 
-    @staticmethod
-    def _drops_space(spec: dict) -> bool:
-        """Whether a text's ids are those of its words (stretches without ASCII white space), one after the other."""
-        def steps(part, inner):
-            return part[inner] if part and part["type"] == "Sequence" else [part] if part else []
-
-        normal = all(s["type"] in ("NFC", "Lowercase") or (s["type"] == "Replace" and s["pattern"] == {"Regex": r"\s+"} and s["content"] == " ")
-                     for s in steps(spec["normalizer"], "normalizers"))
-        split = steps(spec["pre_tokenizer"], "pretokenizers")
-        words = (len(split) == 2 and split[0]["type"] == "Split" and split[0]["pattern"] == {"Regex": WORD_PATTERN}
-                 and split[0]["behavior"] == "Removed" and split[0]["invert"]
-                 and split[1]["type"] == "ByteLevel" and not split[1]["add_prefix_space"] and not split[1]["use_regex"])
-        return normal and words and spec["post_processor"] is None and all(t["special"] for t in spec["added_tokens"])
-
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _marked(self, words: list[str]) -> list[bytes]:
+        """Ids of words of common scripts: each part of a word ends with the mark, a single mark parts the words."""
+        marked = _PRETOKEN.sub("\\g<0>\0", " ".join(words).lower()).replace(" ", "\0")
+        ids = self.merger.encode_to_numpy(marked)
+        cut = np.flatnonzero(ids == self.gap) * self.width
+        data = ids.astype(self.type).tobytes()
+        return [data[a:b] for a, b in zip([0, *(cut + self.width).tolist()], [*cut.tolist(), len(data)])]
+
+    def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        usual, rest = [], []
+        for word in words:
+            text = word.decode()
+            (rest if self.merger is None or _UNUSUAL.search(text) else usual).append((word, text))
+        out = dict(zip([w for w, _ in usual], self._marked([t for _, t in usual]))) if usual else {}
+        out.update(zip([w for w, _ in rest], self._ids([t for _, t in rest])))
+        return out
+
     def _join(self, pieces: list[list[bytes]]) -> list[bytes]:
         """Ids of lists of words; words that are not known yet are encoded together."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = [w for w in set().union(*pieces) if w not in self.known]
-        ids = dict(zip(new, self._ids([w.decode() for w in new])))
-        self.known.update((w, i) for w, i in ids.items() if len(w) <= CACHE_LENGTH)
-        look = {**self.known, **ids}.__getitem__ if any(len(w) > CACHE_LENGTH for w in new) else self.known.__getitem__
-        return [b"".join(map(look, p)) for p in pieces]
+        new = self._words([w for w in set().union(*pieces) if w not in self.known])
+        long = [w for w in new if len(w) > CACHE_LENGTH]
+        self.known.update(new)
+        joined = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+        for word in long:
+            del self.known[word]
+        return joined
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
@@ -195,15 +271,28 @@ class WordEncoder:
 
 
 @lru_cache(2)
-def encoder(path: str, end_id: int) -> WordEncoder:
+def token_bytes(path: str) -> dict[bytes, int] | None:
+    """None: texts go through the library whole; empty: word by word; else the ranks for words of common scripts."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    return (byte_ranks(spec) or {}) if drops_space(spec) else None
+
+
+_encoders: dict[tuple[str, int], WordEncoder] = {}
+
+
+def encoder(path: str, end_id: int, ranks: dict[bytes, int] | None) -> WordEncoder:
     """One encoder a Python worker, kept from task to task."""
-    return WordEncoder(path, end_id)
+    if (path, end_id) not in _encoders:
+        _encoders[path, end_id] = WordEncoder(path, end_id, ranks)
+    return _encoders[path, end_id]
 
 
 def _segments(path: str, end_id: int, segment_bytes: int, segment_docs: int):
     """Documents of one shard in order -> its segments."""
+    ranks = token_bytes(path)
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, shard = encoder(path, end_id), TaskContext.get().partitionId()
+        enc, shard = encoder(path, end_id, ranks), TaskContext.get().partitionId()
         segment, doc_start, start, dids, ids, weight = 0, 0, 0, [], [], 0
 
         def row():

@@ -44,17 +44,40 @@ def test_boundaries_take_near_minimal_space():
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=80), st.text(alphabet=" \t\n\x0b\x1c\x1f\x85  Aa'stÉ́̈Σσς1٣ﬁ漢\U0001f600.,<|endoftext|>", max_size=60))
 def test_words_give_the_ids_of_the_library(a, b):
-    got = T.encoder(PATH, 2).encode([a, b, a + " " + b])
+    got = T.encoder(PATH, 2, T.token_bytes(PATH)).encode([a, b, a + " " + b])
     want = [e.ids + [2] for e in library().encode_batch([a, b, a + " " + b], add_special_tokens=False)]
     assert [np.frombuffer(g, "<u2").tolist() for g in got] == want
 
 
+def test_every_token_encodes_to_itself():
+    """What makes merging by bytes and merging by pairs the same; without it words go through the library."""
+    import copy
+    import json
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    ranks = T.byte_ranks(spec)
+    assert len(ranks) == 512 + len(spec["model"]["merges"])
+    worse = copy.deepcopy(spec)  # one merge that its own parts never reach: a+bc, where ab comes first
+    a, b = worse["model"]["merges"][0] if isinstance(worse["model"]["merges"][0], list) else worse["model"]["merges"][0].split(" ")
+    worse["model"]["merges"].append([a, b + "q"])
+    worse["model"]["vocab"][a + b + "q"] = 512 + len(spec["model"]["merges"])
+    assert T.byte_ranks(worse) is None
+    assert T.drops_space(spec)
+    assert not T.drops_space({**spec, "normalizer": {"type": "NFKC"}})
+
+
+def test_all_three_ways_give_the_same_ids():
+    texts = [r["text"] for r in __import__("duckdb").sql("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchdf().to_dict("records")]
+    ways = [T.WordEncoder(PATH, 2, ranks).encode(texts) for ranks in (None, {}, T.token_bytes(PATH))]
+    assert ways[0] == ways[1] == ways[2]
+
+
 def test_long_texts_in_pieces(monkeypatch):
     monkeypatch.setattr(T, "PIECE", 50)
     monkeypatch.setattr(T, "CACHE_WORDS", 5)
     texts = ["word " * 100 + "x" * 300 + "\nnext\tline", "", "y" * 400, "漢字 " * 60]
     want = [e.ids + [2] for e in library().encode_batch(texts, add_special_tokens=False)]
-    assert [np.frombuffer(g, "<u2").tolist() for g in T.encoder(PATH, 2).encode(texts)] == want
+    assert [np.frombuffer(g, "<u2").tolist() for g in T.encoder(PATH, 2, T.token_bytes(PATH)).encode(texts)] == want
 
 
 def round_trip(spark, docs, path, **kw):
