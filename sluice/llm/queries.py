@@ -7,6 +7,7 @@ from sluice.llm import (
     decontaminate,
     jaccard_join,
     language_id,
+    lexical_search,
     packing,
     quality,
     substring_dedup,
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_token_count": token_count.query,
     "op10_chat": chat.query,
     "op11_token_file": token_file.query,
+    "op12_lexical_search": lexical_search.query,
     "op13_whitening": whitening.query,
 }
 ORACLES = {
@@ -36,4 +38,5 @@ ORACLES = {
     "op3_topk": topk.SQL,
     "op6_url_filter": url_filter.SQL,
     "op10_chat": chat.SQL,
+    "op12_lexical_search": lexical_search.SQL,
 }
