@@ -53,7 +53,7 @@ SEGMENT_BYTES = 4 << 20
 SEGMENT_DOCS = 1 << 16
 #: Ones from one select sample to the next; bytes of text whose words are looked up at once.
 SAMPLE = 256
-PIECE = 1 << 20
+PIECE = 2 << 20
 #: Words that a worker remembers, and bytes of the longest of them.
 CACHE_WORDS = 100_000
 CACHE_LENGTH = 64
@@ -141,7 +141,7 @@ def _classes() -> tuple[str, str, str]:
 
 
 _STABLE, _LETTERS, _NUMBERS = _classes()
-_UNUSUAL = re.compile(f"[^{_STABLE}]")
+_UNUSUAL = re.compile(f"[^{_STABLE}\n]")
 _PRETOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^ {_LETTERS}{_NUMBERS}]+")
 END = "</w>"
 #: Stands for the end-of-word mark: a byte that no word of common scripts holds.
@@ -215,33 +215,41 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.type).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _marked(self, words: list[str]) -> list[bytes]:
+    def _marked(self, words: str) -> list[bytes]:
         """Ids of words of common scripts: each part of a word ends with the mark, a single mark parts the words."""
-        marked = _PRETOKEN.sub("\\g<0>\0", " ".join(words).lower()).replace(" ", "\0")
+        marked = _PRETOKEN.sub("\\g<0>\0", words.lower()).replace(" ", "\0")
         ids = self.merger.encode_to_numpy(marked)
         cut = np.flatnonzero(ids == self.gap) * self.width
         data = ids.astype(self.type).tobytes()
         return [data[a:b] for a, b in zip([0, *(cut + self.width).tolist()], [*cut.tolist(), len(data)])]
 
     def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        usual, rest = [], []
-        for word in words:
-            text = word.decode()
-            (rest if self.merger is None or _UNUSUAL.search(text) else usual).append((word, text))
-        out = dict(zip([w for w, _ in usual], self._marked([t for _, t in usual]))) if usual else {}
-        out.update(zip([w for w, _ in rest], self._ids([t for _, t in rest])))
+        text = b"\n".join(words).decode()
+        rest, end = [], -1
+        for m in _UNUSUAL.finditer(text) if self.merger else ():  # words hold no white space
+            if m.start() > end:
+                end = text.find("\n", m.start())
+                end = len(text) if end < 0 else end
+                rest.append(text[text.rfind("\n", 0, m.start()) + 1:end])
+        if not self.merger:
+            rest = text.split("\n")
+        out = dict(zip([w.encode() for w in rest], self._ids(rest))) if rest else {}
+        usual = [w for w in words if w not in out] if rest else words
+        if usual:
+            out.update(zip(usual, self._marked(b" ".join(usual).decode() if rest else text.replace("\n", " "))))
         return out
 
     def _join(self, pieces: list[list[bytes]]) -> list[bytes]:
         """Ids of lists of words; words that are not known yet are encoded together."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = self._words([w for w in set().union(*pieces) if w not in self.known])
-        long = [w for w in new if len(w) > CACHE_LENGTH]
-        self.known.update(new)
+        words = list(set().union(*pieces).difference(self.known))
+        if words:
+            self.known.update(self._words(words))
         joined = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
-        for word in long:
-            del self.known[word]
+        for word in words:
+            if len(word) > CACHE_LENGTH:
+                del self.known[word]
         return joined
 
     def encode(self, texts: list[str]) -> list[bytes]:
