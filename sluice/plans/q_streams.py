@@ -29,12 +29,34 @@ HAVING date_trunc('day', request_time) + INTERVAL 1 DAY
 
 @register("stream_usage_daily", with_ctes(["payload"], _USAGE_ALL), ids=("ST-01",))
 def q_stream_usage_daily(spark, sf_dir):
-    return S.drain(T.payload_log(S.stream_table(spark, sf_dir, "events")), S.usage_daily_stream, "usage_daily")
+    return S.drain(T.payload_log(S.stream_table(spark, sf_dir, "events")), S.usage_daily_stream, ["day"], "usage_daily")
+
+
+def _arrivals(spark, sf_dir, name: str, fixture, parts: list):
+    """A folder that the rows of ``fixture`` reach in several arrivals: yields the stream after each, and its root."""
+    root, rows = S.stream_root(spark, name), fixture(T.Tables(spark, sf_dir).events)
+    for part in parts:
+        rows.where(part).write.mode("append").parquet(f"{root}/in")
+        yield spark.readStream.schema(rows.schema).parquet(f"{root}/in"), root
+
+
+@register("stream_usage_resumed", with_ctes(["payload"], _USAGE_ALL), ids=("ST-01",))
+def q_stream_usage_resumed(spark, sf_dir):
+    # three runs of one stream, cut in the middle of days: each run amends the day that the last one left open
+    day = F.dayofmonth("request_time")
+    cut = [(day < 10) | ((day == 10) & (F.hour("request_time") < 13)), (day < 20) | ((day == 20) & (F.hour("request_time") < 5)), F.lit(True)]
+    for stream, root in _arrivals(spark, sf_dir, "usage_resumed", T.payload_log, [cut[0], ~cut[0] & cut[1], ~cut[1]]):
+        report = S.drain(stream, S.usage_daily_stream, ["day"], "usage_resumed", root=root)
+    return report
 
 
 @register("stream_payload_append", with_ctes(["payload"], "SELECT * FROM payload"), ids=("IO-13",))
 def q_stream_payload_append(spark, sf_dir):
-    return S.append_payload(T.payload_log(S.stream_table(spark, sf_dir, "events")))
+    # every third request is delivered again with the second arrival
+    third = F.col("request_id") % 3 == 0
+    for stream, root in _arrivals(spark, sf_dir, "payload", T.payload_log, [F.col("request_id") % 2 == 0, (F.col("request_id") % 2 == 1) | third]):
+        log = S.append_payload(stream, root=root)
+    return log
 
 
 @register("usage_daily_closed", _USAGE_CLOSED, ids=("ST-01",))
@@ -55,7 +77,30 @@ _RATE_CLOSED = with_ctes(["payload"], _RATE_ALL + """
 @register("stream_rate_limit_breaches", with_ctes(["payload"], _RATE_ALL), ids=("ST-02",))
 def q_stream_rate_limit_breaches(spark, sf_dir):
     payload = T.payload_log(S.stream_table(spark, sf_dir, "events"))
-    return S.drain(payload, lambda p: S.rate_limit_stream(p, CHECK_ENDPOINT_LIMIT, CHECK_USER_LIMIT), "rate_limits")
+    return S.drain(payload, lambda p: S.rate_limit_stream(p, CHECK_ENDPOINT_LIMIT, CHECK_USER_LIMIT), S.RATE_KEYS, "rate_limits")
+
+
+# a day of requests within a minute, from ten users: the real limits are passed
+_BURSTS = """
+SELECT key_type, key, minute, CAST(count(*) AS BIGINT) AS calls, CAST(CASE WHEN key_type = 'endpoint' THEN 60 ELSE 20 END AS INT) AS limit_per_minute
+FROM (SELECT 'endpoint' AS key_type, event_type AS key, date_trunc('minute', make_timestamp(epoch_us(ts) // 1440)) AS minute FROM events
+      UNION ALL SELECT 'user', concat('u', CAST(user_id % 10 AS VARCHAR)), date_trunc('minute', make_timestamp(epoch_us(ts) // 1440)) FROM events)
+GROUP BY key_type, key, minute
+HAVING count(*) > CASE WHEN key_type = 'endpoint' THEN 60 ELSE 20 END"""
+
+
+@register("rate_limit_bursts", _BURSTS, ids=("ST-02",))
+def q_rate_limit_bursts(spark, sf_dir):
+    return U.rate_limit_breaches(T.payload_bursts(T.Tables(spark, sf_dir).events))
+
+
+@register("stream_rate_limit_bursts", _BURSTS, ids=("ST-02",))
+def q_stream_rate_limit_bursts(spark, sf_dir):
+    # two runs, cut in the middle of a minute: the second one counts on
+    first = F.col("request_id") <= T.Tables(spark, sf_dir).events.agg(F.floor(F.max("event_id") / 2)).scalar()
+    for stream, root in _arrivals(spark, sf_dir, "bursts", T.payload_bursts, [first, ~first]):
+        report = S.drain(stream, S.rate_limit_stream, S.RATE_KEYS, "bursts", root=root)
+    return report
 
 
 @register("rate_limit_closed", _RATE_CLOSED, ids=("ST-02",))
@@ -79,7 +124,7 @@ def q_stream_index_sync(spark, sf_dir):
         rows.write.mode("append").parquet(f"{root}/in")
         stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
         log = S.run_index_sync(stream, root=root)
-    return log.select("doc_id", "rule_id", F.col("epoch").cast("bigint").alias("epoch"), "op", "title")
+    return log.select("doc_id", "rule_id", "epoch", "op", "title")
 
 
 @register("stream_pii_screen", f"""

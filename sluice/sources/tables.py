@@ -110,6 +110,12 @@ def payload_log(events: DataFrame) -> DataFrame:
     )
 
 
+def payload_bursts(events: DataFrame, factor: int = 1440, users: int = 10) -> DataFrame:
+    """The payload log with time running ``factor`` times faster and few users: minutes pass the real rate limits."""
+    fast = F.timestamp_micros(F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / factor)).cast("timestamp_ntz")
+    return payload_log(events.withColumn("ts", fast).withColumn("user_id", F.col("user_id") % users))
+
+
 def training_runs(events: DataFrame) -> DataFrame:
     """Training runs: one run per event, env from the user, MAE from the value; some lack the metric or a
     configuration key, some raise the threshold or change the features."""

@@ -1,12 +1,16 @@
 """Structured Streaming versions of the gateway reports, the payload log and the rules-index sync.
 
 Sources are file streams over the table folders (new files are new micro-batches);
-event time is cast from TIMESTAMP_NTZ to TIMESTAMP before ``withWatermark``. Windowed
-aggregations run in append mode, so a window is emitted once the watermark passes its
-end. ``drain`` empties a stream with ``trigger(availableNow=True)`` into a parquet sink
-under the session's shared checkpoint folder and reads the result back; with ``flush``
-it then closes the stream: one row far in the future passes the watermark over every
-open window, so the last windows are emitted too and later rows would count as late.
+event time is cast from TIMESTAMP_NTZ to TIMESTAMP before ``withWatermark``. Streams run
+with ``trigger(availableNow=True)`` under the session's shared checkpoint folder, and a
+run on the same root goes on where the last one ended.
+
+Windowed reports run in update mode: every micro-batch hands over the windows that it
+changed, the open ones too, and a keyed log keeps the latest version of each. So a run
+ends with the whole report so far, and a later run amends it; nothing has to be flushed.
+The aggregation stays Spark's own, combined on the map side, so a hot endpoint or a hot
+minute never meets in one task as rows. Windows leave the state once the watermark has
+passed them; rows older than that are late and not counted.
 """
 
 from __future__ import annotations
@@ -19,11 +23,15 @@ from pyspark.sql import functions as F
 from sluice.operators import rules as RL
 from sluice.operators import usage as U
 from sluice.operators.usage import ENDPOINT_CALLS_PER_MINUTE, USER_CALLS_PER_MINUTE, pii_screen
-from sluice.session import ensure_checkpoint_dir, is_folder, path_exists
+from sluice.session import ensure_checkpoint_dir, is_folder
+from sluice.streaming.keyed_log import KeyedLog
 
 USAGE_WATERMARK = "1 hour"
 RATE_WATERMARK = "1 minute"
-FLUSH_TIME = "9999-01-01 00:00:00"
+
+
+# columns of the keyed logs: the range column, and the content of rows without an id
+AT, ROW = "_at", "_row"
 
 
 def stream_table(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -55,28 +63,59 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append", root: s
     return spark.read.schema(df.schema).parquet(f"{root}/out")
 
 
-def drain(payload: DataFrame, report, name: str, flush: bool = True, root: str | None = None) -> DataFrame:
-    """Run ``report`` (stream of payload rows -> stream) to its end; ``flush`` also emits the windows still open."""
+def run_batches(df: DataFrame, body, root: str, output_mode: str = "append") -> None:
+    """Drain a streaming DataFrame through a ``foreachBatch`` body."""
+    q = (df.writeStream.outputMode(output_mode).foreachBatch(body)
+         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def drain(payload: DataFrame, report, keys: list[str], name: str, root: str | None = None) -> DataFrame:
+    """Run ``report`` (stream of payload rows -> stream of windows) over all that arrived; the report so far.
+
+    ``keys`` name a window's row; the first of them is its date or time. On the same ``root``
+    a run adds what has arrived since and amends the windows that it changes.
+    """
     spark = payload.sparkSession
     root = root or stream_root(spark, name)
-    if not flush:
-        return run_available(report(payload), name, root=root)
-    end = f"{root}/end"
-    # a second source, empty until the first has been read; it carries only the time that ends the stream
-    spark.createDataFrame([], payload.schema).write.mode("ignore").parquet(end)
-    closing = spark.readStream.schema(payload.schema).parquet(end)
-    df = report(payload.unionByName(closing))
-    run_available(df, name, root=root)
-    last = spark.range(1).select(*[
-        (F.lit(FLUSH_TIME).cast(f.dataType) if f.name == "request_time" else F.lit(None).cast(f.dataType)).alias(f.name) for f in payload.schema])
-    last.write.mode("append").parquet(end)
-    return run_available(df, name, root=root)
+    df = report(payload)
+    at = F.unix_micros(F.col(keys[0]).cast("timestamp")).alias(AT)
+    schema = df.select("*", at).schema
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        KeyedLog(batch.sparkSession, f"{root}/report", keys, AT, schema).append(batch.select("*", at), epoch)
+
+    run_batches(df, keep, root, "update")
+    return KeyedLog(spark, f"{root}/report", keys, AT, schema).state().select(*df.columns)
 
 
 # --- IO-13 ----------------------------------------------------------------------------
-def append_payload(payload: DataFrame, name: str = "payload", root: str | None = None) -> DataFrame:
-    """IO-13: payload rows appended to the log table as they arrive; each file is one micro-batch's rows."""
-    return run_available(payload, name, root=root)
+def append_payload(payload: DataFrame, name: str = "payload", root: str | None = None, key: str = "request_id") -> DataFrame:
+    """IO-13: payload rows appended to the log table as they arrive, each request once.
+
+    A request that the log holds already is not added again, however late it is delivered
+    once more; a batch reads only the files that may hold its requests. Rows that differ
+    under one id count as one request (the least row); rows without id are the same request
+    if all their columns are equal.
+    """
+    spark = payload.sparkSession
+    root = root or stream_root(spark, name)
+    columns = payload.columns
+    content = F.when(F.col(key).isNull(), F.xxhash64(*columns)).otherwise(F.lit(0).cast("bigint")).alias(ROW)
+    at = F.coalesce(F.col(key).cast("bigint"), F.col(ROW)).alias(AT)
+    schema = payload.select("*", content).select("*", at).schema
+    same = [key, ROW]
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        log = KeyedLog(batch.sparkSession, f"{root}/log", same, AT, schema)
+        rest = [c for c in columns if c != key]
+        once = (batch.select("*", content).groupBy(*same).agg(F.min(F.struct(*rest)).alias("_r"))
+                .select(key, *[F.col(f"_r.{c}").alias(c) for c in rest], ROW).select("*", at))
+        known = log.state(of=once, before=epoch).select(F.col(key).alias("_k"), F.col(ROW).alias("_h"))
+        log.append(once.join(known, F.col(key).eqNullSafe(F.col("_k")) & (F.col(ROW) == F.col("_h")), "left_anti"), epoch)
+
+    run_batches(payload, keep, root)
+    return KeyedLog(spark, f"{root}/log", same, AT, schema).state().select(*columns)
 
 
 def _event_time(col: str) -> Column:
@@ -120,6 +159,9 @@ def _breaches(agg: DataFrame, endpoint_limit: int, user_limit: int) -> DataFrame
         limit.cast("int").alias("limit_per_minute"))
 
 
+RATE_KEYS = ["minute", "key_type", "key"]
+
+
 def rate_limit_stream(payload: DataFrame, endpoint_limit: int = ENDPOINT_CALLS_PER_MINUTE,
                       user_limit: int = USER_CALLS_PER_MINUTE, watermark: str = RATE_WATERMARK) -> DataFrame:
     """ST-02: per-minute calls per endpoint and per user over a stream; late rows are dropped."""
@@ -140,71 +182,56 @@ def rate_limit_closed(payload: DataFrame, endpoint_limit: int = ENDPOINT_CALLS_P
 
 
 # --- ST-03 ----------------------------------------------------------------------------
-INDEX_BUCKETS = 64
+RULE_COLUMNS = ("rule_id", "title", "content", "citation", "category", "severity_hint")
+INDEX_KEY = ["doc_id", "rule_id"]
+
+
+def index_log(spark: SparkSession, path: str, doc_type: str = "bigint") -> KeyedLog:
+    """The index: changed rules by document, ``op`` insert, update or delete."""
+    texts = ", ".join(f"{c} string" for c in RULE_COLUMNS)
+    schema = spark.createDataFrame([], f"doc_id {doc_type}, {texts}, op string, {AT} bigint").schema
+    return KeyedLog(spark, path, INDEX_KEY, AT, schema)
 
 
-def index_sync_batch(log_path: str, buckets: int = INDEX_BUCKETS):
+def index_sync_batch(log_path: str):
     """``foreachBatch`` body: the batch's rule documents against what the index holds of the same documents.
 
-    The index is a log of changes, partitioned by epoch and a hash of the document. A
-    batch reads the buckets of its documents only and writes changed rows only: rules
-    that are new, differ in content, or are gone from a document that arrived again.
-    Its epoch's folders are overwritten, so a repeated epoch writes the same again.
+    The index is a keyed log over ``doc_id``: a batch reads the files whose range of ids holds
+    one of its documents, and writes changed rows only: rules that are new, differ in
+    content, or are gone from a document that arrived again. A repeated epoch writes nothing.
     """
 
     def _apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
-        new = RL.parse_rules(batch).select("doc_id", *RULE_COLUMNS).withColumn("bucket", bucket)
-        docs = batch.select("doc_id").distinct().withColumn("bucket", bucket)
-        touched = [r["bucket"] for r in docs.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-        old = index_state(spark, log_path, touched, epoch_id, new).join(docs, ["bucket", "doc_id"], "left_semi")
-        key = ["bucket", "doc_id", "rule_id"]
-        sides = new.select(*key, F.struct(*RULE_COLUMNS).alias("n")).join(
-            old.select(*key, F.struct(*RULE_COLUMNS).alias("o")), key, "full_outer")
+        at = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias(AT)
+        log = index_log(spark, log_path, batch.schema["doc_id"].dataType.simpleString())
+        docs = batch.select("doc_id", at).distinct()
+        new = RL.parse_rules(batch).select("doc_id", *RULE_COLUMNS)
+        old = log.state(of=docs, before=epoch_id).drop("op").join(docs, ["doc_id", AT], "left_semi")
+        sides = new.select(*INDEX_KEY, F.struct(*RULE_COLUMNS).alias("n")).join(
+            old.select(*INDEX_KEY, F.struct(*RULE_COLUMNS).alias("o")), INDEX_KEY, "full_outer")
         same = RL.content_hash_of("n") == RL.content_hash_of("o")
         op = F.when(F.col("o").isNull(), "insert").when(F.col("n").isNull(), "delete").when(~same, "update")
         changed = sides.withColumn("op", op).where(F.col("op").isNotNull()).withColumn("row", F.coalesce("n", "o"))
-        (changed.select("bucket", "doc_id", "op", "row.*").withColumn("epoch", F.lit(epoch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch", "bucket").parquet(log_path))
+        log.append(changed.select("doc_id", "op", "row.*", at), epoch_id)
 
     return _apply
 
 
-RULE_COLUMNS = ("rule_id", "title", "content", "citation", "category", "severity_hint")
-
-
-def index_state(spark: SparkSession, log_path: str, buckets: list[int] | None = None, before: int | None = None,
-                like: DataFrame | None = None) -> DataFrame:
+def index_state(spark: SparkSession, log_path: str) -> DataFrame:
     """Rules that the index holds: the latest change of each, deleted ones left out."""
-    if not path_exists(spark, log_path):
-        return spark.createDataFrame([], like.schema)
-    log = spark.read.parquet(log_path)
-    if buckets is not None:
-        log = log.where(F.col("bucket").isin(buckets))
-    if before is not None:
-        log = log.where(F.col("epoch") < before)
-    latest = log.groupBy("bucket", "doc_id", "rule_id").agg(F.max_by(F.struct("op", *RULE_COLUMNS[1:]), "epoch").alias("s"))
-    return latest.where("s.op <> 'delete'").select("doc_id", "rule_id", *[F.col(f"s.{c}").alias(c) for c in RULE_COLUMNS[1:]], "bucket")
-
-
-def compact_index(spark: SparkSession, log_path: str, target: str, epoch: int) -> None:
-    """Write the index's state as one epoch of a new log (to be done rarely, then switched to)."""
-    state = index_state(spark, log_path).withColumn("op", F.lit("insert")).withColumn("epoch", F.lit(epoch).cast("bigint"))
-    state.write.partitionBy("epoch", "bucket").parquet(target)
+    return index_log(spark, log_path).state().select("doc_id", *RULE_COLUMNS)
 
 
 def run_index_sync(rule_docs_stream: DataFrame, name: str = "index_sync", root: str | None = None) -> DataFrame:
-    """ST-03: drain the rule-document stream through ``foreachBatch``; return the change log.
+    """ST-03: drain the rule-document stream through ``foreachBatch``; return the log's rows (changes not yet merged).
 
     Passing the same ``root`` again resumes the stream (and its index) from the checkpoint.
     """
     spark = rule_docs_stream.sparkSession
     root = root or stream_root(spark, name)
-    q = (rule_docs_stream.writeStream.foreachBatch(index_sync_batch(f"{root}/index"))
-         .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/index")
+    run_batches(rule_docs_stream, index_sync_batch(f"{root}/index"), root)
+    return index_log(spark, f"{root}/index").rows()
 
 
 # --- ST-04 ----------------------------------------------------------------------------
