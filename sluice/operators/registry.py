@@ -3,16 +3,16 @@
 Runs become numbered versions, aliases are an append-only event table whose current
 state is the latest event per (model, env, alias), and the promotion gate is replayed
 over the whole history with the rule "challenger MAE <= champion MAE" (bootstrap
-approves the first version). Running aggregates are computed per bucket of the start
+approves the first version). Versions and champions are scanned in ranges of the start
 time, so a model with most of the history is still split across tasks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.scan import grouped_row_number, order_buckets
+from sluice.functions.scan import grouped_row_number, running
 from sluice.functions.text import fixed_text
 from sluice.session import sized_broadcast
 
@@ -30,7 +30,7 @@ def _start_us(col: str = "start_time") -> Column:
 def register_versions(runs: DataFrame) -> DataFrame:
     """W-03: version = 1, 2, ... per (model, env) in (start_time, run_id) order."""
     staged = runs.withColumn("_t", _start_us())
-    return grouped_row_number(staged, MODEL_KEY, "_t", ["run_id"], name="version").drop("_t")
+    return grouped_row_number(staged, MODEL_KEY, ["_t", "run_id"], name="version").drop("_t")
 
 
 def params_map(value=F.col) -> Column:
@@ -40,53 +40,29 @@ def params_map(value=F.col) -> Column:
     return F.map_filter(full, lambda k, v: v.isNotNull())
 
 
-def promotion_replay(runs: DataFrame, buckets: int | None = None) -> DataFrame:
+def promotion_replay(runs: DataFrame, partitions: int | None = None) -> DataFrame:
     """W-03 + W-04 + S-10: number the versions and replay the gate, one shuffle of the runs.
 
     Under the strict rule the champion before a version is the latest earlier run holding
-    the running minimum MAE. That minimum runs over structs that carry the champion's id,
-    its number within its bucket and its configuration, so nothing is looked up
-    afterwards. Buckets of the start time (``order_buckets``) split a hot model; their
-    minima and counts, a small table, are run over in turn. Both branches need the same
-    columns of the runs, so they read one exchange.
+    the running minimum MAE. The scan carries that run's id, number and configuration
+    along, so nothing is looked up afterwards; a hot model spreads over many partitions.
     Accepts runs with or without a ``version`` column (an existing one is recomputed).
     """
     keep = [c for c in runs.columns if c != "version"]
-    # one key without nulls: a join on it adds no filter, so both branches keep the same input
-    model = F.concat_ws("\u0001", *[F.coalesce(F.col(c), F.lit("\u0000")) for c in MODEL_KEY])
-    staged = order_buckets(runs.select(*keep, model.alias("_model"), _start_us().alias("_t")), "_t", buckets)
-    w = Window.partitionBy("_model", "_bucket").orderBy("_t", "run_id")
-    numbered = staged.withColumn("_n", F.row_number().over(w))
-    # ordered by MAE, then latest first; ids are unique, so what follows them never decides
-    candidate = F.when(F.col("mae").isNotNull(), F.struct(
-        F.col("mae").alias("m"), (-F.col("_t")).alias("nt"), (-F.col("run_id")).alias("nr"), F.col("_n").cast("bigint").alias("v"),
-        F.struct("start_time", *MODEL_KEY, *CONFIG_KEYS).alias("p")))
-    earlier = Window.partitionBy("_model").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = (numbered.groupBy("_model", "_bucket").agg(F.min(candidate).alias("_b"), F.max("_n").alias("_c"))
-                  .withColumn("_before", F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
-                  .withColumn("_b", _shifted("_b"))
-                  .select("_model", "_bucket", "_before", F.min("_b").over(earlier).alias("_prev")))
-    out = (numbered.withColumn("_here", F.min(candidate).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-           .join(sized_broadcast(per_bucket), ["_model", "_bucket"], "left")
-           .withColumn("_best", F.least(_shifted("_here"), "_prev")))  # least skips nulls
-    champion, mae = F.col("_best.m"), F.col("mae")
+    scanned = running(runs.select(*keep).withColumn("_t", _start_us()), MODEL_KEY, ["_t", "run_id"], number="version", least="mae",
+                      keep=("mae", "run_id", *CONFIG_KEYS), found="_best", partitions=partitions)
+    champion, mae = F.col("_best.mae"), F.col("mae")
     reason = (F.when(F.col("_best").isNull(), "bootstrap").when(mae.isNull(), "missing_metric")
               .when(mae <= champion, "no_regression").otherwise("regression"))
-    return out.select(
-        *keep, (F.col("_n") + F.col("_before")).cast("int").alias("version"), champion.alias("champion_mae"),
-        (-F.col("_best.nr")).alias("champion_run_id"), F.col("_best.v").cast("int").alias("champion_version"),
-        F.col(f"_best.p.{THRESHOLD_KEY}").alias(f"champion_{THRESHOLD_KEY}"),
-        F.when(F.col("_best").isNotNull(), params_map(lambda k: F.col(f"_best.p.{k}"))).alias("champion_params"),
+    return scanned.select(
+        *keep, F.col("version").cast("int").alias("version"), champion.alias("champion_mae"),
+        F.col("_best.run_id").alias("champion_run_id"), F.col("_best._number").cast("int").alias("champion_version"),
+        F.col(f"_best.{THRESHOLD_KEY}").alias(f"champion_{THRESHOLD_KEY}"),
+        F.when(F.col("_best").isNotNull(), params_map(lambda k: F.col(f"_best.{k}"))).alias("champion_params"),
         params_map().alias("params"), reason.alias("reason"),
         F.when(reason.isin("bootstrap", "no_regression"), "APPROVE").otherwise("BLOCK").alias("decision"))
 
 
-def _shifted(candidate: str) -> Column:
-    """A candidate with its number within the bucket made a version: after those of earlier buckets."""
-    c = F.col(candidate)
-    return F.when(c.isNotNull(), c.withField("v", c["v"] + F.col("_before")))
-
-
 def alias_events(replay: DataFrame) -> DataFrame:
     """Append-only alias moves: every version becomes challenger; approved ones champion."""
     aliases = F.when(F.col("decision") == "APPROVE", F.array(F.lit("challenger"), F.lit("champion"))).otherwise(F.array(F.lit("challenger")))

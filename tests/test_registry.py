@@ -5,7 +5,7 @@ from support import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sluice.functions.scan import grouped_row_number, prefix_aggregate
+from sluice.functions.scan import grouped_row_number, running
 from sluice.operators import promotion as P
 from sluice.operators import registry as G
 
@@ -86,32 +86,57 @@ def test_resolve_version_and_retention(spark):
     assert rows(G.registry_retention(v, ("dev",)), "action") == [("delete",)] * 3
 
 
-def test_prefix_scan_equals_window_with_hot_group(spark):
+def _least_by_window(df):
+    """Number and least earlier row (the latest of equals) by one window over each whole group."""
+    w = Window.partitionBy("g").orderBy("t", "id")
+    numbered = df.withColumn("n", F.row_number().over(w))
+    best = F.min(F.when(F.col("v").isNotNull(), F.struct("v", (-F.col("n")).alias("m"), "id", "x"))).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    return numbered.withColumn("b", best).select("g", "id", "n", "b.v", "b.id", "b.x", (-F.col("b.m")).alias("m"))
+
+
+def _least_by_scan(df, partitions):
+    out = running(df, ["g"], ["t", "id"], "n", least="v", keep=("v", "id", "x"), found="b", partitions=partitions)
+    return out.select("g", "id", "n", "b.v", "b.id", "b.x", "b._number")
+
+
+def test_scan_equals_window_with_hot_group(spark):
+    """Hot, tiny and null groups, equal order keys, missing values and ties, over more and fewer partitions than groups."""
     random.seed(7)
-    data = [("hot" if random.random() < 0.6 else f"g{random.randint(0, 20)}", i, random.randint(0, 50),
-             random.random()) for i in range(3000)]
-    df = spark.createDataFrame(data, "g string, id int, t int, v double")
-    got = prefix_aggregate(df, ["g"], "t", ["id"], {"mn": ("min", F.col("v")), "s": ("sum", F.lit(1)),
-                                                     "mx": ("max", F.col("v"))}, buckets=8)
-    w = Window.partitionBy("g").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, -1)
-    ref = df.select("g", "id", F.min("v").over(w).alias("mn"), F.count(F.lit(1)).over(w).alias("s"),
-                    F.max("v").over(w).alias("mx"))
-    a = rows(got.select("g", "id", "mn", F.col("s").cast("long"), "mx"))
-    b = rows(ref.select("g", "id", "mn", F.col("s").cast("long"), "mx"))
-    assert a == b
-    rn = grouped_row_number(df, ["g"], "t", ["id"], buckets=4)
+    data = [(random.choice(["hot"] * 6 + [None, "", "=", f"g{random.randint(0, 200)}"]), i, random.choice([3, 3, 3, random.randint(0, 50)]),
+             random.choice([None, float(random.randint(0, 30))]), random.choice([None, f"x{i}"])) for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, id long, t int, v double, x string")
+    want = rows(_least_by_window(df))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")  # groups and champions go on from batch to batch
+    try:
+        for partitions in (1, 7, 64):
+            assert rows(_least_by_scan(df, partitions)) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rn = grouped_row_number(df, ["g"], ["t", "id"])
     wr = Window.partitionBy("g").orderBy("t", "id")
     assert rows(rn, "g", "id", "row_number") == rows(df.select("g", "id", F.row_number().over(wr).alias("rn")))
+    assert running(df.limit(0), ["g"], ["t", "id"], "n", least="v", keep=("v",)).count() == 0
+
+
+def test_one_moment_of_one_group_is_split(spark):
+    """A group whose rows all have one start time: many tasks scan it, without a bounds array or a window over it."""
+    df = spark.range(4000).select(F.lit("one").alias("g"), "id", F.lit(5).alias("t"), F.lit(1.0).alias("v"))
+    out = running(df, ["g"], ["t", "id"], "n", least="v", keep=("id",), found="b", partitions=8)
+    assert out.where("n <> id + 1 OR (id > 0 AND b.id <> id - 1)").count() == 0
+    parts = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) >= 6 and max(r["count"] for r in parts) < 1500
+    plan = out._jdf.queryExecution().toString()
+    assert "percentile" not in plan and "filter(" not in plan
 
 
 def test_replay_over_buckets_equals_a_scan(spark):
-    """Ties, missing metrics and a hot model, with more buckets than some groups have rows."""
+    """Ties, missing metrics and a hot model, with more partitions than some groups have rows."""
     rng = random.Random(5)
     t0 = dt.datetime(2024, 1, 1)
     data = [(i, "hot" if rng.random() < 0.7 else f"m{i % 3}", "dev", t0 + dt.timedelta(hours=rng.randrange(60)),
              None if rng.random() < 0.1 else float(rng.randrange(40)), float(rng.randrange(10, 13)), rng.choice([None, 5]), 8, 5, rng.choice([None, "a"]))
             for i in range(400)]
-    out = {r.run_id: r for r in G.promotion_replay(spark.createDataFrame(data, RUN_SCHEMA), buckets=16).collect()}
+    out = {r.run_id: r for r in G.promotion_replay(spark.createDataFrame(data, RUN_SCHEMA), partitions=16).collect()}
     groups = {}
     for d in sorted(data, key=lambda d: (d[3], d[0])):
         seen, r = groups.setdefault(d[1], []), out[d[0]]
