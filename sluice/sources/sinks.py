@@ -1,5 +1,5 @@
-"""Table sinks: overwrite/append writes with write-time row counts, JSON-lines round trips,
-schema creation and the run / gate-decision audit tables.
+"""Tables of the session catalog: schemas, writes with write-time row counts, staged replacement, repeatable
+appends, views over tables and files; JSON-lines round trips and the run / gate-decision audit tables.
 
 Row counts come from ``DataFrame.observe`` during the write, so a count never re-runs the
 plan (the reference's ``result.count()`` after ``saveAsTable`` does).
@@ -7,6 +7,8 @@ plan (the reference's ``result.count()`` after ``saveAsTable`` does).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,14 +33,20 @@ GATE_DECISIONS_SCHEMA = T.StructType([
 ])
 
 
+#: Partition column of tables that are appended to batch by batch.
+BATCH = "batch"
+
+
 def table_name(catalog: str | None, schema: str, table: str) -> str:
     """Environment-qualified name; the catalog/schema come from the caller, never from code."""
     return ".".join(p for p in (catalog, schema, table) if p)
 
 
-def ensure_schema(spark: SparkSession, schema: str, catalog: str | None = None) -> None:
-    """IO-05: ``CREATE SCHEMA IF NOT EXISTS``."""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table_name(catalog, schema, '')}".rstrip("."))
+def ensure_schema(spark: SparkSession, schema: str, catalog: str | None = None, location: str | None = None) -> str:
+    """IO-05: ``CREATE SCHEMA IF NOT EXISTS``, its managed tables under ``location`` if given; the qualified name."""
+    name = table_name(catalog, schema, "")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}" + (f" LOCATION '{location}'" if location else ""))
+    return name
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
@@ -52,23 +60,6 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
     return int(obs.get["rows"])
 
 
-def write_path(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> int:
-    """IO-03 + IO-04 for path-based tables: write and return the row count observed while writing."""
-    obs = Observation("write_path")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).save(path)
-    return int(obs.get["rows"])
-
-
-def seed_path_if_absent(spark: SparkSession, path: str, df: DataFrame) -> bool:
-    """IO-05 for path-based tables: write ``df`` only when nothing exists at ``path`` yet."""
-    from sluice.session import path_exists
-
-    if path_exists(spark, path):
-        return False
-    write_path(df, path)
-    return True
-
-
 def seed_if_absent(spark: SparkSession, name: str, df: DataFrame) -> bool:
     """IO-05: write ``df`` only when the table does not exist yet; True when written."""
     if spark.catalog.tableExists(name):
@@ -78,8 +69,49 @@ def seed_if_absent(spark: SparkSession, name: str, df: DataFrame) -> bool:
 
 
 def replace_table_as(spark: SparkSession, name: str, source: DataFrame, columns: list[str]) -> int:
-    """IO-09: create-or-replace a table from an explicit column list (CTAS)."""
-    return write_table(source.select(*columns), name, mode="overwrite")
+    """IO-09: create or replace a table from an explicit column list (CTAS).
+
+    The new rows are written in full beside the table and then take its name, so readers find the old
+    table or the new one, a failed write leaves the old one, and ``source`` may read the table itself.
+    """
+    tag = uuid.uuid4().hex[:12]
+    staged, old = f"{name}__new_{tag}", f"{name}__old_{tag}"
+    n = write_table(source.select(*columns), staged, mode="errorifexists")
+    replaces = spark.catalog.tableExists(name)
+    if replaces:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    if replaces:
+        spark.sql(f"DROP TABLE {old}")
+    return n
+
+
+def append_batch(df: DataFrame, name: str, batch: str) -> int:
+    """Append the rows of one named batch; given again, the batch replaces itself, so a retry adds no row."""
+    spark = df.sparkSession
+    tagged = df.withColumn(BATCH, F.lit(batch))
+    if not spark.catalog.tableExists(name):
+        tagged.limit(0).write.partitionBy(BATCH).saveAsTable(name)
+    obs = Observation(f"append_{name.replace('.', '_')}")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode, "static")
+    spark.conf.set(mode, "dynamic")  # only the partitions of this batch
+    try:
+        tagged.observe(obs, F.count(F.lit(1)).alias("rows")).select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
+    return int(obs.get["rows"])
+
+
+def create_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """A view of the catalog, created or replaced from SQL text, read by its name."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
+
+
+def view_files(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
+    """A view over files as they are; nothing is copied."""
+    return create_view(spark, name, f"SELECT * FROM {fmt}.`{path}`")
 
 
 def write_rules_jsonl(rules: DataFrame, path: str) -> int:
@@ -105,9 +137,9 @@ def read_rule_documents(spark: SparkSession, folder: str, files: str = "*.md", n
                     F.xxhash64("path").alias("doc_id")))
 
 
-def append_runs(runs: DataFrame, name: str) -> int:
-    """IO-11: append run records (params, metrics, tags as maps, resolved config text)."""
-    return write_table(runs.select(*RUNS_SCHEMA.fieldNames()), name, mode="append")
+def append_runs(runs: DataFrame, name: str, batch: str) -> int:
+    """IO-11: append run records (params, metrics, tags as maps, resolved config text) of one batch."""
+    return append_batch(runs.select(*RUNS_SCHEMA.fieldNames()), name, batch)
 
 
 def runs_from_table(runs: DataFrame) -> DataFrame:
@@ -126,6 +158,6 @@ def runs_from_table(runs: DataFrame) -> DataFrame:
     )
 
 
-def append_gate_decisions(decisions: DataFrame, name: str) -> int:
-    """IO-12: append the gate's decision audit rows."""
-    return write_table(decisions.select(*GATE_DECISIONS_SCHEMA.fieldNames()), name, mode="append")
+def append_gate_decisions(decisions: DataFrame, name: str, batch: str) -> int:
+    """IO-12: append the gate's decision audit rows of one batch."""
+    return append_batch(decisions.select(*GATE_DECISIONS_SCHEMA.fieldNames()), name, batch)
