@@ -2,8 +2,8 @@
 
 Rule blocks start at ``### [ID] Title`` lines. A document row is split at those lines
 with one ``split`` (a lookahead keeps the heading), so every document is parsed whole
-inside its own row. Retrieval is brute force but distributed: every corpus row is scored
-where it is read, against a query set whose size is measured.
+inside its own row. Retrieval is distributed: what moves between tasks is a side whose size
+is measured, and text search scores few documents.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.session import DEFAULT_BROADCAST_LIMIT
+from sluice.operators import search as SE
+from sluice.session import DEFAULT_BROADCAST_LIMIT, fits_broadcast
 
 NL = "\n"
 # Defaults of the rule format and of the compact prompt lines.
@@ -139,44 +140,53 @@ def text_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: st
                query_key: str = "query_id", text_col: str = "text", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Top-``k`` corpus rows per query by TF-IDF: score = sum over query terms of tf * ln(N / df).
 
-    Nothing is written. A corpus whose text is measured to fit the broadcast limit (a
-    handbook) is broadcast as weighted postings and the queries are scored where they are
-    read. Else a query set that fits is broadcast and the corpus is read twice: once for
-    the document frequencies of the query terms, counted on the map side, once to score,
-    with one shuffle that deals the query terms' tokens by document. Beyond that the sides are joined on the term, which
-    adaptive execution splits where it is hot. ``row_number() <= k`` is a
-    WindowGroupLimit. idf is fixed in integer nano-units and sums are integral, so equal
-    documents tie exactly.
+    A corpus whose text is measured to fit the broadcast limit many times (a handbook) becomes
+    one block index that the tasks reading queries search; else a query set that fits is
+    searched in the tasks that read the corpus. Both score only blocks of documents that can
+    hold a result (``sluice.operators.search``). Beyond that the sides are joined on the term,
+    which adaptive execution splits where it is hot. idf is fixed in integer nano-units and
+    sums are integral, so equal documents tie exactly.
     """
-    fits = lambda df: (df.agg(F.sum(F.length(text_col))).first()[0] or 0) * 8 <= broadcast_limit  # noqa: E731  a term and its key, about
+    found = text_search(corpus, queries, k, corpus_key, query_key, text_col, broadcast_limit)
+    if found is not None:
+        return SE.ranked(found, k, query_key, corpus_key)
     # raw splits are exploded and empty tokens dropped as rows (no array copy per document)
     terms = corpus.select(corpus_key, F.explode(F.split(F.lower(text_col), TOKEN_SPLIT)).alias("term")).where("term <> ''")
     q_terms = queries.select(query_key, F.explode(F.array_distinct(tokens(F.col(text_col)))).alias("term"))
     n_docs = corpus.agg(F.count(F.lit(1)).alias("n")).scalar()
     # idf in integer nano-units: floor(x * 1e9 + 0.5) is the same in every IEEE engine
     idf = F.floor(F.log(n_docs.cast("double") / F.col("df")) * F.lit(1e9) + F.lit(0.5)).cast("bigint")
-    if fits(corpus):
-        postings = terms.groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf"))
-        weights = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", idf.alias("idf")).where("idf > 0")
-        weighted = postings.join(weights, "term").select(corpus_key, "term", (F.col("tf") * F.col("idf")).alias("w"))
-        pairs = q_terms.join(F.broadcast(weighted), "term")
-    else:
-        ship = F.broadcast if fits(queries) else (lambda df: df)
-        vocabulary = ship(q_terms.select("term").distinct())
-        df_t = (corpus.select(F.explode(F.array_distinct(F.split(F.lower(text_col), TOKEN_SPLIT))).alias("term"))
-                .join(vocabulary, "term", "left_semi")
-                .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-        weights = df_t.select("term", idf.alias("idf")).where("idf > 0")  # other terms add nothing to any score
-        # the tokens that a query holds, dealt by document: term counts and scores then need no further shuffle
-        tf = (terms.join(vocabulary, "term", "left_semi").repartition(corpus_key)
-              .groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf")))
-        pairs = tf.join(ship(q_terms.join(ship(weights), "term")), "term").select(query_key, corpus_key, (F.col("tf") * F.col("idf")).alias("w"))
+    vocabulary = q_terms.select("term").distinct()
+    df_t = (corpus.select(F.explode(F.array_distinct(F.split(F.lower(text_col), TOKEN_SPLIT))).alias("term"))
+            .join(vocabulary, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    weights = df_t.select("term", idf.alias("idf")).where("idf > 0")  # other terms add nothing to any score
+    # the tokens that a query holds, dealt by document: term counts and scores then need no further shuffle
+    tf = (terms.join(vocabulary, "term", "left_semi").repartition(corpus_key)
+          .groupBy(corpus_key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    pairs = tf.join(q_terms.join(weights, "term"), "term").select(query_key, corpus_key, (F.col("tf") * F.col("idf")).alias("w"))
     scores = pairs.groupBy(query_key, corpus_key).agg(F.sum("w").alias("_score_e9")).withColumn("_score", F.col("_score_e9").cast("double") / F.lit(1e9))
     w = Window.partitionBy(query_key).orderBy(F.desc("_score_e9"), corpus_key)
     return (scores.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
             .select(query_key, "rank", corpus_key, F.col("_score").alias("score")))
 
 
+def text_search(corpus: DataFrame, queries: DataFrame, k: int = 3, corpus_key: str = "doc_id", query_key: str = "query_id",
+                text_col: str = "text", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, **index) -> DataFrame | None:
+    """The rows that the block search finds, task by task (``search.ranked`` and ``search.work`` read them); None if neither side fits."""
+    split = F.split(F.lower(F.col(text_col)), TOKEN_SPLIT)
+
+    def fits(df: DataFrame, bytes_a_character: int) -> bool:
+        if not fits_broadcast(df, broadcast_limit):  # the optimizer's guess, without a job
+            return False
+        return (df.agg(F.sum(F.length(text_col))).first()[0] or 0) * bytes_a_character <= broadcast_limit
+
+    if fits(corpus, 32):
+        return SE.search_in_corpus(corpus, queries, k, corpus_key, query_key, split, **index)
+    if fits(queries, 8):
+        return SE.search_with_queries(corpus, queries, k, corpus_key, query_key, split, **index)
+    return None
+
+
 # --- vector retrieval (T-02) ------------------------------------------------------------
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0),

@@ -7,9 +7,11 @@ Jobs never build their own session inside a transform (TP-01); entry points call
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +76,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read from there: cuts the lineage, survives lost executors.
+
+    The files are deleted when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_delete_path, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete_path(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have ended before
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def session_key(spark: SparkSession) -> str:
     """A stable identifier of the session's application (for per-session caches)."""
     try:
