@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.numeric import round_ratio
+from sluice.operators import histogram_forest as HF
 from sluice.operators.seed import unit_draw
 
 # The demand model's categories, stores and base-demand coefficients.
@@ -54,6 +55,12 @@ class ForecastConfig:
 DEGRADED_CONFIG = ForecastConfig(n_estimators=5, features=["day_of_week", "store_id"], max_acceptable_mae=50.0)
 
 
+# bins of the features that are not small whole numbers
+BIN_WIDTHS = {"price": 0.5, "lag_7d_sales": 8.0, "lag_14d_sales": 8.0}
+EXACT_CONFIG = HF.ForestConfig(tuple(ALL_FEATURES), n_trees=5, max_depth=4, widths=BIN_WIDTHS)
+EXACT_DEGRADED_CONFIG = HF.ForestConfig(("day_of_week", "store_id"), n_trees=2, max_depth=4, max_acceptable_mae=50.0)
+
+
 def daily_demand(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """Units sold per (store, category, day) with the day's price and promotion flag."""
     parts = part.select("p_partkey", (F.col("p_size") % N_CATEGORIES).cast("int").alias("product_category"),
@@ -164,3 +171,19 @@ def train_and_evaluate(features: DataFrame, cfg: ForecastConfig) -> DataFrame:
     measured = evaluate(model, split.where(F.col("split") == "test"), cfg)
     facts = mean_predictor(split).select(F.struct("n_train", "mean_mae")).scalar()
     return measured.withColumn("_f", facts).select("*", "_f.n_train", "_f.mean_mae").drop("_f").withColumn("beats_mean", F.col("mae") < F.col("mean_mae"))
+
+
+def exact_predictions(features: DataFrame, cfg: HF.ForestConfig) -> DataFrame:
+    """ML-B + ML-C: (k, y, prediction_e6) of the holdout by a forest whose every number can be recomputed."""
+    split = holdout_split(features, seed=cfg.seed)
+    _, predicted = HF.fit_and_predict(split, cfg, row_key(split))
+    return predicted.select("k", "y", "prediction_e6")
+
+
+def train_and_evaluate_exact(features: DataFrame, cfg: HF.ForestConfig) -> DataFrame:
+    """ML-B + ML-C: MAE, threshold flag and the mean predictor's MAE of the recomputable forest."""
+    measured = HF.mean_error(exact_predictions(features, cfg))
+    facts = mean_predictor(holdout_split(features, seed=cfg.seed)).select(F.struct("n_train", "mean_mae")).scalar()
+    return measured.withColumn("_f", facts).select(
+        F.lit(cfg.n_trees).alias("n_estimators"), F.lit(len(cfg.features)).alias("n_features"), "_f.n_train", "n_test", "mae", "_f.mean_mae",
+        (F.col("mae") < F.col("_f.mean_mae")).alias("beats_mean"), (F.col("mae") <= F.lit(cfg.max_acceptable_mae)).alias("mae_within_threshold"))

@@ -86,12 +86,73 @@ def q_forecaster_mae(spark, sf_dir):
     return out.select("model_name", "n_train", "n_test", "mean_mae", "beats_mean")
 
 
-@register("forecast_gate", "WITH " + _DAILY + "," + _TRAINED + """
-SELECT n_train, n_test, true AS champion_beats_mean, false AS better, 'BLOCK' AS decision, 'ML-03' AS rule_id FROM e""", ids=("ML-D",))
+def _bins_sql(cfg) -> str:
+    return ", ".join(f"CAST(floor({f} / {_dbl(cfg.widths[f])}) AS INT)" if f in cfg.widths else f"CAST({f} AS INT)" for f in cfg.features)
+
+
+def forest_sql(cfg, p: str) -> str:
+    """CTEs of the histogram forest, level by level from its definition; ``{p}pred`` holds the holdout's predictions."""
+    n = cfg.n_trees
+    draws = " UNION ALL ".join(f"SELECT {t} AS t, k, test, y, x, NOT test AND {draw_sql('k', cfg.salt(t)) + ' < 0.632' if n > 1 else 'true'} AS bag, 1 AS node FROM {p}x"
+                               for t in range(n))
+    out = [f"""{p}x AS (
+  SELECT k, {draw_sql('k', cfg.seed)} < 0.2 AS test, CAST(sales AS BIGINT) AS y, [{_bins_sql(cfg)}] AS x
+  FROM (SELECT *, CAST(store_id AS BIGINT) * 1000003 + product_category * 100003 + day_number AS k FROM feat)),
+{p}r0 AS ({draws})"""]
+    for d in range(cfg.max_depth):
+        out.append(f"""{p}h{d} AS (
+  SELECT t, node, f, x[f] AS bin, count(*) AS n, sum(y) AS s FROM {p}r{d}, (SELECT unnest(range(1, {len(cfg.features) + 1})) AS f)
+  WHERE bag AND node >= {2 ** d} GROUP BY ALL),
+{p}c{d} AS (
+  SELECT t, node, f, bin, sum(n) OVER w AS nl, CAST(sum(s) OVER w AS DOUBLE) AS sl, sum(n) OVER g AS n, CAST(sum(s) OVER g AS DOUBLE) AS s
+  FROM {p}h{d} WINDOW w AS (PARTITION BY t, node, f ORDER BY bin ROWS UNBOUNDED PRECEDING), g AS (PARTITION BY t, node, f)),
+{p}s{d} AS (
+  SELECT t, node, f, bin FROM (
+    SELECT *, row_number() OVER (PARTITION BY t, node ORDER BY score DESC, f, bin) AS r FROM (
+      SELECT *, sl * sl / CAST(nl AS DOUBLE) + (s - sl) * (s - sl) / CAST(n - nl AS DOUBLE) AS score
+      FROM {p}c{d} WHERE nl >= {cfg.min_leaf} AND n - nl >= {cfg.min_leaf})
+    WHERE score > s * s / CAST(n AS DOUBLE)) WHERE r = 1),
+{p}r{d + 1} AS (
+  SELECT r.t, k, test, y, x, bag, CASE WHEN s.f IS NULL THEN r.node ELSE 2 * r.node + CAST(x[s.f] > s.bin AS INT) END AS node
+  FROM {p}r{d} r LEFT JOIN {p}s{d} s ON r.t = s.t AND r.node = s.node)""")
+    last = f"{p}r{cfg.max_depth}"
+    out.append(f"""{p}v AS (
+  SELECT t, node, (2 * CAST(sum(y) AS HUGEINT) * 1000000 + count(*)) // (2 * count(*)) AS v FROM {last} WHERE bag GROUP BY t, node),
+{p}pred AS (
+  SELECT k, any_value(y) AS y, CAST((2 * sum(v) + {n}) // {2 * n} AS BIGINT) AS prediction_e6
+  FROM {last} r JOIN {p}v v ON r.t = v.t AND r.node = v.node WHERE test GROUP BY k),
+{p}mae AS (SELECT count(*) AS n_test, {round_ratio_sql('sum(abs(CAST(y AS HUGEINT) * 1000000 - prediction_e6))', 'count(*) * 1000000', 4)} AS mae FROM {p}pred)""")
+    return ",\n".join(out)
+
+
+_CHAMPION, _CHALLENGER = forest_sql(FC.EXACT_CONFIG, "a_"), forest_sql(FC.EXACT_DEGRADED_CONFIG, "b_")
+
+
+@register("forecast_predictions", "WITH " + _DAILY + ",\n" + _CHAMPION + """
+SELECT k, y, prediction_e6 FROM a_pred""", ids=("ML-B", "ML-C"))
+def q_forecast_predictions(spark, sf_dir):
+    return FC.exact_predictions(_features(Tables(spark, sf_dir)), FC.EXACT_CONFIG)
+
+
+@register("forecast_mae", "WITH " + _DAILY + ",\n" + _TRAINED + ",\n" + _CHAMPION + f"""
+SELECT CAST(5 AS INT) AS n_estimators, CAST(8 AS INT) AS n_features, n_train, a_mae.n_test, mae, mean_mae, mae < mean_mae AS beats_mean,
+       mae <= {FC.EXACT_CONFIG.max_acceptable_mae!r} AS mae_within_threshold
+FROM a_mae, (SELECT n_train, {round_ratio_sql('e', 'n_train * n_test', 4)} AS mean_mae FROM e)""", ids=("ML-C", "A-12", "P-07"))
+def q_forecast_mae(spark, sf_dir):
+    return FC.train_and_evaluate_exact(_features(Tables(spark, sf_dir)), FC.EXACT_CONFIG)
+
+
+@register("forecast_gate", "WITH " + _DAILY + ",\n" + _TRAINED + ",\n" + _CHAMPION + ",\n" + _CHALLENGER + f"""
+SELECT n_train, n_test, champion_mae, challenger_mae, champion_mae < mean_mae AS champion_beats_mean, challenger_mae <= champion_mae AS better,
+       CASE WHEN challenger_mae <= champion_mae THEN 'APPROVE' ELSE 'BLOCK' END AS decision,
+       CASE WHEN challenger_mae > champion_mae THEN 'ML-03' END AS rule_id
+FROM (SELECT a_mae.n_test, a_mae.mae AS champion_mae, b_mae.mae AS challenger_mae FROM a_mae, b_mae),
+     (SELECT n_train, {round_ratio_sql('e', 'n_train * n_test', 4)} AS mean_mae FROM e)""", ids=("ML-D",))
 def q_forecast_gate(spark, sf_dir):
     feats = _features(Tables(spark, sf_dir))
-    champ = FC.train_and_evaluate(feats, FC.ForecastConfig()).select(F.struct("mae", "beats_mean")).scalar()
-    chal = FC.train_and_evaluate(feats, FC.DEGRADED_CONFIG).withColumn("_c", champ).select(
+    champ = FC.train_and_evaluate_exact(feats, FC.EXACT_CONFIG).select(F.struct("mae", "beats_mean")).scalar()
+    chal = FC.train_and_evaluate_exact(feats, FC.EXACT_DEGRADED_CONFIG).withColumn("_c", champ).select(
         "n_train", "n_test", F.col("mae").alias("challenger_mae"), F.col("_c.mae").alias("champion_mae"),
         F.col("_c.beats_mean").alias("champion_beats_mean"), F.lit(False).alias("justified"))
-    return P.gate_decision(chal).select("n_train", "n_test", "champion_beats_mean", "better", "decision", F.col("finding.rule_id").alias("rule_id"))
+    return P.gate_decision(chal).select("n_train", "n_test", "champion_mae", "challenger_mae", "champion_beats_mean", "better", "decision",
+                                        F.col("finding.rule_id").alias("rule_id"))
