@@ -130,6 +130,48 @@ def diff_added_lines(files: DataFrame, key_cols=("change_id",)) -> DataFrame:
         *keep, "hunk_no", F.col("_a.line").alias("line"), F.substring(F.col("_a.raw"), 2, 1 << 30).alias("text"))
 
 
+def parsed_diffs(changes: DataFrame, diff_col: str = "diff", keep=("change_id",)) -> DataFrame:
+    """``keep`` and ``files``: A-15 and W-05 within the row, nothing exploded.
+
+    ``files`` is an array of (file_no, path, language, is_binary, is_rename, lines), ``lines`` the added ones as
+    (hunk_no, line, text). Each stage is a projection of its own, so that arrays are computed once.
+    """
+    rest = lambda c, at: F.slice(c, at, 1 << 30)
+    df = changes.select(*keep, rest(F.split(F.concat(F.lit(NL), F.coalesce(F.col(diff_col), F.lit(""))), NL + "diff --git "), 2).alias("_f"))
+    df = df.select(*keep, F.transform("_f", lambda f: F.split(f, NL + "@@ ")).alias("_f"))
+    df = df.select(*keep, F.transform("_f", lambda p: F.struct(F.split(p[0], NL).alias("pre"), rest(p, 2).alias("hunks"))).alias("_f"))
+
+    def named(f: Column, i: Column) -> Column:
+        plus = F.try_element_at(F.filter(f["pre"], lambda x: x.startswith("+++ b/")), F.lit(-1))
+        path = F.coalesce(F.regexp_replace(F.substring(plus, 7, 1 << 30), r"\s+$", ""), F.regexp_extract(f["pre"][0], _HEADER_RE, 2))
+        return F.struct((i + 1).alias("file_no"), path.alias("path"),
+                        F.exists(f["pre"], lambda x: x.startswith("Binary files")).alias("is_binary"),
+                        F.exists(f["pre"], lambda x: x.startswith("rename from") | x.startswith("rename to")).alias("is_rename"),
+                        F.transform(f["hunks"], lambda h: F.split(h, NL)).alias("hunks"))
+
+    def advancing(lines: Column, i: Column) -> Column:
+        start = F.regexp_extract(F.concat(F.lit("@@ "), lines[0]), _HUNK_RE, 2).try_cast("int")
+        return F.struct((i + 1).alias("hunk_no"), start.alias("start"),
+                        F.filter(rest(lines, 2), lambda x: ~x.startswith("-") & ~x.startswith("\\")).alias("adv"))
+
+    def from_first(h: Column) -> Column:
+        # a hunk that starts at line 0 only advances once its first added line is seen
+        first = F.array_position(F.transform(h["adv"], lambda x: x.startswith("+")), True).cast("int")
+        return F.when((h["start"] == 0) & (first > 0), rest(h["adv"], first)).otherwise(h["adv"])
+
+    def added(h: Column) -> Column:
+        numbered = F.transform(h["adv"], lambda x, i: F.struct(h["hunk_no"].alias("hunk_no"), (h["start"] + i).alias("line"), x.alias("text")))
+        return F.transform(F.filter(numbered, lambda n: n["text"].startswith("+")), lambda n: F.struct(
+            n["hunk_no"].alias("hunk_no"), n["line"].alias("line"), F.substring(n["text"], 2, 1 << 30).alias("text")))
+
+    df = df.select(*keep, F.transform("_f", named).alias("_f"))
+    df = df.select(*keep, F.transform("_f", lambda f: f.withField("hunks", F.filter(F.transform(f["hunks"], advancing), lambda h: h["start"].isNotNull()))).alias("_f"))
+    df = df.select(*keep, F.transform("_f", lambda f: f.withField("hunks", F.transform(f["hunks"], lambda h: h.withField("adv", from_first(h))))).alias("_f"))
+    return df.select(*keep, F.transform("_f", lambda f: F.struct(
+        f["file_no"].alias("file_no"), f["path"].alias("path"), detect_language(f["path"]).alias("language"), f["is_binary"].alias("is_binary"),
+        f["is_rename"].alias("is_rename"), F.flatten(F.transform(f["hunks"], added)).alias("lines"))).alias("files"))
+
+
 def file_checks(files: DataFrame, path_col: str = "path", content_col: str = "text") -> DataFrame:
     """P-04 / P-05 / P-06 over a table of files."""
     ok, reason = content_check(F.col(content_col))

@@ -1,8 +1,12 @@
-"""Reviewer evaluation: scorers per case and the 100%-per-scorer regression gate."""
+"""Reviewer evaluation: scorers per case and the 100%-per-scorer regression gate.
+
+A case is scored within its row where its diff is at hand (``score_cases``); findings that come from
+elsewhere are joined to the cases (``eval_scores``).
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SCORERS = ("caught_cross_env_ref", "flagged_transform_violation", "zero_false_positives_on_clean_code")
@@ -31,6 +35,24 @@ def eval_scores(cases: DataFrame, findings: DataFrame, key: str = "case_id") ->
     )
 
 
+def met(rule_id: str, rules=F.col) -> Column:
+    """A-07 on an array of rule ids: ``rule_id`` is among them."""
+    return F.array_contains(rules("rules"), rule_id)
+
+
+def met_prefix(prefix: str, rules=F.col) -> Column:
+    """A-07 on an array of rule ids: one of them starts with ``prefix``."""
+    return F.exists(rules("rules"), lambda r: r.startswith(prefix))
+
+
+def score_cases(cases: DataFrame, key: str = "case_id") -> DataFrame:
+    """A-08 within the row: ``cases`` has the expectations and ``rules``, the ids of the rules that its diff meets."""
+    expected = lambda c: F.coalesce(F.col(c), F.lit(False))
+    return cases.select(
+        key, (met("ENV-01") == expected("has_cross_env")).alias(SCORERS[0]), (met_prefix("TP-") == expected("has_transform_issue")).alias(SCORERS[1]),
+        (~expected("is_clean") | (F.size("rules") == 0)).alias(SCORERS[2]))
+
+
 def eval_gate(scores: DataFrame) -> DataFrame:
     """A-09: mean of each scorer; the gate fails unless every mean is 1.0 (no cases = fail)."""
     means = scores.agg(*[F.avg(F.col(s).cast("double")).alias(s) for s in SCORERS])

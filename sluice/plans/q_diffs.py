@@ -104,10 +104,18 @@ def _findings(t: Tables):
     return V.policy_scan(_lines(t))
 
 
-def _rules_blocks(t: Tables, lines):
+def _parsed(t: Tables):
+    return D.parsed_diffs(t.changes)
+
+
+def _reviewed(t: Tables):
+    return _parsed(t).select("change_id", V.findings_of(F.col("files")).alias("findings"))
+
+
+def _rules_blocks(t: Tables, parsed):
     """The three handbook rules nearest to each change's added lines (S-24, T-03, S-11)."""
     rules = RL.parse_rules(t.handbook)
-    queries = V.change_query_text(t.changes.select("change_id"), lines)
+    queries = parsed.select("change_id", V.query_text_of(F.col("files")).alias("query_text"))
     top = RL.text_top_k(rules.select("doc_id", F.col("content").alias("text")), queries.select(F.col("change_id").alias("query_id"), F.col("query_text").alias("text")))
     ids = rules.select("doc_id", "rule_id")
     return V.rules_blocks(top.join(ids, "doc_id").select(F.col("query_id").alias("change_id"), "rank", "rule_id"), rules)
@@ -154,8 +162,8 @@ def q_file_checks(spark, sf_dir):
 SELECT change_id, file_no, file, line, rule_id, severity, citation, message FROM findings""",
                               _FILES, _LINES, _scan_sql()), ids=("J-04",))
 def q_policy_scan(spark, sf_dir):
-    return _findings(Tables(spark, sf_dir)).select("change_id", "file_no", "file", "line", "rule_id", "severity",
-                                                   "citation", "message")
+    found = _reviewed(Tables(spark, sf_dir)).select("change_id", F.explode("findings").alias("f"))
+    return found.select("change_id", "f.file_no", "f.file", "f.line", "f.rule_id", "f.severity", "f.citation", "f.message")
 
 
 _GATE = """gate AS (
@@ -174,8 +182,7 @@ _GATE = """gate AS (
 
 @register("decide_gate", _sql("SELECT * FROM gate", _FILES, _LINES, _scan_sql(), _GATE), ids=("A-06",))
 def q_decide_gate(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return V.decide_gate(t.changes, _findings(t))
+    return V.gate_of(_reviewed(Tables(spark, sf_dir)))
 
 
 @register("check_annotations", _sql("""
@@ -225,7 +232,7 @@ def q_render_comment(spark, sf_dir):
     # a review's summary: none, blank, or a sentence
     c = F.col("change_id")
     said = F.when(c % 3 == 0, F.concat(F.lit(" Change "), c.cast("string"), F.lit(" was read.\n"))).when(c % 3 == 1, F.lit(" \n"))
-    return V.render_comment(t.changes, _findings(t), summaries=t.changes.select("change_id", said.alias("review_summary")))
+    return V.comment_of(_reviewed(t).withColumn("review_summary", said))
 
 
 @register("select_fixable", _sql("""
@@ -254,7 +261,7 @@ LEFT JOIN files c ON c.change_id = x.change_id AND c.path = x.file LEFT JOIN blo
 def q_fix_prompts(spark, sf_dir):
     t = Tables(spark, sf_dir)
     lines = _lines(t)
-    return V.fix_prompts(V.select_fixable(V.policy_scan(lines), _files(t)), t.change_files, blocks=_rules_blocks(t, lines))
+    return V.fix_prompts(V.select_fixable(V.policy_scan(lines), _files(t)), t.change_files, blocks=_rules_blocks(t, _parsed(t)))
 
 
 @register("review_prompts", with_ctes(["change_files", "handbook"], "WITH " + ",\n".join([_FILES, _LINES, _GROUNDED]) + f""",
@@ -273,9 +280,8 @@ SELECT p.change_id, CAST(p.part_no AS INT) AS part_no, CAST(n AS INT) AS n_parts
 FROM (SELECT *, max(part_no) OVER (PARTITION BY change_id) AS n FROM parts) p LEFT JOIN blocks k USING (change_id)"""), ids=("S-14", "W-08"))
 def q_review_prompts(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    files = _files(t)
-    lines = D.diff_added_lines(files)
-    return V.review_prompts(files, lines, _rules_blocks(t, lines))
+    parsed = _parsed(t)
+    return V.prompts_of(parsed.join(_rules_blocks(t, parsed), "change_id", "left"))
 
 
 @register("change_query_text", _sql("""
@@ -284,8 +290,7 @@ FROM (SELECT DISTINCT change_id FROM files) c
 LEFT JOIN (SELECT change_id, string_agg(text, chr(10) ORDER BY file_no, hunk_no, line) AS q FROM lines GROUP BY change_id) q
   ON c.change_id = q.change_id""", _FILES, _LINES), ids=("S-24",))
 def q_change_query_text(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    return V.change_query_text(t.changes, _lines(t))
+    return _parsed(Tables(spark, sf_dir)).select("change_id", V.query_text_of(F.col("files")).alias("query_text"))
 
 
 _PERMS = ["read", "triage", "write", "maintain", "admin"]

@@ -1,13 +1,12 @@
 import datetime as dt
 
 import duckdb
-from support import SF_SMALL, rows
+import pytest
 from pyspark.sql import functions as F
+from support import SF_SMALL, rows
 
 from sluice.operators import forecast as FC
-from sluice.sources import sinks
-from sluice.sources.tables import payload_log
-from sluice.streaming import streams as S
+from sluice.sources import sinks, views
 
 
 def test_calendar_lags_use_calendar_days(spark):
@@ -61,62 +60,9 @@ def test_forecast_error_band_on_sales(spark):
     assert 5 < r.mae < 20 and r.n_train > 0 and r.mean_mae > 0
 
 
-def _as_folder(spark, tmp_path):
-    folder = str(tmp_path / "sf")
-    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(5).write.parquet(f"{folder}/events.parquet")
-    return folder
-
-
-def test_flushed_streams_equal_the_full_batch_on_a_folder_table(spark, tmp_path):
-    folder = _as_folder(spark, tmp_path)
-    payload = payload_log(spark.read.parquet(f"{folder}/events.parquet"))
-    stream = lambda: payload_log(S.stream_table(spark, folder, "events"))
-    days = payload.groupBy(F.col("request_time").cast("date").alias("day")).count()
-    got = S.drain(stream(), S.usage_daily_stream, "t_usage")
-    assert rows(got, "day", "pr_reviews") == rows(days) and len(rows(days)) > 1
-    breaches = S.drain(stream(), lambda p: S.rate_limit_stream(p, 2, 1), "t_rates")
-    minute = F.date_trunc("minute", "request_time")
-    want = payload.groupBy("endpoint", minute).count().where("count > 2").count() + payload.groupBy("requester", minute).count().where("count > 1").count()
-    assert breaches.count() == want > 0
-    assert rows(S.append_payload(stream())) == rows(payload)
-
-
-def test_unflushed_stream_equals_its_closed_days(spark):
-    payload = payload_log(S.stream_table(spark, SF_SMALL, "events"))
-    streamed = S.drain(payload, S.usage_daily_stream, "t_usage", flush=False)
-    batch = S.usage_daily_closed(payload_log(spark.read.parquet(f"{SF_SMALL}/events.parquet")))
-    assert rows(streamed) == rows(batch) and streamed.count() > 0
-
-
-def test_an_empty_stream_gives_an_empty_frame(spark, tmp_path):
-    folder = str(tmp_path / "sf")
-    spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0).write.parquet(f"{folder}/events.parquet")
-    out = S.drain(payload_log(S.stream_table(spark, folder, "events")), S.usage_daily_stream, "t_none")
-    assert out.columns == ["day", "pr_reviews", "avg_secs", "est_tokens"] and out.count() == 0
-
-
-def test_watermark_drops_late_rows(spark, tmp_path):
-    t = dt.datetime
-    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-    first = [(1, t(2024, 1, 1, 0, 0, 10), 1, "view", 1.0, '{"k": 1}'), (2, t(2024, 1, 1, 0, 0, 20), 1, "view", 1.0, '{"k": 1}'),
-             (3, t(2024, 1, 1, 0, 10, 0), 2, "view", 1.0, '{"k": 1}')]
-    late = [(4, t(2024, 1, 1, 0, 0, 30), 1, "view", 1.0, '{"k": 1}'),  # older than the watermark: dropped
-            (5, t(2024, 1, 1, 0, 20, 0), 2, "view", 1.0, '{"k": 1}')]
-    folder = str(tmp_path / "ev")
-    root = str(tmp_path / "stream")
-    sch = spark.createDataFrame([], schema).schema
-
-    def run():
-        src = spark.readStream.schema(sch).option("recursiveFileLookup", "true").parquet(folder)
-        return S.run_available(S.rate_limit_stream(payload_log(src), endpoint_limit=10, user_limit=1), "t_late",
-                               root=root)
-
-    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{folder}/a")
-    run()
-    spark.createDataFrame(late, schema).coalesce(1).write.parquet(f"{folder}/b")
-    out = run()
-    got = rows(out, "key", "minute", "calls")
-    assert got == [("u1", t(2024, 1, 1, 0, 0), 2)]  # the late third call of u1 was not counted
+
+
+
 
 
 def test_write_table_counts_and_json_round_trip(spark, tmp_path):
@@ -126,12 +72,47 @@ def test_write_table_counts_and_json_round_trip(spark, tmp_path):
                                F.lit("S").alias("severity_hint"))
     assert sinks.write_table(df, "sluice_test.rules") == 7
     assert sinks.seed_if_absent(spark, "sluice_test.rules", df) is False
-    assert sinks.replace_table_as(spark, "sluice_test.rules2", df, ["rule_id", "title"]) == 7
+    assert sinks.seed_if_absent(spark, "sluice_test.other", df) is True
     path = str(tmp_path / "rules_json")
     assert sinks.write_rules_jsonl(df, path) == 7
     assert rows(sinks.read_rules_jsonl(spark, path), "rule_id") == rows(df, "rule_id")
 
 
+def test_replacing_a_table_is_all_or_nothing(spark, tmp_path):
+    schema = sinks.ensure_schema(spark, "sluice_swap", location=str(tmp_path / "swap"))
+    name, df = f"{schema}.t", spark.range(5).withColumn("v", F.col("id") * 2)
+    assert sinks.replace_table_as(spark, name, df, ["id", "v"]) == 5
+    assert sinks.replace_table_as(spark, name, spark.table(name).where("id > 1"), ["v"]) == 3  # reads what it replaces
+    assert rows(spark.table(name)) == [(4,), (6,), (8,)]
+    with pytest.raises(Exception):  # noqa: B017 - whatever ends the write
+        sinks.replace_table_as(spark, name, spark.range(3).select((F.lit(1) / F.col("id")).cast("int").alias("v")), ["v"])
+    assert rows(spark.table(name)) == [(4,), (6,), (8,)]
+    assert [t.name for t in spark.catalog.listTables(schema) if "__old_" in t.name] == []
+
+
+def test_a_batch_given_again_adds_no_row(spark, tmp_path):
+    name = f"{sinks.ensure_schema(spark, 'sluice_batches', location=str(tmp_path / 'b'))}.t"
+    batch = lambda *ids: spark.createDataFrame([(i,) for i in ids], "id long")
+    assert sinks.append_batch(batch(1, 2), name, "a") == 2
+    assert sinks.append_batch(batch(3), name, "b") == 1
+    assert sinks.append_batch(batch(1, 2), name, "a") == 2
+    assert rows(spark.table(name)) == [(1, "a"), (2, "a"), (3, "b")]
+    assert sinks.append_batch(batch(7), name, "a") == 1  # a corrected batch takes the place of the first one
+    assert rows(spark.table(name), "id") == [(3,), (7,)]
+
+
+def test_views_follow_their_tables(spark, tmp_path):
+    schema = sinks.ensure_schema(spark, "sluice_views", location=str(tmp_path / "views"))
+    columns = "route_id string, route_name string, gross_revenue double, returns_amount double, net_revenue double"
+    gold = lambda *r: spark.createDataFrame(list(r), columns)
+    sinks.write_table(gold(("R1", "a", 5.0, -1.0, 4.0)), f"{schema}.route_profitability")
+    views.daily_route_summary(spark, schema)
+    view = f"{schema}.vw_daily_route_summary"
+    assert rows(spark.table(view)) == [("R1", "a", 5.0, -1.0, 4.0, 4.0)]
+    sinks.replace_table_as(spark, f"{schema}.route_profitability", gold(("R1", "a", 5.0, -1.0, 4.0), ("R2", "b", 9.0, 0.0, 9.0)), gold().columns)
+    assert [r.route_id for r in spark.sql(f"SELECT * FROM {view}").collect()] == ["R2", "R1"]
+
+
 def test_read_rule_documents_skips_readme(spark, tmp_path):
     (tmp_path / "README.md").write_text("### [X-1] not a rule doc\n")
     (tmp_path / "naming.md").write_text("### [NM-01] Snake case\n- **Severity:** STYLE\nbody\n")
@@ -139,14 +120,16 @@ def test_read_rule_documents_skips_readme(spark, tmp_path):
     assert rows(docs, "category") == [("naming",)]
 
 
-def test_run_records_and_gate_audit(spark):
-    runs = spark.createDataFrame([(1, "m", "dev", dt.datetime(2024, 1, 1), 3.5, 12.0, 100, 8)],
+def test_run_records_and_gate_audit(spark, tmp_path):
+    schema = sinks.ensure_schema(spark, "sluice_audit", location=str(tmp_path / "audit"))
+    runs = spark.createDataFrame([(1, "m", "dev", dt.datetime(2024, 1, 1), 3.5, 12.0, 100, 8), (None, "m", "dev", dt.datetime(2024, 1, 1), None, 12.0, 100, 8)],
                                  "run_id long, model_name string, env string, start_time timestamp_ntz, mae double, "
                                  "max_acceptable_mae double, n_estimators int, max_depth int")
     rec = sinks.runs_from_table(runs)
-    assert sinks.append_runs(rec, "runs_audit") == 1 and sinks.append_runs(rec, "runs_audit") == 1
-    assert spark.table("runs_audit").count() == 2
-    got = spark.table("runs_audit").first()
+    assert sinks.append_runs(rec, f"{schema}.runs", "a") == 2 and sinks.append_runs(rec, f"{schema}.runs", "b") == 2
+    assert sinks.append_runs(rec, f"{schema}.runs", "a") == 2
+    assert spark.table(f"{schema}.runs").count() == 4
+    got = spark.table(f"{schema}.runs").where("run_id = '1'").first()
     assert got.metrics["mae_within_threshold"] == 1.0 and got.params["n_estimators"] == "100"
 
 
@@ -170,27 +153,3 @@ def test_entry_and_registry_contract(spark):
         order = [cols.index(c) for c in df.columns]
         duck_rows = sorted(tuple(r[i] for i in order) for r in cur.fetchall())
         assert spark_rows == duck_rows, name
-
-
-def test_index_sync_two_epochs(spark, tmp_path):
-    schema = "doc_id long, category string, block string"
-    folder, root = str(tmp_path / "docs"), str(tmp_path / "sync")
-    first = [(1, "env", "### [ENV-01] Cross env\nbody one\n### [ENV-02] Second\nsame"), (2, "tp", "### [TP-02] Driver actions\nbody two")]
-    second = [(1, "env", "### [ENV-01] Cross env\nbody one, revised"), (4, "nm", "### [NM-01] Snake case\nbody"), (2, "tp", "### [TP-02] Driver actions\nbody two")]
-    sch = spark.createDataFrame([], schema).schema
-
-    def run():
-        src = spark.readStream.schema(sch).option("recursiveFileLookup", "true").parquet(folder)
-        return S.run_index_sync(src, root=root)
-
-    spark.createDataFrame(first, schema).coalesce(1).write.parquet(f"{folder}/a")
-    run()
-    spark.createDataFrame(second, schema).coalesce(1).write.parquet(f"{folder}/b")
-    log = run()
-    assert rows(log, "epoch", "rule_id", "op") == [(0, "ENV-01", "insert"), (0, "ENV-02", "insert"), (0, "TP-02", "insert"),
-                                                   (1, "ENV-01", "update"), (1, "ENV-02", "delete"), (1, "NM-01", "insert")]
-    state = S.index_state(spark, f"{root}/index")
-    assert rows(state, "rule_id") == [("ENV-01",), ("NM-01",), ("TP-02",)]
-    assert [r.content for r in state.where("rule_id = 'ENV-01'").collect()] == ["Cross env\n\nbody one, revised"]
-    S.compact_index(spark, f"{root}/index", f"{root}/compact", 2)
-    assert rows(S.index_state(spark, f"{root}/compact").drop("bucket")) == rows(state.drop("bucket"))
