@@ -14,8 +14,12 @@ result, one may be the query itself); Spark applies that limit before the shuffl
 task's memory; the directory that is joined has one small row an annulus.
 
 Defined results. Vectors that are null, hold null or hold a non-finite component take no part, nor do rows
-with a null id. Shorter vectors count as padded with zeros. Rows repeated with the same id and vector count
-once. Ties go to the smaller id. Fewer than ``k`` rows: all of them. An empty table gives no rows.
+with a null id. Shorter vectors count as padded with zeros. A component beyond ``LIMIT`` counts as that. Rows
+repeated with the same id and vector count once; different vectors of one id are candidates each (so an id may
+fill several ranks), and the id's result is the best of what its vectors find. Ties go to the smaller id. Fewer
+than ``k`` rows: all of them. An empty table gives no rows, columns beside ``key`` and ``vec`` are ignored.
+Scores are exact decimals of 38 digits, for vectors of up to a million components; a query takes them as longs, null
+where they are no long.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ PIVOTS = 32
 RING = 512
 BLOCK = 128
 NEAR = 2
+#: Largest magnitude of a component; scores below the first bound are exact sums of doubles, below the second of longs.
+LIMIT = 1 << 53
+DOUBLES, LONGS = 1 << 53, 1 << 62
 
 
 def integer_vectors(vectors: DataFrame, key: str = "vec_id", vec: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -44,12 +51,16 @@ def integer_vectors(vectors: DataFrame, key: str = "vec_id", vec: str = "embeddi
     finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return (vectors.where(F.col(key).isNotNull() & F.col(vec).isNotNull() & finite)
             .select(F.col(key).cast("bigint").alias("id"),
-                    F.transform(vec, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("int")).alias("vec"))
+                    F.transform(vec, lambda x: _limited(F.floor(F.lit(float(scale)) * x.cast("double")).cast("bigint"))).alias("vec"))
             .dropDuplicates())
 
 
-def _matrix(column, dims: int) -> np.ndarray:
-    out = np.zeros((len(column), dims))
+def _limited(x):
+    return F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), x))
+
+
+def _matrix(column, dims: int, kind=float) -> np.ndarray:
+    out = np.zeros((len(column), dims), kind)
     for i, v in enumerate(column):
         out[i, :len(v)] = v
     return out
@@ -84,13 +95,13 @@ def _blocks(size: int, dims: int, pivots: np.ndarray, top: float, is_query: bool
 
         def block(rows):
             nonlocal number
-            x = _matrix(rows["vec"], dims)
+            x = _matrix(rows["vec"], dims, np.int64)
             number += 1
-            d = _to_pivots(x, pivots, top, is_query)
+            d = _to_pivots(x.astype(float), pivots, top, is_query)
             own = d[:, int(rows["pivot"].iloc[0])]
             return {"block": number - 1, "pivot": int(rows["pivot"].iloc[0]), "lo": own.min(), "hi": own.max(),
-                    "ids": rows["id"].to_numpy(np.int64).tobytes(), "vecs": x.astype(np.int32).tobytes(),
-                    "los": d.min(0).tolist(), "his": d.max(0).tolist(), "norm": float((x * x).sum(1).max())}
+                    "ids": rows["id"].to_numpy(np.int64).tobytes(), "vecs": x.tobytes(),
+                    "los": d.min(0).tolist(), "his": d.max(0).tolist(), "norm": float((x.astype(float) ** 2).sum(1).max())}
 
         for f in frames:
             held = f if held is None else pd.concat([held, f], ignore_index=True)
@@ -108,47 +119,51 @@ def _blocks(size: int, dims: int, pivots: np.ndarray, top: float, is_query: bool
     return run
 
 
-def _search(k: int, dims: int):
+def _search(k: int, dims: int, top: float):
     """Pairs of a query block and an annulus -> the k best of the annulus for each query, by exact scores."""
+    kind = float if top < DOUBLES else np.int64 if top < LONGS else object  # no score is larger than the largest square
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for q_ids, q_vecs, worst, ids, vecs in zip(f["q_ids"], f["q_vecs"], f["worst"], f["ids"], f["vecs"]):
                 q_ids, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
-                q = np.frombuffer(q_vecs, np.int32).reshape(-1, dims).astype(float)
-                x = np.frombuffer(vecs, np.int32).reshape(-1, dims).astype(float)
-                scores = q @ x.T  # integers below 2**53: exact
-                scores[q_ids[:, None] == ids[None, :]] = -np.inf
+                q = np.frombuffer(q_vecs, np.int64).reshape(-1, dims).astype(kind)
+                x = np.frombuffer(vecs, np.int64).reshape(-1, dims).astype(kind)
+                scores = q @ x.T
+                # a place in falling order of score: ties, and Python integers, sort by their rank
+                order_key = -np.unique(scores, return_inverse=True)[1].reshape(scores.shape) if kind is object else -scores
+                out = q_ids[:, None] == ids[None, :]
                 if worst is not None and not np.isnan(worst):
-                    scores[scores < worst] = -np.inf
-                order = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, :k]
-                best = np.take_along_axis(scores, order, 1)
-                r, c = np.nonzero(best > -np.inf)
+                    out |= scores.astype(float) < worst * (1 - np.sign(worst) * 1e-9) - 1
+                order = np.lexsort((np.broadcast_to(ids, scores.shape), order_key, out), axis=1)[:, :k]
+                r, c = np.nonzero(~np.take_along_axis(out, order, 1))
                 if len(r):
-                    yield pd.DataFrame({"query_id": q_ids[r], "vec_id": ids[order[r, c]], "score": best[r, c].astype(np.int64)})
+                    best = scores[r, order[r, c]]
+                    yield pd.DataFrame({"query_id": q_ids[r], "vec_id": ids[order[r, c]], "score": [str(int(b)) for b in best]})
     return run
 
 
 def top_k(vectors: DataFrame, k: int = K, is_query=None, key: str = "vec_id", vec: str = "embedding", scale: int = SCALE,
           pivots: int = PIVOTS, ring: int = RING, block: int = BLOCK) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` largest inner products of each query with the other rows.
+    """(query_id, rank, vec_id, score): the ``k`` largest inner products of each query with the other rows, exact.
 
     ``is_query`` is a condition on the column ``id``.
     """
     spark = vectors.sparkSession
     rows = Stored(integer_vectors(vectors, key, vec, scale), "vectors").df
-    out = "query_id long, rank int, vec_id long, score long"
-    square = F.aggregate("vec", F.lit(0).cast("bigint"), lambda a, x: a + x.cast("bigint") * x.cast("bigint"))
+    out = "query_id long, rank int, vec_id long, score decimal(38,0)"
+    square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     facts = rows.agg(F.max(square).alias("top"), F.max(F.size("vec")).alias("dims")).first()
     if facts["top"] is None:
         return spark.createDataFrame([], out)
-    top, dims = float(facts["top"]), max(1, facts["dims"])
+    top, dims = float(facts["top"]) * (1 + 1e-9), max(1, facts["dims"])  # no less than the true square
     chosen = rows.orderBy(F.xxhash64("id"), "id").limit(pivots).toPandas()
     pivot_vecs = _matrix(chosen["vec"], dims)
     copies = Window.partitionBy("vec").orderBy("id")
     indexed = rows.withColumn("copy", F.row_number().over(copies)).where(F.col("copy") <= k + 1).select("id", "vec")
 
     def blocked(df: DataFrame, size: int, queries: bool, name: str) -> DataFrame:
-        keyed = df.mapInPandas(_assign(pivot_vecs, top, dims, queries), "id long, vec array<int>, pivot int, dist double")
+        keyed = df.mapInPandas(_assign(pivot_vecs, top, dims, queries), "id long, vec array<bigint>, pivot int, dist double")
         ordered = keyed.repartitionByRange("pivot", "dist", "id").sortWithinPartitions("pivot", "dist", "id")
         return Stored(ordered.mapInPandas(
             _blocks(size, dims, pivot_vecs, top, queries),
@@ -171,7 +186,7 @@ def _expand(annuli, asked, directory, around, k, top, dims) -> DataFrame:
         asked_side = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
         joined = pairs.join(asked_side, "q_block").join(annuli.select("block", "ids", "vecs"), "block")
         return joined.select("q_block", "q_ids", "q_vecs", "worst", "ids", "vecs").mapInPandas(
-            _search(k, dims), "query_id long, vec_id long, score long")
+            _search(k, dims, top), "query_id long, vec_id long, score string").withColumn("score", F.col("score").cast("decimal(38,0)"))
 
     near = Window.partitionBy("q_block").orderBy(F.col("own") != F.col("pivot"), "gap", "block")
     first = Stored(searched(reach.withColumn("n", F.row_number().over(near)).where(F.col("n") <= NEAR)
@@ -181,7 +196,9 @@ def _expand(annuli, asked, directory, around, k, top, dims) -> DataFrame:
     queries = asked.select(F.col("block").alias("q_block"), F.explode(_ids("ids")).alias("query_id"))
     worst = queries.join(kth, "query_id", "left").groupBy("q_block").agg(
         F.when(F.count("kth") == F.count(F.lit(1)), F.min("kth")).cast("double").alias("worst"))
-    bound = (F.col("norm") + F.lit(top) - F.pow(F.greatest(F.lit(0.0), F.col("gap") - F.lit(1e-3)), F.lit(2))) / 2 + F.lit(1.0)
+    # distances come from differences of squares up to ``top``: their error grows with its root
+    slack = 1e-3 + 1e-6 * top ** 0.5
+    bound = (F.col("norm") + F.lit(top) - F.pow(F.greatest(F.lit(0.0), F.col("gap") - F.lit(slack)), F.lit(2))) / 2 + F.lit(1.0 + 1e-9 * top)
     pairs = reach.join(worst, "q_block").where(F.col("worst").isNull() | (bound >= F.col("worst"))).select("q_block", "block", "worst")
     ranked = searched(pairs).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
@@ -194,7 +211,8 @@ def _ids(blobs: pd.Series) -> pd.Series:
 
 def query(spark, sf_dir) -> DataFrame:
     from sluice.llm.common import table
-    return top_k(table(spark, sf_dir, "embeddings"), is_query=F.col("id") % 50 == 0)
+    found = top_k(table(spark, sf_dir, "embeddings"), is_query=F.col("id") % 50 == 0)
+    return found.withColumn("score", F.col("score").try_cast("bigint"))
 
 
 SQL = """

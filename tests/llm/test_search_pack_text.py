@@ -52,6 +52,28 @@ def test_top_k_of_few_or_no_rows(spark):
     assert topk.top_k(spark.createDataFrame([], schema)).collect() == []
 
 
+@pytest.mark.parametrize("size", [1e4, 1e7, 1e12, 1e300])
+def test_top_k_of_large_components(spark, rng, size):
+    """Sums beyond 53 and 62 bits are exact; components beyond the limit count as it."""
+    rows = [(i, [rng.uniform(-size, size) if rng.random() < 0.5 else rng.gauss(0, 1) for _ in range(3)]) for i in range(120)]
+    x = {i: [max(-topk.LIMIT, min(topk.LIMIT, math.floor(256 * c))) for c in v] for i, v in rows}
+    want = []
+    for q in range(0, 120, 10):
+        best = sorted((-sum(a * b for a, b in zip(x[q], v)), i) for i, v in x.items() if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), is_query=F.col("id") % 10 == 0, ring=9, block=4, pivots=5)
+    assert sorted((r[0], r[1], r[2], int(r[3])) for r in got.collect()) == want
+
+
+def test_top_k_of_an_id_with_two_vectors(spark):
+    """Both are candidates, and what the id asks for is the best that either finds."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [5.0, 0.0]), (3, [0.0, 4.0]), (4, [3.0, 3.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=3)
+    found = {(r[0], r[1]): (r[2], int(r[3]) // 65536) for r in got.collect()}
+    assert [found[1, n] for n in (1, 2, 3)] == [(2, 5), (3, 4), (4, 3)]
+    assert [found[4, n] for n in (1, 2, 3)] == [(2, 15), (3, 12), (1, 3)]
+
+
 # --- operator 5 -------------------------------------------------------------------------
 def test_differencing_deals_every_item_once(rng):
     for windows in (1, 2, 7):
