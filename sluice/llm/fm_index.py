@@ -1,5 +1,6 @@
 """Compressed full-text index over word sequences: a k-order BWT in a wavelet matrix.
 
+Bit planes and the interval borders of every match length are bit vectors with 32-bit counts.
 The suffixes are sorted by their first ``order`` symbols only, ties by position. Patterns of up to
 ``order`` symbols still own one interval of rows each, a backward step stays exact, and the first row
 of a full-length interval holds the earliest occurrence, so one sampled position a group is enough.
@@ -12,33 +13,44 @@ import numpy as np
 U64 = np.uint64
 
 
+class BitRank:
+    """A bit vector with a popcount directory: 32 bits of counts for 64 bits, until there are 2**32 of them."""
+
+    def __init__(self, bits: np.ndarray):
+        packed = np.packbits(bits, bitorder="little")
+        self.words = np.zeros(len(bits) // 64 + 1, U64)
+        self.words.view(np.uint8)[:len(packed)] = packed
+        count = np.zeros(len(self.words) + 1, np.int64)
+        np.cumsum(np.bitwise_count(self.words), out=count[1:])
+        self.total = int(count[-1])
+        self.counts = count.astype(np.uint32 if len(bits) < 1 << 32 else np.int64)
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        """Set bits before each position."""
+        word = at >> 6
+        mask = (U64(1) << (at & 63).astype(U64)) - U64(1)
+        return self.counts[word].astype(np.int64) + np.bitwise_count(self.words[word] & mask)
+
+
 class WaveletMatrix:
-    """Bit planes of a symbol sequence with popcount directories; ranks a symbol in one pass of levels."""
+    """Bit planes of a symbol sequence; ranks a symbol in one pass of levels."""
 
     def __init__(self, symbols: np.ndarray, sigma: int):
         self.n, self.levels = len(symbols), max(1, int(sigma - 1).bit_length())
-        self.bits, self.counts, self.zeros = [], [], []
+        self.planes, self.zeros = [], []
         order = symbols.astype(np.int64)
         for level in range(self.levels - 1, -1, -1):
-            bit = (order >> level) & 1
-            packed = np.packbits(bit.astype(np.uint8), bitorder="little")
-            words = np.zeros(self.n // 64 + 1, U64)
-            words.view(np.uint8)[:len(packed)] = packed
-            count = np.zeros(len(words) + 1, np.int64)
-            np.cumsum(np.bitwise_count(words), out=count[1:])
-            ones = bit.astype(bool)
-            self.bits.append(words)
-            self.counts.append(count)
-            self.zeros.append(self.n - int(count[-1]))
+            ones = ((order >> level) & 1).astype(bool)
+            plane = BitRank(ones)
+            self.planes.append(plane)
+            self.zeros.append(self.n - plane.total)
             order = np.concatenate([order[~ones], order[ones]])
         self.place = self._places(np.arange(sigma), np.zeros(sigma, np.int64))
 
     def _places(self, symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Where position ``at`` ends after following ``symbols`` through all levels."""
         for k, level in enumerate(range(self.levels - 1, -1, -1)):
-            word = at >> 6
-            mask = (U64(1) << (at & 63).astype(U64)) - U64(1)
-            ones = self.counts[k][word] + np.bitwise_count(self.bits[k][word] & mask)
+            ones = self.planes[k].rank(at)
             at = np.where((symbols >> level) & 1, self.zeros[k] + ones, at - ones)
         return at
 
@@ -66,7 +78,6 @@ class FMIndex:
         inside[self.starts[1:] - 1] = False
         text[inside] = ranks + 1
         self.sigma = len(self.alphabet) + 1
-        self.text = text
         doubled = self._doubled(text)
         suffixes = np.argsort(self._joined(doubled), kind="stable") if n else np.zeros(0, np.int64)
         self.lcp = self._lcp(doubled, suffixes)
@@ -105,7 +116,7 @@ class FMIndex:
 
     def _lcp(self, doubled: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
         """Symbols that each row shares with the row above, ``order`` at most."""
-        out = np.zeros(len(rows), np.int64)
+        out = np.zeros(len(rows), np.uint8 if self.order < 256 else np.int64)
         if len(rows) < 2:
             return out
         a, b, shared = rows[:-1], rows[1:], np.zeros(len(rows) - 1, np.int64)
@@ -124,12 +135,12 @@ class FMIndex:
     def _widen(self, low: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """The interval of the first ``depth`` symbols of row ``low`` (the parent in the suffix tree)."""
         if depth not in self._bounds:
-            heads = np.flatnonzero(self.lcp < depth)
-            group = np.cumsum(self.lcp < depth) - 1
-            self._bounds[depth] = (group.astype(np.int32), np.append(heads, self.n))
-        group, heads = self._bounds[depth]
-        g = group[low]
-        return heads[g], heads[g + 1]
+            first = self.lcp < depth
+            heads = np.append(np.flatnonzero(first), self.n)
+            self._bounds[depth] = (BitRank(first), heads.astype(np.uint32 if self.n < 1 << 32 else np.int64))
+        first, heads = self._bounds[depth]
+        g = first.rank(low + 1)  # intervals that begin up to the row, its own the last of them
+        return heads[g - 1].astype(np.int64), heads[g].astype(np.int64)
 
     def symbols(self, words: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.alphabet, words)

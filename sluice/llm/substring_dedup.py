@@ -14,8 +14,10 @@ windows share their segments' key, so a window's earliest occurrence is the leas
 map-side aggregate, joined back to the windows. Joins on keys are plain equi-joins that adaptive execution can split.
 
 Defined results. Null or empty text: no words, nothing removed, the hash of the empty string. Null doc_id:
-the smallest id. Repeated rows (same id and text) start at the same place, so neither is earlier; rows of
-one id with different texts are judged as separate documents of equal rank. An empty table gives no rows.
+the smallest id. Repeated rows (same id and text) start at the same place, so neither is earlier. Rows of
+one id (or none) with different texts are documents of equal rank: none is earlier than the other, and a
+window is judged against documents of smaller ids and the earlier part of its own text. An empty table gives
+no rows, columns beside ``doc_id`` and ``text`` are ignored. Texts of any length are read whole, one at a time.
 Words are compared by 64-bit hashes, copies of segments and windows of hot keys by 128 bits.
 """
 
@@ -43,7 +45,7 @@ CHUNK_BYTES = 4 << 20
 #: Words that a shard indexes, about; and different segments of one key beyond which it is split.
 SHARD_WORDS = 750_000
 HOT_SEGMENTS = 20_000
-INTERVALS = "key long, seg long, lo int, n_hit int, first_did long, first_start int"
+INTERVALS = "key long, seg long, lo int, n_hit int, first_did long, first_tv long, first_start int"
 
 
 def segments_of(words: np.ndarray, bounds: np.ndarray, window: int, seed: int, run: int = RUN):
@@ -137,7 +139,7 @@ def _windows(window: int):
         cache = WordHash()
         for rows in chunks(frames, CHUNK_BYTES):
             words, bounds = _hashed(rows, cache)
-            for (did, _, wanted, _), base, end in zip(rows, bounds, bounds[1:]):
+            for (did, tv, wanted, _), base, end in zip(rows, bounds, bounds[1:]):
                 doc, parts = words[base:end], []
                 for w in wanted:
                     start, n = w["start"], w["n"]
@@ -145,7 +147,7 @@ def _windows(window: int):
                     check = np.array([xxhash.xxh3_64_intdigest(span[i:i + window].tobytes()) for i in range(n)], U64)
                     off = np.arange(n, dtype=np.int32)
                     parts.append(pd.DataFrame({"skey": gram_hashes(span, window).view(np.int64), "chk": check.view(np.int64), "key": w["key"],
-                                               "seg": w["seg"], "off": off, "did": did, "start": (start + off).astype(np.int32)}))
+                                               "seg": w["seg"], "off": off, "did": did, "tv": tv, "start": (start + off).astype(np.int32)}))
                 if parts:
                     yield pd.concat(parts, ignore_index=True)
     return run
@@ -154,7 +156,7 @@ def _windows(window: int):
 def _search_shard(window: int):
     """One shard: index its segments, stream them through it, report intervals with their earliest occurrence."""
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["did", "start", "tv"], kind="stable")
+        shard = shard.sort_values(["did", "tv", "start"], kind="stable")
         sequences = [np.frombuffer(w, U64) for w in shard["words"]]
         index = FMIndex(sequences, window)
         lengths, rows, _ = index.matching_statistics(sequences)
@@ -172,7 +174,7 @@ def _search_shard(window: int):
         q, s = query[head], source[head]
         return pd.DataFrame({
             "key": shard["key"].to_numpy()[q], "seg": shard["seg"].to_numpy()[q], "lo": offset[head].astype(np.int32),
-            "n_hit": n.astype(np.int32), "first_did": shard["did"].to_numpy()[s],
+            "n_hit": n.astype(np.int32), "first_did": shard["did"].to_numpy()[s], "first_tv": shard["tv"].to_numpy()[s],
             "first_start": (shard["start"].to_numpy()[s] + source_off[head]).astype(np.int32)})
     return run
 
@@ -189,7 +191,7 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED,
     shared = Stored(found.df.drop("occurs").join(repeated, "key", "left_semi"), "shared-segments")
     found.drop()
     s = shared.df
-    distinct = s.groupBy("key", "seg").agg(F.min(F.struct("did", "start", "tv")).alias("f"), F.first("n").alias("n"))
+    distinct = s.groupBy("key", "seg").agg(F.min(F.struct("did", "tv", "start")).alias("f"), F.first("n").alias("n"))
     # one count of the rows: how many shards, and whether any key can be hot
     size = s.groupBy("key").agg(F.count(F.lit(1)).alias("c")).agg(F.sum("c").alias("all"), F.max("c").alias("most")).first()
     any_hot = (size["most"] or 0) > hot_segments
@@ -212,18 +214,38 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED,
         .applyInPandas(_search_shard(window), INTERVALS), "intervals").df]
     if any_hot:
         windows = Stored(with_text(distinct.join(hot, "key", "left_semi")).mapInPandas(
-            _windows(window), "skey long, chk long, key long, seg long, off int, did long, start int"), "hot-windows")
-        least = windows.df.groupBy("skey", "chk").agg(F.min(F.struct("did", "start")).alias("first"))
+            _windows(window), "skey long, chk long, key long, seg long, off int, did long, tv long, start int"), "hot-windows")
+        least = windows.df.groupBy("skey", "chk").agg(F.min(F.struct("did", "tv", "start")).alias("first"))
         found_in.append(Stored(windows.df.join(least, ["skey", "chk"]).select(
             "key", "seg", F.col("off").alias("lo"), F.lit(1).alias("n_hit"), F.col("first.did").alias("first_did"),
-            F.col("first.start").alias("first_start")), "hot-intervals").df)
+            F.col("first.tv").alias("first_tv"), F.col("first.start").alias("first_start")), "hot-intervals").df)
         windows.drop()
     searched = reduce(DataFrame.unionByName, found_in)
     here = F.col("start") + F.col("lo")
-    later = (F.col("first_did") < F.col("did")) | ((F.col("first_did") == F.col("did")) & (F.col("first_start") < here))
-    return (s.join(searched, ["key", "seg"]).where(later)
-            .select("did", "tv", F.struct(here.alias("a"), (here + F.col("n_hit") + F.lit(window - 1)).alias("b")).alias("span"))
-            .groupBy("did", "tv").agg(F.collect_list("span").alias("spans")))
+    hits = s.join(searched, ["key", "seg"]).withColumn("here", here)
+    same_id, same_text = F.col("first_did") == F.col("did"), F.col("first_tv") == F.col("tv")
+    later = (F.col("first_did") < F.col("did")) | (same_id & same_text & (F.col("first_start") < F.col("here")))
+    spans = [hits.where(later).select("did", "tv", _span(window, F.col("n_hit")))]
+    if not s.groupBy("did").agg(F.min("tv").alias("a"), F.max("tv").alias("b")).where("a <> b").isEmpty():
+        spans.append(_within_texts(hits.where(same_id & ~same_text), window))
+    # a set: the copies of a repeated row give the same spans
+    return reduce(DataFrame.unionByName, spans).groupBy("did", "tv").agg(F.collect_set("span").alias("spans"))
+
+
+def _span(window: int, n):
+    return F.struct(F.col("here").alias("a"), (F.col("here") + n + F.lit(window - 1)).alias("b")).alias("span")
+
+
+def _within_texts(hits: DataFrame, window: int) -> DataFrame:
+    """Spans of windows whose first occurrence is in another text of the same id, but that also stand earlier in their own.
+
+    The first occurrence names the window's words, so windows of a text with one first occurrence are equal.
+    """
+    each = hits.select("did", "tv", "first_tv", F.explode(F.sequence(F.lit(0), F.col("n_hit") - 1)).alias("i"), "here", "first_start").select(
+        "did", "tv", "first_tv", (F.col("first_start") + F.col("i")).alias("first_start"), (F.col("here") + F.col("i")).alias("here"))
+    key = ["did", "tv", "first_tv", "first_start"]
+    own = each.groupBy(*key).agg(F.min("here").alias("own"))
+    return each.join(own, key).where("own < here").select("did", "tv", _span(window, F.lit(1)))
 
 
 def _kept(words: list[bytes], spans) -> tuple[list[bytes], int]:
@@ -272,15 +294,17 @@ def query(spark, sf_dir) -> DataFrame:
     return out.select(public_id("did").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-#: DuckDB: windows as word lists, the first start of each, and the words that later windows cover.
+#: DuckDB: windows as word lists; late are those with a smaller id or an earlier start in the same row.
 SQL = r"""
-WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-win AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 19], ' ')) AS h
-        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
-late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM win) WHERE k > 1),
-gone AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM late) GROUP BY doc_id)
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS did,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, did, i, md5(array_to_string(w[i:i + 19], ' ')) AS h
+        FROM (SELECT r, did, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+late AS (SELECT r, i FROM (SELECT r, did, i, min(did) OVER (PARTITION BY h) AS least, min(i) OVER (PARTITION BY h, r) AS own FROM win)
+         WHERE least < did OR own < i),
+gone AS (SELECT r, list(DISTINCT p) AS gone FROM (SELECT r, unnest(range(i, i + 20)) AS p FROM late) GROUP BY r)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
        sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
          list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END, ' ')) AS kept_sha256
-FROM d LEFT JOIN gone USING (doc_id)
+FROM d LEFT JOIN gone USING (r)
 """

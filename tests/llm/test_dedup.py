@@ -117,6 +117,46 @@ def test_repeated_rows_are_not_earlier_than_each_other(make_docs, rng):
     assert [r[2] for r in run_dedup(make_docs([(1, text), (1, text + " x")]))] == [0, 0]
 
 
+def brute_by_row(rows, window):
+    """As ``brute_dedup``, for rows that may share an id: smaller ids and the earlier part of the same text count."""
+    docs = [((-1 << 63 if d is None else d), (t or "").encode().split()) for d, t in rows]
+    least, out = {}, []
+    for d, w in docs:
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i:i + window])
+            least[key] = min(least.get(key, d), d)
+    for d, w in docs:
+        gone, seen = set(), set()
+        for i in range(len(w) - window + 1):
+            key = tuple(w[i:i + window])
+            if least[key] < d or key in seen:
+                gone.update(range(i, i + window))
+            seen.add(key)
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((None if d == -1 << 63 else d, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_documents_that_share_an_id_or_have_none(make_docs, rng):
+    """A passage at different places of texts without id, or of one id; twice within one of them; and after a smaller id."""
+    passage, other = prose(rng, 60), prose(rng, 30)
+    rows = [(None, passage + " " + prose(rng, 30)), (None, prose(rng, 40) + " " + passage), (None, f"{other} x {prose(rng, 9)} {other} {passage} {other}"),
+            (9, prose(rng, 11) + " " + other), (9, other + " " + prose(rng, 50)), (9, f"{prose(rng, 3)} {other} {other}"), (12, passage + " end")]
+    rows += [(20, f"{prose(rng, 4)} la " * 30), (20, "la " * 60)]
+    want = brute_by_row(rows, 20)
+    assert [r[2] for r in want if r[0] is None] != [0, 0, 0]
+    for settings in ({}, {"hot_segments": 1, "shard_words": 300}):
+        assert run_dedup(make_docs(rows).repartition(4), **settings) == want
+
+
+def test_copies_of_a_row_give_no_more_spans(make_docs, rng):
+    from sluice.llm.common import texts
+    passage = prose(rng, 50)
+    docs = make_docs([(1, passage)] + [(2, prose(rng, 8) + " " + passage)] * 1 + [(3, "a " + passage)] * 60)
+    spans = {r["did"]: len(r["spans"]) for r in substring_dedup.repeated_intervals(texts(docs)).collect()}
+    assert spans[3] == spans[2]
+
+
 def test_dedup_of_an_empty_table(make_docs):
     assert run_dedup(make_docs([])) == []
 
