@@ -8,8 +8,12 @@ is measured, and text search scores few documents.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.operators import search as SE
 from sluice.session import DEFAULT_BROADCAST_LIMIT, fits_broadcast
@@ -198,36 +202,99 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(_dot(a, b), F.sqrt(_dot(a, a)) * F.sqrt(_dot(b, b)))
 
 
+def _finite(v: Column) -> Column:
+    return v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+
+
 def vector_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "vec_id",
                  vec: str = "embedding", exclude_self: bool = True, query_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Top-``k`` cosine neighbours of each query vector, ranked by the exact cosine, ties to the smaller key.
 
-    The reported score is rounded to 6 decimals after ranking. Vectors without length have
-    no cosine and take no part. A query set that is measured to fit ``query_limit`` is
-    attached to every corpus row as one array (a scalar subquery: no join, no shuffle of
-    the corpus); each partition keeps its ``k`` best per query before anything moves.
-    Beyond the limit, query blocks of that size are scored one after the other.
+    The reported score is rounded to 6 decimals after ranking. Vectors without length, with null or
+    non-finite entries, or of another length than the query's take no part. A query set that is measured
+    to fit ``query_limit`` is sent to the tasks that read the corpus; beyond it, blocks of that size are
+    searched one after the other. A task multiplies whole Arrow batches with the query matrix and hands on
+    what can be among its ``k`` best of a query; only these rows get the cosine that ranks them.
     """
-    q = queries.select(F.col(key).alias("query_id"), F.col(vec).alias("_qv"))
-    c = corpus.select(F.col(key).alias("match_id"), F.col(vec).alias("_v"))
+    q = queries.where(_finite(F.col(vec))).select(F.col(key).alias("query_id"), F.col(vec).cast("array<double>").alias("_qv"))
+    c = corpus.where(_finite(F.col(vec))).select(F.col(key).alias("match_id"), F.col(vec).cast("array<double>").alias("_v"))
     shipped = q.agg(F.sum(F.size("_qv") * 8 + 32)).first()[0] or 0
     blocks = max(1, -(-int(shipped) // query_limit))
+    kind = corpus.schema[key].dataType.simpleString()
     w = Window.partitionBy("query_id").orderBy(F.desc("_cos"), "match_id")
     best = None
     for block in range(blocks):
         part = q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
-        qs = part.agg(F.collect_list(F.struct("query_id", "_qv")).alias("qs")).scalar()
-        # the query array is projected first: subqueries may not sit inside lambdas
-        scored = c.withColumn("_qs", qs).select("match_id", F.explode(F.transform("_qs", lambda x: F.struct(
-            x["query_id"].alias("query_id"), cosine(x["_qv"], F.col("_v")).alias("_cos")))).alias("_r")) \
-            .select("match_id", "_r.query_id", "_r._cos").where(F.col("_cos").isNotNull())
-        if exclude_self:
-            scored = scored.where(F.col("match_id") != F.col("query_id"))
+        sent = part.collect()  # measured
+        asked = corpus.sparkSession.createDataFrame([(i, r["query_id"], r["_qv"]) for i, r in enumerate(sent)],
+                                                    T.StructType([T.StructField("_q", T.IntegerType()), *part.schema.fields]))
+        near = c.mapInArrow(_nearest([(r["query_id"], r["_qv"]) for r in sent], k, exclude_self), f"_q int, match_id {kind}, _v array<double>")
+        scored = near.join(F.broadcast(asked), "_q").select("query_id", "match_id", cosine(F.col("_qv"), F.col("_v")).alias("_cos"))
         top = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
         best = top if best is None else best.unionByName(top)
     return best.select("query_id", "rank", "match_id", F.col("_cos").cast("decimal(20,6)").cast("double").alias("score"))
 
 
+#: Cosines of a matrix product and of the exact formula differ by less.
+NEARLY = 1e-9
+
+
+def _nearest(queries: list[tuple], k: int, exclude_self: bool):
+    """Batches of vectors -> the rows that can be among the ``k`` nearest of a query in this task."""
+    by_length: dict[int, list[int]] = {}
+    for i, (_, v) in enumerate(queries):
+        if any(v):
+            by_length.setdefault(len(v), []).append(i)
+    places = {n: np.array(at) for n, at in by_length.items()}
+    matrices = {n: np.array([queries[i][1] for i in at]) for n, at in by_length.items()}
+    matrices = {n: m / np.abs(m).max(1, keepdims=True) for n, m in matrices.items()}  # neither overflows nor underflows
+    matrices = {n: m / np.linalg.norm(m, axis=1, keepdims=True) for n, m in matrices.items()}
+
+    def pruned(held, floor):
+        """What may still be among the ``k`` nearest: of equal vectors only the smallest keys, and all that nearly tie."""
+        copies: dict[bytes, int] = {}
+        out = []
+        for h in sorted(held, key=lambda h: h[1]):
+            seen = copies[h[2].tobytes()] = copies.get(h[2].tobytes(), 0) + 1
+            if seen <= k:
+                out.append(h)
+        if len(out) >= k:
+            floor = max(floor, sorted((h[0] for h in out), reverse=True)[k - 1])
+        return [h for h in out if h[0] >= floor - NEARLY], floor
+
+    def run(batches):
+        kept: list[list[tuple[float, object, np.ndarray]]] = [[] for _ in queries]
+        least = np.full(len(queries), -np.inf)
+        for batch in batches:
+            ids, column = np.array(batch.column("match_id").to_pylist(), dtype=object), batch.column("_v")
+            lengths, flat = pc.list_value_length(column).to_numpy(zero_copy_only=False), column.flatten().to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.cumsum(lengths)])
+            for n, at in places.items():
+                rows = np.flatnonzero(lengths == n)
+                if not len(rows):
+                    continue
+                x = flat[starts[rows][:, None] + np.arange(n)]
+                scale = np.abs(x).max(1)
+                rows, x = rows[scale > 0], x[scale > 0] / scale[scale > 0][:, None]
+                cos = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ matrices[n].T
+                if exclude_self:
+                    own = np.array([queries[i][0] for i in at], dtype=object)
+                    cos[ids[rows][:, None] == own[None, :]] = -np.inf
+                if len(rows) > k:  # the k-th best of the batch bounds what can count
+                    least[at] = np.maximum(least[at], -np.partition(-cos, k - 1, axis=0)[k - 1])
+                for r, j in zip(*np.nonzero(cos >= (least[at] - NEARLY)[None, :])):
+                    if cos[r, j] > -np.inf:
+                        kept[at[j]].append((cos[r, j], ids[rows[r]], flat[starts[rows[r]]:starts[rows[r]] + n]))
+            for i, held in enumerate(kept):
+                if len(held) > 4 * k + 16:
+                    kept[i], least[i] = pruned(held, least[i])
+        out = [(i, key, v) for i, held in enumerate(kept) for _, key, v in pruned(held, least[i])[0]]
+        if out:
+            yield pa.RecordBatch.from_pydict({"_q": pa.array([o[0] for o in out], pa.int32()), "match_id": pa.array([o[1] for o in out], batch.schema.field("match_id").type),
+                                              "_v": pa.array([o[2] for o in out], pa.list_(pa.float64()))})
+    return run
+
+
 def label_centroids(vectors: DataFrame, label: str = "label", vec: str = "embedding", scale: float = 1e6) -> DataFrame:
     """One query vector per label: the sum of its members' vectors (cosine ignores scale).
 

@@ -186,15 +186,57 @@ SELECT printf('S%03d', CAST(s_suppkey + 1 AS INT)) AS store_id,
        ['Region North', 'Region South', 'Region East', 'Region West', 'Region Central'][CAST(s_suppkey % 5 + 1 AS INT)]
          AS route_name,
        printf('Store %03d', CAST(s_suppkey + 1 AS INT)) AS store_name
-FROM supplier""", ids=("IO-06", "S-04", "S-07"))
+FROM supplier""", ids=("IO-06",))
 def q_seed_dim_store(spark, sf_dir):
     sup = Tables(spark, sf_dir).supplier
     return seed.seed_dim_store(sup.select(F.col("s_suppkey").alias("id")))
 
 
-@register("seed_fact_sales", seed.FACT_SALES_ORACLE, ids=("IO-07", "S-05", "S-06"))
+@register("seed_fact_sales", seed.FACT_SALES_ORACLE, ids=("IO-07",))
 def q_seed_fact_sales(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ids = t.lineitem.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
     n_stores = t.supplier.agg(F.count(F.lit(1)).cast("bigint")).scalar()
     return seed.seed_fact_sales(ids, n_stores, seed.DEFAULT_AS_OF)
+
+
+@register("store_labels", """
+SELECT s_suppkey, printf('S%03d', s_suppkey) AS store_id, printf('Store %03d (%s)', s_suppkey, s_name) AS label FROM supplier""", ids=("S-04",))
+def q_store_labels(spark, sf_dir):
+    sup = Tables(spark, sf_dir).supplier
+    return sup.select("s_suppkey", F.format_string("S%03d", "s_suppkey").alias("store_id"), F.format_string("Store %03d (%s)", "s_suppkey", "s_name").alias("label"))
+
+
+@register("line_math", """
+SELECT l_orderkey, l_linenumber, CAST(floor(l_extendedprice) AS BIGINT) AS whole, abs(25 - l_quantity) AS off,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)), 2) AS DOUBLE) AS rebate,
+       CAST((l_orderkey * 8 + l_linenumber) % 97 AS INT) AS bucket
+FROM lineitem""", ids=("S-05",))
+def q_line_math(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    price, discount = F.col("l_extendedprice").cast("decimal(18,2)"), F.col("l_discount").cast("decimal(18,2)")
+    return li.select("l_orderkey", "l_linenumber", F.floor("l_extendedprice").cast("bigint").alias("whole"), F.abs(F.lit(25) - F.col("l_quantity")).alias("off"),
+                     F.round(price * discount, 2).cast("double").alias("rebate"), ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) % 97).cast("int").alias("bucket"))
+
+
+@register("order_dates", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ordered, CAST(CAST(o_orderdate AS DATE) - INTERVAL 30 DAY AS DATE) AS month_before,
+       CAST(o_orderdate AS DATE) >= DATE '1997-01-01' - INTERVAL 365 DAY AS recent
+FROM orders""", ids=("S-06", "P-02"))
+def q_order_dates(spark, sf_dir):
+    day = F.col("o_orderdate").cast("date")
+    return Tables(spark, sf_dir).orders.select("o_orderkey", day.alias("ordered"), F.date_sub(day, 30).alias("month_before"),
+                                               (day >= F.date_sub(F.lit("1997-01-01").cast("date"), 365)).alias("recent"))
+
+
+@register("part_attributes", """
+SELECT p_partkey, CAST(p_size % 3 + 1 AS INT) AS picked, CASE p_size % 3 WHEN 0 THEN 'brand' WHEN 1 THEN 'type' ELSE 'name' END AS attribute,
+       CASE p_size % 3 WHEN 0 THEN p_brand WHEN 1 THEN p_type ELSE p_name END AS value, p_name AS last_value
+FROM part""", ids=("S-07",))
+def q_part_attributes(spark, sf_dir):
+    # an array of structs per part, one element by position, its fields by name
+    attributes = F.array(*[F.struct(F.lit(n).alias("attribute"), F.col(f"p_{n}").alias("value")) for n in ("brand", "type", "name")])
+    parts = Tables(spark, sf_dir).part.select("p_partkey", (F.col("p_size") % 3 + 1).cast("int").alias("picked"), attributes.alias("attributes"))
+    one = F.element_at("attributes", F.col("picked"))
+    return parts.select("p_partkey", "picked", one["attribute"].alias("attribute"), one["value"].alias("value"),
+                        F.element_at("attributes", -1)["value"].alias("last_value"))

@@ -187,6 +187,20 @@ def q_vector_top_k(spark, sf_dir):
     return _vec_top(Tables(spark, sf_dir))
 
 
+@register("vector_neighbours", """
+SELECT query_id, CAST(rank AS INT) AS rank, match_id, CAST(CAST(cosine AS DECIMAL(20,6)) AS DOUBLE) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, match_id) AS rank
+      FROM (SELECT a.vec_id AS query_id, b.vec_id AS match_id,
+                   list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
+                   / (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])))
+                      * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])))) AS cosine
+            FROM embeddings a JOIN embeddings b ON b.vec_id <> a.vec_id WHERE a.vec_id % 20 = 0))
+WHERE rank <= 3""", ids=("T-02",))
+def q_vector_neighbours(spark, sf_dir):
+    emb = Tables(spark, sf_dir).embeddings.select("vec_id", "embedding")
+    return RL.vector_top_k(emb, emb.where(F.col("vec_id") % 20 == 0))
+
+
 @register("retrieval_checks", "WITH " + _VEC + ",\n" + _TEXT_TOPK + """
 SELECT 'vector_label_in_top3' AS check_name, CAST(v.query_id AS BIGINT) AS query_id,
        bool_or(CAST(m.label AS VARCHAR) = CAST(v.query_id AS VARCHAR)) AS passed
@@ -210,3 +224,28 @@ def q_retrieval_checks(spark, sf_dir):
     txt = RL.text_retrieval_checks(_text_top(t), t.documents.select("doc_id", "text"), queries).select(
         F.lit("text_top1_contains_passage").alias("check_name"), "query_id", "passed")
     return vec.unionByName(txt)
+
+
+@register("retrieval_exact", """
+SELECT query_id, CAST(top1 AS VARCHAR) AS top1, CASE WHEN query_id % 40 = 0 THEN CAST(expected AS VARCHAR) END AS expect_exact,
+       CASE WHEN query_id % 40 <> 0 THEN substr(CAST(expected AS VARCHAR), 1, 1) END AS expect_prefix,
+       CASE WHEN query_id % 40 = 0 THEN top1 = expected ELSE prefixed END AS passed
+FROM (SELECT query_id, query_id + CASE WHEN query_id % 120 = 0 THEN 1 ELSE 0 END AS expected, arg_min(match_id, rank) AS top1,
+             bool_or(starts_with(CAST(match_id AS VARCHAR), substr(CAST(query_id AS VARCHAR), 1, 1))) AS prefixed
+      FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, match_id) AS rank
+            FROM (SELECT a.vec_id AS query_id, b.vec_id AS match_id,
+                         list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))
+                         / (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])))
+                            * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])))) AS cosine
+                  FROM embeddings a JOIN embeddings b ON true WHERE a.vec_id % 20 = 0))
+      WHERE rank <= 3 GROUP BY query_id)""", ids=("A-14",))
+def q_retrieval_exact(spark, sf_dir):
+    # every twentieth vector looks itself up: half by exact id (a third of these expect the wrong one), half by the id's first digit
+    emb = Tables(spark, sf_dir).embeddings.select("vec_id", "embedding")
+    queries = emb.where(F.col("vec_id") % 20 == 0)
+    top = RL.vector_top_k(emb, queries, exclude_self=False).withColumn("match", F.col("match_id").cast("string"))
+    v = F.col("vec_id")
+    expected = (v + (v % 120 == 0).cast("int")).cast("string")
+    exact = v % 40 == 0
+    wanted = queries.select(v.alias("query_id"), F.when(exact, expected).alias("expect_exact"), F.when(~exact, F.substring(expected, 1, 1)).alias("expect_prefix"))
+    return RL.retrieval_checks(top, wanted)

@@ -63,6 +63,35 @@ def test_top_k_ranks_exact_cosines_and_skips_zero_vectors(spark):
         assert rows(RL.vector_top_k(emb, q, k=1, exclude_self=False, query_limit=limit), "query_id", "match_id", "score") == [(0, 9, 1.0)]
 
 
+def test_vector_top_k_equals_brute_force_with_copies_and_odd_vectors(spark):
+    """Many copies of one vector, other lengths, nulls and non-finite entries; one row a batch or all at once."""
+    import math
+    import random
+    rng = random.Random(2)
+    data = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(150)] + [(200 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(90)]
+    data += [(300 + i, [2.0 ** (i % 9), 2.0 ** (1 + i % 9), 3 * 2.0 ** (i % 9), 2.0 ** (2 + i % 9)]) for i in range(40)]  # the same direction
+    data += [(400, None), (401, [1.0, None, 0.0, 0.0]), (402, [float("nan")] * 4), (403, [float("inf")] * 4), (404, [1.0, 2.0]), (405, []), (406, [0.0] * 4), (407, [1e300] * 4)]
+    usable = [(i, v) for i, v in data if v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+
+    def cosine(a, b):
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+        m, n = max(map(abs, a)), max(map(abs, b))
+        a, b = [x / m for x in a], [x / n for x in b]
+        return dot(a, b) / (math.sqrt(dot(a, a)) * math.sqrt(dot(b, b)))
+
+    emb = spark.createDataFrame([d for d in data if d[0] != 407], "vec_id long, embedding array<double>").repartition(3)
+    want = []
+    for q, a in usable:
+        if q % 20 == 0:
+            best = sorted((-round(cosine(a, b), 12), i) for i, b in usable if i not in (q, 407) and len(a) == len(b))[:5]
+            want += [(q, n + 1, i) for n, (s, i) in enumerate(best)]
+    for rows_per_batch in ("9", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows_per_batch)
+        got = RL.vector_top_k(emb, emb.where("vec_id % 20 = 0"), k=5)
+        assert rows(got, "query_id", "rank", "match_id") == sorted(want)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_index_change_set(spark):
     schema = "rule_id string, title string, content string, citation string, category string, severity_hint string"
     old = spark.createDataFrame([("A-1", "t", "c", "x", "k", "S"), ("B-1", "t", "c", "x", "k", "S"),
