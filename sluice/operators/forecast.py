@@ -83,17 +83,15 @@ def daily_demand(lineitem: DataFrame, part: DataFrame) -> DataFrame:
 def add_calendar_lags(daily: DataFrame, lags=(7, 14), key=("store_id", "product_category")) -> DataFrame:
     """W-07: ``lag_{n}d_sales`` = sales exactly n calendar days earlier, 0 for a day without sales."""
     names = [f"lag_{n}d_sales" for n in lags]
-    base = daily.select(*key, "day_number", F.struct(*[c for c in daily.columns if c not in (*key, "day_number")])
-                        .alias("_row"), *[F.lit(None).cast("double").alias(n) for n in names])
-    shifted = [daily.select(*key, (F.col("day_number") + n).alias("day_number"),
-                            F.lit(None).cast(base.schema["_row"].dataType).alias("_row"),
-                            *[(F.col("sales") if m == n else F.lit(None).cast("double")).alias(nm)
-                              for m, nm in zip(lags, names, strict=True)])
-               for n in lags]
-    allrows = base
-    for s in shifted:
-        allrows = allrows.unionByName(s)
-    merged = allrows.groupBy(*key, "day_number").agg(
+    row = F.struct(*[c for c in daily.columns if c not in (*key, "day_number")])
+    none = F.lit(None).cast("double")
+
+    def part(day: Column, held: Column, lag: int | None) -> Column:
+        return F.struct(day.alias("day_number"), held.alias("_row"), *[(F.col("sales") if n == lag else none).alias(m) for n, m in zip(lags, names, strict=True)])
+
+    # a day's row, and what it is to the days that look back on it; the days themselves are computed once
+    parts = [part(F.col("day_number"), row, None), *[part(F.col("day_number") + n, F.when(F.lit(False), row), n) for n in lags]]
+    merged = daily.select(*key, F.explode(F.array(*parts)).alias("_p")).select(*key, "_p.*").groupBy(*key, "day_number").agg(
         F.max("_row").alias("_row"), *[F.max(n).alias(n) for n in names])
     return merged.where(F.col("_row").isNotNull()).select(
         *key, "day_number", "_row.*", *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names])
