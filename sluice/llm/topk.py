@@ -4,10 +4,11 @@ Method. Vectors become integers, and one more component lifts all of them to the
 inner product with a query falls as the Euclidean distance rises and the triangle inequality holds. A
 bounded number of rows are pivots. Every vector is keyed by its nearest pivot and its distance to it;
 sorted by that key, the rows are cut into annuli of at most ``ring`` rows. Queries are blocked in the same
-order. Each block of queries first searches the annuli next to its own distance around its own pivot, which
-gives a k-th best score per query; then it expands to every annulus of every pivot that the triangle
-inequality cannot exclude for the worst of these scores. Scores are exact integers; the bounds carry a slack
-for rounding, so nothing is lost.
+order. Each block of queries first searches the two annuli next to its own distance around its own pivot, found
+by one window a pivot over the annuli's directory. That gives a k-th best score per query; the worst of them says
+how far the distances of a block and an annulus to a pivot may differ, and the block expands to the annuli of every
+pivot within that reach, met by equal cells of distance and so only where they can be. Scores are exact
+integers; the bounds carry a slack for rounding, so nothing is lost.
 
 Skew. Equal vectors are kept by their ``k + 1`` smallest ids before anything else (more cannot be in a
 result, one may be the query itself); Spark applies that limit before the shuffle. The annuli bound every
@@ -36,11 +37,12 @@ from sluice.llm.common import Stored
 
 K = 5
 SCALE = 256
-#: Pivots at most, rows of an annulus and queries of a block at most, annuli of the first search.
+#: Pivots at most, rows of an annulus and queries of a block at most.
 PIVOTS = 32
 RING = 512
 BLOCK = 128
-NEAR = 2
+#: Cells that the range of distances is cut into, to find annuli within reach by equal cells.
+CELLS = 1024
 #: Largest magnitude of a component; scores below the first bound are exact sums of doubles, below the second of longs.
 LIMIT = 1 << 53
 DOUBLES, LONGS = 1 << 53, 1 << 62
@@ -178,28 +180,55 @@ def top_k(vectors: DataFrame, k: int = K, is_query=None, key: str = "vec_id", ve
     return _expand(annuli, asked, directory, around, k, top, dims)
 
 
-def _expand(annuli, asked, directory, around, k, top, dims) -> DataFrame:
-    gap = F.greatest(F.lit(0.0), F.col("lo") - F.col("his"), F.col("los") - F.col("hi"))
-    reach = around.join(directory, "pivot").withColumn("gap", gap)
+def _cells(lo, hi, first: float, width: float):
+    """The cells of a distance range, as numbers from 0 to ``CELLS - 1``."""
+    cell = lambda d: F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), F.floor((d - F.lit(first)) / F.lit(width)))).cast("int")
+    return cell(lo), cell(hi)
+
 
+def _neighbours(asked: DataFrame, directory: DataFrame) -> DataFrame:
+    """(q_block, block): for each block of queries the last annulus of its own pivot that begins before it, and the next one.
+
+    One window a pivot over the small rows of the directory, in order of distance.
+    """
+    none = F.lit(None).cast("bigint")
+    own = asked.select(F.col("pivot"), F.col("lo").alias("at"), F.col("block").alias("q_block"), none.alias("block"))
+    rings = directory.select("pivot", F.col("lo").alias("at"), none.alias("q_block"), "block")
+    order = Window.partitionBy("pivot").orderBy("at", F.col("q_block").asc_nulls_first(), "block")
+    before = F.last("block", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first("block", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    near = own.unionByName(rings).select("q_block", F.array_compact(F.array(before, after)).alias("near")).where("q_block IS NOT NULL")
+    return near.select("q_block", F.explode(F.array_distinct("near")).alias("block"))
+
+
+def _expand(annuli, asked, directory, around, k, top, dims) -> DataFrame:
     def searched(pairs: DataFrame) -> DataFrame:
         asked_side = asked.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("vecs").alias("q_vecs"))
         joined = pairs.join(asked_side, "q_block").join(annuli.select("block", "ids", "vecs"), "block")
         return joined.select("q_block", "q_ids", "q_vecs", "worst", "ids", "vecs").mapInPandas(
             _search(k, dims, top), "query_id long, vec_id long, score string").withColumn("score", F.col("score").cast("decimal(38,0)"))
 
-    near = Window.partitionBy("q_block").orderBy(F.col("own") != F.col("pivot"), "gap", "block")
-    first = Stored(searched(reach.withColumn("n", F.row_number().over(near)).where(F.col("n") <= NEAR)
-                            .select("q_block", "block", F.lit(None).cast("double").alias("worst"))), "first-search").df
+    first = Stored(searched(_neighbours(asked, directory).withColumn("worst", F.lit(None).cast("double"))), "first-search").df
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     kth = first.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
     queries = asked.select(F.col("block").alias("q_block"), F.explode(_ids("ids")).alias("query_id"))
     worst = queries.join(kth, "query_id", "left").groupBy("q_block").agg(
         F.when(F.count("kth") == F.count(F.lit(1)), F.min("kth")).cast("double").alias("worst"))
-    # distances come from differences of squares up to ``top``: their error grows with its root
+    # a score of at least ``worst`` allows no larger gap between distances to a pivot. Distances come from differences
+    # of squares up to ``top``: their error grows with its root
     slack = 1e-3 + 1e-6 * top ** 0.5
-    bound = (F.col("norm") + F.lit(top) - F.pow(F.greatest(F.lit(0.0), F.col("gap") - F.lit(slack)), F.lit(2))) / 2 + F.lit(1.0 + 1e-9 * top)
-    pairs = reach.join(worst, "q_block").where(F.col("worst").isNull() | (bound >= F.col("worst"))).select("q_block", "block", "worst")
+    allowed = F.lit(slack) + F.sqrt(F.greatest(F.lit(0.0), F.col("norm") + F.lit(top * (1 + 2e-9) + 2) - 2 * F.col("worst")))
+    reaching = around.join(worst, "q_block").withColumn("reach", F.when(F.col("worst").isNull(), F.lit(float("inf"))).otherwise(allowed))
+    span = directory.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()
+    width = max((span["hi"] - span["lo"]) / CELLS, 1e-9)
+    # ranges meet in cells of distance; a pair counts in the first cell that both have
+    from_cell, to_cell = _cells(F.col("los") - F.col("reach"), F.col("his") + F.col("reach"), span["lo"], width)
+    asking = reaching.withColumns({"q0": from_cell, "q1": to_cell}).withColumn("cell", F.explode(F.sequence("q0", "q1")))
+    from_cell, to_cell = _cells(F.col("lo"), F.col("hi"), span["lo"], width)
+    rings = directory.withColumns({"a0": from_cell, "a1": to_cell}).withColumn("cell", F.explode(F.sequence("a0", "a1")))
+    gap = F.greatest(F.lit(0.0), F.col("lo") - F.col("his"), F.col("los") - F.col("hi"))
+    pairs = (asking.join(rings, ["pivot", "cell"]).where((F.col("cell") == F.greatest("q0", "a0")) & (gap <= F.col("reach")))
+             .select("q_block", "block", "worst"))
     ranked = searched(pairs).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
