@@ -154,6 +154,59 @@ def test_mass_follows_and_leads_links(spark):
     assert got[1]["rule"] == "org/" and got[2]["verdict"] == "block"
 
 
+def converged(links, seeds, damping=0.85, rounds=250):
+    """PageRank of (src, dst) links in doubles."""
+    out = {}
+    for a, _ in links:
+        out[a] = out.get(a, 0) + 1
+    mass = dict(seeds)
+    for _ in range(rounds):
+        new = {h: (1 - damping) * m for h, m in seeds.items()}
+        for a, b in links:
+            new[b] = new.get(b, 0) + damping * mass.get(a, 0) / out[a]
+        mass = new
+    return mass
+
+
+def test_ranks_equal_a_plain_iteration(spark, rng):
+    """A graph with hubs, dead ends, loops and repeated links: masses, and with them verdicts, by definition."""
+    hosts = [f"h{i}.net" for i in range(40)] + ["a.org", "b.org", "c.com"]
+    links = [(rng.choice(hosts), rng.choice(hosts[:5] + hosts)) for _ in range(200)] + [("h0.net", h) for h in hosts] * 2
+    urls = {h: f"http://{h}/" + ("de/" if h == "c.com" else "x") for h in hosts}
+    rows = [(i, urls[a], f'<a href="http://{b}/">') for i, (a, b) in enumerate(links)]
+    rows += [(1000 + i, urls[h], None) for i, h in enumerate(hosts)]
+    allowed = [r for r in rows if r[1].startswith(("http://a.org", "http://b.org"))]
+    seeds = {h: sum(r[1] == urls[h] for r in allowed) / len(allowed) for h in ("a.org", "b.org")}
+    trust, distrust = converged(links, seeds), converged([(b, a) for a, b in links], {"c.com": 1.0})
+    got = url_filter.filter_urls(spark.createDataFrame(rows, PAGES).repartition(3)).collect()
+    assert len(got) == len(rows) and {"allow", "block"} == {r["verdict"] for r in got if r["rule"] is None}
+    for r in got:
+        t, d = trust.get(r["host"], 0), distrust.get(r["host"], 0)
+        assert abs(int(r["trust"]) / url_filter.UNIT - t) < 1e-8 and abs(int(r["distrust"]) / url_filter.UNIT - d) < 1e-8
+        if r["rule"] is None and abs(d - t) > 1e-6:
+            assert r["verdict"] == ("block" if d > t else "allow")
+
+
+def test_mass_goes_as_far_as_links_lead_whatever_the_table_holds(spark):
+    """A chain of 40 hosts and a hub with many links, beside one rule page or thousands of them."""
+    chain = [(i, f"http://c{i}.net/", f'<a href="http://c{i + 1}.net/">') for i in range(40)] + [(40, "http://c40.net/", '<a href="http://bad.com/">')]
+    hub = [(100, "http://hub.net/", "".join(f'<a href="http://t{i}.net/">' for i in range(3000)) + '<a href="http://bad.com/">')]
+    for n in (1, 3000):
+        seeds = [(1000 + i, f"http://s{i}.com/de/", None) for i in range(n - 1)] + [(999, "http://bad.com/de/", None)]
+        got = {r["page_id"]: r for r in url_filter.filter_urls(spark.createDataFrame(chain + hub + seeds, PAGES)).collect()}
+        reached = [got[i]["distrust"] for i in range(41)]
+        assert all(a < b for a, b in zip(reached, reached[1:])) and reached[0] > 0
+        assert got[100]["distrust"] > 0
+    assert got[40]["verdict"] == "block"
+
+
+def test_very_long_html_and_repeated_pages(spark):
+    html = "<p>" + "text " * 200_000 + '<a href="http://bad.com/">'
+    rows = [(1, "http://x.net/", html)] * 2 + [(2, "http://bad.com/de/", None)] * 3
+    got = url_filter.filter_urls(spark.createDataFrame(rows, PAGES)).collect()
+    assert len(got) == 5 and {r["verdict"] for r in got} == {"block"}
+
+
 def test_no_seeds_no_pages(spark):
     assert url_filter.filter_urls(spark.createDataFrame([], PAGES)).collect() == []
     one = spark.createDataFrame([(1, "http://x.net/a", None)], PAGES)
