@@ -8,9 +8,10 @@ left. Tiles may stand in any order, so reordered passages are caught. Pairs whos
 ``threshold`` of the item are reported.
 
 The benchmark is the query set: it is read in blocks of bounded size, each sent to the tasks that stream all
-documents past it, so nothing is shuffled and a hot seed costs no more than the documents that hold it.
+documents past it, so nothing is shuffled. A block costs one pass over the documents. A seed that many items share
+costs a document that holds it one look at each of these items; only items of which enough seeds are there go on.
 
-Defined results. Null or empty texts on either side: no match. An item of fewer than ``seed`` words must be
+Defined results. Null or empty texts on either side: no match; texts of any length are compared whole. An item of fewer than ``seed`` words must be
 found whole. Repeated benchmark rows count once, items of one id with different texts each; repeated
 documents give repeated rows. Null ids stay null. Empty tables give no rows. Words are compared by 64-bit
 hashes.
@@ -119,6 +120,7 @@ class Seeds:
 
     def __init__(self, items: list[tuple[int, np.ndarray]], seed: int):
         self.items, self.lengths = items, sorted({min(seed, len(w)) for _, w in items})
+        self.words = np.array([len(w) for _, w in items])
         self.by_length = {}
         for size in self.lengths:
             rows = [(h, i, p) for i, (_, w) in enumerate(items) if min(seed, len(w)) == size
@@ -140,14 +142,19 @@ class Seeds:
             if not n.sum():
                 continue
             rows = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            for i in np.unique(owner[rows]).tolist():
-                words = len(self.items[i][1])
-                covered = np.zeros(words + 1, np.int64)
-                at = place[rows[owner[rows] == i]]
-                np.add.at(covered, at, 1)
-                np.add.at(covered, np.minimum(at + size, words), -1)
-                if np.count_nonzero(np.cumsum(covered[:-1])) >= threshold * words:
-                    out.append(i)
+            # an item needs enough seeds to cover its share of words: one that shares a common seed only is done here
+            some, at = np.unique(owner[rows], return_inverse=True)
+            enough = np.bincount(at) * size >= threshold * self.words[some]
+            rows, at = rows[enough[at]], np.cumsum(enough)[at[enough[at]]] - 1
+            some = some[enough]
+            if not len(some):
+                continue
+            words = self.words[some]
+            base = np.cumsum(words + 1) - words - 1
+            covered = np.bincount(base[at] + place[rows], minlength=int(base[-1] + words[-1] + 1))
+            covered -= np.bincount(base[at] + np.minimum(place[rows] + size, words[at]), minlength=len(covered))
+            inside = np.cumsum(covered) > 0  # back to 0 at the end of each item
+            out += some[np.add.reduceat(inside.astype(np.int64), base) >= threshold * words].tolist()
         return out
 
 

@@ -273,6 +273,36 @@ def test_reordered_and_recased_passages_are_caught(spark, make_docs, rng):
     assert sorted((tuple(r) for r in by_blocks.collect()), key=str) == got
 
 
+def test_a_seed_that_thousands_of_items_share(rng):
+    """Candidates are those of the definition, and the time grows no faster than the items."""
+    import time
+
+    import numpy as np
+    seed, cache = "common five words stand here", decontaminate.FoldedHash()
+    texts = [f"{prose(rng, 6, 10 ** 6)} {seed} {prose(rng, 9, 10 ** 6)}" for _ in range(8000)] + [f"{seed} end"]
+    items = [(i, cache.folded(t)) for i, t in enumerate(texts)]
+    doc = cache.folded(f"{prose(rng, 300, 10 ** 6)} {seed} {texts[17]} {seed} {prose(rng, 50, 10 ** 6)} {' '.join(texts[40].split()[:9])}")
+    took = []
+    for n in (2000, 8001):
+        seeds = decontaminate.Seeds(items[:n], 5)
+        grams = {5: decontaminate.gram_hashes(doc, 5)}
+        start = time.perf_counter()
+        for _ in range(20):
+            got = seeds.candidates(grams, 0.5)
+        took.append(time.perf_counter() - start)
+        own = set(grams[5].tolist())
+        want = []
+        for i, w in items[:n]:
+            covered = set()
+            for p, h in enumerate(decontaminate.gram_hashes(w, 5).tolist()):
+                if h in own:
+                    covered.update(range(p, p + 5))
+            if 2 * len(covered) >= len(w):
+                want.append(i)
+        assert sorted(got) == want and 17 in want and len(want) < 10
+    assert took[1] < 12 * took[0] + 0.2 and np.isfinite(took[1])
+
+
 def test_no_benchmark_no_rows(spark, make_docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contaminated(make_docs([(1, "a b c d e f")]), empty).collect() == []
