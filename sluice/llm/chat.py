@@ -11,8 +11,9 @@ strings; inside texts a backslash follows the first character of a control strin
 doubled, which ``unescape`` takes back, so ``read`` recovers all turns from the output alone.
 
 Defined results. Turns are ordered by turn, role, text (nulls first); null role or text: empty. Repeated rows
-are turns like others. Rows with a null conv_id form one conversation. An empty table gives no rows. One
-conversation is formatted in one task, as its output is one string.
+are turns like others. Rows with a null conv_id form one conversation. An empty table gives no rows, columns
+beside ``conv_id``, ``turn``, ``role`` and ``text`` are ignored. One conversation is formatted in one task, as its
+output is one string; texts of any length are rendered whole, and each turn renders the conversation twice.
 """
 
 from __future__ import annotations

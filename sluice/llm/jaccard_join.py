@@ -19,8 +19,8 @@ plain equi-joins that adaptive execution splits. No pair is dropped. Pairs that
 candidate set are the ones that recall refers to.
 
 Defined results. Null or white-space text: no shingles, a class and group of its own, no links. Null doc_id:
-the smallest id. Repeated rows are copies of each other. An empty table gives no rows. Sets and classes are
-told apart by 64-bit hashes.
+the smallest id. Repeated rows are copies of each other. An empty table gives no rows, columns beside ``doc_id``
+and ``text`` are ignored. Texts of any length give their whole set. Sets and classes are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Families are the usual ones of known codes; an unknown code is a family of its o
 Defined results. ``und`` with score 0: text null or without a letter, or nothing to learn from. With one
 language learned, every text with a letter is that language, score 1. Rows with a null lang are predicted
 but not learned from. A null doc_id counts as the empty id when rows are held out. Repeated rows give
-repeated rows. An empty table gives no rows.
+repeated rows, and are learned from once. An empty table gives no rows, columns with other names are ignored.
+Texts of any length are read whole, one after the other (some 60 bytes of memory a character of the longest).
 """
 
 from __future__ import annotations
@@ -143,9 +144,10 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, iterations: int =
     by_hash = Window.partitionBy("lang").orderBy("h", "doc_id", "tv")
     # only keys go through the window; the picked ones, a bounded number, fetch their texts where these are read
     keyed = labelled.select("doc_id", "lang", "text", F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("tv"))
-    usable = keyed.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", "h", "tv")
-    picked = usable.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_language).select("lang", "doc_id", "tv").distinct()
-    rows = keyed.join(F.broadcast(picked), ["lang", "doc_id", "tv"])
+    usable = keyed.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "doc_id", "h", "tv").distinct()
+    picked = usable.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= per_language).select("lang", "doc_id", "tv")
+    # copies of a picked row are merged where they are read: the sample keeps its bound
+    rows = keyed.join(F.broadcast(picked), ["lang", "doc_id", "tv"]).groupBy("lang", "doc_id", "tv").agg(F.first("text").alias("text"))
     sample = Stored(rows.select("lang", F.udf(vector, VectorUDT())("text").alias("features")), "language-sample").df
     model = Model([r["lang"] for r in sample.select("lang").distinct().collect()])
     svm = LinearSVC(maxIter=iterations, regParam=1e-4, standardization=False)

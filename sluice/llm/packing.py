@@ -17,7 +17,8 @@ same ids four times as fast (tested on whole tables); other texts and other kind
 ``tokenizers`` itself.
 
 Defined results. Null or empty text: the end id only, one piece of length 1. Repeated rows are packed one by
-one; a null doc_id stays null. An empty table gives no rows.
+one; a null doc_id stays null. An empty table gives no rows, columns beside ``doc_id`` and ``text`` are ignored.
+A text of any length is encoded whole and cut into pieces after that.
 """
 
 from __future__ import annotations

@@ -40,6 +40,23 @@ def test_languages_of_held_out_texts(make_docs, rng):
     assert all(0 <= s <= 1 for _, _, _, s in got)
 
 
+def test_copies_of_labelled_rows_do_not_grow_the_samples(spark, make_docs, rng, monkeypatch):
+    seen = []
+
+    class Watched(language_id.Stored):
+        def __init__(self, df, name):
+            super().__init__(df, name)
+            seen.append((name, self.df.count()))
+    monkeypatch.setattr(language_id, "Stored", Watched)
+    monkeypatch.setattr(quality, "Stored", Watched)
+    rows = labelled_docs(rng, ("en", "de"), 12)
+    copies = make_docs(rows + [rows[0]] * 300)
+    language_id.fit(copies, per_language=10)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)] + [(0, 0)] * 50, "doc_id long, quality int")
+    quality.fit(copies, labels, sample=20)
+    assert seen == [("language-sample", 20), ("quality-sample", 20)]
+
+
 def test_one_language_or_none(make_docs):
     one = language_id.identify(make_docs([(0, "a b", "en"), (2, "c", None)]), F.lit(False)).collect()
     assert {(r["lang_pred"], r["score"]) for r in one} == {("en", 1.0)}
@@ -177,19 +194,19 @@ def test_every_operator_is_registered_once():
     import __spark_entry__ as entry
     names = set(entry.queries())
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert set(entry.oracle_sql()) <= names
 
 
-@pytest.mark.parametrize("name", ["op1_substring_dedup", "op3_topk", "op6_url_filter", "op10_chat"])
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op3_topk", "op6_url_filter", "op10_chat", "op12_lexical_search"])
 def test_queries_equal_their_sql(spark, name):
     import duckdb
 
     from sluice.llm.queries import ORACLES, QUERIES
     path = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "conversations"):
+    for t in ("documents", "embeddings", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{path}/{t}.parquet'")
     want = con.execute(ORACLES[name]).df()
     got = QUERIES[name](spark, path).toPandas()[list(want.columns)]
