@@ -28,9 +28,14 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: of each group of linked documents the one with the least id stays, once."""
+    """Operator 7: of each group of linked documents the one with the least id stays, once.
+
+    A group is what links connect, so of a chain of texts that each resemble their neighbours one stays. Rows that
+    share id and text may differ in other columns: the one with the least hash of its columns stays.
+    """
     first = jaccard_join.join_similar(docs).where("group_id = did AND group_tv = tv").select("did", "tv")
-    return _keyed(docs).join(first, ["did", "tv"], "left_semi").dropDuplicates(["did", "tv"]).select("row.*")
+    kept = _keyed(docs).join(first, ["did", "tv"], "left_semi")
+    return kept.groupBy("did", "tv").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
 
 
 def repeat_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
