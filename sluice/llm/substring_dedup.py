@@ -146,8 +146,9 @@ def _windows(window: int):
                     span = doc[start:start + n + window - 1]
                     check = np.array([xxhash.xxh3_64_intdigest(span[i:i + window].tobytes()) for i in range(n)], U64)
                     off = np.arange(n, dtype=np.int32)
-                    parts.append(pd.DataFrame({"skey": gram_hashes(span, window).view(np.int64), "chk": check.view(np.int64), "key": w["key"],
-                                               "seg": w["seg"], "off": off, "did": did, "tv": tv, "start": (start + off).astype(np.int32)}))
+                    parts.append(pd.DataFrame({"key": w["key"], "seg": w["seg"], "lo": off, "n_hit": np.int32(1), "first_did": did, "first_tv": tv,
+                                               "first_start": (start + off).astype(np.int32), "skey": gram_hashes(span, window).view(np.int64),
+                                               "chk": check.view(np.int64)}))
                 if parts:
                     yield pd.concat(parts, ignore_index=True)
     return run
@@ -201,26 +202,33 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, seed: int = SEED,
         hot = Stored(different.where(F.col("c") > hot_segments).select("key"), "hot-keys").df
         any_hot = not hot.isEmpty()
 
-    def with_text(segments: DataFrame) -> DataFrame:
-        """A row per document that has some of the segments; repeated rows of a document would only repeat them."""
-        wanted = segments.groupBy("f.did", "f.tv").agg(F.collect_list(F.struct("key", "seg", F.col("f.start").alias("start"), "n")).alias("wanted"))
-        return docs.join(wanted, ["did", "tv"]).dropDuplicates(["did", "tv"]).select("did", "tv", "wanted", "text")
+    if any_hot:
+        distinct = distinct.join(hot.withColumn("hot", F.lit(True)), "key", "left").fillna(False, ["hot"])
+    else:
+        distinct = distinct.withColumn("hot", F.lit(False))
+    # a row per document and text with the segments wanted from it
+    wanted = distinct.groupBy("f.did", "f.tv").agg(F.collect_list(F.struct("key", "seg", F.col("f.start").alias("start"), "n", "hot")).alias("wanted"))
+    joined = docs.join(wanted, ["did", "tv"])
+
+    def with_text(some) -> DataFrame:
+        """The documents with segments for which ``some`` holds; repeated rows of a document would only repeat them."""
+        chosen = joined.where(F.exists("wanted", some)).dropDuplicates(["did", "tv"])
+        return chosen.select("did", "tv", F.filter("wanted", some).alias("wanted"), "text")
 
     shards = max(1, (size["all"] or 0) * (window + (window - seed) // 2) // shard_words)
-    cold = distinct.join(hot, "key", "left_anti") if any_hot else distinct
-    found_in = [Stored(
-        with_text(cold).mapInPandas(_extract(window), "key long, seg long, did long, tv long, start int, words binary")
-        .groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
-        .applyInPandas(_search_shard(window), INTERVALS), "intervals").df]
+    intervals = (with_text(lambda w: ~w["hot"]).mapInPandas(_extract(window), "key long, seg long, did long, tv long, start int, words binary")
+                 .groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInPandas(_search_shard(window), INTERVALS))
     if any_hot:
-        windows = Stored(with_text(distinct.join(hot, "key", "left_semi")).mapInPandas(
-            _windows(window), "skey long, chk long, key long, seg long, off int, did long, tv long, start int"), "hot-windows")
-        least = windows.df.groupBy("skey", "chk").agg(F.min(F.struct("did", "tv", "start")).alias("first"))
-        found_in.append(Stored(windows.df.join(least, ["skey", "chk"]).select(
-            "key", "seg", F.col("off").alias("lo"), F.lit(1).alias("n_hit"), F.col("first.did").alias("first_did"),
-            F.col("first.tv").alias("first_tv"), F.col("first.start").alias("first_start")), "hot-intervals").df)
-        windows.drop()
-    searched = reduce(DataFrame.unionByName, found_in)
+        # in one job with the others, so that the texts are dealt by document once
+        windows = with_text(lambda w: w["hot"]).mapInPandas(_windows(window), f"{INTERVALS}, skey long, chk long")
+        both = Stored(intervals.withColumns({"skey": F.lit(None).cast("bigint"), "chk": F.lit(None).cast("bigint")}).unionByName(windows), "intervals")
+        hot_windows = both.df.where(F.col("skey").isNotNull())
+        least = hot_windows.groupBy("skey", "chk").agg(F.min(F.struct("first_did", "first_tv", "first_start")).alias("first"))
+        found_hot = Stored(hot_windows.drop("first_did", "first_tv", "first_start").join(least, ["skey", "chk"]).select(
+            "key", "seg", "lo", "n_hit", "first.*"), "hot-intervals")
+        searched = both.df.where(F.col("skey").isNull()).drop("skey", "chk").unionByName(found_hot.df)
+    else:
+        searched = Stored(intervals, "intervals").df
     here = F.col("start") + F.col("lo")
     hits = s.join(searched, ["key", "seg"]).withColumn("here", here)
     same_id, same_text = F.col("first_did") == F.col("did"), F.col("first_tv") == F.col("tv")
