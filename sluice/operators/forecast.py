@@ -35,6 +35,7 @@ CATEGORY_EFFECT = 2.0
 PRICE_SCALE = 100.0  # retail prices in the sales data are scaled into the model's 1-50 band
 PROMO_DISCOUNT = 0.05
 EPOCH = "1992-01-01"
+#: Training partitions at least; a cluster has as many as its shuffles.
 TRAIN_PARTITIONS = 64
 
 ALL_FEATURES = ["day_of_week", "week_of_year", "store_id", "product_category", "price", "promotion_flag",
@@ -163,7 +164,8 @@ def train_and_evaluate(features: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """ML-B + ML-C: the holdout's MAE beside that of the mean predictor."""
     split = holdout_split(features, seed=cfg.random_state)
     # a fixed partitioning and row order make the seeded bootstrap repeatable
-    train = (split.where(F.col("split") == "train").repartition(TRAIN_PARTITIONS, "store_id", "product_category")
+    parts = max(TRAIN_PARTITIONS, int(features.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    train = (split.where(F.col("split") == "train").repartition(parts, "store_id", "product_category")
              .sortWithinPartitions("store_id", "product_category", "day_number"))
     model = fit_forest(train, cfg)
     measured = evaluate(model, split.where(F.col("split") == "test"), cfg)
