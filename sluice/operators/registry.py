@@ -137,12 +137,25 @@ def config_sync_check(diff: DataFrame) -> DataFrame:
     agg = diff.groupBy(*MODEL_KEY, "version").agg(
         F.bool_or(hp).alias("hp_changed"),
         F.bool_or(F.col("key") == THRESHOLD_KEY).alias("threshold_changed"))
-    return agg.where(F.col("hp_changed") & ~F.col("threshold_changed")).select(
+    return _unsynced(agg)
+
+
+def _unsynced(changes: DataFrame) -> DataFrame:
+    return changes.where(F.col("hp_changed") & ~F.col("threshold_changed")).select(
         *MODEL_KEY, "version", "hp_changed", "threshold_changed",
         F.lit("ML-01").alias("rule_id"), F.lit("BLOCKER").alias("severity"),
         F.lit("Hyperparameters changed without an updated max_acceptable_mae").alias("message"))
 
 
+def config_sync_of(replay: DataFrame) -> DataFrame:
+    """J-05 within the row: ``replay`` carries both configurations, so nothing is exploded or grouped again."""
+    keys = F.array_union(F.map_keys("champion_params"), F.map_keys("params"))
+    changed = F.filter(keys, lambda k: ~F.try_element_at("champion_params", k).eqNullSafe(F.try_element_at("params", k)))
+    rows = replay.where(F.col("champion_params").isNotNull()).select(*MODEL_KEY, "version", changed.alias("_changed"))
+    of_model = F.exists("_changed", lambda k: k.isin(*HYPERPARAMETERS, FEATURES_KEY))
+    return _unsynced(rows.select(*MODEL_KEY, "version", of_model.alias("hp_changed"), F.array_contains("_changed", THRESHOLD_KEY).alias("threshold_changed")))
+
+
 def mae_within_threshold(runs: DataFrame) -> DataFrame:
     """P-07: ``mae <= max_acceptable_mae`` per run."""
     return runs.select("run_id", "mae", THRESHOLD_KEY,

@@ -148,7 +148,7 @@ FROM (SELECT model_name, env, version,
       FROM diff WHERE change IS NOT NULL GROUP BY model_name, env, version)
 WHERE hp_changed AND NOT threshold_changed""", _VERSIONS, _REPLAY, _PARAMS), ids=("J-05",))
 def q_config_sync_check(spark, sf_dir):
-    return G.config_sync_check(G.config_diff(_replay(spark, sf_dir)))
+    return G.config_sync_of(_replay(spark, sf_dir))
 
 
 @register("mae_within_threshold", with_ctes(["runs"], """

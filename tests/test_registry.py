@@ -60,6 +60,7 @@ def test_config_diff_and_sync_check(spark):
     assert rows(diff, "version", "key", "old_value", "new_value", "change") == [(2, "n_estimators", "100", "5", "changed")]
     sync = G.config_sync_check(diff).collect()
     assert [(r.version, r.rule_id) for r in sync] == [(2, "ML-01")]
+    assert G.config_sync_of(G.promotion_replay(v)).collect() == sync
 
 
 def test_config_validity_failures(spark):
@@ -157,6 +158,7 @@ def test_config_diff_kinds(spark):
     assert rows(diff, "version", "key", "old_value", "new_value", "change") == [
         (2, "n_estimators", "100", None, "removed"), (3, "features", "a,b", "a", "changed"), (3, "n_estimators", None, "100", "added")]
     assert sorted((r.version, r.rule_id) for r in G.config_sync_check(diff).collect()) == [(2, "ML-01"), (3, "ML-01")]
+    assert sorted((r.version, r.rule_id) for r in G.config_sync_of(G.promotion_replay(runs)).collect()) == [(2, "ML-01"), (3, "ML-01")]
 
 
 def test_mae_of_large_sums_does_not_overflow(spark):
