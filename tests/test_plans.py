@@ -46,7 +46,7 @@ def test_scans_are_pruned_and_filtered(spark):
 
 
 def test_the_replay_shuffles_the_runs_once_and_joins_no_champion(spark):
-    """With broadcasts off: one exchange of runs, read twice; the only join is on the buckets."""
+    """One range exchange of the runs, read twice without coalescing; the only join is with a row a partition, no champion is looked up."""
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -55,7 +55,8 @@ def test_the_replay_shuffles_the_runs_once_and_joins_no_champion(spark):
         from sluice.sources.tables import Tables
         for df in (G.promotion_replay(Tables(spark, SF_SMALL).runs), G.config_diff(G.promotion_replay(Tables(spark, SF_SMALL).runs))):
             plan = df._jdf.queryExecution().executedPlan().toString()
-            assert len(set(re.findall(r"Exchange hashpartitioning\(_model[^)]*_bucket[^)]*\)[^\n]*plan_id=([0-9]+)", plan))) == 1
+            assert len(set(re.findall(r" Exchange rangepartitioning\(_group[^\n]*plan_id=([0-9]+)", plan))) == 1
+            assert "REPARTITION_BY_NUM" in plan  # not coalesced: the numbers of partitions tell their order
             assert "ReusedExchange" in plan
             assert "champion_run_id" not in " ".join(re.findall(r"Join[^\n]*", plan))
             assert len(re.findall(r"(?:SortMerge|Hash)Join", plan)) == 1
