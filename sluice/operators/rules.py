@@ -226,6 +226,8 @@ def vector_top_k(corpus: DataFrame, queries: DataFrame, k: int = 3, key: str = "
     for block in range(blocks):
         part = q if blocks == 1 else q.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block)
         sent = part.collect()  # measured
+        if best is not None and not sent:
+            continue
         asked = corpus.sparkSession.createDataFrame([(i, r["query_id"], r["_qv"]) for i, r in enumerate(sent)],
                                                     T.StructType([T.StructField("_q", T.IntegerType()), *part.schema.fields]))
         near = c.mapInArrow(_nearest([(r["query_id"], r["_qv"]) for r in sent], k, exclude_self), f"_q int, match_id {kind}, _v array<double>")
