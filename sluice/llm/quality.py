@@ -8,9 +8,9 @@ with a weight are compiled into one Spark column expression over the statistics,
 without a shuffle.
 
 Defined results. Null or empty text: all statistics are 0 and the text is scored like any other. Labels other
-than 0 and 1 are not learned from; a document counts once for each of its labels. With labels of one
+than 0 and 1 are not learned from; a document labelled several times counts as often. With labels of one
 kind only the score is that label, with none at all 1. A null doc_id counts as the empty id when rows are
-held out and meets no label. Repeated rows give repeated rows, and are learned from once. An empty table gives no
+held out and meets no label. Repeated rows give repeated rows, and are learned from as often. An empty table gives no
 rows. Columns are found by the names ``doc_id``, ``text`` and ``quality`` only. Texts of any length are read whole.
 """
 
@@ -150,10 +150,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, trees: in
         penalty: float = PENALTY) -> Ensemble:
     """``documents`` (doc_id, text); ``labels`` (doc_id, quality) of the rows that may be learned from."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("label"))
-    picked = usable.distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)  # bounded: broadcast
+    picked = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)  # bounded: broadcast
     joined = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
-    # copies of a labelled document are merged where they are read
-    joined = joined.groupBy("doc_id", "label", F.xxhash64("text")).agg(F.first("text").alias("text")).select("doc_id", "text", "label")
     rows = Stored(with_statistics(joined, ["label"], "label double"), "quality-sample").df
     kinds = [r["label"] for r in rows.select("label").distinct().collect()]
     if len(kinds) < 2:

@@ -40,7 +40,7 @@ def test_languages_of_held_out_texts(make_docs, rng):
     assert all(0 <= s <= 1 for _, _, _, s in got)
 
 
-def test_copies_of_labelled_rows_do_not_grow_the_samples(spark, make_docs, rng, monkeypatch):
+def test_copies_of_labelled_rows_do_not_grow_the_sample(make_docs, rng, monkeypatch):
     seen = []
 
     class Watched(language_id.Stored):
@@ -48,13 +48,10 @@ def test_copies_of_labelled_rows_do_not_grow_the_samples(spark, make_docs, rng,
             super().__init__(df, name)
             seen.append((name, self.df.count()))
     monkeypatch.setattr(language_id, "Stored", Watched)
-    monkeypatch.setattr(quality, "Stored", Watched)
     rows = labelled_docs(rng, ("en", "de"), 12)
     copies = make_docs(rows + [rows[0]] * 300)
     language_id.fit(copies, per_language=10)
-    labels = spark.createDataFrame([(i, i % 2) for i in range(24)] + [(0, 0)] * 50, "doc_id long, quality int")
-    quality.fit(copies, labels, sample=20)
-    assert seen == [("language-sample", 20), ("quality-sample", 20)]
+    assert seen == [("language-sample", 20)]
 
 
 def test_one_language_or_none(make_docs):
