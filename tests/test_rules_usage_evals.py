@@ -92,6 +92,34 @@ def test_vector_top_k_equals_brute_force_with_copies_and_odd_vectors(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def _vectors(keys, data):
+    import pyarrow as pa
+    return pa.table({keys: pa.array([i for i, _ in data], pa.int64()), "_qv" if keys == "query_id" else "_v": pa.array([v for _, v in data], pa.list_(pa.float64()))})
+
+
+def test_vector_search_of_many_queries_holds_tiles(spark):
+    """A task's memory goes with the queries' vectors and a tile, not with rows times queries."""
+    import tracemalloc
+
+    import numpy as np
+    rng = np.random.default_rng(3)
+    corpus = [(i, v) for i, v in enumerate(rng.normal(size=(9000, 4)).tolist())]
+    search = RL._nearest(_vectors("query_id", corpus[:5000]), 3, False)
+    batches = _vectors("match_id", corpus).combine_chunks().to_batches()
+    tracemalloc.start()
+    out = [b.to_pydict() for b in search(batches)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6  # the whole matrix has 360 MB
+    x = np.array([v for _, v in corpus])
+    cos = x / np.linalg.norm(x, axis=1, keepdims=True)
+    got = {}
+    for b in out:
+        for q, m in zip(b["query_id"], b["match_id"]):
+            got.setdefault(q, []).append(m)
+    assert len(got) == 5000 and all(got[q] == np.argsort(-(cos @ cos[q]))[:3].tolist() for q in range(0, 5000, 250))
+
+
 def test_index_change_set(spark):
     schema = "rule_id string, title string, content string, citation string, category string, severity_hint string"
     old = spark.createDataFrame([("A-1", "t", "c", "x", "k", "S"), ("B-1", "t", "c", "x", "k", "S"),
