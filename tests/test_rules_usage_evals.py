@@ -120,6 +120,18 @@ def test_vector_search_of_many_queries_holds_tiles(spark):
     assert len(got) == 5000 and all(got[q] == np.argsort(-(cos @ cos[q]))[:3].tolist() for q in range(0, 5000, 250))
 
 
+def test_vector_neighbours_of_repeated_and_missing_keys(spark):
+    """Copies of the query's own row and rows without a key among many copies of its vector."""
+    data = [(20, [1.0, 2.0])] * 9 + [(i, [1.0, 2.0]) for i in range(100, 130)] + [(None, [1.0, 2.0])] * 2 + [(7, [2.0, 1.0])] * 3
+    emb = spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(2)
+    got = RL.vector_top_k(emb, emb.where("vec_id = 20").limit(1), k=4)
+    assert [(r["rank"], r.match_id, r.score) for r in got.orderBy("rank").collect()] == [(1, None, 1.0), (2, None, 1.0), (3, 100, 1.0), (4, 101, 1.0)]
+    got = RL.vector_top_k(emb, emb.where("vec_id = 7"), k=4)
+    assert [r.match_id for r in got.orderBy("rank").collect()] == [None] * 4  # three equal queries share the ranks of their id
+    got = RL.vector_top_k(emb, emb.where("vec_id = 20").limit(1), k=4, exclude_self=False)
+    assert [r.match_id for r in got.orderBy("rank").collect()] == [None, None, 20, 20]
+
+
 def test_index_change_set(spark):
     schema = "rule_id string, title string, content string, citation string, category string, severity_hint string"
     old = spark.createDataFrame([("A-1", "t", "c", "x", "k", "S"), ("B-1", "t", "c", "x", "k", "S"),
