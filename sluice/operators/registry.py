@@ -9,6 +9,9 @@ time, so a model with most of the history is still split across tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +61,7 @@ def promotion_replay(runs: DataFrame, partitions: int | None = None) -> DataFram
         *keep, F.col("version").cast("int").alias("version"), champion.alias("champion_mae"),
         F.col("_best.run_id").alias("champion_run_id"), F.col("_best._number").cast("int").alias("champion_version"),
         F.col(f"_best.{THRESHOLD_KEY}").alias(f"champion_{THRESHOLD_KEY}"),
+        F.when(F.col("_best").isNotNull(), F.struct(*[F.col(f"_best.{k}").alias(k) for k in CONFIG_KEYS])).alias("champion_config"),
         F.when(F.col("_best").isNotNull(), params_map(lambda k: F.col(f"_best.{k}"))).alias("champion_params"),
         params_map().alias("params"), reason.alias("reason"),
         F.when(reason.isin("bootstrap", "no_regression"), "APPROVE").otherwise("BLOCK").alias("decision"))
@@ -148,12 +152,16 @@ def _unsynced(changes: DataFrame) -> DataFrame:
 
 
 def config_sync_of(replay: DataFrame) -> DataFrame:
-    """J-05 within the row: ``replay`` carries both configurations, so nothing is exploded or grouped again."""
-    keys = F.array_union(F.map_keys("champion_params"), F.map_keys("params"))
-    changed = F.filter(keys, lambda k: ~F.try_element_at("champion_params", k).eqNullSafe(F.try_element_at("params", k)))
-    rows = replay.where(F.col("champion_params").isNotNull()).select(*MODEL_KEY, "version", changed.alias("_changed"))
-    of_model = F.exists("_changed", lambda k: k.isin(*HYPERPARAMETERS, FEATURES_KEY))
-    return _unsynced(rows.select(*MODEL_KEY, "version", of_model.alias("hp_changed"), F.array_contains("_changed", THRESHOLD_KEY).alias("threshold_changed")))
+    """J-05 within the row: ``replay`` carries both configurations, so nothing is exploded or grouped again.
+
+    The keys are compared one by one, as columns: maps would be built anew for every key that is looked up.
+    """
+    def changed(key: str) -> Column:
+        return ~F.col(f"champion_config.{key}").cast("string").eqNullSafe(F.col(key).cast("string"))
+
+    of_model = reduce(or_, [changed(k) for k in (*HYPERPARAMETERS, FEATURES_KEY)])
+    rows = replay.where(F.col("champion_config").isNotNull())
+    return _unsynced(rows.select(*MODEL_KEY, "version", of_model.alias("hp_changed"), changed(THRESHOLD_KEY).alias("threshold_changed")))
 
 
 def mae_within_threshold(runs: DataFrame) -> DataFrame:

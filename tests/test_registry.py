@@ -151,6 +151,19 @@ def test_replay_over_buckets_equals_a_scan(spark):
         seen.append(d)
 
 
+def test_config_sync_compares_columns(spark):
+    """Every key missing, changed or equal on either side: as the change set says, without a map or a lambda a row."""
+    rng = random.Random(9)
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(i, f"m{i % 4}", "dev", t0 + dt.timedelta(hours=i), rng.choice([None, float(rng.randrange(9))]), rng.choice([None, 10.0, 11.0]),
+             rng.choice([None, 5, 6]), rng.choice([None, 8]), 5, rng.choice([None, "a", "b"])) for i in range(300)]
+    replay = G.promotion_replay(spark.createDataFrame(data, RUN_SCHEMA), partitions=4)
+    sync = G.config_sync_of(replay)
+    assert rows(sync) == rows(G.config_sync_check(G.config_diff(replay))) and 20 < sync.count() < 280
+    plan = sync._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "map_from_arrays" not in plan
+
+
 def test_config_diff_kinds(spark):
     runs = _runs(spark, [9.0, 8.0, 7.0]).withColumns({
         "n_estimators": F.when(F.col("run_id") != 2, F.col("n_estimators")), "features": F.when(F.col("run_id") == 3, "a").otherwise("a,b")})
