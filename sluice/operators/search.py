@@ -26,6 +26,8 @@ from sluice.session import written_table
 #: Documents of a block, entries (terms of documents) of an index that a task builds at once.
 BLOCK = 64
 INDEX_ENTRIES = 1 << 21
+#: Tokens that a task looks up at once.
+LOOKED_UP = 1 << 18
 FOUND = ("query", "key", "score", "scored")
 
 
@@ -80,6 +82,18 @@ class BlockIndex:
         return scores, places, scored
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with ``LOOKED_UP`` tokens or little more, for what is derived from tokens takes many times their space; a row stays whole."""
+    for batch in batches:
+        tokens = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("tokens")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            before = tokens[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(tokens, before + LOOKED_UP, side="right")))
+            yield batch.slice(at, end - at)
+            at = end
+
+
 def _entries(batch: pa.RecordBatch, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, term, count) of a batch's token lists, for the terms of the vocabulary."""
     tokens = batch.column("tokens")
@@ -93,7 +107,7 @@ def _entries(batch: pa.RecordBatch, vocabulary: pa.Array) -> tuple[np.ndarray, n
 def _counted(vocabulary: pa.Array):
     """Token lists -> the documents that hold terms of the vocabulary, with their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             row, term, count = _entries(batch, vocabulary)
             rows, starts = np.unique(row, return_index=True)
             offsets = pa.array(np.append(starts, len(row)), pa.int32())
@@ -146,7 +160,7 @@ def _search_documents(queries: list[tuple], n_terms: int, k: int, query_type: pa
 def _search_corpus(index: BlockIndex, vocabulary: pa.Array, weight: np.ndarray, k: int, query_type: pa.DataType, key_type: pa.DataType):
     """Queries' token lists -> the ``k`` best documents of the index."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             row, term, _ = _entries(batch, vocabulary)
             ids, out = batch.column("key").to_pylist(), []
             rows, starts = np.unique(row, return_index=True)

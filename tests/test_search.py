@@ -105,3 +105,31 @@ def test_bounds_hold_every_score():
         got, places, scored = index.search(terms, weights, 4)
         assert [(-s, d) for s, d in zip(got.tolist(), index.keys[places].tolist())] == want
         assert scored <= 300
+
+
+def test_tokens_are_looked_up_in_pieces():
+    """What a task derives from a batch of token lists stays small beside the batch; rows stay whole, and none is lost."""
+    import tracemalloc
+
+    import pyarrow as pa
+    tokens = [[f"t{(7 * i + j) % 9000}" for j in range(i % 1000)] if i % 50 else None for i in range(6000)] + [["t1"] * (SE.LOOKED_UP + 5), [], ["t2"]]
+    batch = pa.record_batch({"key": pa.array(range(len(tokens)), pa.int64()), "tokens": pa.array(tokens, pa.list_(pa.string()))})
+    vocabulary = pa.array([f"t{i}" for i in range(9000)])
+    tracemalloc.start()
+    run = SE._counted(vocabulary)([batch, batch.slice(0, 0)])
+    counts, lists = 0, {}
+    for piece in run:
+        counts += sum(piece.column("counts").flatten().to_pylist())
+        lists.update(dict.fromkeys(piece.column("key").to_pylist()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts == sum(len(t) for t in tokens if t) and sorted(lists) == [i for i, t in enumerate(tokens) if t]
+    assert peak < 60e6  # the whole batch took over 100 MB
+
+
+def test_bounds_of_pieces():
+    import pyarrow as pa
+    lengths = [0, SE.LOOKED_UP, 1, SE.LOOKED_UP + 1, 0, 3, SE.LOOKED_UP - 3, 1, 0]
+    tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), pa.array(["a"] * sum(lengths)))
+    got = [pc.column("tokens").value_lengths().to_pylist() for pc in SE._pieces([pa.record_batch({"tokens": tokens})])]
+    assert got == [lengths[:2], lengths[2:3], lengths[3:5][:1], lengths[4:7], lengths[7:]]
