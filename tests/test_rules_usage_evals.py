@@ -120,6 +120,31 @@ def test_vector_search_of_many_queries_holds_tiles(spark):
     assert len(got) == 5000 and all(got[q] == np.argsort(-(cos @ cos[q]))[:3].tolist() for q in range(0, 5000, 250))
 
 
+def test_vector_search_of_wide_vectors_holds_tiles(spark):
+    """A tile has fewer rows where vectors are wide: a task's memory does not go with their length."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    x = np.random.default_rng(4).normal(size=(8000, 1024))
+    vectors = pa.ListArray.from_arrays(np.arange(0, x.size + 1, 1024, dtype="int32"), x.ravel())
+    queries = pa.table({"query_id": np.arange(0, 8000, 100), "_qv": vectors.take(pa.array(np.arange(0, 8000, 100)))})
+    batches = [pa.RecordBatch.from_arrays([pa.array(np.arange(8000)), vectors], names=["match_id", "_v"])]
+    tracemalloc.start()
+    out = [b.to_pydict() for b in RL._nearest(queries, 3, True)(batches)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 130e6  # the whole batch has 66 MB, and several copies of it were held
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    cos = unit[::100] @ unit.T
+    cos[np.arange(80), np.arange(0, 8000, 100)] = -1
+    got = {}
+    for b in out:
+        for q, m in zip(b["query_id"], b["match_id"]):
+            got.setdefault(q, []).append(m)
+    assert got == {q * 100: np.argsort(-cos[q])[:3].tolist() for q in range(80)}
+
+
 def test_vector_neighbours_of_repeated_and_missing_keys(spark):
     """Copies of the query's own row and rows without a key among many copies of its vector."""
     data = [(20, [1.0, 2.0])] * 9 + [(i, [1.0, 2.0]) for i in range(100, 130)] + [(None, [1.0, 2.0])] * 2 + [(7, [2.0, 1.0])] * 3
